@@ -34,9 +34,11 @@ def _cols(x):
 
 def spec(partition_by=None, order_by=None) -> WindowSpec:
     """One reusable spec; ``spec(p).orderBy(x)`` extends it."""
-    w = Window.partitionBy(*_cols(partition_by)) if partition_by else Window.partitionBy()
-    if order_by:
-        w = w.orderBy(*_cols(order_by))
+    parts = _cols(partition_by)
+    w = Window.partitionBy(*parts) if parts else Window.partitionBy()
+    orders = _cols(order_by)
+    if orders:
+        w = w.orderBy(*orders)
     return w
 
 
@@ -170,9 +172,9 @@ def sessionize(df: DataFrame, user_col: str, ts_col: str, gap_seconds: int,
     previous event exceeds ``gap_seconds``; the id is the running count of
     session starts."""
     w = spec(user_col, [ts_col, *[c for c in df.columns if c not in (user_col, ts_col)]])
-    secs = F.unix_timestamp(F.col(ts_col).cast("timestamp"))
-    prev = F.lag(secs).over(w)
-    new = F.when(prev.isNull() | (secs - prev > gap_seconds), 1).otherwise(0)
+    micros = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    prev = F.lag(micros).over(w)
+    new = F.when(prev.isNull() | (micros - prev > F.lit(gap_seconds * 1_000_000)), 1).otherwise(0)
     return (df.withColumn("_new", new)
               .withColumn(session_col, F.sum("_new").over(w.rowsBetween(UNBOUNDED_PRECEDING, 0)))
               .drop("_new"))

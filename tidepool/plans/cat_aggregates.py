@@ -1,3 +1,189 @@
-"""Registered queries."""
+"""Registered queries: aggregation, dedup, pivot."""
 
-from tidepool.plans.registry import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tidepool.operators import aggregates as AG
+from tidepool.plans.common import dbl, money, t
+from tidepool.plans.registry import register
+
+
+@register("D1_group_aggregate", bench=True, oracle="""
+SELECT l_returnflag, l_linestatus,
+       SUM(l_quantity) AS sum_qty,
+       CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_base_price,
+       CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DOUBLE) AS sum_disc_price,
+       SUM(l_quantity) / COUNT(*) AS avg_qty,
+       MIN(l_discount) AS min_disc, MAX(l_discount) AS max_disc,
+       COUNT(*) AS count_order
+FROM lineitem GROUP BY l_returnflag, l_linestatus
+""")
+def d1(spark, d):
+    li = t(spark, d, "lineitem")
+    return (li.groupBy("l_returnflag", "l_linestatus").agg(
+        F.sum("l_quantity").alias("sum_qty"),
+        dbl(F.sum(money("l_extendedprice"))).alias("sum_base_price"),
+        dbl(F.sum(money("l_extendedprice") * (1 - F.col("l_discount").cast("decimal(4,2)")))).alias("sum_disc_price"),
+        (F.sum("l_quantity") / F.count(F.lit(1))).alias("avg_qty"),
+        F.min("l_discount").alias("min_disc"), F.max("l_discount").alias("max_disc"),
+        F.count(F.lit(1)).alias("count_order")))
+
+
+@register("D2_global_aggregate", oracle="""
+SELECT COUNT(*) AS n_rows, SUM(l_quantity) AS total_qty,
+       CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price,
+       MIN(l_shipdate) AS first_ship, MAX(l_shipdate) AS last_ship
+FROM lineitem
+""")
+def d2(spark, d):
+    li = t(spark, d, "lineitem")
+    return li.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("l_quantity").alias("total_qty"),
+                  dbl(F.sum(money("l_extendedprice"))).alias("total_price"),
+                  F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
+
+
+@register("D3_count_distinct", oracle="""
+SELECT o_orderstatus, COUNT(DISTINCT o_custkey) AS n_customers, COUNT(*) AS n_orders
+FROM orders GROUP BY o_orderstatus
+""")
+def d3(spark, d):
+    o = t(spark, d, "orders")
+    return o.groupBy("o_orderstatus").agg(F.count_distinct("o_custkey").alias("n_customers"),
+                                          F.count(F.lit(1)).alias("n_orders"))
+
+
+@register("D4_approx_count_distinct")
+def d4(spark, d):
+    # rows-only check; tests/ compares against the exact count within rsd
+    li = t(spark, d, "lineitem")
+    return li.groupBy("l_returnflag").agg(
+        F.approx_count_distinct("l_partkey", 0.02).alias("approx_parts"),
+        F.approx_count_distinct("l_orderkey", 0.02).alias("approx_orders"))
+
+
+@register("D5_several_distinct_counts", oracle="""
+SELECT l_returnflag, COUNT(DISTINCT l_partkey) AS n_distinct_l_partkey,
+       COUNT(DISTINCT l_suppkey) AS n_distinct_l_suppkey,
+       COUNT(DISTINCT l_orderkey) AS n_distinct_l_orderkey
+FROM lineitem GROUP BY l_returnflag
+""")
+def d5(spark, d):
+    return AG.distinct_counts(t(spark, d, "lineitem"), ["l_partkey", "l_suppkey", "l_orderkey"],
+                              keys=["l_returnflag"])
+
+
+@register("D6_conditional_counts", oracle="""
+SELECT l_shipmode_year,
+       SUM(CASE WHEN l_discount >= 0.05 THEN 1 ELSE 0 END)::BIGINT AS discounted,
+       SUM(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END)::BIGINT AS returned,
+       SUM(CASE WHEN l_quantity > 40 THEN 1 ELSE 0 END)::BIGINT AS bulk,
+       COUNT(*) AS total_rows
+FROM (SELECT *, year(l_shipdate) AS l_shipmode_year FROM lineitem) GROUP BY l_shipmode_year
+""")
+def d6(spark, d):
+    li = t(spark, d, "lineitem").withColumn("l_shipmode_year", F.year("l_shipdate"))
+    return AG.conditional_counts(li, {"discounted": F.col("l_discount") >= 0.05,
+                                      "returned": F.col("l_returnflag") == "R",
+                                      "bulk": F.col("l_quantity") > 40},
+                                 keys=["l_shipmode_year"]).withColumn(
+        "l_shipmode_year", F.col("l_shipmode_year").cast("bigint"))
+
+
+@register("D7_top_key_counts", oracle="""
+SELECT l_suppkey, COUNT(*) AS cnt FROM lineitem GROUP BY l_suppkey
+ORDER BY cnt DESC, l_suppkey LIMIT 10
+""")
+def d7(spark, d):
+    return AG.top_key_counts(t(spark, d, "lineitem"), "l_suppkey", 10)
+
+
+@register("D8_dedup_keys", oracle="""
+SELECT DISTINCT o_custkey, o_orderstatus FROM orders
+""")
+def d8(spark, d):
+    return AG.dedup(t(spark, d, "orders").select("o_custkey", "o_orderstatus"))
+
+
+@register("D8b_drop_duplicates_on_key", oracle="""
+SELECT DISTINCT l_orderkey FROM lineitem
+""")
+def d8b(spark, d):
+    return AG.dedup(t(spark, d, "lineitem"), keys=["l_orderkey"]).select("l_orderkey")
+
+
+@register("D9_static_pivot", oracle="""
+SELECT l_returnflag,
+       SUM(CASE WHEN l_linestatus = 'F' THEN l_quantity END) AS "F",
+       SUM(CASE WHEN l_linestatus = 'O' THEN l_quantity END) AS "O"
+FROM lineitem GROUP BY l_returnflag
+""")
+def d9(spark, d):
+    return AG.pivot(t(spark, d, "lineitem"), "l_returnflag", "l_linestatus",
+                    [F.sum("l_quantity")], values=["F", "O"])
+
+
+@register("D10_pivot_multi_aggregate", oracle="""
+SELECT l_returnflag,
+       SUM(CASE WHEN l_linestatus = 'F' THEN l_quantity END) AS F_qty,
+       COUNT(CASE WHEN l_linestatus = 'F' THEN 1 END) AS F_n,
+       SUM(CASE WHEN l_linestatus = 'O' THEN l_quantity END) AS O_qty,
+       COUNT(CASE WHEN l_linestatus = 'O' THEN 1 END) AS O_n
+FROM lineitem GROUP BY l_returnflag
+""")
+def d10(spark, d):
+    return AG.pivot(t(spark, d, "lineitem"), "l_returnflag", "l_linestatus",
+                    [F.sum("l_quantity").alias("qty"), F.count(F.lit(1)).alias("n")], values=["F", "O"])
+
+
+@register("D11_dynamic_pivot", oracle="""
+PIVOT (SELECT o_orderpriority, o_orderstatus FROM orders) ON o_orderstatus USING COUNT(*) GROUP BY o_orderpriority
+""")
+def d11(spark, d):
+    return AG.pivot(t(spark, d, "orders"), "o_orderpriority", "o_orderstatus", [F.count(F.lit(1))])
+
+
+@register("D12_percentile_cont", oracle="""
+SELECT o_orderpriority,
+       CAST(CAST(quantile_cont(o_totalprice, 0.5) AS DECIMAL(18,4)) AS DOUBLE) AS median_price,
+       CAST(CAST(quantile_cont(o_totalprice, 0.9) AS DECIMAL(18,4)) AS DOUBLE) AS p90_price
+FROM orders GROUP BY o_orderpriority
+""")
+def d12(spark, d):
+    return t(spark, d, "orders").groupBy("o_orderpriority").agg(
+        # interpolated values of 2-decimal prices have at most 4 decimals:
+        # rounding there removes float noise of the interpolation
+        dbl(AG.percentile_cont("o_totalprice", 0.5).cast("decimal(18,4)")).alias("median_price"),
+        dbl(AG.percentile_cont("o_totalprice", 0.9).cast("decimal(18,4)")).alias("p90_price"))
+
+
+@register("D13_explode_reaggregate", oracle="""
+SELECT l_partkey AS partkey, SUM(l_quantity) AS qty, COUNT(DISTINCT l_orderkey) AS n_orders
+FROM lineitem GROUP BY l_partkey
+""")
+def d13(spark, d):
+    li = t(spark, d, "lineitem")
+    nested = li.groupBy("l_orderkey").agg(
+        F.collect_list(F.struct("l_partkey", "l_quantity")).alias("items"))
+    flat = nested.select("l_orderkey", F.explode("items").alias("it"))
+    return flat.groupBy(F.col("it.l_partkey").alias("partkey")).agg(
+        F.sum("it.l_quantity").alias("qty"), F.count_distinct("l_orderkey").alias("n_orders"))
+
+
+@register("D14_aggregate_then_rank", oracle="""
+SELECT n.n_name, CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+       DENSE_RANK() OVER (ORDER BY SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) DESC) AS revenue_rank
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+GROUP BY n.n_name
+""")
+def d14(spark, d):
+    o = t(spark, d, "orders")
+    c = t(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    n = F.broadcast(t(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name"))
+    per_nation = (o.join(c, "o_custkey").join(n, "c_nationkey").groupBy("n_name")
+                  .agg(F.sum(money("o_totalprice")).alias("_rev")))
+    # one row per nation: a global window over 25 rows is fine
+    w = Window.orderBy(F.col("_rev").desc())
+    return per_nation.select("n_name", dbl("_rev").alias("revenue"),
+                             F.dense_rank().over(w).cast("bigint").alias("revenue_rank"))

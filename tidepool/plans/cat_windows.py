@@ -1,3 +1,265 @@
-"""Registered queries."""
+"""Registered queries: window functions.
 
-from tidepool.plans.registry import register  # noqa: F401
+Orders are windowed per customer in (order date, order key) order, which is
+total, so ROW_NUMBER / LAG / LEAD results are fully determined.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidepool.operators import windows as W
+from tidepool.plans.common import dbl, money, t
+from tidepool.plans.registry import register
+from tidepool.sources.io import register_views
+
+CUST_W_SQL = "PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey"
+
+
+def _orders(spark, d):
+    return t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice",
+                                        "o_orderpriority")
+
+
+def _cust_w():
+    return W.spec("o_custkey", ["o_orderdate", "o_orderkey"])
+
+
+@register("E1_row_number", oracle=f"""
+SELECT o_orderkey, o_custkey, ROW_NUMBER() OVER ({CUST_W_SQL}) AS order_seq FROM orders
+""")
+def e1(spark, d):
+    return _orders(spark, d).select("o_orderkey", "o_custkey",
+                                    F.row_number().over(_cust_w()).cast("bigint").alias("order_seq"))
+
+
+@register("E2_rank", oracle="""
+SELECT c_custkey, c_nationkey, RANK() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC) AS balance_rank
+FROM customer
+""")
+def e2(spark, d):
+    w = W.spec("c_nationkey", F.col("c_acctbal").desc())
+    return t(spark, d, "customer").select("c_custkey", "c_nationkey",
+                                          F.rank().over(w).cast("bigint").alias("balance_rank"))
+
+
+@register("E3_dense_rank", oracle="""
+SELECT o_orderkey, DENSE_RANK() OVER (PARTITION BY o_orderpriority ORDER BY CAST(o_orderdate AS DATE)) AS day_rank
+FROM orders
+""")
+def e3(spark, d):
+    w = W.spec("o_orderpriority", F.to_date("o_orderdate"))
+    return t(spark, d, "orders").select("o_orderkey", F.dense_rank().over(w).cast("bigint").alias("day_rank"))
+
+
+@register("E4_ntile", oracle="""
+SELECT c_custkey, c_mktsegment, NTILE(4) OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal, c_custkey) AS quartile
+FROM customer
+""")
+def e4(spark, d):
+    w = W.spec("c_mktsegment", ["c_acctbal", "c_custkey"])
+    return t(spark, d, "customer").select("c_custkey", "c_mktsegment",
+                                          F.ntile(4).over(w).cast("bigint").alias("quartile"))
+
+
+@register("E5_lag_offset_default", oracle=f"""
+SELECT o_orderkey, LAG(o_totalprice, 2, 0) OVER ({CUST_W_SQL}) AS price_2_before FROM orders
+""")
+def e5(spark, d):
+    return _orders(spark, d).select("o_orderkey",
+                                    F.lag("o_totalprice", 2, 0.0).over(_cust_w()).alias("price_2_before"))
+
+
+@register("E6_lead_offset_default", oracle=f"""
+SELECT o_orderkey, LEAD(o_totalprice, 1, -1) OVER ({CUST_W_SQL}) AS next_price FROM orders
+""")
+def e6(spark, d):
+    return _orders(spark, d).select("o_orderkey",
+                                    F.lead("o_totalprice", 1, -1.0).over(_cust_w()).alias("next_price"))
+
+
+@register("E7_first_value", oracle=f"""
+SELECT o_orderkey, FIRST_VALUE(o_orderkey) OVER ({CUST_W_SQL}) AS first_order FROM orders
+""")
+def e7(spark, d):
+    return _orders(spark, d).select("o_orderkey", F.first("o_orderkey").over(_cust_w()).alias("first_order"))
+
+
+@register("E8_last_value_full_frame", oracle=f"""
+SELECT o_orderkey, LAST_VALUE(o_orderkey) OVER ({CUST_W_SQL}
+       ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_order FROM orders
+""")
+def e8(spark, d):
+    full = _cust_w().rowsBetween(W.UNBOUNDED_PRECEDING, W.UNBOUNDED_FOLLOWING)
+    return _orders(spark, d).select("o_orderkey", F.last("o_orderkey").over(full).alias("last_order"))
+
+
+@register("E9_running_sum_count_avg", bench=True, oracle=f"""
+SELECT o_orderkey,
+  CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) OVER ({CUST_W_SQL} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running_sum,
+  COUNT(*) OVER ({CUST_W_SQL} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_count,
+  CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) OVER ({CUST_W_SQL} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE)
+    / COUNT(*) OVER ({CUST_W_SQL} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_avg
+FROM orders
+""")
+def e9(spark, d):
+    w = _cust_w().rowsBetween(W.UNBOUNDED_PRECEDING, W.CURRENT_ROW)
+    s = dbl(F.sum(money("o_totalprice")).over(w))
+    n = F.count(F.lit(1)).over(w)
+    return _orders(spark, d).select("o_orderkey", s.alias("running_sum"), n.alias("running_count"),
+                                    (s / n).alias("running_avg"))
+
+
+@register("E10_rolling_7_rows", oracle=f"""
+SELECT o_orderkey,
+  CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) OVER ({CUST_W_SQL} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS DOUBLE)
+    / COUNT(*) OVER ({CUST_W_SQL} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS avg_last_7_orders
+FROM orders
+""")
+def e10(spark, d):
+    w = _cust_w().rowsBetween(-6, 0)
+    return _orders(spark, d).select(
+        "o_orderkey", (dbl(F.sum(money("o_totalprice")).over(w)) / F.count(F.lit(1)).over(w))
+        .alias("avg_last_7_orders"))
+
+
+@register("E11_centred_frame", oracle=f"""
+SELECT o_orderkey,
+  CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) OVER ({CUST_W_SQL} ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS DOUBLE) AS centred_sum
+FROM orders
+""")
+def e11(spark, d):
+    w = _cust_w().rowsBetween(-2, 2)
+    return _orders(spark, d).select("o_orderkey", dbl(F.sum(money("o_totalprice")).over(w)).alias("centred_sum"))
+
+
+@register("E12_range_7_days", oracle="""
+WITH daily AS (
+  SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS day, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS rev
+  FROM orders GROUP BY 1, 2)
+SELECT o_orderpriority, day, CAST(rev AS DOUBLE) AS revenue,
+  CAST(SUM(rev) OVER (PARTITION BY o_orderpriority ORDER BY day
+       RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW) AS DOUBLE) AS revenue_7d
+FROM daily
+""")
+def e12(spark, d):
+    daily = (t(spark, d, "orders").groupBy("o_orderpriority", F.to_date("o_orderdate").alias("day"))
+             .agg(F.sum(money("o_totalprice")).alias("rev")))
+    out = W.rolling_days(daily, "rev", "o_orderpriority", "day", 7, out="_r7")
+    return out.select("o_orderpriority", "day", dbl("rev").alias("revenue"), dbl("_r7").alias("revenue_7d"))
+
+
+@register("E13_keep_latest_per_key", bench=True, oracle="""
+SELECT o_custkey, o_orderkey, o_totalprice FROM orders
+QUALIFY ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1
+""")
+def e13(spark, d):
+    latest = W.keep_latest(_orders(spark, d), "o_custkey", ["o_orderdate", "o_orderkey"])
+    return latest.select("o_custkey", "o_orderkey", "o_totalprice")
+
+
+@register("E14_percent_of_partition", oracle="""
+WITH nr AS (
+  SELECT n.n_regionkey, n.n_name, SUM(CAST(c.c_acctbal AS DECIMAL(18,2))) AS bal
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY 1, 2)
+SELECT n_regionkey, n_name, CAST(bal AS DOUBLE) AS balance,
+       CAST(bal AS DOUBLE) / CAST(SUM(bal) OVER (PARTITION BY n_regionkey) AS DOUBLE) * 100 AS pct_of_region
+FROM nr
+""")
+def e14(spark, d):
+    c = t(spark, d, "customer")
+    n = F.broadcast(t(spark, d, "nation"))
+    nr = (c.join(n, c.c_nationkey == n.n_nationkey).groupBy("n_regionkey", "n_name")
+          .agg(F.sum(money("c_acctbal")).alias("bal")))
+    w = W.spec("n_regionkey")
+    return nr.select("n_regionkey", "n_name", dbl("bal").alias("balance"),
+                     (dbl("bal") / dbl(F.sum("bal").over(w)) * 100).alias("pct_of_region"))
+
+
+@register("E15_named_window_sql", oracle=f"""
+SELECT o_orderkey,
+       ROW_NUMBER() OVER w AS seq,
+       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) OVER w AS DOUBLE) AS cum_spend,
+       LAG(o_orderkey) OVER w AS prev_order
+FROM orders WINDOW w AS ({CUST_W_SQL})
+""")
+def e15(spark, d):
+    register_views(spark, d, ["orders"])
+    return spark.sql(f"""
+        SELECT o_orderkey, CAST(ROW_NUMBER() OVER w AS BIGINT) AS seq,
+               CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) OVER w AS DOUBLE) AS cum_spend,
+               LAG(o_orderkey) OVER w AS prev_order
+        FROM orders WINDOW w AS ({CUST_W_SQL})""")
+
+
+@register("E16_named_window_extended", oracle="""
+SELECT o_orderkey,
+       COUNT(*) OVER (PARTITION BY o_custkey) AS cust_orders,
+       ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS price_rank
+FROM orders
+""")
+def e16(spark, d):
+    base = W.spec("o_custkey")                                   # WINDOW base AS (PARTITION BY ...)
+    by_price = base.orderBy(F.col("o_totalprice").desc(), "o_orderkey")   # OVER (base ORDER BY ...)
+    return _orders(spark, d).select("o_orderkey", F.count(F.lit(1)).over(base).alias("cust_orders"),
+                                    F.row_number().over(by_price).cast("bigint").alias("price_rank"))
+
+
+@register("E17_running_total_reset_monthly", oracle="""
+SELECT o_orderkey,
+  CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) OVER (
+       PARTITION BY o_orderpriority, date_trunc('month', o_orderdate)
+       ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS month_to_date
+FROM orders
+""")
+def e17(spark, d):
+    w = W.spec(["o_orderpriority", F.trunc(F.to_date("o_orderdate"), "month")],
+               ["o_orderdate", "o_orderkey"]).rowsBetween(W.UNBOUNDED_PRECEDING, W.CURRENT_ROW)
+    return _orders(spark, d).select("o_orderkey", dbl(F.sum(money("o_totalprice")).over(w)).alias("month_to_date"))
+
+
+@register("E18_last_value_before_row", oracle="""
+SELECT event_id,
+  LAST_VALUE(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS) OVER (
+     PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_purchase_value
+FROM events
+""")
+def e18(spark, d):
+    ev = t(spark, d, "events").withColumn(
+        "pv", F.when(F.col("event_type") == "purchase", F.col("value")))
+    out = W.with_last_before(ev, "pv", "user_id", ["ts", "event_id"], out="last_purchase_value")
+    return out.select("event_id", "last_purchase_value")
+
+
+@register("E19_sessionize_30min", oracle="""
+WITH g AS (
+  SELECT event_id, user_id, ts,
+         CASE WHEN LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL
+                OR epoch_us(ts) - epoch_us(LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) > 1800000000
+              THEN 1 ELSE 0 END AS new_session
+  FROM events)
+SELECT event_id, user_id,
+       SUM(new_session) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS session_id
+FROM g
+""")
+def e19(spark, d):
+    ev = t(spark, d, "events").select("event_id", "user_id", "ts")
+    out = W.sessionize(ev, "user_id", "ts", 30 * 60)
+    return out.select("event_id", "user_id", F.col("session_id").cast("bigint").alias("session_id"))
+
+
+@register("E20_top3_per_group_ties", oracle="""
+WITH pr AS (
+  SELECT p.p_type, l.l_partkey, SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS rev
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 1, 2)
+SELECT p_type, l_partkey, CAST(rev AS DOUBLE) AS revenue,
+       RANK() OVER (PARTITION BY p_type ORDER BY rev DESC) AS rnk
+FROM pr QUALIFY rnk <= 3
+""")
+def e20(spark, d):
+    li = t(spark, d, "lineitem")
+    p = t(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+    pr = li.join(p, "l_partkey").groupBy("p_type", "l_partkey").agg(F.sum(money("l_extendedprice")).alias("rev"))
+    top = W.top_n_per_group(pr, "p_type", F.col("rev").desc(), 3)
+    return top.select("p_type", "l_partkey", dbl("rev").alias("revenue"), F.col("rnk").cast("bigint").alias("rnk"))
