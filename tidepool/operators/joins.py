@@ -99,23 +99,20 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, n_salts: int,
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
     big_cols = big.columns
-    salt_all = hot is None
-    if not salt_all:
+    if hot is None:                       # salt every key
+        big_hot = small_hot = F.lit(True)
+    else:                                 # bounded key list: broadcast is safe
         hot_b = F.broadcast(hot.select(key).distinct().withColumn("_hot", F.lit(True)))
         big = big.join(hot_b, key, "left")
         small = small.join(hot_b, key, "left")
-        is_hot_big = F.coalesce(F.col("_hot"), F.lit(False))
-        is_hot_small = is_hot_big
-    else:
-        is_hot_big = is_hot_small = F.lit(True)
+        big_hot = small_hot = F.coalesce(F.col("_hot"), F.lit(False))
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in big_cols]), F.lit(n_salts)).cast("int")
-    big_s = big.withColumn("_salt", F.when(is_hot_big, salt).otherwise(F.lit(0)))
+    big_s = big.withColumn("_salt", F.when(big_hot, salt).otherwise(F.lit(0)))
     small_s = small.withColumn(
-        "_salt", F.explode(F.when(is_hot_small, F.sequence(F.lit(0), F.lit(n_salts - 1)))
+        "_salt", F.explode(F.when(small_hot, F.sequence(F.lit(0), F.lit(n_salts - 1)))
                            .otherwise(F.array(F.lit(0)))))
-    drop = ["_salt"] + ([] if salt_all else ["_hot"])
-    big_s = big_s.drop(*[c for c in drop if c != "_salt"])
-    small_s = small_s.drop(*[c for c in drop if c != "_salt"])
+    if hot is not None:
+        big_s, small_s = big_s.drop("_hot"), small_s.drop("_hot")
     return big_s.join(small_s, [key, "_salt"], how).drop("_salt")
 
 
