@@ -178,3 +178,45 @@ def sessionize(df: DataFrame, user_col: str, ts_col: str, gap_seconds: int,
     return (df.withColumn("_new", new)
               .withColumn(session_col, F.sum("_new").over(w.rowsBetween(UNBOUNDED_PRECEDING, 0)))
               .drop("_new"))
+
+
+# Global ranking without a single-task window ------------------------------------------------
+def global_row_number(df: DataFrame, order_cols, out: str = "row_number",
+                      keep_total: bool = False) -> DataFrame:
+    """ROW_NUMBER() OVER (ORDER BY ...) computed by all tasks.
+
+    ``orderBy`` range-partitions the rows, so partition i holds the i-th
+    slice of the order and equal keys never straddle partitions.  Each
+    partition numbers its own rows; the per-partition counts (one row per
+    partition, so a bounded broadcast) give each partition's offset.  The
+    numbered frame is checkpointed first, so the counts and the rows they
+    offset come from one materialisation even if tasks are retried.  The
+    order must be total.
+    """
+    from tidepool.session import checkpoint_dir
+    order_cols = _cols(order_cols)
+    part = "_tp_part"
+    ranked = df.orderBy(*order_cols).withColumn(part, F.spark_partition_id())
+    local = ranked.withColumn("_tp_local", F.row_number().over(Window.partitionBy(part).orderBy(*order_cols)))
+    checkpoint_dir(df.sparkSession)
+    local = local.checkpoint(eager=True)
+    counts = local.groupBy(part).agg(F.max("_tp_local").alias("_tp_n"))
+    offsets = counts.select(part, (F.sum("_tp_n").over(Window.orderBy(part)) - F.col("_tp_n")).alias("_tp_off"),
+                            F.sum("_tp_n").over(Window.partitionBy()).alias("_tp_total"))
+    res = (local.join(F.broadcast(offsets), part)
+                .withColumn(out, (F.col("_tp_off") + F.col("_tp_local")).cast("bigint"))
+                .drop(part, "_tp_local", "_tp_off"))
+    return res if keep_total else res.drop("_tp_total")
+
+
+def global_ntile(df: DataFrame, order_cols, n: int, out: str = "ntile") -> DataFrame:
+    """NTILE(n) OVER (ORDER BY ...) without a single-task window: the first
+    ``N mod n`` tiles get one extra row, as in SQL."""
+    numbered = global_row_number(df, order_cols, "_tp_rn", keep_total=True)
+    total = F.col("_tp_total")
+    q = F.floor(total / n)
+    rem = total - q * n
+    big_rows = rem * (q + 1)
+    tile = F.when(F.col("_tp_rn") <= big_rows, F.floor((F.col("_tp_rn") - 1) / (q + 1)) + 1).otherwise(
+        rem + F.floor((F.col("_tp_rn") - 1 - big_rows) / q) + 1)
+    return numbered.withColumn(out, tile.cast("bigint")).drop("_tp_rn", "_tp_total")
