@@ -76,3 +76,21 @@ def mask_email(c, allowed) -> Column:
     first two characters followed by the fixed mask."""
     allowed_c = allowed if isinstance(allowed, Column) else F.lit(bool(allowed))
     return F.when(allowed_c, _c(c)).otherwise(F.concat(F.left(_c(c), F.lit(2)), F.lit(MASK_SUFFIX)))
+
+
+def exact_avg(c, scale: int = 2) -> Column:
+    """AVG of a decimal column rounded HALF_UP to ``scale`` places, exactly.
+
+    ``avg(decimal).cast(decimal(p, scale))`` rounds twice (first to the avg
+    result scale, then to ``scale``); this sums whole units of 10^-scale and
+    does one integer half-up division instead."""
+    units = F.sum((_c(c) * (10 ** scale)).cast("decimal(38,0)"))
+    n = F.count(_c(c)).cast("decimal(38,0)")
+    q = int_div(F.abs(units) * 2 + n, n * 2)
+    return (F.signum(units).cast("decimal(38,0)") * q / F.lit(10 ** scale)).cast(f"decimal(38,{scale})")
+
+
+def int_div(a: Column, b: Column) -> Column:
+    """Exact integer division of non-negative integral decimals: the
+    numerator is made a multiple of ``b`` first, so the quotient is whole."""
+    return ((a - F.pmod(a, b)) / b).cast("decimal(38,0)")
