@@ -1,3 +1,47 @@
-"""Registered queries."""
+"""Registered queries: streaming ingest, micro-batch upsert and windowed
+gold (O1-O3), each run with ``availableNow`` over the events file and read
+back from its snapshot sink."""
 
-from tidepool.plans.registry import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidepool.plans import medallion as M
+from tidepool.plans.cat_medallion import RAW_SQL, T2, silver_sql
+from tidepool.plans.common import t
+from tidepool.plans.registry import register
+from tidepool.streaming import pipeline as S
+
+EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def events_stream(spark, d):
+    schema = t(spark, d, "events").schema
+    return S.read_landed(spark, d, schema, glob="events.parquet")
+
+
+@register("O1_stream_bronze_dedup", oracle="SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def o1(spark, d):
+    bronze = S.stream_bronze(events_stream(spark, d), "event_id", "ts", "2 days")
+    out, _ = S.stream_to_snapshot(spark, bronze, "o1-bronze")
+    return out.select(*EVENT_COLS)
+
+
+@register("O2_stream_upsert_silver", oracle=f"SELECT * FROM {silver_sql(RAW_SQL, T2)} s")
+def o2(spark, d):
+    raw = M.raw_order_events(spark, events_stream(spark, d), t(spark, d, "customer"), t(spark, d, "nation"),
+                             t(spark, d, "region"), duplicate_every=None)
+    out, _ = S.stream_to_snapshot(spark, raw, "o2-silver", merge=S.silver_upsert_merge(T2))
+    return out
+
+
+@register("O3_stream_windowed_gold", oracle="""
+SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS window_start, event_type, COUNT(*) AS n,
+       CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+FROM events GROUP BY 1, 2
+""")
+def o3(spark, d):
+    gold = S.windowed_gold(events_stream(spark, d), "ts", "2 days", ["event_type"], "value")
+    out, _ = S.stream_to_snapshot(spark, gold, "o3-gold", merge=S.window_upsert_merge(["event_type"]),
+                                  mode="update")
+    return out.select("window_start", "event_type", "n", F.col("total_value").cast("double").alias("total_value"))

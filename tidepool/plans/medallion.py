@@ -149,5 +149,7 @@ def raw_order_events(spark: SparkSession, events: DataFrame, customer: DataFrame
         status.alias("status"),
         F.col("r_name").alias("region"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("event_ts"))
+    if not duplicate_every:
+        return raw
     dup = raw.filter(F.col("event_id").cast("bigint") % duplicate_every == 0)
     return raw.unionByName(dup)
