@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidepool.operators import skew as SK
 from tidepool.operators import windows as W
 from tidepool.plans.common import dbl, money, t
 from tidepool.plans.registry import register
@@ -38,9 +39,10 @@ SELECT c_custkey, c_nationkey, RANK() OVER (PARTITION BY c_nationkey ORDER BY c_
 FROM customer
 """)
 def e2(spark, d):
-    w = W.spec("c_nationkey", F.col("c_acctbal").desc())
-    return t(spark, d, "customer").select("c_custkey", "c_nationkey",
-                                          F.rank().over(w).cast("bigint").alias("balance_rank"))
+    # 25 nations = 25 window tasks at any scale: rank in chunks instead
+    c = t(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    r = SK.ranked(c, ["c_nationkey"], [F.col("c_acctbal").desc()])
+    return r.select("c_custkey", "c_nationkey", F.col("rank").cast("bigint").alias("balance_rank"))
 
 
 @register("E3_dense_rank", oracle="""
@@ -48,8 +50,10 @@ SELECT o_orderkey, DENSE_RANK() OVER (PARTITION BY o_orderpriority ORDER BY CAST
 FROM orders
 """)
 def e3(spark, d):
-    w = W.spec("o_orderpriority", F.to_date("o_orderdate"))
-    return t(spark, d, "orders").select("o_orderkey", F.dense_rank().over(w).cast("bigint").alias("day_rank"))
+    # 5 priorities would mean 5 window tasks: dense_rank in chunks instead
+    o = t(spark, d, "orders").select("o_orderkey", "o_orderpriority", F.to_date("o_orderdate").alias("day"))
+    r = SK.ranked(o, ["o_orderpriority"], ["day"])
+    return r.select("o_orderkey", F.col("dense_rank").cast("bigint").alias("day_rank"))
 
 
 @register("E4_ntile", oracle="""
@@ -57,9 +61,9 @@ SELECT c_custkey, c_mktsegment, NTILE(4) OVER (PARTITION BY c_mktsegment ORDER B
 FROM customer
 """)
 def e4(spark, d):
-    w = W.spec("c_mktsegment", ["c_acctbal", "c_custkey"])
-    return t(spark, d, "customer").select("c_custkey", "c_mktsegment",
-                                          F.ntile(4).over(w).cast("bigint").alias("quartile"))
+    c = t(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    r = SK.ranked(c, ["c_mktsegment"], ["c_acctbal", "c_custkey"], n_tiles=4)
+    return r.select("c_custkey", "c_mktsegment", F.col("ntile").cast("bigint").alias("quartile"))
 
 
 @register("E5_lag_offset_default", oracle=f"""
@@ -213,9 +217,11 @@ SELECT o_orderkey,
 FROM orders
 """)
 def e17(spark, d):
-    w = W.spec(["o_orderpriority", F.trunc(F.to_date("o_orderdate"), "month")],
-               ["o_orderdate", "o_orderkey"]).rowsBetween(W.UNBOUNDED_PRECEDING, W.CURRENT_ROW)
-    return _orders(spark, d).select("o_orderkey", dbl(F.sum(money("o_totalprice")).over(w)).alias("month_to_date"))
+    # (priority, month) groups hold a month of orders each: chunk them
+    o = _orders(spark, d).withColumn("month", F.trunc(F.to_date("o_orderdate"), "month")) \
+        .withColumn("amt", money("o_totalprice"))
+    r = SK.running_sum(o, ["o_orderpriority", "month"], ["o_orderdate", "o_orderkey"], "amt", out="_s")
+    return r.select("o_orderkey", dbl("_s").alias("month_to_date"))
 
 
 @register("E18_last_value_before_row", oracle="""
@@ -263,3 +269,55 @@ def e20(spark, d):
     pr = li.join(p, "l_partkey").groupBy("p_type", "l_partkey").agg(F.sum(money("l_extendedprice")).alias("rev"))
     top = W.top_n_per_group(pr, "p_type", F.col("rev").desc(), 3)
     return top.select("p_type", "l_partkey", dbl("rev").alias("revenue"), F.col("rnk").cast("bigint").alias("rnk"))
+
+
+# Skew-safe variants of the per-customer / per-user windows (same oracles).
+@register("E1s_row_number_skew_safe", oracle=f"""
+SELECT o_orderkey, o_custkey, ROW_NUMBER() OVER ({CUST_W_SQL}) AS order_seq FROM orders
+""")
+def e1s(spark, d):
+    r = SK.ranked(_orders(spark, d), ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    return r.select("o_orderkey", "o_custkey", F.col("row_number").cast("bigint").alias("order_seq"))
+
+
+@register("E9s_running_sum_skew_safe", oracle=f"""
+SELECT o_orderkey,
+  CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) OVER ({CUST_W_SQL} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running_sum,
+  COUNT(*) OVER ({CUST_W_SQL} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_count
+FROM orders
+""")
+def e9s(spark, d):
+    o = _orders(spark, d).withColumn("amt", money("o_totalprice"))
+    r = SK.running_sum(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "amt", out="_s", count_out="running_count")
+    return r.select("o_orderkey", dbl("_s").alias("running_sum"), "running_count")
+
+
+@register("E9g_global_running_sum_skew_safe", oracle="""
+SELECT o_orderkey,
+  CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) OVER (ORDER BY o_orderdate, o_orderkey
+       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cumulative_revenue
+FROM orders
+""")
+def e9g(spark, d):
+    # no partition at all: the plain window would run in ONE task
+    o = _orders(spark, d).withColumn("amt", money("o_totalprice"))
+    r = SK.running_sum(o, [], ["o_orderdate", "o_orderkey"], "amt", out="_s")
+    return r.select("o_orderkey", dbl("_s").alias("cumulative_revenue"))
+
+
+@register("E19s_sessionize_skew_safe", oracle="""
+WITH g AS (
+  SELECT event_id, user_id, ts,
+         CASE WHEN LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL
+                OR epoch_us(ts) - epoch_us(LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) > 1800000000
+              THEN 1 ELSE 0 END AS new_session
+  FROM events)
+SELECT event_id, user_id,
+       SUM(new_session) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS session_id
+FROM g
+""")
+def e19s(spark, d):
+    ev = t(spark, d, "events").select("event_id", "user_id", "ts")
+    out = SK.sessionize(ev, "user_id", "ts", 30 * 60, tie_cols=["event_id"])
+    return out.select("event_id", "user_id", "session_id")
