@@ -157,3 +157,37 @@ def sessionize(df: DataFrame, user_col: str, ts_col: str, gap_seconds: int, tie_
     return (local2.join(pre, [user_col, CHUNK])
                   .withColumn(session_col, (F.col("_ls") + F.col("_before_s")).cast("bigint"))
                   .drop("_ls", "_before_s", "_new", CHUNK))
+
+
+def percentiles_cont(df: DataFrame, keys, value_col: str, probs: dict[str, float],
+                     n_chunks: int | None = None) -> DataFrame:
+    """Exact PERCENTILE_CONT for several probabilities per key, without
+    holding a group's values in one aggregation buffer (the plain
+    ``percentile`` aggregate keeps every distinct value of a group in one
+    task).  Rows are numbered per key in value order with the chunked
+    ``ranked``; only the rows at positions floor / ceil of ``p * (n - 1)``
+    are kept, and each result is their linear interpolation -- the SQL
+    definition.  NULL values are ignored.  One ranking serves all ``probs``."""
+    keys = _cols(keys)
+    base = df.select(*keys, value_col).where(F.col(value_col).isNotNull())
+    r = ranked(base, keys, [value_col], n_chunks=n_chunks).drop("rank", "dense_rank")
+    r, gkeys, tmp = _with_group(r, keys)
+    sizes = r.groupBy(*gkeys).agg(F.max("row_number").alias("_n"))
+    j = r.join(sizes, gkeys)
+    wanted = F.lit(False)
+    aggs = []
+    for i, (name, p) in enumerate(probs.items()):
+        pos = F.lit(p) * (F.col("_n") - 1)
+        lo, hi = (F.floor(pos) + 1).cast("int"), (F.ceil(pos) + 1).cast("int")
+        wanted = wanted | (F.col("row_number") == lo) | (F.col("row_number") == hi)
+        lo_v = F.max(F.when(F.col("row_number") == lo, F.col(value_col)))
+        hi_v = F.max(F.when(F.col("row_number") == hi, F.col(value_col)))
+        frac = F.max(pos - F.floor(pos))
+        aggs.append((lo_v + (hi_v - lo_v) * frac).cast("double").alias(name))
+    picked = j.where(wanted)                 # at most 2 rows per key and probability
+    return picked.groupBy(*gkeys).agg(*aggs).drop(*tmp)
+
+
+def percentile_cont(df: DataFrame, keys, value_col: str, p: float, out: str = "percentile",
+                    n_chunks: int | None = None) -> DataFrame:
+    return percentiles_cont(df, keys, value_col, {out: p}, n_chunks)
