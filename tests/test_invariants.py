@@ -191,3 +191,35 @@ def test_skew_safe_windows_split_a_hot_key_and_match_plain_windows(spark):
     exp = coarse.select("k", "v", F.rank().over(wr).alias("rank"), F.dense_rank().over(wr).alias("dense_rank"))
     got = SK.ranked(coarse, ["k"], ["g"], n_chunks=8).select("k", "v", "rank", "dense_rank")
     assert got.exceptAll(exp).count() == 0
+
+
+def test_bounded_frames_with_halo_rows_match_plain_windows(spark):
+    from tidepool.operators import skew as SK
+    big, _ = _skewed(spark, 30_000)
+    df = big.withColumn("x", F.col("v") % 13)
+    w = Window.partitionBy("k").orderBy("v")
+
+    def build(w):
+        return {"lag2": F.lag("x", 2, -1).over(w), "lead1": F.lead("x", 1).over(w),
+                "r7": F.sum("x").over(w.rowsBetween(-6, 0)), "c5": F.sum("x").over(w.rowsBetween(-2, 2))}
+    exp = df.select("k", "v", "x", *[c.alias(n) for n, c in build(w).items()])
+    got = SK.bounded_frame(df, ["k"], ["v"], 6, 2, build, n_chunks=16).select(exp.columns)
+    assert got.count() == exp.count() and got.exceptAll(exp).count() == 0
+    # chunks smaller than the frame: neighbours come from several chunks back
+    small = df.filter("v < 600")
+    exp2 = small.select("k", "v", "x", *[c.alias(n) for n, c in build(w).items()])
+    got2 = SK.bounded_frame(small, ["k"], ["v"], 6, 2, build, n_chunks=200).select(exp2.columns)
+    assert got2.exceptAll(exp2).count() == 0 and exp2.exceptAll(got2).count() == 0
+
+
+def test_chunked_percentiles_match_percentile_aggregate(spark):
+    from tidepool.operators import skew as SK
+    o = t(spark, SF_MID, "orders")
+    got = {r.o_orderpriority: (r.p50, r.p90) for r in
+           SK.percentiles_cont(o, ["o_orderpriority"], "o_totalprice", {"p50": 0.5, "p90": 0.9}).collect()}
+    exp = {r.o_orderpriority: (r.p50, r.p90) for r in o.groupBy("o_orderpriority").agg(
+        F.percentile("o_totalprice", F.lit(0.5)).alias("p50"), F.percentile("o_totalprice", F.lit(0.9)).alias("p90"))
+        .collect()}
+    assert got.keys() == exp.keys()
+    for k in got:
+        assert got[k][0] == pytest.approx(exp[k][0], rel=1e-12) and got[k][1] == pytest.approx(exp[k][1], rel=1e-12)

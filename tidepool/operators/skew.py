@@ -191,3 +191,47 @@ def percentiles_cont(df: DataFrame, keys, value_col: str, probs: dict[str, float
 def percentile_cont(df: DataFrame, keys, value_col: str, p: float, out: str = "percentile",
                     n_chunks: int | None = None) -> DataFrame:
     return percentiles_cont(df, keys, value_col, {out: p}, n_chunks)
+
+
+def bounded_frame(df: DataFrame, keys, order_cols, before: int, after: int, build,
+                  n_chunks: int | None = None) -> DataFrame:
+    """Window columns whose frames reach at most ``before`` rows back and
+    ``after`` rows ahead (LAG / LEAD / ROWS n PRECEDING .. m FOLLOWING),
+    skew-safe.
+
+    ``build(w)`` returns ``{name: column}`` using the window ``w`` (add
+    ``rowsBetween`` as needed).  Each chunk is evaluated together with
+    "halo" copies of the last ``before`` rows of the preceding chunks and
+    the first ``after`` rows of the following chunks of the same key; the
+    halo rows give the chunk's edge rows their true neighbours and are
+    dropped afterwards.  Halo rows number at most chunks x (before + after)^2.
+    """
+    keys, order_cols = _cols(keys), _cols(order_cols)
+    df, keys, tmp = _with_group(df, keys)
+    c = chunked(df, keys, order_cols, n_chunks)
+    lw = _local(keys, order_cols)
+    size = F.count(F.lit(1)).over(Window.partitionBy(*keys, CHUNK))
+    pos = c.withColumn("_pos", F.row_number().over(lw)).withColumn("_size", size)
+    ranks = c.select(*keys, CHUNK).distinct().withColumn(
+        "_crank", F.dense_rank().over(Window.partitionBy(*keys).orderBy(CHUNK)))
+    pos = pos.join(ranks, [*keys, CHUNK])
+    own = pos.withColumn("_target", F.col(CHUNK)).withColumn("_halo", F.lit(False))
+    parts = [own]
+    to_chunk = ranks.select(*keys, F.col("_crank").alias("_trank"), F.col(CHUNK).alias("_target"))
+    if before > 0:
+        tails = pos.where(F.col("_size") - F.col("_pos") < before)
+        tails = (tails.withColumn("_step", F.explode(F.sequence(F.lit(1), F.lit(before))))
+                      .withColumn("_trank", F.col("_crank") + F.col("_step")).drop("_step"))
+        parts.append(tails.join(to_chunk, [*keys, "_trank"]).drop("_trank").withColumn("_halo", F.lit(True)))
+    if after > 0:
+        heads = pos.where(F.col("_pos") <= after)
+        heads = (heads.withColumn("_step", F.explode(F.sequence(F.lit(1), F.lit(after))))
+                      .withColumn("_trank", F.col("_crank") - F.col("_step")).drop("_step"))
+        parts.append(heads.join(to_chunk, [*keys, "_trank"]).drop("_trank").withColumn("_halo", F.lit(True)))
+    aug = parts[0]
+    for p in parts[1:]:
+        aug = aug.unionByName(p)
+    w = Window.partitionBy(*keys, "_target").orderBy(*order_cols)
+    cols = build(w)
+    out = aug.select("*", *[v.alias(k) for k, v in cols.items()]).where(~F.col("_halo"))
+    return out.drop("_pos", "_size", "_crank", "_target", "_halo", CHUNK, *tmp)

@@ -321,3 +321,47 @@ def e19s(spark, d):
     ev = t(spark, d, "events").select("event_id", "user_id", "ts")
     out = SK.sessionize(ev, "user_id", "ts", 30 * 60, tie_cols=["event_id"])
     return out.select("event_id", "user_id", "session_id")
+
+
+def _bounded(spark, d, before, after, build):
+    return SK.bounded_frame(_orders(spark, d).withColumn("amt", money("o_totalprice")), ["o_custkey"],
+                            ["o_orderdate", "o_orderkey"], before, after, build)
+
+
+@register("E5s_lag_skew_safe", oracle=f"""
+SELECT o_orderkey, LAG(o_totalprice, 2, 0) OVER ({CUST_W_SQL}) AS price_2_before FROM orders
+""")
+def e5s(spark, d):
+    out = _bounded(spark, d, 2, 0, lambda w: {"price_2_before": F.lag("o_totalprice", 2, 0.0).over(w)})
+    return out.select("o_orderkey", "price_2_before")
+
+
+@register("E6s_lead_skew_safe", oracle=f"""
+SELECT o_orderkey, LEAD(o_totalprice, 1, -1) OVER ({CUST_W_SQL}) AS next_price FROM orders
+""")
+def e6s(spark, d):
+    out = _bounded(spark, d, 0, 1, lambda w: {"next_price": F.lead("o_totalprice", 1, -1.0).over(w)})
+    return out.select("o_orderkey", "next_price")
+
+
+@register("E10s_rolling_7_rows_skew_safe", oracle=f"""
+SELECT o_orderkey,
+  CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) OVER ({CUST_W_SQL} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS DOUBLE)
+    / COUNT(*) OVER ({CUST_W_SQL} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS avg_last_7_orders
+FROM orders
+""")
+def e10s(spark, d):
+    def build(w):
+        f = w.rowsBetween(-6, 0)
+        return {"avg_last_7_orders": dbl(F.sum("amt").over(f)) / F.count(F.lit(1)).over(f)}
+    return _bounded(spark, d, 6, 0, build).select("o_orderkey", "avg_last_7_orders")
+
+
+@register("E11s_centred_frame_skew_safe", oracle=f"""
+SELECT o_orderkey,
+  CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) OVER ({CUST_W_SQL} ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS DOUBLE) AS centred_sum
+FROM orders
+""")
+def e11s(spark, d):
+    out = _bounded(spark, d, 2, 2, lambda w: {"centred_sum": dbl(F.sum("amt").over(w.rowsBetween(-2, 2)))})
+    return out.select("o_orderkey", "centred_sum")
