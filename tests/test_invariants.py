@@ -223,3 +223,13 @@ def test_chunked_percentiles_match_percentile_aggregate(spark):
     assert got.keys() == exp.keys()
     for k in got:
         assert got[k][0] == pytest.approx(exp[k][0], rel=1e-12) and got[k][1] == pytest.approx(exp[k][1], rel=1e-12)
+
+
+def test_last_before_carries_over_chunks_without_values(spark):
+    from tidepool.operators import skew as SK
+    big, _ = _skewed(spark, 4_000)
+    df = big.withColumn("x", F.when(F.col("v") % 37 == 0, F.col("v")))     # sparse non-null values
+    w = Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    exp = df.select("k", "v", F.last("x", ignorenulls=True).over(w).alias("lb"))
+    got = SK.last_before(df, ["k"], ["v"], "x", "lb", n_chunks=300).select("k", "v", "lb")
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0

@@ -235,3 +235,40 @@ def bounded_frame(df: DataFrame, keys, order_cols, before: int, after: int, buil
     cols = build(w)
     out = aug.select("*", *[v.alias(k) for k, v in cols.items()]).where(~F.col("_halo"))
     return out.drop("_pos", "_size", "_crank", "_target", "_halo", CHUNK, *tmp)
+
+
+def last_before(df: DataFrame, keys, order_cols, value_col: str, out: str,
+                n_chunks: int | None = None) -> DataFrame:
+    """LAST_VALUE(value IGNORE NULLS) OVER (PARTITION BY keys ORDER BY order
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), skew-safe: the local
+    answer inside the chunk, else the last non-null value of the key's
+    earlier chunks (found over a table with one row per chunk)."""
+    keys, order_cols = _cols(keys), _cols(order_cols)
+    df, keys, tmp = _with_group(df, keys)
+    c = chunked(df, keys, order_cols, n_chunks)
+    lw = _local(keys, order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    local = c.withColumn("_local", F.last(value_col, ignorenulls=True).over(lw))
+    ends = (c.withColumn("_seq", F.row_number().over(_local(keys, order_cols)))
+              .where(F.col(value_col).isNotNull())
+              .groupBy(*keys, CHUNK).agg(F.max_by(value_col, "_seq").alias("_chunk_last")))
+    # chunks without any non-null value are absent from ``carry``: take the
+    # closest earlier chunk that has one
+    cw = Window.partitionBy(*keys).orderBy(CHUNK)
+    chunks = c.select(*keys, CHUNK).distinct()
+    both = chunks.join(ends, [*keys, CHUNK], "left")
+    carry = both.select(*keys, CHUNK, F.last("_chunk_last", ignorenulls=True).over(
+        cw.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
+    res = local.join(carry, [*keys, CHUNK]).withColumn(out, F.coalesce("_local", "_carry"))
+    return res.drop("_local", "_carry", CHUNK, *tmp)
+
+
+def first_last(df: DataFrame, keys, order_cols: list[str], value_col: str,
+               first_out: str = "first_value", last_out: str = "last_value") -> DataFrame:
+    """FIRST_VALUE / LAST_VALUE over the whole partition as aggregates:
+    ``min_by`` / ``max_by`` on the order tuple combine map-side, then join
+    back on the key (AQE splits the join if one key is hot)."""
+    keys = _cols(keys)
+    order = F.struct(*order_cols)
+    ends = df.groupBy(*keys).agg(F.min_by(value_col, order).alias(first_out),
+                                 F.max_by(value_col, order).alias(last_out))
+    return df.join(ends, keys)

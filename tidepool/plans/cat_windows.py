@@ -365,3 +365,26 @@ FROM orders
 def e11s(spark, d):
     out = _bounded(spark, d, 2, 2, lambda w: {"centred_sum": dbl(F.sum("amt").over(w.rowsBetween(-2, 2)))})
     return out.select("o_orderkey", "centred_sum")
+
+
+@register("E7s_first_value_by_aggregate", oracle=f"""
+SELECT o_orderkey, FIRST_VALUE(o_orderkey) OVER ({CUST_W_SQL}) AS first_order,
+       LAST_VALUE(o_orderkey) OVER ({CUST_W_SQL} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_order
+FROM orders
+""")
+def e7s(spark, d):
+    out = SK.first_last(_orders(spark, d), ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderkey",
+                        "first_order", "last_order")
+    return out.select("o_orderkey", "first_order", "last_order")
+
+
+@register("E18s_last_value_before_row_skew_safe", oracle="""
+SELECT event_id,
+  LAST_VALUE(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS) OVER (
+     PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_purchase_value
+FROM events
+""")
+def e18s(spark, d):
+    ev = t(spark, d, "events").withColumn("pv", F.when(F.col("event_type") == "purchase", F.col("value")))
+    out = SK.last_before(ev, ["user_id"], ["ts", "event_id"], "pv", "last_purchase_value")
+    return out.select("event_id", "last_purchase_value")
