@@ -31,13 +31,23 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     ``master`` and ``shuffle_partitions`` are only applied when given; on a
     cluster the launcher decides both.
     """
-    builder = SparkSession.builder.appName(app)
-    if master:
-        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        # a launcher built the session: only fill in what it left unset
+        for k, v in conf.items():
+            if active.conf.get(k, None) is None:
+                try:
+                    active.conf.set(k, v)
+                except Exception:  # static settings cannot change on a live session
+                    pass
+        return active
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

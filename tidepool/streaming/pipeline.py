@@ -93,8 +93,23 @@ class SnapshotSink:
         return spark.read.parquet(self.path(self.last_batch))
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Keep streaming state (dedup ids, open windows) in RocksDB, off the JVM
+    heap and checkpointed incrementally, unless a provider is configured.
+    The provider is fixed in a query's checkpoint once it has run."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    current = spark.conf.get(key, None)
+    if not current or current.endswith("HDFSBackedStateStoreProvider") and not spark.conf.get(
+            "tidepool.stateStore.keepDefault", None):
+        spark.conf.set(key, ROCKSDB_PROVIDER)
+
+
 def run_available_now(df: DataFrame, sink: SnapshotSink, checkpoint: str, mode: str = "append"):
     """Consume every available file, then stop; returns the finished query."""
+    use_rocksdb_state(df.sparkSession)
     q = (df.writeStream.outputMode(mode).foreachBatch(sink)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
