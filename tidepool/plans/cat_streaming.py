@@ -31,8 +31,8 @@ def o1(spark, d):
 def o2(spark, d):
     raw = M.raw_order_events(spark, events_stream(spark, d), t(spark, d, "customer"), t(spark, d, "nation"),
                              t(spark, d, "region"), duplicate_every=None)
-    out, _ = S.stream_to_snapshot(spark, raw, "o2-silver", merge=S.silver_upsert_merge(T2))
-    return out
+    latest, _ = S.stream_to_snapshot(spark, raw, "o2-latest", merge=S.latest_event_merge(T2))
+    return S.silver_from_snapshot(latest, T2)
 
 
 @register("O3_stream_windowed_gold", oracle="""

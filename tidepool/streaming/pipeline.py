@@ -130,10 +130,31 @@ def stream_to_snapshot(spark: SparkSession, df: DataFrame, name: str, merge=appe
 
 
 # O2 ------------------------------------------------------------------------------------------
+def latest_event_merge(ingestion_ts):
+    """Per micro-batch: dedup the batch, then keep the latest event per
+    order over (previous snapshot + batch), ordered by (event_ts, event_id).
+    The snapshot is the latest raw event of every order, so a late file or
+    a replayed batch cannot put an older event over a newer one."""
+    from tidepool.plans.medallion import latest_events, to_bronze
+
+    def merge(prev: DataFrame | None, batch: DataFrame) -> DataFrame:
+        new = latest_events(to_bronze(batch, ingestion_ts))
+        return new if prev is None else latest_events(prev.unionByName(new))
+    return merge
+
+
+def silver_from_snapshot(snapshot: DataFrame, ingested_at) -> DataFrame:
+    """Silver = the contract applied to the latest event of each order --
+    the same rows the batch pipeline produces from the whole Bronze table."""
+    from tidepool.plans.medallion import to_silver
+    return to_silver(snapshot, ingested_at)
+
+
 def silver_upsert_merge(ingested_at, keys="order_id"):
-    """Per micro-batch: bronze dedup + silver transform of the batch, then
-    replace the matching orders of the previous snapshot (update all
-    columns, insert new)."""
+    """Per micro-batch: silver of the batch replaces the matching orders of
+    the previous Silver snapshot (update all columns, insert new).  Equal to
+    the batch result only when files arrive in event-time order; prefer
+    ``latest_event_merge`` + ``silver_from_snapshot``."""
     from tidepool.plans.medallion import to_bronze, to_silver
 
     def merge(prev: DataFrame | None, batch: DataFrame) -> DataFrame:
