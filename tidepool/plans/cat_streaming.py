@@ -31,8 +31,11 @@ def o1(spark, d):
 def o2(spark, d):
     raw = M.raw_order_events(spark, events_stream(spark, d), t(spark, d, "customer"), t(spark, d, "nation"),
                              t(spark, d, "region"), duplicate_every=None)
-    latest, _ = S.stream_to_snapshot(spark, raw, "o2-latest", merge=S.latest_event_merge(T2))
-    return S.silver_from_snapshot(latest, T2)
+    # latest event per order, kept in a table partitioned by event day:
+    # each micro-batch rewrites only the days it touched
+    latest, _ = S.stream_to_partitioned_table(spark, raw, "o2-latest", S.latest_event_merge(T2),
+                                              "event_day", S.order_day)
+    return S.silver_from_snapshot(latest.drop("event_day"), T2)
 
 
 @register("O3_stream_windowed_gold", oracle="""

@@ -107,7 +107,58 @@ def use_rocksdb_state(spark: SparkSession) -> None:
         spark.conf.set(key, ROCKSDB_PROVIDER)
 
 
-def run_available_now(df: DataFrame, sink: SnapshotSink, checkpoint: str, mode: str = "append"):
+class PartitionedTableSink:
+    """foreachBatch target that keeps ONE table partitioned by
+    ``partition_col`` and rewrites only the partitions a batch touches.
+
+    The previous rows of the touched partitions are read through a semi
+    join on the partition column (partition pruning, no driver-side list),
+    merged with the batch and written back with dynamic partition
+    overwrite.  Work per batch follows the touched partitions, not the
+    table.  ``merge`` must be idempotent (e.g. keep-latest), so a replayed
+    batch rewrites the same partitions with the same rows."""
+
+    def __init__(self, path: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame],
+                 partition_col: str, partition_of: Callable[[DataFrame], DataFrame]):
+        self.path = path.rstrip("/")
+        self.merge = merge
+        self.partition_col = partition_col
+        self.partition_of = partition_of      # adds ``partition_col`` to batch rows
+        self.batches = 0
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = self.partition_of(batch)
+        touched = rows.select(self.partition_col).distinct()
+        prev = None
+        if self.batches > 0 or _exists(spark, self.path):
+            prev = spark.read.parquet(self.path).join(F.broadcast(touched), self.partition_col, "left_semi")
+        merged = self.merge(prev, rows)
+        old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        try:
+            # materialise before overwriting the partitions it was read from
+            from tidepool.session import checkpoint_dir
+            checkpoint_dir(spark)
+            merged.checkpoint(eager=True).write.mode("overwrite").partitionBy(self.partition_col) \
+                .parquet(self.path)
+        finally:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+        self.batches += 1
+
+    def latest(self, spark: SparkSession) -> DataFrame | None:
+        return spark.read.parquet(self.path) if self.batches else None
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except Exception:
+        return False
+
+
+def run_available_now(df: DataFrame, sink, checkpoint: str, mode: str = "append"):
     """Consume every available file, then stop; returns the finished query."""
     use_rocksdb_state(df.sparkSession)
     q = (df.writeStream.outputMode(mode).foreachBatch(sink)
@@ -129,6 +180,21 @@ def stream_to_snapshot(spark: SparkSession, df: DataFrame, name: str, merge=appe
     return sink.latest(spark), q
 
 
+def stream_to_partitioned_table(spark: SparkSession, df: DataFrame, name: str, merge, partition_col: str,
+                                partition_of, mode: str = "append") -> tuple[DataFrame, object]:
+    path = scratch_path(spark, f"{name}-table")
+    ckpt = scratch_path(spark, f"{name}-ckpt")
+    sink = PartitionedTableSink(path + "/data", merge, partition_col, partition_of)
+    q = run_available_now(df, sink, ckpt, mode)
+    return sink.latest(spark), q
+
+
+def order_day(batch: DataFrame) -> DataFrame:
+    """Partition of a raw order event: its event day (all events of an
+    order share a day in the derived order stream)."""
+    return batch.withColumn("event_day", F.substring("event_ts", 1, 10))
+
+
 # O2 ------------------------------------------------------------------------------------------
 def latest_event_merge(ingestion_ts):
     """Per micro-batch: dedup the batch, then keep the latest event per
