@@ -241,6 +241,9 @@ def windowed_gold(stream: DataFrame, ts_col: str, delay: str, keys, value_col: s
 
 
 def window_upsert_merge(keys):
+    """Update-mode rows replace their window's previous row (idempotent)."""
     def merge(prev: DataFrame | None, batch: DataFrame) -> DataFrame:
-        return batch if prev is None else merge_upsert(prev, batch, ["window_start", *keys])
+        if prev is None:
+            return batch
+        return merge_upsert(prev.select(*batch.columns), batch, ["window_start", *keys])
     return merge
