@@ -107,6 +107,23 @@ def use_rocksdb_state(spark: SparkSession) -> None:
         spark.conf.set(key, ROCKSDB_PROVIDER)
 
 
+class AppendSink:
+    """foreachBatch target for append-only tables: each batch writes only
+    its own rows to ``batch_id=<id>``; a replayed batch overwrites the same
+    folder with the same rows.  Readers see the union of all batches."""
+
+    def __init__(self, base: str):
+        self.base = base.rstrip("/")
+        self.batches = 0
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{self.base}/batch_id={batch_id}")
+        self.batches += 1
+
+    def latest(self, spark: SparkSession) -> DataFrame | None:
+        return spark.read.parquet(self.base).drop("batch_id") if self.batches else None
+
+
 class PartitionedTableSink:
     """foreachBatch target that keeps ONE table partitioned by
     ``partition_col`` and rewrites only the partitions a batch touches.
@@ -167,15 +184,13 @@ def run_available_now(df: DataFrame, sink, checkpoint: str, mode: str = "append"
     return q
 
 
-def append_merge(prev: DataFrame | None, batch: DataFrame) -> DataFrame:
-    return batch if prev is None else prev.unionByName(batch)
-
-
-def stream_to_snapshot(spark: SparkSession, df: DataFrame, name: str, merge=append_merge,
+def stream_to_snapshot(spark: SparkSession, df: DataFrame, name: str, merge=None,
                        mode: str = "append") -> tuple[DataFrame, object]:
+    """Run ``df`` to completion into a sink; with no ``merge`` the sink only
+    appends each batch's rows (no rewrite of earlier batches)."""
     base = scratch_path(spark, f"{name}-out")
     ckpt = scratch_path(spark, f"{name}-ckpt")
-    sink = SnapshotSink(base, merge)
+    sink = AppendSink(base) if merge is None else SnapshotSink(base, merge)
     q = run_available_now(df, sink, ckpt, mode)
     return sink.latest(spark), q
 
