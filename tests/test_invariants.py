@@ -137,9 +137,10 @@ def test_write_results_and_log_metrics(spark, tmp_out):
     from tidepool.plans.cat_quality import CHECKS, dq_input
     df = dq_input(spark, SF_SMALL)
     flagged = Q.flag(df, CHECKS)
-    Q.write_results(flagged, CHECKS, f"{tmp_out}/clean", f"{tmp_out}/quarantine", "2024-02-01 00:00:00")
+    counts = Q.write_results(flagged, CHECKS, f"{tmp_out}/clean", f"{tmp_out}/quarantine", "2024-02-01 00:00:00")
     clean = spark.read.parquet(f"{tmp_out}/clean")
     quar = spark.read.parquet(f"{tmp_out}/quarantine")
+    assert counts == {"passed": clean.count(), "quarantined": quar.count()}
     assert clean.count() + quar.count() == df.count()
     assert quar.filter("fail_reason = ''").count() == 0
     assert set(clean.columns) == set(df.columns)

@@ -104,18 +104,24 @@ def drop_flags(df: DataFrame, checks: list[Check]) -> DataFrame:
 
 # K4 ---------------------------------------------------------------------------------------
 def write_results(flagged: DataFrame, checks: list[Check], target_path: str, quarantine_path: str,
-                  quarantine_ts) -> None:
+                  quarantine_ts) -> dict[str, int]:
     """Append passing rows to the target and failing rows (with reason and
     time) to quarantine, from one persisted flagged frame: the source is
-    scanned once for both writes."""
+    scanned once for both writes.  Row counts are observed while writing
+    (``Observation``), so no extra count jobs run; returns them."""
     from pyspark import StorageLevel
+    from pyspark.sql import Observation
     cached = flagged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         passing, failing = evaluate(cached, checks)
-        drop_flags(passing, checks).write.mode("append").parquet(target_path)
+        obs_pass, obs_fail = Observation("dq_passed"), Observation("dq_quarantined")
+        (drop_flags(passing, checks).observe(obs_pass, F.count(F.lit(1)).alias("rows"))
+         .write.mode("append").parquet(target_path))
         (drop_flags(failing.withColumn("fail_reason", fail_reason(checks)), checks)
          .withColumn("quarantine_ts", F.lit(str(quarantine_ts)).cast("timestamp"))
+         .observe(obs_fail, F.count(F.lit(1)).alias("rows"))
          .write.mode("append").parquet(quarantine_path))
+        return {"passed": int(obs_pass.get["rows"]), "quarantined": int(obs_fail.get["rows"])}
     finally:
         cached.unpersist()
 
