@@ -8,7 +8,7 @@ from tests.conftest import SF_MID, SF_SMALL
 from tidepool.operators import layout as L
 from tidepool.plans import medallion as M
 from tidepool.plans.common import t
-from tidepool.streaming import pipeline as S
+from tidepool.streaming import jobs as S
 
 
 def _orders_with_day(spark):

@@ -152,7 +152,7 @@ UNION ALL SELECT 'silver_null_amount', COUNT(*) FILTER (WHERE amount IS NULL) FR
 def j7(spark, d):
     b = bronze_all(spark, d)
     s = silver_all(spark, d)
-    return M.pipeline_checks(b, s, M.to_gold(s))
+    return M.layer_checks(b, s, M.to_gold(s))
 
 
 @register("J8_silver_rejects_with_reason", oracle=f"""

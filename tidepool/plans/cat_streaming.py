@@ -10,7 +10,7 @@ from tidepool.plans import medallion as M
 from tidepool.plans.cat_medallion import RAW_SQL, T2, silver_sql
 from tidepool.plans.common import t
 from tidepool.plans.registry import register
-from tidepool.streaming import pipeline as S
+from tidepool.streaming import jobs as S
 
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 

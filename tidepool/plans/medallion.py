@@ -106,7 +106,7 @@ def upsert_gold(gold: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 # J7 --------------------------------------------------------------------------------------
-def pipeline_checks(bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> DataFrame:
+def layer_checks(bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> DataFrame:
     """One row per check: layer counts, null amounts in silver, status of
     every silver row known -- all as a single union of global aggregates."""
     def cnt(df, name):
