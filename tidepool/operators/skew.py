@@ -9,8 +9,9 @@ data.  The operators here split each group into ordered chunks instead:
    partitioner samples the full sort key, so a large group is cut into many
    partitions; equal sort keys never straddle two partitions.  The
    partition index becomes the ``_chunk`` column, and the frame is
-   checkpointed to the shared checkpoint folder so every later use sees
-   the same chunks even after task retries.
+   written once as Parquet to the shared checkpoint folder
+   (``session.materialize``) so every later use sees the same chunks even
+   after task retries.
 2. Each (key, chunk) is computed with an ordinary window -- bounded work
    per task.
 3. Per-chunk totals (one row per chunk: small) are prefixed over the
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.session import checkpoint_dir
+from tidepool.session import materialize
 
 CHUNK = "_chunk"
 
@@ -45,9 +46,8 @@ def chunked(df: DataFrame, keys, order_cols, n_chunks: int | None = None) -> Dat
     """Range-partition on (keys, order) and tag rows with their chunk."""
     spark = df.sparkSession
     n = n_chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    checkpoint_dir(spark)
     ranged = df.repartitionByRange(n, *_cols(keys), *_cols(order_cols))
-    return ranged.withColumn(CHUNK, F.spark_partition_id()).checkpoint(eager=True)
+    return materialize(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
 
 def _local(keys, order_cols) -> Window:

@@ -189,17 +189,16 @@ def global_row_number(df: DataFrame, order_cols, out: str = "row_number",
     slice of the order and equal keys never straddle partitions.  Each
     partition numbers its own rows; the per-partition counts (one row per
     partition, so a bounded broadcast) give each partition's offset.  The
-    numbered frame is checkpointed first, so the counts and the rows they
-    offset come from one materialisation even if tasks are retried.  The
-    order must be total.
+    numbered frame is written once to the shared checkpoint folder first, so
+    the counts and the rows they offset come from one materialisation even
+    if tasks are retried.  The order must be total.
     """
-    from tidepool.session import checkpoint_dir
+    from tidepool.session import materialize
     order_cols = _cols(order_cols)
     part = "_tp_part"
     ranked = df.orderBy(*order_cols).withColumn(part, F.spark_partition_id())
     local = ranked.withColumn("_tp_local", F.row_number().over(Window.partitionBy(part).orderBy(*order_cols)))
-    checkpoint_dir(df.sparkSession)
-    local = local.checkpoint(eager=True)
+    local = materialize(local, "row-number")
     counts = local.groupBy(part).agg(F.max("_tp_local").alias("_tp_n"))
     offsets = counts.select(part, (F.sum("_tp_n").over(Window.orderBy(part)) - F.col("_tp_n")).alias("_tp_off"),
                             F.sum("_tp_n").over(Window.partitionBy()).alias("_tp_total"))

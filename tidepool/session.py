@@ -84,3 +84,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     os.makedirs(base, exist_ok=True)
     return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage by writing ``df`` as Parquet into a fresh folder under the
+    shared checkpoint folder and reading it back.  Unlike
+    ``Dataset.checkpoint`` this runs one write job (no second pass to save
+    the rows) and stores them columnar and compressed.  Non-deterministic
+    columns (``spark_partition_id()``, ...) are fixed at write time, so every
+    later use and every retried task sees the same values."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name) + "/data"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

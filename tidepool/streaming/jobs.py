@@ -155,9 +155,8 @@ class PartitionedTableSink:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         try:
             # materialise before overwriting the partitions it was read from
-            from tidepool.session import checkpoint_dir
-            checkpoint_dir(spark)
-            merged.checkpoint(eager=True).write.mode("overwrite").partitionBy(self.partition_col) \
+            from tidepool.session import materialize
+            materialize(merged, "batch-merge").write.mode("overwrite").partitionBy(self.partition_col) \
                 .parquet(self.path)
         finally:
             spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
