@@ -203,3 +203,36 @@ WHERE o_totalprice > (SELECT AVG(o2.o_totalprice) FROM orders o2 WHERE o2.o_cust
 def c12(spark, d):
     o = t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     return J.above_group_average(o, "o_custkey", "o_totalprice")
+
+
+# 80% hot key, derived from lineitem: rows with (orderkey * 7 + linenumber) % 5 <> 0
+# are re-keyed to order 0 (the skew case of the reference's join chapter).
+HOT_SQL = """
+SELECT o.o_orderstatus, l.l_returnflag, COUNT(*) AS n_lines,
+       CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+       COUNT(DISTINCT o.o_custkey) AS n_customers
+FROM (SELECT CASE WHEN (l_orderkey * 7 + l_linenumber) % 5 <> 0 THEN 0 ELSE l_orderkey END AS orderkey,
+             l_extendedprice, l_returnflag FROM lineitem) l
+JOIN orders o ON l.orderkey = o.o_orderkey
+GROUP BY o.o_orderstatus, l.l_returnflag
+"""
+
+
+def _li_hot(spark, d):
+    li = t(spark, d, "lineitem")
+    hot = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 5 != 0
+    return li.select(F.when(hot, F.lit(0).cast("bigint")).otherwise(F.col("l_orderkey")).alias("orderkey"),
+                     "l_extendedprice", "l_returnflag")
+
+
+@register("C1h_plain_join_hot_key", oracle=HOT_SQL)
+def c1h(spark, d):
+    # plain shuffle join: the hot key's rows meet in one task (AQE may split it)
+    return _summary(J.equi_join(_li_hot(spark, d), _ord(spark, d), "orderkey"))
+
+
+@register("C8h_salted_join_hot_key", oracle=HOT_SQL)
+def c8h(spark, d):
+    li = _li_hot(spark, d)
+    hot = J.hot_keys(li, "orderkey", min_rows=1000)      # exact counts; here: order 0
+    return _summary(J.salted_join(li, _ord(spark, d), "orderkey", 32, hot=hot))
