@@ -38,7 +38,7 @@ def test_salted_join_equals_plain_join_on_hot_key(spark, aqe):
         big, small = _skewed(spark)
         plain = big.join(small, "k")
         hot = J.hot_keys(big, "k", min_rows=1000)
-        assert [r.k for r in hot.collect()] == ["C001"]
+        assert [(r.k, r._n) for r in hot.collect()] == [("C001", big.filter("k = 'C001'").count())]
         salted = J.salted_join(big, small, "k", 16, hot=hot)
         assert salted.count() == plain.count()
         assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
@@ -47,6 +47,8 @@ def test_salted_join_equals_plain_join_on_hot_key(spark, aqe):
         assert spread == 16
         left = J.salted_join(big, small.filter("k <> 'C5'"), "k", 8, hot=hot, how="left")
         assert left.count() == big.count()
+        sized = J.salted_join(big, small, "k", 64, hot=hot, rows_per_salt=5_000)   # 40k rows -> 8 salts
+        assert sized.exceptAll(plain).count() == 0 and sized.count() == plain.count()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 

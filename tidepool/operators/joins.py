@@ -77,42 +77,46 @@ def theta_join_small(df: DataFrame, bands: DataFrame, cond: Column, how: str = "
 
 # C8 ------------------------------------------------------------------------------------------
 def hot_keys(df: DataFrame, key: str, min_rows: int, max_keys: int = 1000) -> DataFrame:
-    """Keys with at least ``min_rows`` rows (exact counts, distributed),
-    at most ``max_keys`` of the largest -- a bounded list, safe to
-    broadcast.  Keys left out are still joined exactly, only unsalted."""
+    """Keys with at least ``min_rows`` rows and their row count ``_n``
+    (exact counts, distributed), at most ``max_keys`` of the largest -- a
+    bounded list, safe to broadcast.  Keys left out are still joined
+    exactly, only unsalted."""
     return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
               .filter(F.col("_n") >= min_rows)
-              .orderBy(F.col("_n").desc(), F.col(key)).limit(max_keys)
-              .select(key))
+              .orderBy(F.col("_n").desc(), F.col(key)).limit(max_keys))
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, n_salts: int,
-                hot: DataFrame | None = None, how: str = "inner") -> DataFrame:
-    """Equi join that spreads hot keys over ``n_salts`` tasks.
+                hot: DataFrame | None = None, how: str = "inner",
+                rows_per_salt: int | None = None) -> DataFrame:
+    """Equi join that spreads hot keys over several tasks.
 
     Rows of ``big`` with a hot key get a salt from a hash of their contents
     (deterministic: a retried task recomputes the same salt); the matching
     rows of ``small`` are replicated once per salt.  Other keys keep salt 0.
-    Returns exactly the rows of ``big.join(small, key, how)`` for how in
-    inner / left.  ``hot`` defaults to all keys of ``small`` (salt all).
+    A hot key gets ``n_salts`` salts, or -- when ``hot`` carries the key's
+    row count ``_n`` and ``rows_per_salt`` is given -- ceil(_n /
+    rows_per_salt) salts, at most ``n_salts``: the spread follows the key's
+    size.  Returns exactly the rows of ``big.join(small, key, how)`` for
+    how in inner / left.  ``hot`` defaults to all keys of ``small``.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
     big_cols = big.columns
-    if hot is None:                       # salt every key
-        big_hot = small_hot = F.lit(True)
+    if hot is None:                       # salt every key, n_salts each
+        big_s = big.withColumn("_salts", F.lit(n_salts))
+        small_s = small.withColumn("_salts", F.lit(n_salts))
     else:                                 # bounded key list: broadcast is safe
-        hot_b = F.broadcast(hot.select(key).distinct().withColumn("_hot", F.lit(True)))
-        big = big.join(hot_b, key, "left")
-        small = small.join(hot_b, key, "left")
-        big_hot = small_hot = F.coalesce(F.col("_hot"), F.lit(False))
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in big_cols]), F.lit(n_salts)).cast("int")
-    big_s = big.withColumn("_salt", F.when(big_hot, salt).otherwise(F.lit(0)))
-    small_s = small.withColumn(
-        "_salt", F.explode(F.when(small_hot, F.sequence(F.lit(0), F.lit(n_salts - 1)))
-                           .otherwise(F.array(F.lit(0)))))
-    if hot is not None:
-        big_s, small_s = big_s.drop("_hot"), small_s.drop("_hot")
+        if rows_per_salt and "_n" in hot.columns:
+            per_key = F.least(F.lit(n_salts), F.greatest(F.lit(1), F.ceil(F.col("_n") / rows_per_salt)))
+        else:
+            per_key = F.lit(n_salts)
+        hot_b = F.broadcast(hot.select(key, per_key.cast("int").alias("_salts")).distinct())
+        big_s = big.join(hot_b, key, "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
+        small_s = small.join(hot_b, key, "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in big_cols]), F.col("_salts")).cast("int")
+    big_s = big_s.withColumn("_salt", salt).drop("_salts")
+    small_s = small_s.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
     return big_s.join(small_s, [key, "_salt"], how).drop("_salt")
 
 

@@ -42,10 +42,17 @@ def _names(cols):
     return [c for c in cols if isinstance(c, str)]
 
 
+def default_chunks(df: DataFrame) -> int:
+    """At least as many chunks as input splits (each split is sized by
+    ``spark.sql.files.maxPartitionBytes``) and as shuffle partitions, so a
+    chunk is never bigger than what one task already reads."""
+    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(shuffle, df.rdd.getNumPartitions())
+
+
 def chunked(df: DataFrame, keys, order_cols, n_chunks: int | None = None) -> DataFrame:
     """Range-partition on (keys, order) and tag rows with their chunk."""
-    spark = df.sparkSession
-    n = n_chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = n_chunks or default_chunks(df)
     ranged = df.repartitionByRange(n, *_cols(keys), *_cols(order_cols))
     return materialize(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
 

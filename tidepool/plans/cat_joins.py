@@ -235,4 +235,5 @@ def c1h(spark, d):
 def c8h(spark, d):
     li = _li_hot(spark, d)
     hot = J.hot_keys(li, "orderkey", min_rows=1000)      # exact counts; here: order 0
-    return _summary(J.salted_join(li, _ord(spark, d), "orderkey", 32, hot=hot))
+    # one salt per ~50k rows of a hot key, at most 256
+    return _summary(J.salted_join(li, _ord(spark, d), "orderkey", 256, hot=hot, rows_per_salt=50_000))
