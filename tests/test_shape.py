@@ -24,6 +24,15 @@ def test_param_query_binds_values_and_checks_table(spark):
     assert out == 0
 
 
+def test_execute_immediate_binds_statement_and_values(spark):
+    register_views(spark, SF_SMALL, ["orders"])
+    stmt = "SELECT COUNT(*) AS n FROM orders WHERE o_totalprice > :p AND o_orderpriority = :prio"
+    n = S.execute_immediate(spark, stmt, {"p": 100000, "prio": "1-URGENT"}).first().n
+    assert n == spark.table("orders").filter("o_totalprice > 100000 AND o_orderpriority = '1-URGENT'").count()
+    with pytest.raises(ValueError):
+        S.execute_immediate(spark, stmt, {"p; DROP": 1})
+
+
 def test_segment_bands_and_text_predicates(spark):
     df = spark.createDataFrame([(-5.0,), (10.0,), (500.0,), (None,)], "x double")
     seg = [r.s for r in df.select(S.segment(F.col("x"), [(0, "neg"), (100, "low")], "high").alias("s")).collect()]

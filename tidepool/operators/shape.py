@@ -59,6 +59,20 @@ def run_param(spark: SparkSession, sql: str, args: dict, table: str | None = Non
     return spark.sql(sql, args=params)
 
 
+def execute_immediate(spark: SparkSession, statement: str, args: dict | None = None) -> DataFrame:
+    """EXECUTE IMMEDIATE with the statement text and every value bound as
+    parameters (``USING :v AS name``), e.g. for a statement assembled from
+    a config table.  Nothing is pasted into SQL text."""
+    args = dict(args or {})
+    for name in args:
+        if not re.match(r"^[A-Za-z_][A-Za-z0-9_]*$", name):
+            raise ValueError(f"bad parameter name {name!r}")
+    using = ", ".join(f":__v_{n} AS {n}" for n in args)
+    bound = {"__stmt": statement, **{f"__v_{n}": v for n, v in args.items()}}
+    sql = "EXECUTE IMMEDIATE :__stmt" + (f" USING {using}" if using else "")
+    return spark.sql(sql, args=bound)
+
+
 # B11 --------------------------------------------------------------------------------------
 def date_range_filter(df: DataFrame, col: str, lo, hi) -> DataFrame:
     """Sargable date filter ``lo <= col < hi`` with literal bounds.
