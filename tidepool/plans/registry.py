@@ -38,7 +38,7 @@ def _load_all() -> None:
     from tidepool.plans import (  # noqa: F401
         cat_basic, cat_aggregates, cat_windows, cat_joins, cat_nested,
         cat_analytics, cat_changes, cat_medallion, cat_quality, cat_governance,
-        cat_streaming,
+        cat_streaming, cat_io,
     )
 
 
