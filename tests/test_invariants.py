@@ -236,3 +236,23 @@ def test_last_before_carries_over_chunks_without_values(spark):
     exp = df.select("k", "v", F.last("x", ignorenulls=True).over(w).alias("lb"))
     got = SK.last_before(df, ["k"], ["v"], "x", "lb", n_chunks=300).select("k", "v", "lb")
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+
+
+def test_upsert_partitions_rewrites_only_touched_partitions(spark, tmp_out):
+    from tidepool.operators.changes import upsert_partitions
+    o = t(spark, SF_SMALL, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("y"))
+    path = f"{tmp_out}/by_year"
+    o.write.partitionBy("y").parquet(path)
+
+    def files(cond):
+        return sorted(r.f for r in spark.read.parquet(path).filter(cond)
+                      .select(F.col("_metadata.file_path").alias("f")).distinct().collect())
+    others_before = files("y <> 1996")
+    src = o.filter("y = 1996").limit(5).withColumn("o_totalprice", F.lit(-1.0)) \
+        .unionByName(spark.createDataFrame([(10**9, 1.0, 1996)], "o_orderkey bigint, o_totalprice double, y int"))
+    upsert_partitions(spark, path, src, "o_orderkey", "y")
+    after = spark.read.parquet(path)
+    assert files("y <> 1996") == others_before                       # untouched partitions kept their files
+    assert after.count() == o.count() + 1
+    assert after.filter("o_totalprice = -1.0").count() == 5
+    assert after.filter("y <> 1996").exceptAll(o.filter("y <> 1996").select(after.columns)).count() == 0

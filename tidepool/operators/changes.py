@@ -152,3 +152,31 @@ def apply_changes(base: DataFrame, changes: DataFrame, keys, version_col: str =
     untouched = base.join(last.select(*keys), keys, "left_anti")
     alive = last.filter(F.col("_change_type") != DELETE).select(*keys, *cols)
     return untouched.unionByName(alive)
+
+
+def upsert_partitions(spark, path: str, source: DataFrame, keys, partition_col: str,
+                      update_cols=None) -> None:
+    """MERGE into a Parquet table partitioned by ``partition_col``, touching
+    only the partitions that hold source rows.
+
+    The target rows of those partitions are read through a semi join on the
+    partition column (Spark prunes the other partitions), merged with
+    ``merge_upsert`` and written back with dynamic partition overwrite;
+    every other partition is left as it is.  Keys must not move between
+    partitions (the partition column is a function of the key, e.g. the
+    order date of an order).  The merged rows are staged in the shared
+    checkpoint folder first, so the overwrite never reads the files it
+    replaces; rerunning the same source gives the same table.
+    """
+    from tidepool.session import materialize
+    keys = _keys(keys)
+    touched = source.select(partition_col).distinct()
+    target = spark.read.parquet(path).join(F.broadcast(touched), partition_col, "left_semi")
+    merged = merge_upsert(target.select(*source.columns), source, keys, update_cols=update_cols)
+    staged = materialize(merged, "upsert-partitions")
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        staged.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)

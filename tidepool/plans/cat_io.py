@@ -213,3 +213,22 @@ def j9(spark, d):
         IO.overwrite_partitions(one, path, "order_date")
     back = spark.read.parquet(path)
     return back.select(*gold.columns)
+
+
+def _j4_oracle():
+    from tidepool.plans import registry
+    from tidepool.plans import cat_medallion  # noqa: F401  (registers J4)
+    return registry._ORACLES["J4_silver_upsert"]
+
+
+@register("J4b_silver_upsert_touched_partitions", oracle=_j4_oracle())
+def j4b(spark, d):
+    """J4 on a Silver table partitioned by order date: the upsert reads and
+    rewrites only the partitions the new Silver rows fall in."""
+    from tidepool.operators.changes import upsert_partitions
+    from tidepool.plans.cat_medallion import silver_all, silver_batch1
+    path = _dir(spark, "j4b-silver")
+    silver_batch1(spark, d).write.partitionBy("order_date").parquet(path)
+    upsert_partitions(spark, path, silver_all(spark, d), "order_id", "order_date",
+                      update_cols=["status", "ingested_at"])
+    return spark.read.parquet(path).select(*silver_all(spark, d).columns)

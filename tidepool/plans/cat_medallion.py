@@ -109,7 +109,8 @@ WHERE event_id NOT IN (SELECT event_id FROM {RAW1_SQL} x)
 """)
 def j2(spark, d):
     existing = M.to_bronze(first_half(raw_all(spark, d)), T1)
-    return M.to_bronze(raw_all(spark, d), T2, existing=existing)
+    # only the existing days the batch covers take part in the anti join
+    return M.to_bronze(raw_all(spark, d), T2, existing=existing, partition_of=M.event_day())
 
 
 @register("J3_silver_latest_typed", bench=True, oracle=f"SELECT * FROM {silver_sql(RAW_SQL, T2)} s")

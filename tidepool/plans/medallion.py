@@ -45,15 +45,30 @@ def _ts(value) -> Column:
 
 
 # J1 / J2 ---------------------------------------------------------------------------------
-def to_bronze(raw: DataFrame, ingestion_ts, existing: DataFrame | None = None) -> DataFrame:
+def to_bronze(raw: DataFrame, ingestion_ts, existing: DataFrame | None = None,
+              partition_of=None) -> DataFrame:
     """Dedup the batch on event_id, drop ids already in ``existing`` (so a
-    rerun appends nothing), stamp the ingestion time."""
+    rerun appends nothing), stamp the ingestion time.
+
+    With ``partition_of`` (a column expression giving the existing table's
+    partition value of a row, e.g. its event day) only the partitions the
+    batch can collide with are read: the existing table is semi-joined on
+    the batch's distinct partition values before the anti join."""
     batch = raw.dropDuplicates(["event_id"])
     if existing is not None:
+        if partition_of is not None:
+            days = batch.select(partition_of.alias("_part")).distinct()
+            existing = (existing.withColumn("_part", partition_of)
+                        .join(F.broadcast(days), "_part", "left_semi").drop("_part"))
         batch = anti_join(batch, existing, "event_id")
     return batch.withColumn("ingestion_ts", _ts(ingestion_ts))
 
 
+def event_day() -> Column:
+    """Partition value of a bronze row: the day of its event time."""
+    return F.substring("event_ts", 1, 10)
+
+
 # J3 / J8 ---------------------------------------------------------------------------------
 def latest_events(bronze: DataFrame) -> DataFrame:
     """Latest event per order (event_ts, then numeric event_id)."""
