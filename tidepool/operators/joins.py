@@ -17,10 +17,25 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 HINTS = {"broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl"}
 
 
+_SIZE_CACHE: dict = {}
+
+
 def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.  Costs one bounded job:
-    the scan stops once ``max_rows + 1`` rows were seen."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    the scan stops once ``max_rows + 1`` rows were seen.
+
+    The answer is remembered for the same plan over the same input files
+    (file names change whenever a table is rewritten), so a dimension used
+    by many queries of one session is counted once.  Frames not read from
+    files are always counted."""
+    files = tuple(sorted(df.inputFiles()))
+    key = (df.semanticHash(), files, max_rows) if files else None
+    if key is not None and key in _SIZE_CACHE:
+        return _SIZE_CACHE[key]
+    small = df.limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        _SIZE_CACHE[key] = small
+    return small
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
