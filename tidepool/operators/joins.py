@@ -126,7 +126,14 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, n_salts: int,
             per_key = F.least(F.lit(n_salts), F.greatest(F.lit(1), F.ceil(F.col("_n") / rows_per_salt)))
         else:
             per_key = F.lit(n_salts)
-        hot_b = F.broadcast(hot.select(key, per_key.cast("int").alias("_salts")).distinct())
+        # the hot list is bounded (hot_keys keeps at most max_keys rows):
+        # compute it once, and skip salting altogether when it is empty
+        salts = hot.select(key, per_key.cast("int").alias("_salts")).distinct()
+        rows = salts.collect()
+        if not rows:
+            return big.join(small, key, how)
+        spark = big.sparkSession
+        hot_b = F.broadcast(spark.createDataFrame(rows, salts.schema))
         big_s = big.join(hot_b, key, "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
         small_s = small.join(hot_b, key, "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in big_cols]), F.col("_salts")).cast("int")

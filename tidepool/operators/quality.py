@@ -203,33 +203,43 @@ def assert_thresholds(metrics_df: DataFrame, threshold_pct: float, severities=("
 def schema_drift(raw: DataFrame, text_col: str, batch_col: str, expected: dict[str, str]) -> DataFrame:
     """Profile landed JSON rows against an expected contract, per batch.
 
-    Every row's JSON text is read as ``map<string,string>`` and its keys
-    exploded.  Output rows ``(batch, key, kind, n)`` with kind
-    ``present`` / ``missing`` (expected keys), ``extra`` (unexpected keys)
-    and ``cast_failure`` (text that does not cast to the expected type).
-    Only non-zero counts are kept.  The expected-key list is the contract,
-    so the batch x key grid it spans is small."""
+    Every row's JSON text is parsed ONCE as ``map<string,string>`` and its
+    keys exploded with ``posexplode_outer`` -- which also yields exactly one
+    marker row per input row (position 0, or NULL for an empty / unparsable
+    object), so row counts come from the same pass.  One aggregate per
+    (batch, key) follows; everything after it works on that small table.
+    Output rows ``(batch, key, kind, n)`` with kind ``present`` /
+    ``missing`` (expected keys), ``extra`` (unexpected keys) and
+    ``cast_failure`` (text that does not cast to the expected type); only
+    non-zero counts are kept."""
     kv = raw.select(F.col(batch_col).alias("batch"),
-                    F.explode(F.from_json(F.col(text_col), "map<string,string>")).alias("key", "val"))
-    is_expected = F.col("key").isin(*expected.keys())
+                    F.posexplode_outer(F.from_json(F.col(text_col), "map<string,string>")).alias("pos", "key", "val"))
     bad_cast = F.lit(False)
     for k, typ in expected.items():
         bad_cast = F.when(F.col("key") == k, F.col("val").isNotNull() & F.col("val").try_cast(typ).isNull()) \
             .otherwise(bad_cast)
+    first_of_row = F.col("pos").isNull() | (F.col("pos") == 0)
     per_key = kv.groupBy("batch", "key").agg(
-        F.count(F.lit(1)).alias("present"),
-        F.sum(F.when(bad_cast, 1).otherwise(0)).cast("bigint").alias("cast_failure"),
-        F.first(is_expected).alias("expected"))
-    rows = raw.groupBy(F.col(batch_col).alias("batch")).agg(F.count(F.lit(1)).alias("rows"))
-    grid = rows.select("batch", "rows", F.explode(F.array(*[F.lit(k) for k in expected])).alias("key"))
-    missing = (grid.join(per_key.select("batch", "key", "present"), ["batch", "key"], "left")
+        F.count("key").alias("present"),
+        F.sum(F.when(first_of_row, 1).otherwise(0)).alias("_rows_part"),
+        F.sum(F.when(bad_cast, 1).otherwise(0)).cast("bigint").alias("cast_failure"))
+    # small from here on: one row per (batch, key).  Written once, so the
+    # three outputs below do not each re-parse the JSON.
+    from tidepool.session import materialize
+    per_key = materialize(per_key, "drift-per-key")
+    per_key = per_key.withColumn("rows", F.sum("_rows_part").over(Window.partitionBy("batch")))
+    keys_seen = per_key.filter(F.col("key").isNotNull())
+    is_expected = F.col("key").isin(*expected.keys())
+    present = keys_seen.select("batch", "key",
+                               F.when(is_expected, F.lit("present")).otherwise(F.lit("extra")).alias("kind"),
+                               F.col("present").cast("bigint").alias("n"))
+    casts = keys_seen.filter(is_expected).select("batch", "key", F.lit("cast_failure").alias("kind"),
+                                                 F.col("cast_failure").alias("n"))
+    batches = per_key.select("batch", "rows").distinct()
+    grid = batches.select("batch", "rows", F.explode(F.array(*[F.lit(k) for k in expected])).alias("key"))
+    missing = (grid.join(keys_seen.select("batch", "key", "present"), ["batch", "key"], "left")
                .select("batch", "key", F.lit("missing").alias("kind"),
                        (F.col("rows") - F.coalesce("present", F.lit(0))).cast("bigint").alias("n")))
-    present = per_key.select("batch", "key",
-                             F.when(F.col("expected"), F.lit("present")).otherwise(F.lit("extra")).alias("kind"),
-                             F.col("present").cast("bigint").alias("n"))
-    casts = per_key.filter("expected").select("batch", "key", F.lit("cast_failure").alias("kind"),
-                                              F.col("cast_failure").alias("n"))
     return present.unionByName(missing).unionByName(casts).filter(F.col("n") > 0)
 
 
