@@ -136,11 +136,13 @@ class PartitionedTableSink:
     batch rewrites the same partitions with the same rows."""
 
     def __init__(self, path: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame],
-                 partition_col: str, partition_of: Callable[[DataFrame], DataFrame]):
+                 partition_col: str, partition_of: Callable[[DataFrame], DataFrame],
+                 table_exists: bool = False):
         self.path = path.rstrip("/")
         self.merge = merge
         self.partition_col = partition_col
         self.partition_of = partition_of      # adds ``partition_col`` to batch rows
+        self.table_exists = table_exists      # True when resuming onto an existing table
         self.batches = 0
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -148,7 +150,7 @@ class PartitionedTableSink:
         rows = self.partition_of(batch)
         touched = rows.select(self.partition_col).distinct()
         prev = None
-        if self.batches > 0 or _exists(spark, self.path):
+        if self.batches > 0 or self.table_exists:
             prev = spark.read.parquet(self.path).join(F.broadcast(touched), self.partition_col, "left_semi")
         merged = self.merge(prev, rows)
         old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
@@ -163,15 +165,7 @@ class PartitionedTableSink:
         self.batches += 1
 
     def latest(self, spark: SparkSession) -> DataFrame | None:
-        return spark.read.parquet(self.path) if self.batches else None
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:
-        return False
+        return spark.read.parquet(self.path) if (self.batches or self.table_exists) else None
 
 
 def run_available_now(df: DataFrame, sink, checkpoint: str, mode: str = "append"):
