@@ -149,15 +149,21 @@ def top_n_per_group(df: DataFrame, partition_by, order_by, n: int, fn=F.rank,
 
 
 def top_k_dense(df: DataFrame, value_col: str, k: int, rank_col: str = "rank",
-                descending: bool = True) -> DataFrame:
+                descending: bool = True, stage: bool = True) -> DataFrame:
     """Rows whose ``value_col`` is among the k best distinct values, with
     their dense rank -- DENSE_RANK() OVER (ORDER BY v DESC) <= k without
     pulling every row through one task.
 
     The k distinct values are found with a distributed top-k (each task keeps
     its own k, then k x tasks rows are merged); they are at most k rows, so
-    broadcasting them is safe at any scale.
+    broadcasting them is safe at any scale.  ``df`` is used twice (values
+    and rows); with ``stage`` it is written once to the shared checkpoint
+    folder so an expensive input (an aggregate over a large table) is
+    computed once.  NULL values are not ranked.
     """
+    if stage:
+        from tidepool.session import materialize
+        df = materialize(df, "top-k-input")
     order = F.col(value_col).desc() if descending else F.col(value_col).asc()
     best = (df.select(value_col).where(F.col(value_col).isNotNull())
               .distinct().orderBy(order).limit(k))
