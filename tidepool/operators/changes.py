@@ -170,8 +170,12 @@ def upsert_partitions(spark, path: str, source: DataFrame, keys, partition_col:
     """
     from tidepool.session import materialize
     keys = _keys(keys)
+    # the source is used three times (partition list, size check, merge):
+    # stage it once instead of recomputing its plan each time
+    source = materialize(source, "upsert-source")
     touched = source.select(partition_col).distinct()
-    target = spark.read.parquet(path).join(F.broadcast(touched), partition_col, "left_semi")
+    from tidepool.operators.joins import maybe_broadcast
+    target = spark.read.parquet(path).join(maybe_broadcast(touched, 100_000), partition_col, "left_semi")
     merged = merge_upsert(target.select(*source.columns), source, keys, update_cols=update_cols)
     staged = materialize(merged, "upsert-partitions")
     old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")

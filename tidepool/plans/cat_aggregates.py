@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidepool.operators import aggregates as AG
+from tidepool.operators.joins import join_dim
 from tidepool.plans.common import dbl, money, t
 from tidepool.plans.registry import register
 
@@ -197,8 +198,8 @@ GROUP BY n.n_name
 def d14(spark, d):
     o = t(spark, d, "orders")
     c = t(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    n = F.broadcast(t(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name"))
-    per_nation = (o.join(c, "o_custkey").join(n, "c_nationkey").groupBy("n_name")
+    n = t(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    per_nation = (join_dim(o.join(c, "o_custkey"), n, "c_nationkey").groupBy("n_name")
                   .agg(F.sum(money("o_totalprice")).alias("_rev")))
     # one row per nation: a global window over 25 rows is fine
     w = Window.orderBy(F.col("_rev").desc())

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidepool.operators import aggregates as AG
 from tidepool.operators import shape as S
 from tidepool.operators import windows as W
+from tidepool.operators.joins import join_dim
 from tidepool.plans.common import dbl, money, t
 from tidepool.plans.registry import register
 from tidepool.sources.io import range_between, register_views
@@ -186,8 +187,8 @@ def b9(spark, d):
     c = t(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     nation_rev = (cust_rev.join(c, "o_custkey").groupBy("c_nationkey")
                   .agg(F.sum("rev").alias("nation_rev"), F.count(F.lit(1)).alias("n_cust")))
-    n = F.broadcast(t(spark, d, "nation").withColumnRenamed("n_nationkey", "c_nationkey"))
-    return nation_rev.join(n, "c_nationkey").select("n_name", "n_cust", dbl("nation_rev").alias("nation_revenue"))
+    n = t(spark, d, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+    return join_dim(nation_rev, n, "c_nationkey").select("n_name", "n_cust", dbl("nation_rev").alias("nation_revenue"))
 
 
 # B10 --------------------------------------------------------------------------------------

@@ -80,7 +80,7 @@ def c5(spark, d):
     nr = n.hint("shuffle_replicate_nl").join(
         r, (n.n_regionkey <= r.r_regionkey) & (n.n_regionkey >= r.r_regionkey))
     s = t(spark, d, "supplier")
-    return (s.join(F.broadcast(nr), s.s_nationkey == nr.n_nationkey)
+    return (s.join(J.maybe_broadcast(nr, 10_000), s.s_nationkey == nr.n_nationkey)
             .groupBy("r_name").agg(F.count(F.lit(1)).alias("n_suppliers")))
 
 

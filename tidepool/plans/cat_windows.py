@@ -172,7 +172,8 @@ FROM nr
 """)
 def e14(spark, d):
     c = t(spark, d, "customer")
-    n = F.broadcast(t(spark, d, "nation"))
+    from tidepool.operators.joins import maybe_broadcast
+    n = maybe_broadcast(t(spark, d, "nation"))
     nr = (c.join(n, c.c_nationkey == n.n_nationkey).groupBy("n_regionkey", "n_name")
           .agg(F.sum(money("c_acctbal")).alias("bal")))
     w = W.spec("n_regionkey")

@@ -15,7 +15,7 @@ from pyspark.sql.types import (DecimalType, IntegerType, StringType, StructField
 
 from tidepool.functions.scalar import exact_avg
 from tidepool.operators.changes import merge_upsert
-from tidepool.operators.joins import anti_join, join_dim
+from tidepool.operators.joins import anti_join, join_dim, maybe_broadcast
 from tidepool.operators.windows import keep_latest
 from tidepool.sources.contracts import enforce_schema
 
@@ -59,7 +59,7 @@ def to_bronze(raw: DataFrame, ingestion_ts, existing: DataFrame | None = None,
         if partition_of is not None:
             days = batch.select(partition_of.alias("_part")).distinct()
             existing = (existing.withColumn("_part", partition_of)
-                        .join(F.broadcast(days), "_part", "left_semi").drop("_part"))
+                        .join(maybe_broadcast(days, 100_000), "_part", "left_semi").drop("_part"))
         batch = anti_join(batch, existing, "event_id")
     return batch.withColumn("ingestion_ts", _ts(ingestion_ts))
 

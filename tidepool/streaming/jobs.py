@@ -151,7 +151,9 @@ class PartitionedTableSink:
         touched = rows.select(self.partition_col).distinct()
         prev = None
         if self.batches > 0 or self.table_exists:
-            prev = spark.read.parquet(self.path).join(F.broadcast(touched), self.partition_col, "left_semi")
+            from tidepool.operators.joins import maybe_broadcast
+            prev = spark.read.parquet(self.path).join(maybe_broadcast(touched, 100_000), self.partition_col,
+                                                      "left_semi")
         merged = self.merge(prev, rows)
         old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
