@@ -120,3 +120,13 @@ def test_range_between_from_data(spark):
     r = IO.range_between(spark, bounds)
     lo, hi = bounds.first()
     assert r.count() == hi - lo + 1
+
+
+def test_partitioned_write_spreads_each_value_over_bounded_files(spark, tmp_out):
+    o = IO.read_table(spark, SF_SMALL, "orders").withColumn("y", F.year("o_orderdate"))
+    path = os.path.join(tmp_out, "spread")
+    IO.write_path(o.repartition(16), path, partition_by="y", files_per_partition=2)
+    back = spark.read.parquet(path)
+    per_value = back.groupBy("y").agg(F.countDistinct(F.col("_metadata.file_path")).alias("files"))
+    assert per_value.agg(F.max("files")).first()[0] <= 2
+    assert back.count() == o.count()

@@ -83,7 +83,7 @@ def a10(spark, d):
     o = t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice",
                                      F.year("o_orderdate").cast("bigint").alias("y"))
     path = _dir(spark, "a10-part")
-    IO.write_path(o, path, partition_by="y")
+    IO.write_path(o, path, partition_by="y", files_per_partition=2)
     return spark.read.parquet(path).filter(F.col("y") == 1997).select(
         "o_orderkey", "o_custkey", "o_totalprice", F.col("y").cast("bigint").alias("y"))
 
@@ -96,9 +96,10 @@ WHERE y <> 1996 OR o_orderkey % 2 = 0
 def a12(spark, d):
     o = t(spark, d, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").cast("bigint").alias("y"))
     path = _dir(spark, "a12-backfill")
-    IO.write_path(o, path, partition_by="y")
+    IO.write_path(o, path, partition_by="y", files_per_partition=2)
     # re-run one year with corrected input (even keys only): only y=1996 is replaced
-    IO.overwrite_partitions(o.filter((F.col("y") == 1996) & (F.col("o_orderkey") % 2 == 0)), path, "y")
+    IO.overwrite_partitions(o.filter((F.col("y") == 1996) & (F.col("o_orderkey") % 2 == 0)), path, "y",
+                            files_per_partition=2)
     return spark.read.parquet(path).select("o_orderkey", "o_totalprice", F.col("y").cast("bigint").alias("y"))
 
 

@@ -83,9 +83,25 @@ def write_table(df: DataFrame, name: str, mode: str = "append", partition_by=Non
     w.saveAsTable(name)
 
 
+def spread_partitions(df: DataFrame, partition_by, files_per_partition: int) -> DataFrame:
+    """Shuffle so each partition value is written by ``files_per_partition``
+    tasks: without it every task writes a file for every value it holds
+    (a small-file explosion), and ``repartition(col)`` alone puts a whole
+    value -- a hot day -- into one task.  The bucket is a hash of the row,
+    so a retried task rebuilds the same files."""
+    cols = _as_list(partition_by)
+    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *[F.col(c) for c in cols], bucket)
+
+
 def write_path(df: DataFrame, path: str, mode: str = "errorifexists", fmt: str = "parquet",
-               partition_by=None) -> None:
-    """External table: files at ``path`` in ``fmt`` (parquet, json, csv)."""
+               partition_by=None, files_per_partition: int | None = None) -> None:
+    """External table: files at ``path`` in ``fmt`` (parquet, json, csv).
+    With ``partition_by`` and ``files_per_partition`` each partition value
+    is written as that many files (see ``spread_partitions``)."""
+    if partition_by and files_per_partition:
+        df = spread_partitions(df, partition_by, files_per_partition)
     w = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         w = w.option("header", True)
@@ -100,10 +116,12 @@ def create_table_as(spark: SparkSession, name: str, query: str) -> DataFrame:
     return spark.table(name)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by) -> None:
+def overwrite_partitions(df: DataFrame, path: str, partition_by, files_per_partition: int | None = None) -> None:
     """Replace only the partitions present in ``df`` (a backfill of one
     day rewrites that day and leaves every other partition in place)."""
     spark = df.sparkSession
+    if files_per_partition:
+        df = spread_partitions(df, partition_by, files_per_partition)
     old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
