@@ -62,7 +62,10 @@ def pivot(df: DataFrame, keys, pivot_col: str, aggs: list[Column], values=None)
 
 # D12 -----------------------------------------------------------------------------------
 def percentile_cont(col: str, p: float) -> Column:
-    """Exact interpolated percentile (PERCENTILE_CONT(p) WITHIN GROUP)."""
+    """Exact interpolated percentile (PERCENTILE_CONT(p) WITHIN GROUP) as an
+    aggregate.  Its buffer holds every distinct value of a group in one
+    task: use it for small groups only; ``skew.percentiles_cont`` computes
+    the same values from distributed row numbers for groups of any size."""
     return F.percentile(F.col(col), F.lit(p))
 
 

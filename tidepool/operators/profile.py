@@ -31,9 +31,14 @@ def skew_report(df: DataFrame, key: str, top: int = 10) -> DataFrame:
     """The ``top`` heaviest keys with their row count, share of all rows
     and ratio to the median key's count (max / median is the skew factor
     AQE's skew split reacts to)."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("cnt"))
-    stats = counts.agg(F.sum("cnt").alias("_total"), F.percentile("cnt", F.lit(0.5)).alias("_median"),
-                       F.count(F.lit(1)).alias("n_keys"))
+    from tidepool.operators.skew import percentile_cont
+    from tidepool.session import materialize
+    counts = materialize(df.groupBy(key).agg(F.count(F.lit(1)).alias("cnt")), "skew-counts")
+    # exact median of the per-key counts from distributed row numbers (the
+    # counts table has one row per key: not something to hold in one buffer)
+    median = percentile_cont(counts, [], "cnt", 0.5, out="_median")
+    totals = counts.agg(F.sum("cnt").alias("_total"), F.count(F.lit(1)).alias("n_keys"))
+    stats = totals.withColumn("_one", F.lit(1)).join(median.withColumn("_one", F.lit(1)), "_one").drop("_one")
     heavy = counts.orderBy(F.col("cnt").desc(), F.col(key)).limit(top)
     # attach the one-row totals to the (at most ``top``) heavy keys
     one = F.lit(1).alias("_one")

@@ -170,10 +170,14 @@ SELECT o_orderpriority,
 FROM orders GROUP BY o_orderpriority
 """)
 def d12b(spark, d):
-    # the one-aggregate form (fine when every group is small)
-    return t(spark, d, "orders").groupBy("o_orderpriority").agg(
-        dbl(AG.percentile_cont("o_totalprice", 0.5).cast("decimal(18,4)")).alias("median_price"),
-        dbl(AG.percentile_cont("o_totalprice", 0.9).cast("decimal(18,4)")).alias("p90_price"))
+    # the same percentiles over the raw DOUBLE prices (D12 ranks exact
+    # decimals); also chunked -- the one-buffer-per-group ``percentile``
+    # aggregate would hold a fifth of all prices in one task
+    from tidepool.operators.skew import percentiles_cont
+    o = t(spark, d, "orders").select("o_orderpriority", "o_totalprice")
+    pc = percentiles_cont(o, ["o_orderpriority"], "o_totalprice", {"_p50": 0.5, "_p90": 0.9})
+    return pc.select("o_orderpriority", dbl(F.col("_p50").cast("decimal(18,4)")).alias("median_price"),
+                     dbl(F.col("_p90").cast("decimal(18,4)")).alias("p90_price"))
 
 
 @register("D13_explode_reaggregate", oracle="""
