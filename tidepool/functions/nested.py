@@ -10,16 +10,31 @@ from pyspark.sql.types import StructType
 from tidepool.session import scratch_path
 
 
-def order_items(lineitem: DataFrame) -> DataFrame:
-    """One row per order with ``items: array<struct<partkey, qty, price>>``
+def order_items(lineitem: DataFrame, max_items: int = 10_000) -> DataFrame:
+    """Orders as nested rows: ``items: array<struct<partkey, qty, price>>``
     and ``flags: array<string>`` (return flags), built by a grouped
-    ``collect_list``.  Each list holds one order's lines, so it is bounded
-    by the order size, not by the table."""
-    return lineitem.groupBy("l_orderkey").agg(
+    ``collect_list``.
+
+    No array grows without bound: an order with ``max_items`` lines or more
+    (found with the exact, bounded hot-key list) is spread over
+    ceil(lines / max_items) rows by a hash of each line, so its lines are
+    collected by several tasks; every other order is one row.  Per-order
+    answers aggregate over an order's rows (see the H10 query)."""
+    from tidepool.operators.joins import hot_keys
+    hot = hot_keys(lineitem, "l_orderkey", min_rows=max_items)
+    parts = hot.select("l_orderkey", F.ceil(F.col("_n") / max_items).cast("int").alias("_parts")).collect()
+    li = lineitem
+    if parts:                     # bounded list (at most hot_keys' max_keys rows)
+        spark = lineitem.sparkSession
+        li = li.join(F.broadcast(spark.createDataFrame(parts, "l_orderkey bigint, _parts int")), "l_orderkey", "left")
+        bucket = F.pmod(F.xxhash64(*[F.col(c) for c in lineitem.columns]), F.coalesce("_parts", F.lit(1)))
+    else:
+        bucket = F.lit(0)
+    return (li.withColumn("_part", bucket).groupBy("l_orderkey", "_part").agg(
         F.collect_list(F.struct(F.col("l_partkey").alias("partkey"),
                                 F.col("l_quantity").alias("qty"),
                                 F.col("l_extendedprice").alias("price"))).alias("items"),
-        F.collect_list("l_returnflag").alias("flags"))
+        F.collect_list("l_returnflag").alias("flags")).drop("_part"))
 
 
 # H11-H13 ---------------------------------------------------------------------------------

@@ -185,12 +185,11 @@ SELECT l_partkey AS partkey, SUM(l_quantity) AS qty, COUNT(DISTINCT l_orderkey)
 FROM lineitem GROUP BY l_partkey
 """)
 def d13(spark, d):
-    li = t(spark, d, "lineitem")
-    nested = li.groupBy("l_orderkey").agg(
-        F.collect_list(F.struct("l_partkey", "l_quantity")).alias("items"))
+    from tidepool.functions.nested import order_items
+    nested = order_items(t(spark, d, "lineitem"))          # bounded arrays per nested row
     flat = nested.select("l_orderkey", F.explode("items").alias("it"))
-    return flat.groupBy(F.col("it.l_partkey").alias("partkey")).agg(
-        F.sum("it.l_quantity").alias("qty"), F.count_distinct("l_orderkey").alias("n_orders"))
+    return flat.groupBy(F.col("it.partkey").alias("partkey")).agg(
+        F.sum("it.qty").alias("qty"), F.count_distinct("l_orderkey").alias("n_orders"))
 
 
 @register("D14_aggregate_then_rank", oracle="""
