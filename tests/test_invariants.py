@@ -269,3 +269,17 @@ def test_order_items_splits_a_hot_order_and_keeps_every_line(spark):
     exp = hot.select("l_orderkey", F.col("l_partkey").alias("partkey"), F.col("l_quantity").alias("qty"),
                      F.col("l_extendedprice").alias("price"))
     assert flat.count() == exp.count() and flat.exceptAll(exp).count() == 0
+
+
+def test_window_helpers_skew_safe_flag_gives_same_rows(spark):
+    o = t(spark, SF_SMALL, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    order = ["o_orderdate", "o_orderkey"]
+    for plain, chunked in [
+        (W.with_rankings(o, "o_custkey", order), W.with_rankings(o, "o_custkey", order, skew_safe=True)),
+        (W.with_lag_lead(o, "o_totalprice", "o_custkey", order, 2, 0.0),
+         W.with_lag_lead(o, "o_totalprice", "o_custkey", order, 2, 0.0, skew_safe=True)),
+        (W.rolling_rows(o, "o_totalprice", "o_custkey", order, 3, 1),
+         W.rolling_rows(o, "o_totalprice", "o_custkey", order, 3, 1, skew_safe=True)),
+    ]:
+        cols = plain.columns
+        assert chunked.select(cols).exceptAll(plain).count() == 0 and chunked.count() == plain.count()

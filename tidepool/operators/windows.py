@@ -43,7 +43,13 @@ def spec(partition_by=None, order_by=None) -> WindowSpec:
 
 
 # E1-E4 ranking -------------------------------------------------------------------
-def with_rankings(df: DataFrame, partition_by, order_by, n_tiles: int | None = None) -> DataFrame:
+def with_rankings(df: DataFrame, partition_by, order_by, n_tiles: int | None = None,
+                  skew_safe: bool = False) -> DataFrame:
+    """row_number, rank, dense_rank (and ntile).  ``skew_safe`` computes
+    them in chunks (operators.skew) so one huge group spans many tasks."""
+    if skew_safe:
+        from tidepool.operators import skew
+        return skew.ranked(df, _cols(partition_by), _cols(order_by), n_tiles=n_tiles)
     w = spec(partition_by, order_by)
     out = (df.withColumn("row_number", F.row_number().over(w))
              .withColumn("rank", F.rank().over(w))
@@ -63,10 +69,14 @@ def qualify(df: DataFrame, name: str, window_expr: Column, predicate: Column,
 
 # E5 / E6 ------------------------------------------------------------------------------
 def with_lag_lead(df: DataFrame, col: str, partition_by, order_by, offset: int = 1,
-                  default=None) -> DataFrame:
-    w = spec(partition_by, order_by)
-    return (df.withColumn(f"prev_{col}", F.lag(col, offset, default).over(w))
-              .withColumn(f"next_{col}", F.lead(col, offset, default).over(w)))
+                  default=None, skew_safe: bool = False) -> DataFrame:
+    def build(w):
+        return {f"prev_{col}": F.lag(col, offset, default).over(w),
+                f"next_{col}": F.lead(col, offset, default).over(w)}
+    if skew_safe:
+        from tidepool.operators import skew
+        return skew.bounded_frame(df, _cols(partition_by), _cols(order_by), offset, offset, build)
+    return df.withColumns(build(spec(partition_by, order_by)))
 
 
 # E7 / E8 / E18 --------------------------------------------------------------------------
@@ -78,8 +88,11 @@ def with_first_last(df: DataFrame, col: str, partition_by, order_by) -> DataFram
 
 
 def with_last_before(df: DataFrame, col: str, partition_by, order_by,
-                     out: str | None = None, ignore_nulls: bool = True) -> DataFrame:
+                     out: str | None = None, ignore_nulls: bool = True, skew_safe: bool = False) -> DataFrame:
     """Last (non-null) value strictly before the current row."""
+    if skew_safe and ignore_nulls:
+        from tidepool.operators import skew
+        return skew.last_before(df, _cols(partition_by), _cols(order_by), col, out or f"last_before_{col}")
     w = spec(partition_by, order_by).rowsBetween(UNBOUNDED_PRECEDING, -1)
     return df.withColumn(out or f"last_before_{col}", F.last(col, ignorenulls=ignore_nulls).over(w))
 
@@ -93,10 +106,15 @@ def running(df: DataFrame, col: str, partition_by, order_by, out_prefix: str = "
 
 
 def rolling_rows(df: DataFrame, col: str, partition_by, order_by, preceding: int,
-                 following: int = 0, out: str | None = None) -> DataFrame:
+                 following: int = 0, out: str | None = None, skew_safe: bool = False) -> DataFrame:
     """Frame counted in rows (not days)."""
+    name = out or f"avg_{col}_rows"
+    if skew_safe:
+        from tidepool.operators import skew
+        return skew.bounded_frame(df, _cols(partition_by), _cols(order_by), preceding, following,
+                                  lambda w: {name: F.avg(col).over(w.rowsBetween(-preceding, following))})
     w = spec(partition_by, order_by).rowsBetween(-preceding, following)
-    return df.withColumn(out or f"avg_{col}_rows", F.avg(col).over(w))
+    return df.withColumn(name, F.avg(col).over(w))
 
 
 def rolling_days(df: DataFrame, col: str, partition_by, date_col: str, days: int,
@@ -173,10 +191,13 @@ def top_k_dense(df: DataFrame, value_col: str, k: int, rank_col: str = "rank",
 
 # E19 ----------------------------------------------------------------------------------------
 def sessionize(df: DataFrame, user_col: str, ts_col: str, gap_seconds: int,
-               session_col: str = "session_id") -> DataFrame:
+               session_col: str = "session_id", skew_safe: bool = False, tie_cols=()) -> DataFrame:
     """Session number per user: a new session starts when the gap to the
     previous event exceeds ``gap_seconds``; the id is the running count of
-    session starts."""
+    session starts.  ``skew_safe`` spreads a heavy user over many tasks."""
+    if skew_safe:
+        from tidepool.operators import skew
+        return skew.sessionize(df, user_col, ts_col, gap_seconds, tie_cols=tie_cols, session_col=session_col)
     w = spec(user_col, [ts_col, *[c for c in df.columns if c not in (user_col, ts_col)]])
     micros = F.unix_micros(F.col(ts_col).cast("timestamp"))
     prev = F.lag(micros).over(w)
