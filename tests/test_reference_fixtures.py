@@ -193,3 +193,20 @@ def test_nested_orders_fixture(spark):
     assert got["o3"][0] is None and got["o3"][1] is None
     sizes = {r.order_id: r.n for r in df.select("order_id", F.size("items").alias("n")).collect()}
     assert sizes["o1"] == 2 and sizes["o2"] == 0 and sizes["o3"] in (None, -1)
+
+
+def test_late_bad_event_moves_order_to_reject_side(spark):
+    """Latest event first, validation second (as the reference orders it):
+    a later event with an unparsable price removes a previously good order
+    from Silver and shows it on the reject side with its reason.  Equal
+    event times are broken by the numeric event id."""
+    rows = [("10", "ord-9", "c", "p", "1", "5.00", "completed", "eu", "2024-01-15 08:00:00"),
+            ("11", "ord-9", "c", "p", "1", "oops", "shipped", "eu", "2024-01-15 09:00:00"),
+            ("12", "ord-8", "c", "p", "2", "3.00", "pending", "eu", "2024-01-15 09:00:00"),
+            ("13", "ord-8", "c", "p", "2", "4.00", "shipped", "eu", "2024-01-15 09:00:00")]
+    raw = spark.createDataFrame(rows, M.BRONZE_SCHEMA)
+    silver, rejects = M.silver_split(M.to_bronze(raw, TS), TS)
+    got = {r.order_id: (r.status, r.unit_price) for r in silver.collect()}
+    assert got == {"ord-8": ("shipped", Decimal("4.00"))}          # tie on time: event 13 wins
+    rej = {r.order_id: r.reject_reason for r in rejects.collect()}
+    assert rej == {"ord-9": "unit_price:null_or_bad"}
