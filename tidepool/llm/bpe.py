@@ -16,10 +16,13 @@ from __future__ import annotations
 
 import array
 import base64
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
+import tiktoken.registry
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,16 +47,13 @@ def parse_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines()) if a}
 
 
-_ENCODERS: dict = {}
-
-
 def _merger(ranks: bytes, pattern: str) -> Callable:
     def make():
-        key = (hash(ranks), pattern)
-        if key not in _ENCODERS:
-            import tiktoken
-            _ENCODERS[key] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=parse_ranks(ranks), special_tokens={})
-        merge = _ENCODERS[key]._core_bpe.encode_single_piece
+        name = "ranks-" + hashlib.sha256(ranks + pattern.encode()).hexdigest()
+        made = tiktoken.registry.ENCODINGS      # the library's own store: one encoder a worker process
+        if name not in made:
+            made[name] = tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=parse_ranks(ranks), special_tokens={})
+        merge = made[name]._core_bpe.encode_single_piece
 
         def solve(words):
             for w in words:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tidepool.llm import bpe
+from tidepool.llm import bpe, simhash
 from tidepool.llm.common import table
 
 QUERIES: dict = {}
@@ -24,3 +24,8 @@ def query(name: str, sql: str | None = None):
 def op1_byte_bpe(spark, sf_dir):
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return bpe.encode_digest(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query("op8_simhash_near_dedup")
+def op8_simhash_near_dedup(spark, sf_dir):
+    return simhash.near_duplicate_digest(table(spark, sf_dir, "documents"))
