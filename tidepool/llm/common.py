@@ -58,6 +58,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_batches(batches, rows: int):
+    """The same rows in smaller batches, so that few become Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def pack(a: np.ndarray) -> bytes:
     """An integer array as zstd bytes, one byte plane after another (the high
     planes are nearly constant, so they cost little)."""
