@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tidepool.llm import bpe, simhash
+from tidepool.llm import bpe, decontaminate, quality_rules, simhash
 from tidepool.llm.common import table
 
 QUERIES: dict = {}
@@ -29,3 +29,15 @@ def op1_byte_bpe(spark, sf_dir):
 @query("op8_simhash_near_dedup")
 def op8_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicate_digest(table(spark, sf_dir, "documents"))
+
+
+# Contaminated documents by brute force over all windows of an item's size is too slow in SQL on whole tables;
+# tests/llm holds the query against it on small ones.
+@query("op2_benchmark_decontamination")
+def op2_benchmark_decontamination(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op5_quality_rules")
+def op5_quality_rules(spark, sf_dir):
+    return quality_rules.ledger_digest(table(spark, sf_dir, "documents"))
