@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tidepool.llm import bpe, decontaminate, quality_rules, simhash
+from tidepool.llm import bpe, decontaminate, quality_rules, simhash, suffix_dedup
 from tidepool.llm.common import table
 
 QUERIES: dict = {}
@@ -41,3 +41,8 @@ def op2_benchmark_decontamination(spark, sf_dir):
 @query("op5_quality_rules")
 def op5_quality_rules(spark, sf_dir):
     return quality_rules.ledger_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op9_suffix_array_dedup")
+def op9_suffix_array_dedup(spark, sf_dir):
+    return suffix_dedup.repeats_digest(table(spark, sf_dir, "documents"))
