@@ -102,9 +102,8 @@ def cut(docs: DataFrame, pattern: str, id_col: str = "doc_id", text_col: str = "
 
 def _each_word(work: Callable) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        solve = work()
+        solve, current = None, None
         known: dict[bytes, tuple[int, bytes]] = {}
-        current = None
         for batch in batches:
             cols = [batch.column(NAMES.index(c)).to_pylist() for c in ("part", "block", "first", "words")]
             out = []
@@ -112,7 +111,7 @@ def _each_word(work: Callable) -> Callable:
                 if part < 0:
                     continue
                 if part != current:       # rows come part by part: what is held is one part's words
-                    known, current = {}, part
+                    known, current, solve = {}, part, work()
                 n = int.from_bytes(packed[:8], "little")
                 words = pa.decompress(packed[8:], decompressed_size=n, codec="zstd", asbytes=True).split(SEPARATOR)
                 new = [w for w in words if w not in known]
