@@ -40,17 +40,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def staged_mark() -> int:
-    return len(_STAGED)
-
-
-def release(upto: int | None = None) -> None:
-    """Delete tables staged earlier (all, or the first ``upto``).  For callers that
-    have written their results and hold no frame that still reads them."""
-    done, _STAGED[:] = _STAGED[:upto], _STAGED[upto:] if upto is not None else []
+def release(keep: int = 0) -> None:
+    """Delete the tables staged so far, but for the last ``keep``.  For a caller that has
+    written its results and holds no frame that still reads them."""
+    n = max(0, len(_STAGED) - keep)
+    done, _STAGED[:] = _STAGED[:n], _STAGED[n:]
     for spark, path in done:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 

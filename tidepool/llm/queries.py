@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tidepool.llm import bpe, decontaminate, quality_rules, simhash, suffix_dedup
+from tidepool.llm import bpe, decontaminate, html_extract, quality_rules, sharding, simhash, suffix_dedup, token_counts
 from tidepool.llm.common import table
 
 QUERIES: dict = {}
@@ -46,3 +46,19 @@ def op5_quality_rules(spark, sf_dir):
 @query("op9_suffix_array_dedup")
 def op9_suffix_array_dedup(spark, sf_dir):
     return suffix_dedup.repeats_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op6_sharding")
+def op6_sharding(spark, sf_dir):
+    return sharding.shard_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op7_token_counts")
+def op7_token_counts(spark, sf_dir):
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query("op10_html_extraction")
+def op10_html_extraction(spark, sf_dir):
+    return html_extract.extract_digest(table(spark, sf_dir, "pages"))
