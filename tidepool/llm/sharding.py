@@ -116,8 +116,9 @@ def splitters(keys: DataFrame, n: int, tolerance: float) -> tuple[list[int], lis
         for j, t in enumerate(targets):
             if done[j] is not None:
                 continue
-            lo = max((e for e in edges if e[1] <= t), key=lambda e: (e[1], e[0]))
-            hi = min((e for e in edges if e[1] > t), key=lambda e: (e[1], e[0]), default=(high + 1, total))
+            known = [*edges, tuple(bounds[j][:2]), tuple(bounds[j][2:])]
+            lo = max((e for e in known if e[1] <= t), key=lambda e: (e[1], e[0]))
+            hi = min((e for e in known if e[1] > t), key=lambda e: (e[1], e[0]))
             near = min((lo, hi), key=lambda e: abs(e[1] - t))
             if abs(near[1] - t) <= slack or hi[0] - lo[0] <= 1:     # near enough, or a single key between
                 done[j] = near[0]
