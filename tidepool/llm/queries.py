@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tidepool.llm import bpe, decontaminate, html_extract, quality_rules, sharding, simhash, suffix_dedup, token_counts
+from tidepool.llm import (bpe, decontaminate, html_extract, licenses, quality_rules, sharding, simhash, substring_dedup,
+                          suffix_dedup, token_counts)
 from tidepool.llm.common import table
 
 QUERIES: dict = {}
@@ -62,3 +63,13 @@ def op7_token_counts(spark, sf_dir):
 @query("op10_html_extraction")
 def op10_html_extraction(spark, sf_dir):
     return html_extract.extract_digest(table(spark, sf_dir, "pages"))
+
+
+@query("op3_license_scan")
+def op3_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op4_substring_dedup")
+def op4_substring_dedup(spark, sf_dir):
+    return substring_dedup.dedup_digest(table(spark, sf_dir, "documents"))
