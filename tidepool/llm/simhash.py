@@ -79,6 +79,10 @@ def block_masks(radius: int) -> list[int]:
     return [a | b for a, b in combinations(blocks, 2)]
 
 
+def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count((a ^ b).view(np.uint64)).astype(np.int64)     # of signed longs it would count the absolute value's bits
+
+
 class Forest:
     """BK-trees over sorted groups of fingerprints, one tree a group."""
 
@@ -90,7 +94,7 @@ class Forest:
         left = np.setdiff1d(np.arange(len(fps)), starts, assume_unique=True)
         at = self.root[left]
         while len(left):     # one level of all trees a turn: the first to take an edge becomes the child
-            edge = at * 65 + np.bitwise_count(fps[left] ^ fps[at])
+            edge = at * 65 + _distance(fps[left], fps[at])
             taken, first, where = np.unique(edge, return_index=True, return_inverse=True)
             edges.append(taken)
             kids.append(left[first])
@@ -106,7 +110,7 @@ class Forest:
         q, node = np.arange(len(fps)), roots
         found_q, found_n = [q[:0]], [node[:0]]
         while len(q):
-            d = np.bitwise_count(fps[q] ^ self.fps[node]).astype(np.int64)
+            d = _distance(fps[q], self.fps[node])
             near = d <= radius
             found_q.append(q[near])
             found_n.append(node[near])
@@ -270,7 +274,7 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "
             .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("k")))
     best = stage(best.select(F.col("k.id").alias("__id"), F.col("k.row").alias("__row")), "llm-best")
     keyed = docs.withColumns({"__id2": F.col(f"`{id_col}`").cast("long"), "__row2": row})
-    kept = keyed.join(best, F.col("__id2").eqNullSafe(F.col("__id")) & (F.col("__row2") == F.col("__row")))
+    kept = keyed.join(best.hint("merge"), F.col("__id2").eqNullSafe(F.col("__id")) & (F.col("__row2") == F.col("__row")))
     return kept.dropDuplicates(["__id2", "__row2"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
