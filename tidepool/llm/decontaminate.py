@@ -78,8 +78,10 @@ def blocks(fp: str, radius: int) -> Column:
 
 def common_weight(a: str, b: str) -> Column:
     """Sum over shingles of the lesser of their weights in two arrays."""
-    return F.aggregate(F.array_distinct(F.array_intersect(a, b)), F.lit(0), lambda acc, x: acc + F.least(
+    once = (F.size(F.array_distinct(a)) == F.size(a)) & (F.size(F.array_distinct(b)) == F.size(b))
+    weighed = F.aggregate(F.array_intersect(a, b), F.lit(0), lambda acc, x: acc + F.least(
         F.size(F.filter(a, lambda y: y == x)), F.size(F.filter(b, lambda y: y == x))))
+    return F.when(once, F.size(F.array_intersect(a, b))).otherwise(weighed)
 
 
 def text_key(text: Column) -> list[Column]:
@@ -108,7 +110,8 @@ def matches(docs: DataFrame, items: DataFrame, item_id: str = "item_id", item_te
     seen = stage(seen, "llm-seeds")
 
     # Documents with a seed again, now with all their shingles and the windows around the seeds.
-    some = with_shingles(texts.join(seen, ["key", "n_bytes"]), "t", "sh").select("key", "n_bytes", "sh", "seen")
+    # (The hints keep one plan at every size: texts move once, in a join that skew can split.)
+    some = with_shingles(texts.join(seen.hint("merge"), ["key", "n_bytes"]), "t", "sh").select("key", "n_bytes", "sh", "seen")
     around = F.array_distinct(F.flatten(F.transform("seen", lambda s: F.transform(
         F.sequence(F.greatest(s["pos"] - s["size"] + 1, F.lit(0)), s["pos"]),
         lambda a: F.struct(s["size"].alias("size"), a.alias("start"))))))
@@ -147,6 +150,6 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **op
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the rows whose text holds an item."""
     found = matches(docs, items, text_col=text_col, **options)
-    bad = found.select(F.col("key").alias("__key"), F.col("n_bytes").alias("__bytes")).distinct()
+    bad = stage(found.select(F.col("key").alias("__key"), F.col("n_bytes").alias("__bytes")).distinct(), "llm-bad")
     key, size = text_key(F.col(f"`{text_col}`"))
-    return docs.join(bad, (key == F.col("__key")) & (size == F.col("__bytes")), "left_anti")
+    return docs.join(bad.hint("merge"), (key == F.col("__key")) & (size == F.col("__bytes")), "left_anti")
