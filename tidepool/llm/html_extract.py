@@ -71,7 +71,7 @@ def blocks(page: str) -> list[tuple[tuple, bool, str, int]]:
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
-                out.append((tuple(s for s, _ in stack), bool(stack and stack[-1][1]), text, min(links, len(text))))
+                out.append((("#", *(s for s, _ in stack)), bool(stack and stack[-1][1]), text, min(links, len(text))))
         pieces, links = [], 0
 
     def close(tags: set, stop: set = frozenset()) -> None:
