@@ -159,6 +159,8 @@ def _suffixes(length: int, anchor: int) -> Callable:
             hasher.load(data)
             ends = np.cumsum(sizes)
             place, first, last = sample(hasher, ends, sizes, length, anchor)
+            if not len(place):
+                continue
             k1 = hasher.of(place, place + anchor)
             k2 = hasher.of(first, last + length) ^ _mix((place - first << 8 | last - first).astype(np.uint64))
             text = np.searchsorted(ends, first, "right")
@@ -385,14 +387,15 @@ def cuts(docs: DataFrame, row, text_col: str, length: int = LENGTH, anchor: int
 
     texts = stage(by_text(facts, 1), "llm-repeats")
     # Both joins with the documents read all columns of ``keyed``: one exchange of the texts serves both.
-    todo = keyed.join(texts.where(F.size("todo") > 0).select("key", "n_bytes", "todo"), ["key", "n_bytes"])
+    # The hints keep that plan at small sizes too.
+    todo = keyed.join(texts.where(F.size("todo") > 0).select("key", "n_bytes", "todo").hint("merge"), ["key", "n_bytes"])
     buckets = todo.select("key", "todo", "n_bytes", "row", "text").mapInArrow(_buckets(length), BUCKET_SCHEMA)
     more = buckets.repartition("core").mapInArrow(_scan_buckets, FACT_SCHEMA)
     pairs = F.expr("transform(sequence(0, size(known) - 1, 2), i -> struct(known[i] AS a, known[i + 1] AS b))")
     known = (texts.where(F.size("known") > 0).select("key", "n_bytes", F.explode_outer(pairs).alias("r"))
              .select("key", "n_bytes", "r.a", "r.b"))
     spans = by_text(known.unionByName(more), length).select("key", "n_bytes", "known")
-    return keyed.join(spans, ["key", "n_bytes"], "left").select("row", "text", "known")
+    return keyed.join(spans.hint("merge"), ["key", "n_bytes"], "left").select("row", "text", "known")
 
 
 def _cut(length: int, whole_characters: bool) -> Callable:
