@@ -73,7 +73,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, id_
         F.struct(F.lit("line").alias("kind"), F.split(text, "\n").alias("units")),
         F.struct(F.lit("paragraph").alias("kind"), F.split(text, r"\n[ \t]*\n").alias("units")))).alias("u"))
     units = rows.select("id", F.col("u.kind").alias("kind"), F.posexplode_outer("u.units").alias("unit", "unit_text"))
-    units = units.where("unit_text LIKE '% %'").where((F.col("kind") == "line") | F.col("unit_text").contains("\n"))
+    units = units.where((F.col("kind") == "line") | F.col("unit_text").contains("\n"))
     worded = units.select("id", "kind", "unit", normal_words(F.col("unit_text")).alias("words"))
     # Never null, so that the join infers no filter: Spark would move it below with a copy of
     # the whole expression, and make the words anew for each bigram.

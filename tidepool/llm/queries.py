@@ -39,7 +39,35 @@ def op2_benchmark_decontamination(spark, sf_dir):
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query("op5_quality_rules")
+OP5_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rid, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+u AS (SELECT rid, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM w),
+g AS (SELECT rid, pos, word, lead(word, 1) OVER p AS w1, lead(word, 2) OVER p AS w2 FROM u WINDOW p AS (PARTITION BY rid ORDER BY pos)),
+again AS (SELECT rid, pos, count(*) OVER (PARTITION BY rid, word, w1, w2) > 1 AND w2 IS NOT NULL AS twice FROM g),
+covered AS (SELECT rid, twice OR coalesce(lag(twice, 1) OVER p, false) OR coalesce(lag(twice, 2) OVER p, false) AS c
+            FROM again WINDOW p AS (PARTITION BY rid ORDER BY pos)),
+rep AS (SELECT rid, count(*) FILTER (WHERE c) AS n_repeat_words FROM covered GROUP BY rid),
+b AS (SELECT rid, count(*) FILTER (WHERE word = '|') AS bars FROM u GROUP BY rid),
+l AS (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d),
+dup AS (SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+        FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid),
+m AS (SELECT d.rid, doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+             length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+             coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+             coalesce(bars, 0) AS bars
+      FROM d JOIN w USING (rid) LEFT JOIN rep USING (rid) LEFT JOIN dup USING (rid) LEFT JOIN b USING (rid)),
+f AS (SELECT *, CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+                + CASE WHEN 10 * n_symbols > 2 * n_words THEN 4 ELSE 0 END + CASE WHEN 10 * n_dup_lines > 6 * n_lines THEN 8 ELSE 0 END
+                + CASE WHEN word_chars < 2 * n_words OR word_chars > 20 * n_words THEN 16 ELSE 0 END
+                + CASE WHEN 10 * bars > 3 * n_words THEN 32 ELSE 0 END AS failed FROM m)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, (failed & 3) <> 0 AS base_failed,
+       failed = 0 AS kept, failed::BIGINT AS failed FROM f
+"""
+
+
+@query("op5_quality_rules", OP5_SQL)
 def op5_quality_rules(spark, sf_dir):
     return quality_rules.ledger_digest(table(spark, sf_dir, "documents"))
 
@@ -65,7 +93,31 @@ def op10_html_extraction(spark, sf_dir):
     return html_extract.extract_digest(table(spark, sf_dir, "pages"))
 
 
-@query("op3_license_scan")
+def _op3_sql() -> str:
+    rows = ", ".join("({}, '{}', '{}')".format(i, name, text.replace("'", "''")) for i, (name, text) in enumerate(licenses.TEMPLATES))
+    return r"""
+WITH tpl(template, license, t) AS (VALUES """ + rows + r"""),
+d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+lines AS (SELECT rid, doc_id, string_split(t, chr(10)) AS us FROM d),
+paras AS (SELECT rid, doc_id, string_split_regex(t, '\n[ \t]*\n') AS us FROM d),
+units AS (SELECT rid, doc_id, 'line' AS kind, unnest(range(len(us))) AS unit, unnest(us) AS t FROM lines
+          UNION ALL SELECT * FROM (SELECT rid, doc_id, 'paragraph' AS kind, unnest(range(len(us))) AS unit, unnest(us) AS t FROM paras)
+          WHERE contains(t, chr(10))),
+have AS (SELECT rid, doc_id, kind, unit, regexp_extract_all(lower(t), '[\p{L}\p{N}]+') AS ws FROM units),
+have_u AS (SELECT rid, doc_id, kind, unit, unnest(list_zip(ws[:-2], ws[2:])) AS b FROM have WHERE len(ws) > 1),
+have_b AS (SELECT DISTINCT rid, doc_id, kind, unit, b FROM have_u),
+have_n AS (SELECT rid, kind, unit, count(*) AS n_have FROM have_b GROUP BY ALL),
+want AS (SELECT template, license, regexp_extract_all(lower(t), '[\p{L}\p{N}]+') AS ws FROM tpl),
+want_u AS (SELECT template, license, unnest(list_zip(ws[:-2], ws[2:])) AS b FROM want),
+want_b AS (SELECT DISTINCT template, license, b FROM want_u),
+want_n AS (SELECT template, count(*) AS n_want FROM want_b GROUP BY template),
+pairs AS (SELECT rid, doc_id, kind, unit, template, license, count(*) AS common FROM have_b JOIN want_b USING (b) GROUP BY ALL)
+SELECT doc_id, kind, unit::INTEGER AS unit, license, template, round(2 * common / (n_have + n_want), 6) AS dice
+FROM pairs JOIN have_n USING (rid, kind, unit) JOIN want_n USING (template)
+WHERE 2 * common / (n_have + n_want) >= 0.9"""
+
+
+@query("op3_license_scan", _op3_sql())
 def op3_license_scan(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 
