@@ -14,10 +14,12 @@ data.  The operators here split each group into ordered chunks instead:
    after task retries.
 2. Each (key, chunk) is computed with an ordinary window -- bounded work
    per task.
-3. Per-chunk totals (one row per chunk: small) are prefixed over the
-   chunks of each key and joined back as offsets.
+3. Totals per (key, chunk) are prefixed over the chunks of each key and
+   joined back as offsets.  A table of many small keys has about a row per
+   key there; the plain window is the better choice for it.
 
-Results equal the plain window functions row for row (tests check it).
+Results equal the plain window functions row for row, NULL keys and values
+included (tests check it).
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.session import materialize
+from tidepool.session import estimated_bytes, materialize
 
 CHUNK = "_chunk"
 
@@ -43,11 +45,30 @@ def _names(cols):
 
 
 def default_chunks(df: DataFrame) -> int:
-    """At least as many chunks as input splits (each split is sized by
-    ``spark.sql.files.maxPartitionBytes``) and as shuffle partitions, so a
-    chunk is never bigger than what one task already reads."""
-    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(shuffle, df.rdd.getNumPartitions())
+    """At least as many chunks as shuffle partitions, and as the planner's
+    estimate of the frame's bytes has splits of
+    ``spark.sql.files.maxPartitionBytes``.  Read from the plan: no job runs."""
+    conf = df.sparkSession.conf
+    shuffle = int(conf.get("spark.sql.shuffle.partitions"))
+    split = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return max(shuffle, min(-(-estimated_bytes(df) // split), MAX_CHUNKS))
+
+
+# The estimate multiplies the sides of a join, so it can be far too large;
+# beyond this many chunks their offsets would cost more than they save.
+MAX_CHUNKS = 20_000
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """Equi join in which NULL keys match, so the rows of a NULL group keep
+    their offsets.  The key columns come from ``left``."""
+    keys = _cols(keys)
+    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        same = F.col(k).eqNullSafe(F.col(f"_right_{k}"))
+        on = same if i == 0 else on & same
+    return left.join(other, on, how).drop(*[f"_right_{k}" for k in keys])
 
 
 def chunked(df: DataFrame, keys, order_cols, n_chunks: int | None = None) -> DataFrame:
@@ -93,8 +114,8 @@ def ranked(df: DataFrame, keys, order_cols, n_tiles: int | None = None,
     pre = _prefix(totals, keys, ["rows", "vals"])
     if n_tiles:
         size = totals.groupBy(*keys).agg(F.sum("rows").alias("_group_rows"))
-        pre = pre.join(size, keys)
-    out = local.join(pre, _join_key(keys))
+        pre = null_safe_join(pre, size, keys)
+    out = null_safe_join(local, pre, _join_key(keys))
     out = (out.withColumn("row_number", (F.col("_rn") + F.col("_before_rows")).cast("int"))
               .withColumn("rank", (F.col("_rk") + F.col("_before_rows")).cast("int"))
               .withColumn("dense_rank", (F.col("_drk") + F.col("_before_vals")).cast("int")))
@@ -129,12 +150,16 @@ def running_sum(df: DataFrame, keys, order_cols, value_col: str, out: str = "run
     c = chunked(df, keys, order_cols, n_chunks)
     lw = _local(keys, order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = c.withColumn("_ls", F.sum(value_col).over(lw)).withColumn("_lc", F.count(F.lit(1)).over(lw))
-    totals = c.groupBy(*keys, CHUNK).agg(F.sum(value_col).alias("s"), F.count(F.lit(1)).alias("n"))
-    pre = _prefix(totals, keys, ["s", "n"])
-    res = local.join(pre, _join_key(keys)).withColumn(out, F.col("_ls") + F.col("_before_s"))
+    totals = c.groupBy(*keys, CHUNK).agg(F.sum(value_col).alias("s"), F.count(F.lit(1)).alias("n"),
+                                         F.count(value_col).alias("v"))
+    pre = _prefix(totals, keys, ["s", "n", "v"])
+    # NULL values add nothing; the sum is NULL until the first value of the key
+    total = F.when(F.col("_ls").isNotNull() | (F.col("_before_v") > 0),
+                   F.coalesce("_ls", F.lit(0)) + F.col("_before_s"))
+    res = null_safe_join(local, pre, _join_key(keys)).withColumn(out, total)
     if count_out:
         res = res.withColumn(count_out, F.col("_lc") + F.col("_before_n"))
-    return res.drop("_ls", "_lc", "_before_s", "_before_n", CHUNK, *tmp)
+    return res.drop("_ls", "_lc", "_before_s", "_before_n", "_before_v", CHUNK, *tmp)
 
 
 def sessionize(df: DataFrame, user_col: str, ts_col: str, gap_seconds: int, tie_cols=(),
@@ -152,7 +177,7 @@ def sessionize(df: DataFrame, user_col: str, ts_col: str, gap_seconds: int, tie_
     ends = local.groupBy(user_col, CHUNK).agg(F.max("_t").alias("_last_t"))
     before = Window.partitionBy(user_col).orderBy(CHUNK)
     ends = ends.select(user_col, CHUNK, F.lag("_last_t").over(before).alias("_prev_chunk_t"))
-    j = local.join(ends, [user_col, CHUNK])
+    j = null_safe_join(local, ends, [user_col, CHUNK])
     prev = F.when(F.col("_pos") == 1, F.col("_prev_chunk_t")).otherwise(F.col("_prev"))
     flagged = j.withColumn("_new", F.when(prev.isNull() | (F.col("_t") - prev > F.lit(gap_seconds * 1_000_000)), 1)
                            .otherwise(0)).drop("_prev", "_prev_chunk_t", "_pos", "_t")
@@ -161,7 +186,7 @@ def sessionize(df: DataFrame, user_col: str, ts_col: str, gap_seconds: int, tie_
     local2 = flagged.withColumn("_ls", F.sum("_new").over(cw))
     totals = flagged.groupBy(user_col, CHUNK).agg(F.sum("_new").alias("s"))
     pre = _prefix(totals, [user_col], ["s"])
-    return (local2.join(pre, [user_col, CHUNK])
+    return (null_safe_join(local2, pre, [user_col, CHUNK])
                   .withColumn(session_col, (F.col("_ls") + F.col("_before_s")).cast("bigint"))
                   .drop("_ls", "_before_s", "_new", CHUNK))
 
@@ -180,7 +205,7 @@ def percentiles_cont(df: DataFrame, keys, value_col: str, probs: dict[str, float
     r = ranked(base, keys, [value_col], n_chunks=n_chunks).drop("rank", "dense_rank")
     r, gkeys, tmp = _with_group(r, keys)
     sizes = r.groupBy(*gkeys).agg(F.max("row_number").alias("_n"))
-    j = r.join(sizes, gkeys)
+    j = null_safe_join(r, sizes, gkeys)
     wanted = F.lit(False)
     aggs = []
     for i, (name, p) in enumerate(probs.items()):
@@ -221,7 +246,7 @@ def bounded_frame(df: DataFrame, keys, order_cols, before: int, after: int, buil
     pos = c.withColumn("_pos", F.row_number().over(lw)).withColumn("_size", size)
     ranks = c.select(*keys, CHUNK).distinct().withColumn(
         "_crank", F.dense_rank().over(Window.partitionBy(*keys).orderBy(CHUNK)))
-    pos = pos.join(ranks, [*keys, CHUNK])
+    pos = null_safe_join(pos, ranks, [*keys, CHUNK])
     own = pos.withColumn("_target", F.col(CHUNK)).withColumn("_halo", F.lit(False))
     parts = [own]
     to_chunk = ranks.select(*keys, F.col("_crank").alias("_trank"), F.col(CHUNK).alias("_target"))
@@ -229,12 +254,12 @@ def bounded_frame(df: DataFrame, keys, order_cols, before: int, after: int, buil
         tails = pos.where(F.col("_size") - F.col("_pos") < before)
         tails = (tails.withColumn("_step", F.explode(F.sequence(F.lit(1), F.lit(before))))
                       .withColumn("_trank", F.col("_crank") + F.col("_step")).drop("_step"))
-        parts.append(tails.join(to_chunk, [*keys, "_trank"]).drop("_trank").withColumn("_halo", F.lit(True)))
+        parts.append(null_safe_join(tails, to_chunk, [*keys, "_trank"]).drop("_trank").withColumn("_halo", F.lit(True)))
     if after > 0:
         heads = pos.where(F.col("_pos") <= after)
         heads = (heads.withColumn("_step", F.explode(F.sequence(F.lit(1), F.lit(after))))
                       .withColumn("_trank", F.col("_crank") - F.col("_step")).drop("_step"))
-        parts.append(heads.join(to_chunk, [*keys, "_trank"]).drop("_trank").withColumn("_halo", F.lit(True)))
+        parts.append(null_safe_join(heads, to_chunk, [*keys, "_trank"]).drop("_trank").withColumn("_halo", F.lit(True)))
     aug = parts[0]
     for p in parts[1:]:
         aug = aug.unionByName(p)
@@ -249,7 +274,7 @@ def last_before(df: DataFrame, keys, order_cols, value_col: str, out: str,
     """LAST_VALUE(value IGNORE NULLS) OVER (PARTITION BY keys ORDER BY order
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), skew-safe: the local
     answer inside the chunk, else the last non-null value of the key's
-    earlier chunks (found over a table with one row per chunk)."""
+    earlier chunks (found over a table with one row per key and chunk)."""
     keys, order_cols = _cols(keys), _cols(order_cols)
     df, keys, tmp = _with_group(df, keys)
     c = chunked(df, keys, order_cols, n_chunks)
@@ -262,10 +287,10 @@ def last_before(df: DataFrame, keys, order_cols, value_col: str, out: str,
     # closest earlier chunk that has one
     cw = Window.partitionBy(*keys).orderBy(CHUNK)
     chunks = c.select(*keys, CHUNK).distinct()
-    both = chunks.join(ends, [*keys, CHUNK], "left")
+    both = null_safe_join(chunks, ends, [*keys, CHUNK], "left")
     carry = both.select(*keys, CHUNK, F.last("_chunk_last", ignorenulls=True).over(
         cw.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
-    res = local.join(carry, [*keys, CHUNK]).withColumn(out, F.coalesce("_local", "_carry"))
+    res = null_safe_join(local, carry, [*keys, CHUNK]).withColumn(out, F.coalesce("_local", "_carry"))
     return res.drop("_local", "_carry", CHUNK, *tmp)
 
 
@@ -278,4 +303,4 @@ def first_last(df: DataFrame, keys, order_cols: list[str], value_col: str,
     order = F.struct(*order_cols)
     ends = df.groupBy(*keys).agg(F.min_by(value_col, order).alias(first_out),
                                  F.max_by(value_col, order).alias(last_out))
-    return df.join(ends, keys)
+    return null_safe_join(df, ends, keys)

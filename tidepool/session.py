@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session settings every job in this library assumes.  They are defaults only:
 # a cluster launcher that already set a key keeps its own value.
@@ -59,34 +59,46 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage and stage intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (a cluster names a shared, fault
-    tolerant folder there).  Only when it is unset -- local runs and tests --
-    a scratch folder is made and recorded in the session, so every later call
-    sees the same one.
+    tolerant folder there).  Only a local master may leave it unset: a
+    scratch folder is then made and given to the context, so every later
+    call sees the same one.  Elsewhere that is an error, since executors do
+    not see the driver's own disk.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tidepool-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
-        spark.conf.set("spark.checkpoint.dir", d)
-    else:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-path of the shared checkpoint folder for a staged table."""
-    base = checkpoint_dir(spark)
-    if "://" in base:
-        import uuid
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    """A fresh sub-path of the shared checkpoint folder for a staged table.
+    Only named here: Spark makes it, on the file system the path belongs to."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The planner's estimate of a frame's size.  No job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+_STAGED: list[tuple[SparkSession, str]] = []
+
+
+def drop_staged() -> None:
+    """Delete every table ``materialize`` wrote so far.  For callers that
+    have written their results and hold no frame that still reads them."""
+    done, _STAGED[:] = _STAGED[:], []
+    for spark, path in done:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df: DataFrame, name: str = "stage"):
     """Cut lineage by writing ``df`` as Parquet into a fresh folder under the
     shared checkpoint folder and reading it back.  Unlike
     ``Dataset.checkpoint`` this runs one write job (no second pass to save
@@ -94,6 +106,7 @@ def materialize(df, name: str = "stage"):
     columns (``spark_partition_id()``, ...) are fixed at write time, so every
     later use and every retried task sees the same values."""
     spark = df.sparkSession
-    path = scratch_path(spark, name) + "/data"
+    path = scratch_path(spark, name)
+    _STAGED.append((spark, path))
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
