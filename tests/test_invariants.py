@@ -258,13 +258,14 @@ def test_upsert_partitions_rewrites_only_touched_partitions(spark, tmp_out):
     assert after.filter("y <> 1996").exceptAll(o.filter("y <> 1996").select(after.columns)).count() == 0
 
 
-def test_order_items_splits_a_hot_order_and_keeps_every_line(spark):
+def test_item_parts_split_a_hot_order_and_keep_every_line(spark):
     from tidepool.functions import nested as N
     li = t(spark, SF_SMALL, "lineitem")
     hot = li.withColumn("l_orderkey", F.when(F.col("l_linenumber") > 1, F.lit(7)).otherwise(F.col("l_orderkey")))
-    oi = N.order_items(hot, max_items=500)
-    sizes = oi.filter("l_orderkey = 7").select(F.size("items").alias("n")).collect()
-    assert len(sizes) > 1 and max(r.n for r in sizes) < 1000
+    assert N.order_items(hot).count() == hot.select("l_orderkey").distinct().count()      # one row an order, at any size
+    oi = N.item_parts(hot, rows_per_part=500)
+    sizes = oi.filter("l_orderkey = 7").select("part", F.size("items").alias("n")).collect()
+    assert len(sizes) > 1 and max(r.n for r in sizes) < 1000 and len({r.part for r in sizes}) == len(sizes)
     flat = oi.select("l_orderkey", F.inline("items"))
     exp = hot.select("l_orderkey", F.col("l_partkey").alias("partkey"), F.col("l_quantity").alias("qty"),
                      F.col("l_extendedprice").alias("price"))

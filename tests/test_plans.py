@@ -52,7 +52,7 @@ def test_join_dim_falls_back_to_shuffle_when_dimension_is_large(spark):
     o = t(spark, SF_SMALL, "orders").select(F.col("o_orderkey").alias("k"), "o_orderstatus")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        p = plan(J.join_dim(li, o, "k", max_rows=100))
+        p = plan(J.join_dim(li, o, "k", max_bytes=100))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
     assert "BroadcastHashJoin" not in p and "SortMergeJoin" in p

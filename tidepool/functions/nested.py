@@ -7,34 +7,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidepool.session import scratch_path
-
-
-def order_items(lineitem: DataFrame, max_items: int = 10_000) -> DataFrame:
-    """Orders as nested rows: ``items: array<struct<partkey, qty, price>>``
-    and ``flags: array<string>`` (return flags), built by a grouped
-    ``collect_list``.
-
-    No array grows without bound: an order with ``max_items`` lines or more
-    (found with the exact, bounded hot-key list) is spread over
-    ceil(lines / max_items) rows by a hash of each line, so its lines are
-    collected by several tasks; every other order is one row.  Per-order
-    answers aggregate over an order's rows (see the H10 query)."""
-    from tidepool.operators.joins import hot_keys
-    hot = hot_keys(lineitem, "l_orderkey", min_rows=max_items)
-    parts = hot.select("l_orderkey", F.ceil(F.col("_n") / max_items).cast("int").alias("_parts")).collect()
-    li = lineitem
-    if parts:                     # bounded list (at most hot_keys' max_keys rows)
-        spark = lineitem.sparkSession
-        li = li.join(F.broadcast(spark.createDataFrame(parts, "l_orderkey bigint, _parts int")), "l_orderkey", "left")
-        bucket = F.pmod(F.xxhash64(*[F.col(c) for c in lineitem.columns]), F.coalesce("_parts", F.lit(1)))
-    else:
-        bucket = F.lit(0)
-    return (li.withColumn("_part", bucket).groupBy("l_orderkey", "_part").agg(
-        F.collect_list(F.struct(F.col("l_partkey").alias("partkey"),
-                                F.col("l_quantity").alias("qty"),
-                                F.col("l_extendedprice").alias("price"))).alias("items"),
-        F.collect_list("l_returnflag").alias("flags")).drop("_part"))
+
+def order_items(lineitem: DataFrame) -> DataFrame:
+    """Orders as nested rows, one row per order at every size:
+    ``items: array<struct<partkey, qty, price>>`` and ``flags:
+    array<string>`` (return flags), built by a grouped ``collect_list``.  An
+    array is one value, so an order must fit one row; for keys that may not,
+    see ``item_parts``."""
+    return lineitem.groupBy("l_orderkey").agg(*_collected())
+
+
+def item_parts(lineitem: DataFrame, rows_per_part: int) -> DataFrame:
+    """The same arrays in parts of about ``rows_per_part`` lines, with the
+    part's number as a column of its own: no array and no task grows with a
+    hot order."""
+    from tidepool.operators.joins import hot_keys, maybe_broadcast
+    from tidepool.session import materialize
+    hot = hot_keys(lineitem, "l_orderkey", min_rows=rows_per_part)
+    parts = materialize(hot.select("l_orderkey", F.ceil(F.col("_n") / rows_per_part).cast("int").alias("_parts")), "hot-orders")
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in lineitem.columns]), F.coalesce("_parts", F.lit(1)))
+    return (lineitem.join(maybe_broadcast(parts), "l_orderkey", "left").withColumn("part", part.cast("int"))
+            .groupBy("l_orderkey", "part").agg(*_collected()))
+
+
+def _collected() -> list[Column]:
+    return [F.collect_list(F.struct(F.col("l_partkey").alias("partkey"), F.col("l_quantity").alias("qty"),
+                                    F.col("l_extendedprice").alias("price"))).alias("items"),
+            F.collect_list("l_returnflag").alias("flags")]
 
 
 # H11-H13 ---------------------------------------------------------------------------------
@@ -74,14 +73,13 @@ def parse_json(c, schema: StructType | str) -> Column:
 
 
 def infer_json_schema(df: DataFrame, col: str) -> StructType:
-    """Infer the schema of a JSON text column over ALL its rows.
-
-    The column is written as text to the shared checkpoint folder and read
-    back with the JSON reader, whose inference is a distributed pass (no
-    driver-side sample, no size cap)."""
-    path = scratch_path(df.sparkSession, "json-infer")
-    df.select(F.col(col).alias("value")).where(F.col("value").isNotNull()).write.mode("overwrite").text(path)
-    return df.sparkSession.read.json(path).schema
+    """Infer the schema of a JSON text column over ALL its rows, in one
+    distributed pass of the JSON reader: each value is one document, line
+    breaks inside it included.  Nothing is written."""
+    spark = df.sparkSession
+    texts = df.select(F.col(col).cast("string").alias("value")).where(F.col("value").isNotNull())
+    as_strings = getattr(texts._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    return DataFrame(spark._jsparkSession.read().json(as_strings), spark).schema
 
 
 def _c(x) -> Column:

@@ -1,9 +1,9 @@
 """Join operators.
 
-Broadcasts are never blind: ``is_small`` proves a bound on the small side
-(reading at most ``max_rows + 1`` rows) before ``broadcast`` is used, and
-every helper falls back to a shuffle join (which AQE may still turn into a
-broadcast at runtime, or split when skewed) when the bound does not hold.
+Broadcasts are never blind: ``is_small`` takes the planner's byte estimate
+(file sizes under the plan; no job runs), and every helper falls back to a
+shuffle join (which AQE may still turn into a broadcast at runtime, or split
+when skewed) when the estimate is above the bound.
 """
 
 from __future__ import annotations
@@ -11,35 +11,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension up to this many rows is broadcast by the helpers below.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+from tidepool.session import estimated_bytes, materialize
 
-HINTS = {"broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl"}
-
-
-_SIZE_CACHE: dict = {}
+# A side with an estimate up to this many bytes is broadcast by the helpers
+# below.  Parquet grows some four times in memory, so this stays well under
+# what an executor can hold.
+BROADCAST_BYTES = 32 * 1024 * 1024
 
+HINTS = {"broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl"}
 
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  Costs one bounded job:
-    the scan stops once ``max_rows + 1`` rows were seen.
 
-    The answer is remembered for the same plan over the same input files
-    (file names change whenever a table is rewritten), so a dimension used
-    by many queries of one session is counted once.  Frames not read from
-    files are always counted."""
-    files = tuple(sorted(df.inputFiles()))
-    key = (df.semanticHash(), files, max_rows) if files else None
-    if key is not None and key in _SIZE_CACHE:
-        return _SIZE_CACHE[key]
-    small = df.limit(max_rows + 1).count() <= max_rows
-    if key is not None:
-        _SIZE_CACHE[key] = small
-    return small
+def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when the planner's estimate of ``df`` is at most ``max_bytes``.
+    Estimates of joins multiply their sides, so they err towards False."""
+    return estimated_bytes(df) <= max_bytes
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if is_small(df, max_rows) else df
+def maybe_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    return F.broadcast(df) if is_small(df, max_bytes) else df
 
 
 # C1 -------------------------------------------------------------------------------------
@@ -50,10 +39,10 @@ def equi_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> Data
 
 # C2 / C10 ---------------------------------------------------------------------------------
 def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-             max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+             max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Fact-to-dimension join: broadcast hash join when the dimension is
-    proven small, else a shuffle join."""
-    return fact.join(maybe_broadcast(dim, max_rows), on, how)
+    small, else a shuffle join."""
+    return fact.join(maybe_broadcast(dim, max_bytes), on, how)
 
 
 # C2-C5 -------------------------------------------------------------------------------------
@@ -72,33 +61,24 @@ def hinted_join(left: DataFrame, right: DataFrame, on, strategy: str, how: str =
 
 
 # C6 ------------------------------------------------------------------------------------------
-def cross_small(df: DataFrame, dim: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Cartesian product with a dimension of proven small size (e.g. to
-    build a complete report grid).  Refuses an unbounded right side."""
-    if not is_small(dim, max_rows):
-        raise ValueError(f"cross join side exceeds {max_rows} rows")
-    return df.crossJoin(F.broadcast(dim))
+def cross_small(df: DataFrame, dim: DataFrame) -> DataFrame:
+    """Cartesian product with a dimension (e.g. to build a complete report
+    grid): the dimension is broadcast if small, else Spark pairs partitions."""
+    return df.crossJoin(maybe_broadcast(dim))
 
 
 # C7 ------------------------------------------------------------------------------------------
-def theta_join_small(df: DataFrame, bands: DataFrame, cond: Column, how: str = "inner",
-                     max_rows: int = 100_000) -> DataFrame:
-    """Non-equi join against a small table (price bands, ranges): the small
-    side is broadcast and each task runs a nested loop over its rows."""
-    if not is_small(bands, max_rows):
-        raise ValueError(f"theta join side exceeds {max_rows} rows; bucket the range key instead")
-    return df.join(F.broadcast(bands), cond, how)
+def theta_join_small(df: DataFrame, bands: DataFrame, cond: Column, how: str = "inner") -> DataFrame:
+    """Non-equi join against a table of bands or ranges: broadcast if small
+    (each task then runs a nested loop over its rows), else Spark's choice."""
+    return df.join(maybe_broadcast(bands), cond, how)
 
 
 # C8 ------------------------------------------------------------------------------------------
-def hot_keys(df: DataFrame, key: str, min_rows: int, max_keys: int = 1000) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
     """Keys with at least ``min_rows`` rows and their row count ``_n``
-    (exact counts, distributed), at most ``max_keys`` of the largest -- a
-    bounded list, safe to broadcast.  Keys left out are still joined
-    exactly, only unsalted."""
-    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-              .filter(F.col("_n") >= min_rows)
-              .orderBy(F.col("_n").desc(), F.col(key)).limit(max_keys))
+    (exact counts, distributed); all of them, at most rows / min_rows."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_rows)
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, n_salts: int,
@@ -109,11 +89,11 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, n_salts: int,
     Rows of ``big`` with a hot key get a salt from a hash of their contents
     (deterministic: a retried task recomputes the same salt); the matching
     rows of ``small`` are replicated once per salt.  Other keys keep salt 0.
-    A hot key gets ``n_salts`` salts, or -- when ``hot`` carries the key's
-    row count ``_n`` and ``rows_per_salt`` is given -- ceil(_n /
-    rows_per_salt) salts, at most ``n_salts``: the spread follows the key's
-    size.  Returns exactly the rows of ``big.join(small, key, how)`` for
-    how in inner / left.  ``hot`` defaults to all keys of ``small``.
+    When ``hot`` carries the key's row count ``_n`` and ``rows_per_salt`` is
+    given, a key gets ceil(_n / rows_per_salt) salts, whatever its size, so
+    rows per task stay bounded; else it gets ``n_salts``.  Returns exactly the
+    rows of ``big.join(small, key, how)`` for how in inner / left.  ``hot``
+    defaults to all keys of ``small``.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
@@ -121,21 +101,15 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, n_salts: int,
     if hot is None:                       # salt every key, n_salts each
         big_s = big.withColumn("_salts", F.lit(n_salts))
         small_s = small.withColumn("_salts", F.lit(n_salts))
-    else:                                 # bounded key list: broadcast is safe
+    else:
         if rows_per_salt and "_n" in hot.columns:
-            per_key = F.least(F.lit(n_salts), F.greatest(F.lit(1), F.ceil(F.col("_n") / rows_per_salt)))
+            per_key = F.greatest(F.lit(1), F.ceil(F.col("_n") / rows_per_salt))
         else:
             per_key = F.lit(n_salts)
-        # the hot list is bounded (hot_keys keeps at most max_keys rows):
-        # compute it once, and skip salting altogether when it is empty
-        salts = hot.select(key, per_key.cast("int").alias("_salts")).distinct()
-        rows = salts.collect()
-        if not rows:
-            return big.join(small, key, how)
-        spark = big.sparkSession
-        hot_b = F.broadcast(spark.createDataFrame(rows, salts.schema))
-        big_s = big.join(hot_b, key, "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
-        small_s = small.join(hot_b, key, "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
+        # staged: it is counted once, and its file size tells if it can be broadcast
+        salts = maybe_broadcast(materialize(hot.select(key, per_key.cast("int").alias("_salts")).distinct(), "hot-keys"))
+        big_s = big.join(salts, key, "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
+        small_s = small.join(salts, key, "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in big_cols]), F.col("_salts")).cast("int")
     big_s = big_s.withColumn("_salt", salt).drop("_salts")
     small_s = small_s.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")

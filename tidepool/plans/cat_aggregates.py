@@ -186,7 +186,7 @@ FROM lineitem GROUP BY l_partkey
 """)
 def d13(spark, d):
     from tidepool.functions.nested import order_items
-    nested = order_items(t(spark, d, "lineitem"))          # bounded arrays per nested row
+    nested = order_items(t(spark, d, "lineitem"))
     flat = nested.select("l_orderkey", F.explode("items").alias("it"))
     return flat.groupBy(F.col("it.partkey").alias("partkey")).agg(
         F.sum("it.qty").alias("qty"), F.count_distinct("l_orderkey").alias("n_orders"))

@@ -75,12 +75,10 @@ def c5(spark, d):
     # (nations x regions), then an ordinary join to the supplier table.
     n = t(spark, d, "nation")
     r = t(spark, d, "region")
-    if not (J.is_small(n, 10_000) and J.is_small(r, 10_000)):
-        raise ValueError("replicated nested loop only for bounded dimension tables")
     nr = n.hint("shuffle_replicate_nl").join(
         r, (n.n_regionkey <= r.r_regionkey) & (n.n_regionkey >= r.r_regionkey))
     s = t(spark, d, "supplier")
-    return (s.join(J.maybe_broadcast(nr, 10_000), s.s_nationkey == nr.n_nationkey)
+    return (s.join(J.maybe_broadcast(nr), s.s_nationkey == nr.n_nationkey)
             .groupBy("r_name").agg(F.count(F.lit(1)).alias("n_suppliers")))
 
 
@@ -105,7 +103,7 @@ def c6(spark, d):
            .groupBy("month", "r_name").agg(F.sum(money("o_totalprice")).alias("rev")))
     months = o.select("month").distinct()
     # dense month x region grid; the region side is size-checked before the product
-    grid = J.cross_small(months, r.select("r_name"), max_rows=10_000)
+    grid = J.cross_small(months, r.select("r_name"))
     return (grid.join(rev, ["month", "r_name"], "left")
             .select("month", "r_name", dbl(F.coalesce("rev", F.lit(0))).alias("revenue")))
 
@@ -134,10 +132,9 @@ def c7(spark, d):
 @register("C8_salted_join", oracle=JOIN_SUMMARY_SQL)
 def c8(spark, d):
     li, o = _li(spark, d), _ord(spark, d)
-    # keys holding >= 1/64 of all lines are salted over 16 tasks; others join plain
-    n_lines = li.count()
-    hot = J.hot_keys(li, "orderkey", min_rows=max(1, n_lines // 64))
-    return _summary(J.salted_join(li, o, "orderkey", 16, hot=hot))
+    # keys of 50k lines or more get a salt per 50k lines; the others join plain
+    hot = J.hot_keys(li, "orderkey", min_rows=50_000)
+    return _summary(J.salted_join(li, o, "orderkey", 1, hot=hot, rows_per_salt=50_000))
 
 
 @register("C8b_salted_join_all_keys", oracle=JOIN_SUMMARY_SQL)
@@ -235,5 +232,5 @@ def c1h(spark, d):
 def c8h(spark, d):
     li = _li_hot(spark, d)
     hot = J.hot_keys(li, "orderkey", min_rows=1000)      # exact counts; here: order 0
-    # one salt per ~50k rows of a hot key, at most 256
-    return _summary(J.salted_join(li, _ord(spark, d), "orderkey", 256, hot=hot, rows_per_salt=50_000))
+    # one salt per 50k rows of a hot key, however many that takes
+    return _summary(J.salted_join(li, _ord(spark, d), "orderkey", 1, hot=hot, rows_per_salt=50_000))
