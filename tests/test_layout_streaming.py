@@ -89,6 +89,8 @@ def test_stream_watermark_too_short_drops_late_rows(spark, tmp_out):
     out, q = S.stream_to_snapshot(spark, S.stream_bronze(stream, "event_id", "ts", "1 day"), "t-late")
     assert out.count() == ev.filter(day >= 10).count()
     assert S.dropped_by_watermark(q) == ev.filter(day < 10).count()
+    late = S.late_rows(ev, out, "event_id")          # none is lost: they are the reject side
+    assert late.exceptAll(ev.filter(day < 10)).count() == 0 and late.count() == ev.filter(day < 10).count()
     stream2 = S.read_landed(spark, landed + "/*", ev.schema, max_files_per_trigger=1)
     gold = S.windowed_gold(stream2, "ts", "1 day", ["event_type"], "value")
     out2, q2 = S.stream_to_snapshot(spark, gold, "t-late-gold", merge=S.window_upsert_merge(["event_type"]),
@@ -161,3 +163,49 @@ def test_partitioned_latest_table_rewrites_only_touched_days(spark, tmp_out):
     out = S.silver_from_snapshot(table.drop("event_day"), ts)
     batch = M.to_silver(M.to_bronze(M.raw_order_events(spark, ev, *dims), ts), ts)
     assert out.count() == batch.count() and out.exceptAll(batch).count() == 0
+
+
+def _mixed_order(spark, landed):
+    ev = t(spark, SF_SMALL, "events")
+    day, hour = F.dayofmonth("ts"), F.hour("ts")
+    for name, part in (("a", ev.filter(day >= 20)), ("b", ev.filter((day < 20) & (hour >= 12))),
+                       ("c", ev.filter((day < 20) & (hour < 12))), ("d", ev.filter(day % 7 == 0))):     # d comes again
+        part.coalesce(1).write.parquet(os.path.join(landed, name))
+    return ev
+
+
+def test_bronze_and_gold_by_day_equal_batch_for_files_in_mixed_order(spark, tmp_out):
+    landed = os.path.join(tmp_out, "landed")
+    ev = _mixed_order(spark, landed)
+    sink = S.RecomputeSink(S.events_by_day(os.path.join(tmp_out, "events"), "event_id", "ts"), os.path.join(tmp_out, "gold"),
+                           lambda rows: S.daily_gold(rows, "ts", ["event_type"], "value"))
+    stream = S.read_landed(spark, landed + "/*", ev.schema, max_files_per_trigger=1)
+    q = S.run_available_now(stream, sink, os.path.join(tmp_out, "ckpt"))
+    assert len(q.recentProgress) == 4
+    bronze = sink.source.latest(spark).select(ev.columns)
+    assert bronze.count() == ev.count() and bronze.exceptAll(ev).count() == 0
+    gold = sink.latest(spark).select("event_day", "event_type", "n", "total_value")
+    batch = S.daily_gold(ev.withColumn("event_day", F.to_date("ts")), "ts", ["event_type"], "value")
+    assert gold.count() == batch.count() and gold.exceptAll(batch).count() == 0
+
+
+def test_sinks_go_on_after_a_restart_and_keep_the_null_partition(spark, tmp_out):
+    def rows(*r):
+        return spark.createDataFrame(r, "id long, day string, v int")
+
+    def new_process():
+        return (S.PartitionedTableSink(os.path.join(tmp_out, "part"), S.keep_each_id("id"), "day", lambda b: b),
+                S.SnapshotSink(os.path.join(tmp_out, "snap"), lambda prev, b: b if prev is None else prev.unionByName(b).distinct()),
+                S.AppendSink(os.path.join(tmp_out, "app")))
+
+    batches = [rows((1, "2024-01-01", 1), (2, None, 2)), rows((3, "2024-01-01", 3), (4, None, 4), (None, None, 5)),
+               rows((5, "2024-01-02", 6), (None, None, 5))]
+    for i, b in enumerate(batches):
+        for sink in new_process():          # nothing is remembered but what is stored
+            sink(b, i)
+            sink(b, i)                      # replayed
+    expected = {(1, "2024-01-01", 1), (2, None, 2), (3, "2024-01-01", 3), (4, None, 4), (None, None, 5), (5, "2024-01-02", 6)}
+    for sink in new_process():
+        got = sink.latest(spark).select("id", F.col("day").cast("string"), "v").collect()
+        assert {tuple(r) for r in got} == expected, type(sink)
+        assert len(got) == (7 if isinstance(sink, S.AppendSink) else 6)

@@ -10,6 +10,7 @@ from tidepool.plans import medallion as M
 from tidepool.plans.cat_medallion import RAW_SQL, T2, silver_sql
 from tidepool.plans.common import t
 from tidepool.plans.registry import register
+from tidepool.session import scratch_path
 from tidepool.streaming import jobs as S
 
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -22,9 +23,10 @@ def events_stream(spark, d):
 
 @register("O1_stream_bronze_dedup", oracle="SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def o1(spark, d):
-    bronze = S.stream_bronze(events_stream(spark, d), "event_id", "ts", "2 days")
-    out, _ = S.stream_to_snapshot(spark, bronze, "o1-bronze")
-    return out.select(*EVENT_COLS)
+    # a table by event day, each id once: no row is too late for it
+    sink = S.events_by_day(scratch_path(spark, "o1-bronze"), "event_id", "ts")
+    S.run_available_now(events_stream(spark, d), sink, scratch_path(spark, "o1-ckpt"))
+    return sink.latest(spark).select(*EVENT_COLS)
 
 
 @register("O2_stream_upsert_silver", oracle=f"SELECT * FROM {silver_sql(RAW_SQL, T2)} s")
@@ -44,10 +46,9 @@ SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS window_start, event_type, COUNT(*)
 FROM events GROUP BY 1, 2
 """)
 def o3(spark, d):
-    gold = S.windowed_gold(events_stream(spark, d), "ts", "2 days", ["event_type"], "value")
-    # update mode: each batch emits the changed windows; the table is
-    # partitioned by window day and only those days are rewritten
-    out, _ = S.stream_to_partitioned_table(
-        spark, gold, "o3-gold", S.window_upsert_merge(["event_type"]), "window_day",
-        lambda b: b.withColumn("window_day", F.to_date("window_start")), mode="update")
-    return out.select("window_start", "event_type", "n", F.col("total_value").cast("double").alias("total_value"))
+    # each batch rebuilds the aggregate of the days it touched from the events by day
+    sink = S.RecomputeSink(S.events_by_day(scratch_path(spark, "o3-events"), "event_id", "ts"), scratch_path(spark, "o3-gold"),
+                           lambda events: S.daily_gold(events, "ts", ["event_type"], "value"))
+    S.run_available_now(events_stream(spark, d), sink, scratch_path(spark, "o3-ckpt"))
+    return sink.latest(spark).select(F.col("event_day").cast("timestamp").alias("window_start"), "event_type", "n",
+                                     F.col("total_value").cast("double").alias("total_value"))

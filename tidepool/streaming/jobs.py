@@ -5,12 +5,13 @@ Landed files are read with ``readStream`` and processed with
 more micro-batches, then the query stops -- the same job runs as a
 scheduled incremental batch or continuously with another trigger.
 
-Sinks are snapshot directories named by batch id under one output folder:
-a micro-batch reads the snapshot of the previous batch id, merges its rows
-and writes ``batch=<id>``.  Re-running a batch after a failure rewrites the
-same folder with the same rows, so output stays exactly-once without a
-transactional table format.  Checkpoints and snapshots live in the shared
-checkpoint folder.
+Sinks keep no state of their own: what earlier batches wrote is found in
+storage, so a restarted process goes on where the last one stopped, and a
+batch that is replayed writes the same rows again.  The registered queries
+drop no late row: tables partitioned by day are merged or recomputed for
+the days a batch touches, whenever its rows arrive.  The watermark forms
+(``stream_bronze``, ``windowed_gold``) bound the state instead and drop
+what is later than their delay; ``late_rows`` gives those rows.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidepool.operators.changes import merge_upsert
-from tidepool.session import scratch_path
+from tidepool.session import materialize, scratch_path
 
 
 def read_landed(spark: SparkSession, path: str, schema: StructType, glob: str | None = None,
@@ -54,6 +55,12 @@ def stream_bronze(stream: DataFrame, id_col: str, ts_col: str, delay: str) -> Da
     return s.withWatermark("event_time", delay).dropDuplicatesWithinWatermark([id_col]).drop("event_time")
 
 
+def late_rows(landed: DataFrame, bronze: DataFrame, id_col: str) -> DataFrame:
+    """The reject side of ``stream_bronze``: landed rows whose id did not
+    reach ``bronze`` (redelivered rows did)."""
+    return landed.join(bronze.select(F.col(id_col).alias("_kept")), F.col(id_col).eqNullSafe(F.col("_kept")), "left_anti")
+
+
 def dropped_by_watermark(query) -> int:
     """Rows dropped as late over the finished query's progress reports."""
     total = 0
@@ -63,34 +70,48 @@ def dropped_by_watermark(query) -> int:
     return total
 
 
-# Snapshot sink ---------------------------------------------------------------------------------
+# Sinks ------------------------------------------------------------------------------------------
+def _listed(spark: SparkSession, base: str) -> tuple:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, [f.getPath() for f in fs.listStatus(path) if f.isDirectory()] if fs.exists(path) else []
+
+
+def _folders(spark: SparkSession, base: str) -> list[str]:
+    """Names of the sub-folders of ``base`` that hold a finished write."""
+    fs, paths = _listed(spark, base)
+    return [p.getName() for p in paths if fs.exists(p.suffix("/_SUCCESS"))]
+
+
+def _has_partitions(spark: SparkSession, path: str) -> bool:
+    """True if a partitioned write to ``path`` was committed: partition
+    folders move there at commit (such a write leaves no _SUCCESS file)."""
+    return any("=" in p.getName() for p in _listed(spark, path)[1])
+
+
 class SnapshotSink:
-    """foreachBatch target keeping one snapshot folder per batch id."""
+    """foreachBatch target keeping one snapshot folder per batch id; a batch
+    merges with the last snapshot before it that is in storage."""
 
     def __init__(self, base: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame]):
         self.base = base.rstrip("/")
         self.merge = merge
-        self.last_batch: int | None = None   # foreachBatch runs in the driver
 
     def path(self, batch_id: int) -> str:
         return f"{self.base}/batch={batch_id:012d}"
 
-    def _previous(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        if batch_id == 0:
-            return None
-        return spark.read.parquet(self.path(batch_id - 1))
+    def _last(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:
+        ids = [int(f.split("=")[1]) for f in _folders(spark, self.base) if f.startswith("batch=")]
+        ids = [i for i in ids if before is None or i < before]
+        return spark.read.parquet(self.path(max(ids))) if ids else None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        merged = self.merge(self._previous(spark, batch_id), batch)
+        merged = self.merge(self._last(batch.sparkSession, batch_id), batch)
         merged.write.mode("overwrite").parquet(self.path(batch_id))
-        self.last_batch = batch_id
 
     def latest(self, spark: SparkSession) -> DataFrame | None:
         """The snapshot written by the last batch (None if no batch ran)."""
-        if self.last_batch is None:
-            return None
-        return spark.read.parquet(self.path(self.last_batch))
+        return self._last(spark)
 
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -114,14 +135,12 @@ class AppendSink:
 
     def __init__(self, base: str):
         self.base = base.rstrip("/")
-        self.batches = 0
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{self.base}/batch_id={batch_id}")
-        self.batches += 1
 
     def latest(self, spark: SparkSession) -> DataFrame | None:
-        return spark.read.parquet(self.base).drop("batch_id") if self.batches else None
+        return spark.read.parquet(self.base).drop("batch_id") if _folders(spark, self.base) else None
 
 
 class PartitionedTableSink:
@@ -129,45 +148,73 @@ class PartitionedTableSink:
     ``partition_col`` and rewrites only the partitions a batch touches.
 
     The previous rows of the touched partitions are read through a semi
-    join on the partition column (partition pruning, no driver-side list),
-    merged with the batch and written back with dynamic partition
-    overwrite.  Work per batch follows the touched partitions, not the
-    table.  ``merge`` must be idempotent (e.g. keep-latest), so a replayed
-    batch rewrites the same partitions with the same rows."""
+    join on the partition column (partition pruning, no driver-side list; a
+    NULL partition is one like any other), merged with the batch and written
+    back with dynamic partition overwrite.  Work per batch follows the
+    touched partitions, not the table.  ``merge`` must be idempotent (e.g.
+    keep-latest), so a replayed batch rewrites the same partitions with the
+    same rows."""
 
     def __init__(self, path: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame],
-                 partition_col: str, partition_of: Callable[[DataFrame], DataFrame],
-                 table_exists: bool = False):
+                 partition_col: str, partition_of: Callable[[DataFrame], DataFrame]):
         self.path = path.rstrip("/")
         self.merge = merge
         self.partition_col = partition_col
         self.partition_of = partition_of      # adds ``partition_col`` to batch rows
-        self.table_exists = table_exists      # True when resuming onto an existing table
-        self.batches = 0
+
+    def of_partitions(self, rows: DataFrame) -> DataFrame | None:
+        """The table's rows in the partitions of ``rows``; None if there is no table yet."""
+        spark = rows.sparkSession
+        if not _has_partitions(spark, self.path):
+            return None
+        touched = rows.select(F.col(self.partition_col).alias("_touched")).distinct()
+        # the type is given: a folder name alone would be read as a date or number
+        table = spark.read.parquet(self.path).withColumn(
+            self.partition_col, F.col(self.partition_col).cast(rows.schema[self.partition_col].dataType))
+        return table.join(touched, F.col(self.partition_col).eqNullSafe(F.col("_touched")), "left_semi")
+
+    def overwrite(self, rows: DataFrame) -> None:
+        # staged before the partitions it was read from are overwritten
+        materialize(rows, "batch-merge").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy(self.partition_col).parquet(self.path)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         rows = self.partition_of(batch)
-        touched = rows.select(self.partition_col).distinct()
-        prev = None
-        if self.batches > 0 or self.table_exists:
-            from tidepool.operators.joins import maybe_broadcast
-            prev = spark.read.parquet(self.path).join(maybe_broadcast(touched, 100_000), self.partition_col,
-                                                      "left_semi")
-        merged = self.merge(prev, rows)
-        old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            # materialise before overwriting the partitions it was read from
-            from tidepool.session import materialize
-            materialize(merged, "batch-merge").write.mode("overwrite").partitionBy(self.partition_col) \
-                .parquet(self.path)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
-        self.batches += 1
+        self.overwrite(self.merge(self.of_partitions(rows), rows))
+
+    def latest(self, spark: SparkSession) -> DataFrame | None:
+        return spark.read.parquet(self.path) if _has_partitions(spark, self.path) else None
+
+
+class RecomputeSink:
+    """foreachBatch target for aggregates per partition of a table: the
+    batch goes into ``source`` first, then the aggregate of the partitions it
+    touched is built anew from that table.  A row that comes late, or twice,
+    changes its partition as if it had come in time, once."""
+
+    def __init__(self, source: PartitionedTableSink, path: str, build: Callable[[DataFrame], DataFrame]):
+        self.source = source
+        self.table = PartitionedTableSink(path, lambda prev, rows: rows, source.partition_col, lambda b: b)
+        self.build = build      # keeps the partition column
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self.source(batch, batch_id)
+        rows = self.source.partition_of(batch)
+        self.table.overwrite(self.build(self.source.of_partitions(rows)))
 
     def latest(self, spark: SparkSession) -> DataFrame | None:
-        return spark.read.parquet(self.path) if (self.batches or self.table_exists) else None
+        return self.table.latest(spark)
+
+
+def keep_each_id(id_col: str) -> Callable[[DataFrame | None, DataFrame], DataFrame]:
+    """Merge for a table of raw rows: each id once, rows without an id each
+    distinct row once, whenever they arrive."""
+    def merge(prev: DataFrame | None, batch: DataFrame) -> DataFrame:
+        rows = batch if prev is None else prev.select(*batch.columns).unionByName(batch)
+        values = F.sha2(F.to_json(F.struct(*[F.col(c) for c in batch.columns]), {"ignoreNullFields": "false"}), 256)
+        key = F.coalesce(F.concat(F.lit("id "), F.col(id_col).cast("string")), F.concat(F.lit("row "), values))
+        return rows.withColumn("_key", key).dropDuplicates(["_key"]).drop("_key")
+    return merge
 
 
 def run_available_now(df: DataFrame, sink, checkpoint: str, mode: str = "append"):
@@ -192,13 +239,23 @@ def stream_to_snapshot(spark: SparkSession, df: DataFrame, name: str, merge=None
 
 def stream_to_partitioned_table(spark: SparkSession, df: DataFrame, name: str, merge, partition_col: str,
                                 partition_of, mode: str = "append") -> tuple[DataFrame, object]:
-    path = scratch_path(spark, f"{name}-table")
-    ckpt = scratch_path(spark, f"{name}-ckpt")
-    sink = PartitionedTableSink(path + "/data", merge, partition_col, partition_of)
-    q = run_available_now(df, sink, ckpt, mode)
+    sink = PartitionedTableSink(scratch_path(spark, f"{name}-table"), merge, partition_col, partition_of)
+    q = run_available_now(df, sink, scratch_path(spark, f"{name}-ckpt"), mode)
     return sink.latest(spark), q
 
 
+def events_by_day(path: str, id_col: str, ts_col: str) -> PartitionedTableSink:
+    """O1 sink: raw events partitioned by event day, each id once."""
+    return PartitionedTableSink(path, keep_each_id(id_col), "event_day",
+                                lambda b: b.withColumn("event_day", F.to_date(ts_col)))
+
+
+def daily_gold(events: DataFrame, ts_col: str, keys, value_col: str) -> DataFrame:
+    """O3: count and exact sum per day and key of (all) rows of some days."""
+    return (events.groupBy("event_day", *keys)
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(value_col).cast("decimal(18,2)")).alias("total_value")))
+
+
 def order_day(batch: DataFrame) -> DataFrame:
     """Partition of a raw order event: its event day (all events of an
     order share a day in the derived order stream)."""
