@@ -173,14 +173,9 @@ def upsert_partitions(spark, path: str, source: DataFrame, keys, partition_col:
     # the source is used three times (partition list, size check, merge):
     # stage it once instead of recomputing its plan each time
     source = materialize(source, "upsert-source")
-    touched = source.select(partition_col).distinct()
-    from tidepool.operators.joins import maybe_broadcast
-    target = spark.read.parquet(path).join(maybe_broadcast(touched, 100_000), partition_col, "left_semi")
+    touched = source.select(F.col(partition_col).alias("_touched")).distinct()
+    # NULL is a partition like any other
+    target = spark.read.parquet(path).join(touched, F.col(partition_col).eqNullSafe(F.col("_touched")), "left_semi")
     merged = merge_upsert(target.select(*source.columns), source, keys, update_cols=update_cols)
     staged = materialize(merged, "upsert-partitions")
-    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        staged.write.mode("overwrite").partitionBy(partition_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)

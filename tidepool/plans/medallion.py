@@ -15,10 +15,11 @@ from pyspark.sql.types import (DecimalType, IntegerType, StringType, StructField
 
 from tidepool.functions.scalar import exact_avg
 from tidepool.operators.changes import merge_upsert
-from tidepool.operators.joins import anti_join, join_dim, maybe_broadcast
+from tidepool.operators.joins import anti_join, join_dim
 from tidepool.operators.windows import keep_latest
 from tidepool.sources.contracts import enforce_schema
 
+# Columns, types, required fields and statuses of the order pipeline, and its Gold keys.
 BRONZE_COLUMNS = ["event_id", "order_id", "customer_id", "product_id", "quantity", "unit_price",
                   "status", "region", "event_ts"]
 BRONZE_SCHEMA = StructType([StructField(c, StringType(), True) for c in BRONZE_COLUMNS])
@@ -48,20 +49,25 @@ def _ts(value) -> Column:
 def to_bronze(raw: DataFrame, ingestion_ts, existing: DataFrame | None = None,
               partition_of=None) -> DataFrame:
     """Dedup the batch on event_id, drop ids already in ``existing`` (so a
-    rerun appends nothing), stamp the ingestion time.
+    rerun appends nothing), stamp the ingestion time.  A row without an id
+    is identified by all its values.
 
     With ``partition_of`` (a column expression giving the existing table's
     partition value of a row, e.g. its event day) only the partitions the
     batch can collide with are read: the existing table is semi-joined on
     the batch's distinct partition values before the anti join."""
-    batch = raw.dropDuplicates(["event_id"])
+    def keyed(df: DataFrame) -> DataFrame:
+        values = F.sha2(F.to_json(F.struct(*[F.col(c) for c in raw.columns]), {"ignoreNullFields": "false"}), 256)
+        return df.withColumn("_key", F.coalesce(F.concat(F.lit("id "), F.col("event_id")), F.concat(F.lit("row "), values)))
+
+    batch = keyed(raw).dropDuplicates(["_key"])
     if existing is not None:
         if partition_of is not None:
-            days = batch.select(partition_of.alias("_part")).distinct()
+            days = batch.select(partition_of.alias("_day")).distinct()
             existing = (existing.withColumn("_part", partition_of)
-                        .join(maybe_broadcast(days, 100_000), "_part", "left_semi").drop("_part"))
-        batch = anti_join(batch, existing, "event_id")
-    return batch.withColumn("ingestion_ts", _ts(ingestion_ts))
+                        .join(days, F.col("_part").eqNullSafe(F.col("_day")), "left_semi").drop("_part"))
+        batch = anti_join(batch, keyed(existing), "_key")
+    return batch.drop("_key").withColumn("ingestion_ts", _ts(ingestion_ts))
 
 
 def event_day() -> Column:
@@ -79,15 +85,19 @@ def latest_events(bronze: DataFrame) -> DataFrame:
 def silver_split(bronze: DataFrame, ingested_at) -> tuple[DataFrame, DataFrame]:
     """(silver, rejects).  Keep the latest event per order first (as the
     reference does), then cast to the contract; rows with a missing or
-    unparsable required field go to the reject side with a reason."""
+    unparsable required field, or an amount beyond its type, go to the
+    reject side with a reason."""
     latest = latest_events(bronze).select(*BRONZE_COLUMNS)
     ok, bad = enforce_schema(latest.drop("event_id"), SILVER_CONTRACT)
-    silver = ok.select(
-        "order_id", "customer_id", "product_id", "quantity", "unit_price",
-        (F.col("quantity") * F.col("unit_price")).cast("decimal(10,2)").alias("amount"),
+    priced = ok.withColumn("amount", (F.col("quantity") * F.col("unit_price")).try_cast("decimal(10,2)"))
+    silver = priced.where(F.col("amount").isNotNull()).select(
+        "order_id", "customer_id", "product_id", "quantity", "unit_price", "amount",
         "status", "region", F.to_date("event_ts").alias("order_date"),
         _ts(ingested_at).alias("ingested_at"))
-    rejects = bad.select("order_id", "customer_id", "unit_price", "quantity", "region", "reject_reason")
+    too_large = priced.where(F.col("amount").isNull()).withColumn("reject_reason", F.lit("amount:out_of_range"))
+    rejects = (bad.select("order_id", "customer_id", "unit_price", "quantity", "region", "reject_reason")
+               .unionByName(too_large.select("order_id", "customer_id", F.col("unit_price").cast("string"),
+                                             F.col("quantity").cast("string"), "region", "reject_reason")))
     return silver, rejects
 
 
@@ -122,8 +132,8 @@ def upsert_gold(gold: DataFrame, updates: DataFrame) -> DataFrame:
 
 # J7 --------------------------------------------------------------------------------------
 def layer_checks(bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> DataFrame:
-    """One row per check: layer counts, null amounts in silver, status of
-    every silver row known -- all as a single union of global aggregates."""
+    """One row per check: layer counts and null amounts in silver, as a
+    single union of global aggregates."""
     def cnt(df, name):
         return df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(name).alias("check"), "value")
     null_amt = silver.agg(F.sum(F.when(F.col("amount").isNull(), 1).otherwise(0)).cast("bigint").alias("value")) \

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -58,8 +59,10 @@ def append_evolving(df: DataFrame, path: str, evolve: bool = True) -> None:
     """
     spark = df.sparkSession
     try:
-        current = spark.read.parquet(path).schema
-    except Exception:  # first write creates the table
+        current = spark.read.option("mergeSchema", "true").parquet(path).schema
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # only a missing table is a first write
+            raise
         current = None
     if current is not None:
         new_cols = [c for c in df.columns if c not in current.fieldNames()]

@@ -119,16 +119,10 @@ def create_table_as(spark: SparkSession, name: str, query: str) -> DataFrame:
 def overwrite_partitions(df: DataFrame, path: str, partition_by, files_per_partition: int | None = None) -> None:
     """Replace only the partitions present in ``df`` (a backfill of one
     day rewrites that day and leaves every other partition in place)."""
-    spark = df.sparkSession
     if files_per_partition:
         df = spread_partitions(df, partition_by, files_per_partition)
-    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (df.write.mode("overwrite").format("parquet")
-         .partitionBy(*_as_list(partition_by)).save(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").format("parquet")
+     .partitionBy(*_as_list(partition_by)).save(path))
 
 
 # A13 --------------------------------------------------------------------------
