@@ -7,7 +7,7 @@ customer_id, amount, order_date, channel, status)``, ``customers``,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepool.operators.windows import top_k_dense
@@ -100,13 +100,35 @@ def q_latest_order(orders: DataFrame) -> DataFrame:
     return latest.select("customer_id", "order_id", "order_date", F.round("amount", 2).alias("amount"), "channel")
 
 
+def in_domain(col: str, values) -> Column:
+    """The column itself; a value outside ``values`` fails the job, so a
+    pivot over them cannot lose rows without a word."""
+    known = F.coalesce(F.col(col).isin(*values), F.lit(False))
+    return F.when(known, F.col(col)).otherwise(
+        F.raise_error(F.concat(F.lit(f"{col} outside the pivot's values: "), F.coalesce(F.col(col).cast("string"), F.lit("NULL")))))
+
+
 def q_category_pivot(lines: DataFrame, categories) -> DataFrame:
-    """Monthly revenue per category as columns (static, case-sensitive
-    values).  ``lines``: month, category, amount."""
-    return (lines.groupBy("month").pivot("category", list(categories))
+    """Monthly revenue per category as columns (the caller's, case-
+    sensitive; others are an error).  ``lines``: month, category, amount."""
+    return (lines.withColumn("category", in_domain("category", categories))
+            .groupBy("month").pivot("category", list(categories))
             .agg(dbl(F.sum(F.col("amount").cast(MONEY)))))
 
 
+def q_cohort_matrix(orders: DataFrame, n_months: int | None = None) -> DataFrame:
+    """Active customers per cohort, a column m0 .. per month since the
+    first order.  The number of columns is the caller's (a month beyond it is
+    an error) or comes from the data."""
+    act = q_cohort_first_value(orders)
+    if n_months is None:
+        n_months = 1 + (act.agg(F.max("months_since_acquisition")).first()[0] or 0)
+    months = list(range(n_months))
+    wide = (act.withColumn("k", in_domain("months_since_acquisition", months))
+            .groupBy("cohort_month").pivot("k", months).agg(F.max("active_customers")))
+    return wide.withColumnsRenamed({str(k): f"m{k}" for k in months})
+
+
 def q_ltv_segments(orders: DataFrame, customers: DataFrame, bands) -> DataFrame:
     """Lifetime value segments per country as a CTE chain of frames."""
     from tidepool.operators.shape import segment

@@ -53,7 +53,7 @@ SELECT 'ord-' || CAST(o_orderkey AS VARCHAR) AS order_id,
        END AS status,
        CAST(o_orderdate AS DATE) AS order_date
 FROM orders)"""
-FLAGS = ", ".join(f"COALESCE({c.expression}, false) AS {c.name}" for c in CHECKS)
+FLAGS = ", ".join(f"COALESCE({c.predicate}, false) AS {c.name}" for c in CHECKS)
 FLAGGED_SQL = f"(SELECT *, {FLAGS} FROM {DQ_SQL} x)"
 ERR_OK = " AND ".join(c.name for c in CHECKS if c.severity == "ERROR")
 REASON = "concat_ws(', ', " + ", ".join(f"CASE WHEN NOT {c.name} THEN '{c.name}' END" for c in CHECKS) + ")"
