@@ -284,3 +284,40 @@ def test_window_helpers_skew_safe_flag_gives_same_rows(spark):
     ]:
         cols = plain.columns
         assert chunked.select(cols).exceptAll(plain).count() == 0 and chunked.count() == plain.count()
+
+
+def test_silver_rejects_overflow_and_rows_without_id_stay_apart(spark):
+    from tidepool.plans import medallion as M
+    row = ["o1", "c1", "p1", "3", "10.00", "completed", "EU", "2024-01-01 10:00:00"]
+    rows = [("1", *row), ("1", *row), (None, *row), (None, "o2", *row[1:]), (None, "o2", *row[1:]),
+            ("9", "o3", "c1", "p1", "2000000000", "99999999.99", "completed", "EU", None)]
+    raw = spark.createDataFrame(rows, M.BRONZE_SCHEMA)
+    bronze = M.to_bronze(raw, "2024-02-01 00:00:00")
+    assert bronze.count() == 4                       # id 1 once, each distinct row without an id once
+    again = M.to_bronze(raw, "2024-02-02 00:00:00", existing=bronze, partition_of=M.event_day())
+    assert again.count() == 0                        # a NULL event time is a partition like any other
+    late = raw.where("event_id = '9'").withColumn("event_ts", F.lit("2024-01-03 00:00:00"))
+    silver, rejects = M.silver_split(M.to_bronze(late, "2024-02-01 00:00:00"), "2024-02-01 00:00:00")
+    assert silver.count() == 0 and [r.reject_reason for r in rejects.collect()] == ["amount:out_of_range"]
+
+
+def test_salted_join_has_no_cap_on_hot_keys(spark):
+    big = spark.range(30_000).select((F.col("id") % 3000).alias("k"), F.col("id").alias("v"))
+    small = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    hot = J.hot_keys(big, "k", min_rows=10)
+    assert hot.count() == 3000
+    got = J.salted_join(big, small, "k", 1, hot=hot, rows_per_salt=4)
+    assert got.count() == 30_000 and got.where("w <> 2 * k").count() == 0
+
+
+def test_json_schema_of_documents_with_line_breaks(spark):
+    from tidepool.functions import nested as N
+    df = spark.createDataFrame([('{\n  "a": 1,\n  "b": {"c": "x"}\n}',), ('{"a": 2.5}',), (None,)], "j string")
+    assert N.infer_json_schema(df, "j").simpleString() == "struct<a:double,b:struct<c:string>>"
+
+
+def test_pivot_refuses_values_outside_its_columns(spark):
+    from tidepool.plans import analytics as A
+    lines = spark.createDataFrame([("2024-01-01", "x", 1.0), ("2024-01-01", "y", 2.0)], "month string, category string, amount double")
+    with pytest.raises(Exception, match="outside the pivot"):
+        A.q_category_pivot(lines, ["x"]).collect()

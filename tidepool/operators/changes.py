@@ -105,7 +105,7 @@ def as_of(history: DataFrame, keys, version_col: str, version, deleted_col: str
     """Table state at ``version`` from a history of row versions
     (``version_col``, optional tombstone flag ``deleted_col``): rows up to
     the version, the latest per key, tombstones removed.  Uses the max_by
-    aggregate (map-side combined) rather than a per-key sort."""
+    aggregate, which combines before the shuffle."""
     from tidepool.operators.windows import keep_latest
     keys = _keys(keys)
     upto = history.filter(F.col(version_col) <= F.lit(version))

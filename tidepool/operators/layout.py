@@ -14,6 +14,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepool.session import estimated_bytes
+
 
 def total_bytes(spark: SparkSession, path: str) -> int:
     """Sum of the Parquet file sizes under ``path`` (one metadata scan)."""
@@ -22,6 +24,13 @@ def total_bytes(spark: SparkSession, path: str) -> int:
     return int(files.agg(F.coalesce(F.sum("s"), F.lit(0))).first()[0])
 
 
+def n_files(df: DataFrame, target_bytes: int = 128 * 1024 * 1024) -> int:
+    """Files of about ``target_bytes`` for a frame, by the planner's estimate
+    of its size, and at least one a core, so that a small table is written
+    in parallel too."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-estimated_bytes(df) // target_bytes))
+
+
 # I8 ---------------------------------------------------------------------------------------
 def compact(spark: SparkSession, path_in: str, path_out: str, target_bytes: int = 128 * 1024 * 1024,
             sort_by=None) -> int:
@@ -64,25 +73,35 @@ def z_value(bucket_cols: list[Column], bits: int) -> Column:
     return z
 
 
-def zorder(df: DataFrame, cols, n_files: int, buckets: int = 64) -> DataFrame:
+def zorder(df: DataFrame, cols, n_files: int, buckets: int | None = None) -> DataFrame:
     """Multi-column clustering: columns are mapped to quantile buckets (so a
     narrow-range column gets as many bits as a wide one), their bits are
-    interleaved, and rows are range-partitioned and sorted on that value."""
-    bounds = quantile_buckets(df, cols, buckets)
+    interleaved, and rows are range-partitioned and sorted on that value,
+    then on the columns themselves, so that a cell of equal values spreads
+    over files.  ``buckets`` per column: by default enough for 16 cells a file."""
+    if buckets is None:
+        buckets = max(64, 2 ** math.ceil(math.log2(16 * n_files) / len(cols)))
     bits = max(1, math.ceil(math.log2(buckets)))
+    if bits * len(cols) > 63:
+        raise ValueError(f"{len(cols)} columns of {bits} bits do not fit the 63 bits of a z-value")
+    bounds = quantile_buckets(df, cols, buckets, accuracy=max(10_000, 10 * buckets))
     z = z_value([bucket_of(c, bounds[c]) for c in cols], bits)
-    return df.withColumn("_z", z).repartitionByRange(n_files, "_z").sortWithinPartitions("_z").drop("_z")
+    order = ["_z", *cols, "_tie"]      # the row's hash splits rows that tie on all of it
+    tie = F.xxhash64(*[F.col(c) for c in df.columns])
+    return (df.withColumn("_z", z).withColumn("_tie", tie).repartitionByRange(n_files, *order)
+            .sortWithinPartitions(*order).drop("_z", "_tie"))
 
 
-def zorder_write(df: DataFrame, cols, n_files: int, path: str, buckets: int = 64) -> None:
+def zorder_write(df: DataFrame, cols, n_files: int, path: str, buckets: int | None = None) -> None:
     zorder(df, cols, n_files, buckets).write.mode("errorifexists").parquet(path)
 
 
 # I10 --------------------------------------------------------------------------------------
 def cluster_write(df: DataFrame, cols, n_files: int, path: str) -> None:
     """Range-cluster on ``cols`` (re-clusterable: rerun with other columns)."""
-    (df.repartitionByRange(n_files, *cols).sortWithinPartitions(*cols)
-       .write.mode("errorifexists").parquet(path))
+    order = [*cols, "_tie"]            # equal keys spread over files by the row's hash
+    (df.withColumn("_tie", F.xxhash64(*[F.col(c) for c in df.columns])).repartitionByRange(n_files, *order)
+       .sortWithinPartitions(*order).drop("_tie").write.mode("errorifexists").parquet(path))
 
 
 # I11 --------------------------------------------------------------------------------------

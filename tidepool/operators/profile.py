@@ -18,7 +18,8 @@ def profile(df: DataFrame, cols, approx: bool = False, rsd: float = 0.05) -> Dat
     for i, c in enumerate(cols):
         distinct = F.approx_count_distinct(c, rsd) if approx else F.count_distinct(c)
         aggs += [F.count(c).alias(f"_nn{i}"), distinct.alias(f"_d{i}"),
-                 F.min(c).cast("double").alias(f"_mn{i}"), F.max(c).cast("double").alias(f"_mx{i}")]
+                 (F.min(c).cast("double") + F.lit(0.0)).alias(f"_mn{i}"),   # a zero without a sign
+                 (F.max(c).cast("double") + F.lit(0.0)).alias(f"_mx{i}")]
     wide = df.agg(*aggs)
     pairs = ", ".join(f"'{c}', _nn{i}, _d{i}, _mn{i}, _mx{i}" for i, c in enumerate(cols))
     long = wide.select("_rows", F.expr(f"stack({len(cols)}, {pairs}) AS (column_name, non_null, n_distinct, min_value, max_value)"))

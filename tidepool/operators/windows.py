@@ -137,9 +137,10 @@ def share_of_partition(df: DataFrame, col: str, partition_by, out: str = "pct_of
 def keep_latest(df: DataFrame, keys, order_cols) -> DataFrame:
     """Keep one row per key: the one with the largest ``order_cols`` tuple.
 
-    ``max_by(struct(*all), struct(*order))`` is a plain aggregate, so Spark
-    combines map-side and a hot key never lands whole in one sort.  The
-    order must be total (add a unique tie-break column); ties beyond it
+    ``max_by(struct(*all), struct(*order))`` is an aggregate, so each task
+    sends one row per key and a hot key never lands whole in one task.  Its
+    buffer holds the row, so Spark plans it as a sort aggregate before and
+    after the shuffle.  The order must be total (add a unique tie-break column); ties beyond it
     would make the surviving row depend on the plan.
     """
     keys = _cols(keys)

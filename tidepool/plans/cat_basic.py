@@ -230,6 +230,16 @@ def b12(spark, d):
 
 
 # F1 ---------------------------------------------------------------------------------------
+@register("B13_execute_immediate", oracle="""
+SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 100000 AND o_orderstatus = 'F'
+""")
+def b13(spark, d):
+    from tidepool.operators.shape import execute_immediate
+    register_views(spark, d, ["orders"])
+    return execute_immediate(spark, "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > :least AND o_orderstatus = :status",
+                             {"least": 100000, "status": "F"})
+
+
 @register("F1_sort_mixed_directions", oracle="""
 SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date, o_totalprice FROM orders
 ORDER BY order_date ASC NULLS LAST, o_totalprice DESC NULLS LAST, o_orderkey

@@ -155,6 +155,14 @@ def i5(spark, d):
     return CH.as_of(history(spark, d).drop("_commit_ts"), "c_custkey", "_version", 2, deleted_col="_deleted")
 
 
+@register("I5c_snapshot_as_of_timestamp", oracle=f"SELECT * FROM {OLD_SQL}")
+def i5c(spark, d):
+    """The snapshot as of a time between the two commits."""
+    h = history(spark, d).withColumn("_commit_ts", F.col("_commit_ts").cast("timestamp"))
+    at = F.lit("2024-01-15 12:00:00").cast("timestamp")
+    return CH.as_of(h.drop("_version"), "c_custkey", "_commit_ts", at, deleted_col="_deleted")
+
+
 @register("I5b_snapshot_as_of_first_version", oracle=f"SELECT * FROM {OLD_SQL}")
 def i5b(spark, d):
     return CH.as_of(history(spark, d).drop("_commit_ts"), "c_custkey", "_version", 1, deleted_col="_deleted")

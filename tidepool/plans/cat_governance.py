@@ -75,15 +75,22 @@ PROFILE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linen
 
 @register("N1_column_profile", oracle="\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, COUNT({c}) AS non_null, COUNT(*) - COUNT({c}) AS nulls, "
-    f"COUNT(DISTINCT {c}) AS n_distinct, CAST(MIN({c}) AS DOUBLE) AS min_value, CAST(MAX({c}) AS DOUBLE) AS max_value "
+    f"COUNT(DISTINCT {c}) AS n_distinct, CAST(MIN({c}) AS DOUBLE) + 0.0 AS min_value, CAST(MAX({c}) AS DOUBLE) + 0.0 AS max_value "
     f"FROM lineitem" for c in PROFILE_COLS))
 def n1(spark, d):
     return PR.profile(t(spark, d, "lineitem"), PROFILE_COLS)
 
 
-@register("N1b_column_profile_approx")
+@register("N1b_column_profile_approx", oracle="\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, COUNT({c}) AS non_null, COUNT(*) - COUNT({c}) AS nulls, true AS distinct_within, "
+    f"CAST(MIN({c}) AS DOUBLE) + 0.0 AS min_value, CAST(MAX({c}) AS DOUBLE) + 0.0 AS max_value FROM lineitem" for c in PROFILE_COLS))
 def n1b(spark, d):
-    return PR.profile(t(spark, d, "lineitem"), PROFILE_COLS, approx=True)
+    # the estimate as whether it lies within four standard errors (of 5%) of the exact count
+    li = t(spark, d, "lineitem")
+    exact = PR.profile(li, PROFILE_COLS).select("column_name", F.col("n_distinct").alias("_exact"))
+    close = F.abs(F.col("n_distinct") - F.col("_exact")) <= 4 * 0.05 * F.col("_exact")
+    return PR.profile(li, PROFILE_COLS, approx=True).join(exact, "column_name").select(
+        "column_name", "non_null", "nulls", close.alias("distinct_within"), "min_value", "max_value")
 
 
 @register("N2_skew_report", oracle="""

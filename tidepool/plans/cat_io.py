@@ -9,6 +9,8 @@ SQL.  The work grows with the table.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidepool.functions import nested as N
@@ -26,7 +28,7 @@ CUSTOMER_SQL = "SELECT * FROM customer"
 
 
 def _dir(spark, name):
-    return scratch_path(spark, name) + "/data"
+    return scratch_path(spark, name)
 
 
 @register("A2_csv_round_trip", oracle=CUSTOMER_SQL)
@@ -57,7 +59,6 @@ def a3(spark, d):
 @register("A4_jdbc_partitioned_read", oracle="SELECT c_custkey, c_name, c_acctbal FROM customer")
 def a4(spark, d):
     """Embedded in-memory Derby inside the Spark JVM: no server, no port."""
-    import uuid
     c = t(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
     url = f"jdbc:derby:memory:tp{uuid.uuid4().hex[:12]};create=true"
     c.write.format("jdbc").option("url", url).option("dbtable", "CUST").mode("overwrite").save()
@@ -68,6 +69,23 @@ def a4(spark, d):
                        F.col("C_ACCTBAL").alias("c_acctbal"))
 
 
+@register("A7_managed_table_append_overwrite", oracle="SELECT * FROM orders WHERE o_orderkey % 4 < 2")
+def a7(spark, d):
+    o = t(spark, d, "orders")
+    name = "a7_" + uuid.uuid4().hex
+    IO.write_table(o.where("o_orderkey % 4 = 3"), name, mode="overwrite")
+    IO.write_table(o.where("o_orderkey % 4 = 0"), name, mode="overwrite")
+    IO.write_table(o.where("o_orderkey % 4 = 1"), name, mode="append")
+    return spark.table(name)
+
+
+@register("A9_create_table_as_select", oracle="SELECT c_nationkey, COUNT(*) AS n FROM customer GROUP BY c_nationkey")
+def a9(spark, d):
+    t(spark, d, "customer").createOrReplaceTempView("a9_customer")
+    return IO.create_table_as(spark, "a9_" + uuid.uuid4().hex,
+                              "SELECT c_nationkey, COUNT(*) AS n FROM a9_customer GROUP BY c_nationkey")
+
+
 @register("A8_external_path_round_trip", oracle="SELECT * FROM lineitem")
 def a8(spark, d):
     li = t(spark, d, "lineitem")
@@ -83,7 +101,7 @@ def a10(spark, d):
     o = t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice",
                                      F.year("o_orderdate").cast("bigint").alias("y"))
     path = _dir(spark, "a10-part")
-    IO.write_path(o, path, partition_by="y", files_per_partition=2)
+    IO.write_path(o, path, partition_by="y", files_per_partition=L.n_files(o))
     return spark.read.parquet(path).filter(F.col("y") == 1997).select(
         "o_orderkey", "o_custkey", "o_totalprice", F.col("y").cast("bigint").alias("y"))
 
@@ -96,10 +114,10 @@ WHERE y <> 1996 OR o_orderkey % 2 = 0
 def a12(spark, d):
     o = t(spark, d, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").cast("bigint").alias("y"))
     path = _dir(spark, "a12-backfill")
-    IO.write_path(o, path, partition_by="y", files_per_partition=2)
+    IO.write_path(o, path, partition_by="y", files_per_partition=L.n_files(o))
     # re-run one year with corrected input (even keys only): only y=1996 is replaced
     IO.overwrite_partitions(o.filter((F.col("y") == 1996) & (F.col("o_orderkey") % 2 == 0)), path, "y",
-                            files_per_partition=2)
+                            files_per_partition=L.n_files(o))
     return spark.read.parquet(path).select("o_orderkey", "o_totalprice", F.col("y").cast("bigint").alias("y"))
 
 
@@ -151,7 +169,7 @@ def i8(spark, d):
     small = _dir(spark, "i8-small")
     li.repartition(64).write.parquet(small)                   # many small files
     out = _dir(spark, "i8-compacted")
-    L.compact(spark, small, out, target_bytes=max(1, L.total_bytes(spark, small) // 4))
+    L.compact(spark, small, out)
     return spark.read.parquet(out)
 
 
@@ -159,7 +177,7 @@ def i8(spark, d):
 def i9(spark, d):
     o = t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     path = _dir(spark, "i9-z")
-    L.zorder_write(o, ["o_custkey", "o_orderdate"], 8, path)
+    L.zorder_write(o, ["o_custkey", "o_orderdate"], L.n_files(o), path)
     return spark.read.parquet(path)
 
 
@@ -167,28 +185,39 @@ def i9(spark, d):
 def i10(spark, d):
     o = t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     path = _dir(spark, "i10-cluster")
-    L.cluster_write(o, ["o_custkey"], 8, path)
+    L.cluster_write(o, ["o_custkey"], L.n_files(o), path)
     return spark.read.parquet(path)
 
 
-@register("I11_layout_report")
+@register("I11_layout_report", oracle="""
+SELECT COUNT(*) AS n_rows, MIN(o_custkey) AS min_o_custkey, MAX(o_custkey) AS max_o_custkey,
+       MIN(datediff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE))) AS min_day,
+       MAX(datediff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE))) AS max_day FROM orders
+""")
 def i11(spark, d):
     o = t(spark, d, "orders").select("o_orderkey", "o_custkey",
                                      F.datediff(F.to_date("o_orderdate"), F.lit("1970-01-01").cast("date")).alias("day"))
     path = _dir(spark, "i11-z")
-    L.zorder_write(o, ["o_custkey", "day"], 8, path)
-    return L.layout_report(spark, path, ["o_custkey", "day"])  # one row per file: rows-only check
+    L.zorder_write(o, ["o_custkey", "day"], L.n_files(o), path)
+    report = L.layout_report(spark, path, ["o_custkey", "day"])      # one row per file: summed up, it is the table
+    return report.agg(F.sum("rows").alias("n_rows"), F.min("min_o_custkey").alias("min_o_custkey"),
+                      F.max("max_o_custkey").alias("max_o_custkey"), F.min("min_day").cast("bigint").alias("min_day"),
+                      F.max("max_day").cast("bigint").alias("max_day"))
 
 
 @register("K4_quarantine_write", oracle=f"""
-SELECT order_id, customer_id, amount, status, order_date, {REASON} AS fail_reason
-FROM {FLAGGED_SQL} f WHERE NOT ({ERR_OK})
+SELECT order_id, customer_id, amount, status, order_date,
+       CASE WHEN {ERR_OK} THEN NULL ELSE {REASON} END AS fail_reason, {ERR_OK} AS passed
+FROM {FLAGGED_SQL} f
 """)
 def k4(spark, d):
     from tidepool.plans.cat_quality import CHECKS, flagged
     base = scratch_path(spark, "k4")
     Q.write_results(flagged(spark, d), CHECKS, base + "/clean", base + "/quarantine", "2024-02-01 00:00:00")
-    return spark.read.parquet(base + "/quarantine").drop("quarantine_ts")
+    # both sides: every row is on one of them
+    bad = spark.read.parquet(base + "/quarantine").drop("quarantine_ts").withColumn("passed", F.lit(False))
+    good = spark.read.parquet(base + "/clean").withColumn("fail_reason", F.lit(None).cast("string")).withColumn("passed", F.lit(True))
+    return bad.unionByName(good)
 
 
 @register("K6_monitoring_table_append", oracle=metrics_sql(f"TIMESTAMP '{RUN_TS}'"))

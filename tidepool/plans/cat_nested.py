@@ -52,10 +52,11 @@ SELECT o_orderkey,
 FROM orders
 """)
 def h4(spark, d):
-    from pyspark.sql import Window
     o = t(spark, d, "orders")
-    first = F.min(SC.month_start("o_orderdate")).over(Window.partitionBy("o_custkey"))
-    return o.select("o_orderkey", SC.whole_months_between("o_orderdate", first).alias("months_since_first"))
+    # an aggregate joined back: a customer of any size is combined before the shuffle
+    first = o.groupBy(F.col("o_custkey").alias("_cust")).agg(F.min(SC.month_start("o_orderdate")).alias("_first"))
+    return o.join(first, F.col("o_custkey").eqNullSafe(F.col("_cust"))).select(
+        "o_orderkey", SC.whole_months_between("o_orderdate", F.col("_first")).alias("months_since_first"))
 
 
 @register("H5_text_to_timestamp_to_date", oracle="""
@@ -106,11 +107,18 @@ def h8(spark, d):
     return s.select("event_id", "value_text", dbl(SC.to_decimal("value_text")).alias("amount"))
 
 
-@register("H9_hash_bucket")
+@register("H9_hash_bucket", oracle="""
+SELECT COUNT(*) AS n_rows, 16 AS n_buckets, true AS near_even, true AS stable FROM orders
+""")
 def h9(spark, d):
-    # engines hash differently: rows-only here; tests check run-to-run stability
+    # engines hash differently, so what holds for any good hash: every bucket is used, none holds
+    # twice its share, and a key keeps its bucket
     o = t(spark, d, "orders")
-    return o.groupBy(SC.hash_bucket(16, "o_orderkey").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    per_key = o.groupBy("o_orderkey").agg(F.min(SC.hash_bucket(16, "o_orderkey")).alias("bucket"),
+                                          F.max(SC.hash_bucket(16, "o_orderkey")).alias("last"), F.count(F.lit(1)).alias("n"))
+    buckets = per_key.groupBy("bucket").agg(F.sum("n").alias("n"), F.bool_and(F.col("bucket") == F.col("last")).alias("same"))
+    return buckets.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).cast("int").alias("n_buckets"),
+                       (F.max("n") * 16 < 2 * F.sum("n")).alias("near_even"), F.bool_and("same").alias("stable"))
 
 
 @register("H10_array_size_contains", oracle=f"""

@@ -86,7 +86,9 @@ def e6(spark, d):
 SELECT o_orderkey, FIRST_VALUE(o_orderkey) OVER ({CUST_W_SQL}) AS first_order FROM orders
 """)
 def e7(spark, d):
-    return _orders(spark, d).select("o_orderkey", F.first("o_orderkey").over(_cust_w()).alias("first_order"))
+    # aggregates joined back, not a sort of each customer: a hot customer is combined before the shuffle
+    return SK.first_last(_orders(spark, d), ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderkey",
+                         first_out="first_order").select("o_orderkey", "first_order")
 
 
 @register("E8_last_value_full_frame", oracle=f"""
@@ -94,8 +96,8 @@ SELECT o_orderkey, LAST_VALUE(o_orderkey) OVER ({CUST_W_SQL}
        ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_order FROM orders
 """)
 def e8(spark, d):
-    full = _cust_w().rowsBetween(W.UNBOUNDED_PRECEDING, W.UNBOUNDED_FOLLOWING)
-    return _orders(spark, d).select("o_orderkey", F.last("o_orderkey").over(full).alias("last_order"))
+    return SK.first_last(_orders(spark, d), ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderkey",
+                         last_out="last_order").select("o_orderkey", "last_order")
 
 
 @register("E9_running_sum_count_avg", bench=True, oracle=f"""
@@ -389,3 +391,84 @@ def e18s(spark, d):
     ev = t(spark, d, "events").withColumn("pv", F.when(F.col("event_type") == "purchase", F.col("value")))
     out = SK.last_before(ev, ["user_id"], ["ts", "event_id"], "pv", "last_purchase_value")
     return out.select("event_id", "last_purchase_value")
+
+
+# The same windows over NULL keys and values: every 10th customer or user has no key, every 7th row no value.
+ORDERS_N_SQL = """(SELECT o_orderkey, o_orderdate, CASE WHEN o_custkey % 10 <> 0 THEN o_custkey END AS k,
+  CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS v FROM orders)"""
+EVENTS_N_SQL = """(SELECT event_id, ts, CASE WHEN user_id % 10 <> 0 THEN user_id END AS k,
+  CASE WHEN event_type = 'purchase' THEN value END AS v FROM events)"""
+
+
+def _orders_n(spark, d):
+    return t(spark, d, "orders").select(
+        "o_orderkey", "o_orderdate", F.when(F.col("o_custkey") % 10 != 0, F.col("o_custkey")).alias("k"),
+        F.when(F.col("o_orderkey") % 7 != 0, money("o_totalprice")).alias("v"))
+
+
+def _events_n(spark, d):
+    return t(spark, d, "events").select(
+        "event_id", "ts", F.when(F.col("user_id") % 10 != 0, F.col("user_id")).alias("k"),
+        F.when(F.col("event_type") == "purchase", F.col("value")).alias("v"))
+
+
+@register("E2n_ranks_null_keys_skew_safe", oracle=f"""
+SELECT o_orderkey, RANK() OVER (PARTITION BY k ORDER BY CAST(o_orderdate AS DATE)) AS rnk,
+       ROW_NUMBER() OVER (PARTITION BY k ORDER BY CAST(o_orderdate AS DATE), o_orderkey) AS seq
+FROM {ORDERS_N_SQL} o
+""")
+def e2n(spark, d):
+    o = _orders_n(spark, d).withColumn("day", F.to_date("o_orderdate"))
+    ranks = SK.ranked(o, ["k"], ["day"]).select("o_orderkey", F.col("rank").cast("bigint").alias("rnk"))
+    seq = SK.ranked(o, ["k"], ["day", "o_orderkey"]).select("o_orderkey", F.col("row_number").cast("bigint").alias("seq"))
+    return ranks.join(seq, "o_orderkey")
+
+
+@register("E9n_running_sum_nulls_skew_safe", oracle=f"""
+SELECT o_orderkey, CAST(SUM(v) OVER w AS DOUBLE) AS running_sum, COUNT(*) OVER w AS running_count
+FROM {ORDERS_N_SQL} o WINDOW w AS (PARTITION BY k ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+""")
+def e9n(spark, d):
+    r = SK.running_sum(_orders_n(spark, d), ["k"], ["o_orderdate", "o_orderkey"], "v", out="_s", count_out="running_count")
+    return r.select("o_orderkey", dbl("_s").alias("running_sum"), "running_count")
+
+
+@register("E10n_rolling_7_rows_nulls_skew_safe", oracle=f"""
+SELECT o_orderkey, CAST(SUM(v) OVER w AS DOUBLE) AS sum_7, COUNT(v) OVER w AS n_7, LAG(v, 2) OVER (PARTITION BY k ORDER BY o_orderdate, o_orderkey)::DOUBLE AS lag_2
+FROM {ORDERS_N_SQL} o WINDOW w AS (PARTITION BY k ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
+""")
+def e10n(spark, d):
+    def build(w):
+        f = w.rowsBetween(-6, 0)
+        return {"sum_7": dbl(F.sum("v").over(f)), "n_7": F.count("v").over(f), "lag_2": dbl(F.lag("v", 2).over(w))}
+    r = SK.bounded_frame(_orders_n(spark, d), ["k"], ["o_orderdate", "o_orderkey"], 6, 0, build)
+    return r.select("o_orderkey", "sum_7", "n_7", "lag_2")
+
+
+@register("E18n_last_value_before_row_null_keys_skew_safe", oracle=f"""
+SELECT event_id, LAST_VALUE(v IGNORE NULLS) OVER (PARTITION BY k ORDER BY ts, event_id
+       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_value
+FROM {EVENTS_N_SQL} e
+""")
+def e18n(spark, d):
+    return SK.last_before(_events_n(spark, d), ["k"], ["ts", "event_id"], "v", "last_value").select("event_id", "last_value")
+
+
+@register("E19n_sessionize_null_keys_skew_safe", oracle=f"""
+WITH g AS (
+  SELECT event_id, k, ts, LAG(ts) OVER (PARTITION BY k ORDER BY ts, event_id) AS p FROM {EVENTS_N_SQL} e)
+SELECT event_id, SUM(CASE WHEN p IS NULL OR epoch_us(ts) - epoch_us(p) > 1800000000 THEN 1 ELSE 0 END) OVER (
+       PARTITION BY k ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS session_id
+FROM g
+""")
+def e19n(spark, d):
+    return SK.sessionize(_events_n(spark, d), "k", "ts", 30 * 60, tie_cols=["event_id"]).select("event_id", "session_id")
+
+
+@register("D12n_percentiles_nulls_skew_safe", oracle=f"""
+SELECT k % 3 AS g, CAST(CAST(quantile_cont(v, 0.5) AS DECIMAL(18,4)) AS DOUBLE) AS median_v
+FROM {ORDERS_N_SQL} o GROUP BY 1
+""")
+def d12n(spark, d):
+    o = _orders_n(spark, d).select((F.col("k") % 3).alias("g"), "v")
+    return SK.percentile_cont(o, ["g"], "v", 0.5, out="_m").select("g", dbl(F.col("_m").cast("decimal(18,4)")).alias("median_v"))
