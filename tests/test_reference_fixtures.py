@@ -12,6 +12,7 @@ from tidepool.operators import quality as Q
 from tidepool.operators import windows as W
 from tidepool.plans import medallion as M
 
+# Sample rows, which must be these for the stated results.
 RAW_EVENTS = [
     ("evt-001", "ord-1001", "cust-A", "prod-X", "2", "49.99", "completed", "us-west", "2024-01-15 08:00:00"),
     ("evt-002", "ord-1002", "cust-B", "prod-Y", "1", "129.00", "completed", "us-east", "2024-01-15 09:00:00"),

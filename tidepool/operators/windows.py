@@ -151,12 +151,6 @@ def keep_latest(df: DataFrame, keys, order_cols) -> DataFrame:
     return picked.select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in rest])
 
 
-def keep_latest_window(df: DataFrame, keys, order_desc_cols) -> DataFrame:
-    """E13 as written in SQL: ROW_NUMBER() ... = 1 (sorts each key)."""
-    w = spec(keys, [F.col(c).desc() for c in _cols(order_desc_cols)])
-    return qualify(df, "_rn", F.row_number().over(w), F.col("_rn") == 1)
-
-
 # E20 ----------------------------------------------------------------------------------------
 def top_n_per_group(df: DataFrame, partition_by, order_by, n: int, fn=F.rank,
                     rank_col: str = "rnk") -> DataFrame:

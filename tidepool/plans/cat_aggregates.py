@@ -11,7 +11,7 @@ from tidepool.plans.common import dbl, money, t
 from tidepool.plans.registry import register
 
 
-@register("D1_group_aggregate", bench=True, oracle="""
+@register("D1_group_aggregate", oracle="""
 SELECT l_returnflag, l_linestatus,
        SUM(l_quantity) AS sum_qty,
        CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_base_price,

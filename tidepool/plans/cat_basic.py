@@ -251,7 +251,7 @@ def f1(spark, d):
 
 
 # F2 ---------------------------------------------------------------------------------------
-@register("F2_top_k_limit", bench=True, oracle="""
+@register("F2_top_k_limit", oracle="""
 SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem
 ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey LIMIT 25
 """)

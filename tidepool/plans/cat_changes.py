@@ -72,7 +72,7 @@ FROM {OLD_SQL} t FULL JOIN {UPD_SQL} s ON t.c_custkey = s.c_custkey
 """
 
 
-@register("I1_upsert_listed_columns", bench=True, oracle=_merge_sql(["c_acctbal"]))
+@register("I1_upsert_listed_columns", oracle=_merge_sql(["c_acctbal"]))
 def i1(spark, d):
     return CH.merge_upsert(old_snapshot(spark, d), updates(spark, d), "c_custkey", update_cols=["c_acctbal"])
 

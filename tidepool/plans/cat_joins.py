@@ -152,7 +152,7 @@ def c9(spark, d):
     return J.anti_join(o, seen, "o_orderkey")
 
 
-@register("C10_star_join", bench=True, oracle="""
+@register("C10_star_join", oracle="""
 SELECT n.n_name, p.p_type, COUNT(*) AS n_lines,
        CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2)))) AS DOUBLE) AS revenue
 FROM lineitem l

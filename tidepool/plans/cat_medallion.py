@@ -113,7 +113,7 @@ def j2(spark, d):
     return M.to_bronze(raw_all(spark, d), T2, existing=existing, partition_of=M.event_day())
 
 
-@register("J3_silver_latest_typed", bench=True, oracle=f"SELECT * FROM {silver_sql(RAW_SQL, T2)} s")
+@register("J3_silver_latest_typed", oracle=f"SELECT * FROM {silver_sql(RAW_SQL, T2)} s")
 def j3(spark, d):
     return silver_all(spark, d)
 

@@ -105,7 +105,7 @@ def k5(spark, d):
     return Q.metrics(flagged(spark, d), CHECKS, TABLE, run_ts=RUN_TS)
 
 
-@register("K5b_check_metrics_per_day", bench=True, oracle=f"SELECT * FROM {MON_SQL} m")
+@register("K5b_check_metrics_per_day", oracle=f"SELECT * FROM {MON_SQL} m")
 def k5b(spark, d):
     return monitoring(spark, d)
 

@@ -100,7 +100,7 @@ def e8(spark, d):
                          last_out="last_order").select("o_orderkey", "last_order")
 
 
-@register("E9_running_sum_count_avg", bench=True, oracle=f"""
+@register("E9_running_sum_count_avg", oracle=f"""
 SELECT o_orderkey,
   CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) OVER ({CUST_W_SQL} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running_sum,
   COUNT(*) OVER ({CUST_W_SQL} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_count,
@@ -155,7 +155,7 @@ def e12(spark, d):
     return out.select("o_orderpriority", "day", dbl("rev").alias("revenue"), dbl("_r7").alias("revenue_7d"))
 
 
-@register("E13_keep_latest_per_key", bench=True, oracle="""
+@register("E13_keep_latest_per_key", oracle="""
 SELECT o_custkey, o_orderkey, o_totalprice FROM orders
 QUALIFY ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1
 """)

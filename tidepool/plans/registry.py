@@ -17,18 +17,15 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, QueryFn] = {}
 _ORACLES: dict[str, str] = {}
-_BENCH: list[str] = []
 
 
-def register(name: str, oracle: str | None = None, bench: bool = False):
+def register(name: str, oracle: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         if name in _QUERIES:
             raise ValueError(f"query {name!r} registered twice")
         _QUERIES[name] = fn
         if oracle is not None:
             _ORACLES[name] = oracle.strip()
-        if bench:
-            _BENCH.append(name)
         return fn
     return deco
 
@@ -50,8 +47,3 @@ def queries() -> dict[str, QueryFn]:
 def oracles() -> dict[str, str]:
     _load_all()
     return dict(_ORACLES)
-
-
-def bench_queries() -> list[str]:
-    _load_all()
-    return list(_BENCH)
