@@ -37,6 +37,11 @@ def test_furniture_goes(open_, close):
     assert main_text(PAGE.format(open=open_, close=close, text=TEXT)) == EXPECTED
 
 
+def test_a_class_may_speak_of_furniture_it_holds_beside_the_text():
+    page = f"<body class=home><div class='layout has-sidebar'><div class='with-ads'><p>{TEXT}</p></div><div class=sidebar><p>{TEXT}</p></div></div>"
+    assert main_text(page) == TEXT
+
+
 def test_defined_results(spark):
     rows = [(1, "u", None, 1), (2, "u", "", 1), (3, None, "<p", 1), (None, "u", "no tags at all, just text.", 1), (5, "u", "<nav>x</nav>", 1),
             (6, "u", "<p>" + "word, " * 100_000 + "</p>", 1), (6, "u", "<p>a&nbsp;&lt;b&gt;&#233;\n\t c</p>", 1), (6, "u", "<p>a&nbsp;&lt;b&gt;&#233;\n\t c</p>", 1)]

@@ -36,9 +36,9 @@ thead tbody tfoot tr td th blockquote pre figure figcaption form fieldset legend
 summary dialog center hgroup search""".split())
 FURNITURE = set("head nav footer aside form menu dialog search fieldset".split())
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-HINT = re.compile(r"""(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|newsletter|
+HINT = re.compile(r"""(?:^|[\s_-])(?<!\bhas[_-])(?<!\bwith[_-])(?<!\bno[_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alerts?|popup|modal|newsletter|
 subscribe|subscription|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|widget|footer|masthead|topbar|toolbar|site-?header|
-page-?header|comments?|commentlist|comment-\w+|replies|respond|disqus|related|recommended|share|sharing|social|pagination|pager|
+page-?header|comments?|commentlist|comment-\w+|reply|replies|respond|responses|disqus|related|recommended|share|sharing|social|pagination|pager|
 login|signup|search)(?=$|[\s_-])""".replace("\n", ""), re.I)
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr"}, {"table"})}
