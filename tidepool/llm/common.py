@@ -40,11 +40,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(keep: int = 0) -> None:
-    """Delete the tables staged so far, but for the last ``keep``.  For a caller that has
-    written its results and holds no frame that still reads them."""
-    n = max(0, len(_STAGED) - keep)
-    done, _STAGED[:] = _STAGED[:n], _STAGED[n:]
+def staged() -> int:
+    """How many tables have been staged and not released."""
+    return len(_STAGED)
+
+
+def release(since: int = 0, keep: int = 0) -> None:
+    """Delete the tables staged after the first ``since``, but for the last ``keep``.  For
+    a caller that has written its results and holds no frame that still reads them."""
+    until = max(since, len(_STAGED) - keep)
+    done, _STAGED[since:until] = _STAGED[since:until], []
     for spark, path in done:
         p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
