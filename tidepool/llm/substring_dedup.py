@@ -1,6 +1,6 @@
-"""Operator 4: substring dedup by hashing lines (or paragraphs), cut at sentence ends.
+"""Operator 4: substring dedup by hashing lines (or paragraphs), cut at punctuation.
 
-A unit is a line or a paragraph; with ``sentences`` it is cut further after sentence
+A unit is a line or a paragraph; with ``clauses`` it is cut further after punctuation
 marks, so that a passage which starts and ends inside other lines is caught as well.
 Units are normalised (ASCII lower case, runs of white space as one space) and hashed to
 128 bits; those under ``min_words`` words are left alone.  All units with a digest form a
@@ -31,8 +31,8 @@ from tidepool.llm.common import small_batches
 from tidepool.llm.suffix_dedup import FACT_SCHEMA, TEXT_SCHEMA, _per_text
 
 MIN_WORDS = 5
-ENDS = {("line", True): re.compile(rb"[.!?]+[ \t]+|\n"), ("line", False): re.compile(rb"\n"),
-        ("paragraph", True): re.compile(rb"[.!?]+[ \t\n]+|\n[ \t]*\n"), ("paragraph", False): re.compile(rb"\n[ \t]*\n")}
+ENDS = {("line", True): re.compile(rb"[.!?,;:]+[ \t]+|\n"), ("line", False): re.compile(rb"\n"),
+        ("paragraph", True): re.compile(rb"[.!?,;:]+[ \t\n]+|\n[ \t]*\n"), ("paragraph", False): re.compile(rb"\n[ \t]*\n")}
 
 UNIT = np.dtype([("d1", "i8"), ("d2", "i8"), ("none", "i4"), ("id", "i8"), ("key", "i8"), ("n_bytes", "i8"), ("a", "i8"), ("b", "i8")])
 NAMES = list(UNIT.names)
@@ -40,10 +40,10 @@ UNIT_SCHEMA = "d1 long, d2 long, none int, id long, key long, n_bytes long, a lo
 RANK = ("b", "a", "n_bytes", "key", "id", "none")      # last first, as lexsort takes them
 
 
-def units(text: bytes, unit: str, sentences: bool, min_words: int) -> Iterator[tuple[int, int, bytes]]:
+def units(text: bytes, unit: str, clauses: bool, min_words: int) -> Iterator[tuple[int, int, bytes]]:
     """(start, end, digest) of the units of a text with enough words."""
     at = 0
-    for end in [*(m.end() for m in ENDS[unit, sentences].finditer(text)), len(text)]:
+    for end in [*(m.end() for m in ENDS[unit, clauses].finditer(text)), len(text)]:
         words = text[at:end].lower().split()
         if len(words) >= min_words:
             yield at, end, xxhash.xxh3_128_digest(b" ".join(words))
@@ -67,14 +67,14 @@ def _rows(rows: np.ndarray, removed: bool) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([cols[n] for n in NAMES], NAMES)
 
 
-def _units(unit: str, sentences: bool, min_words: int) -> Callable:
+def _units(unit: str, clauses: bool, min_words: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
             for part in small_batches([batch], 512):
                 for row in zip(*(c.to_pylist() for c in part.columns)):
                     id_, key, size, text = row
-                    mine = list(units(text, unit, sentences, min_words))
+                    mine = list(units(text, unit, clauses, min_words))
                     rows = np.zeros(len(mine), UNIT)
                     digests = np.frombuffer(b"".join(d for _, _, d in mine), "<i8").reshape(-1, 2)
                     rows["d1"], rows["d2"] = digests[:, 0], digests[:, 1]
@@ -128,14 +128,14 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def dedup_units(docs: DataFrame, row, id_col: str = "doc_id", text_col: str = "text", unit: str = "line",
-                sentences: bool = True, min_words: int = MIN_WORDS) -> DataFrame:
+                clauses: bool = True, min_words: int = MIN_WORDS) -> DataFrame:
     """(row, kept: the text's remaining bytes, removed: start and end of each removed unit, in
     order, null if there is none) of every document."""
     blob = F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b""))
     id_ = F.col(f"`{id_col}`").cast("long")
     keyed = docs.select(F.xxhash64(id_, blob).alias("key"), F.octet_length(blob).alias("n_bytes"), row.alias("row"),
                         id_.alias("id"), blob.alias("text"))
-    found = keyed.select("id", "key", "n_bytes", "text").mapInArrow(_units(unit, sentences, min_words), UNIT_SCHEMA)
+    found = keyed.select("id", "key", "n_bytes", "text").mapInArrow(_units(unit, clauses, min_words), UNIT_SCHEMA)
     later = found.repartition("d1").mapInArrow(_later, FACT_SCHEMA)
     # units that touch stay apart: each keeps its own offsets
     spans = (later.repartition("key", "n_bytes").sortWithinPartitions("key", "n_bytes")
