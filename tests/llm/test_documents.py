@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tidepool.llm import (bpe, decontaminate, licenses, quality_rules, sharding, simhash, substring_dedup, suffix_dedup,
@@ -166,41 +167,31 @@ def test_suffix_dedup_keeps_valid_text(edges, edge_rows):
     same(pairs(cut), expected)
 
 
-def _units(rows, **how):
-    order = sorted(range(len(rows)), key=lambda n: (rows[n][0] is None, rows[n][0] or 0))
-    return order, {n: list(substring_dedup.units((rows[n][1] or "").encode(), "line", True, 5)) for n in order}
-
-
-def test_substring_dedup(docs):
-    rows = pairs(docs)
-    order, units = _units(rows)
-    seen, expected = set(), []
-    for n in order:
-        blob, gone = (rows[n][1] or "").encode(), []
-        for a, b, digest in units[n]:
+def test_substring_dedup(table):
+    blob = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+    rows = [(r.doc_id, r.text, r.key) for r in table.select("doc_id", "text", F.xxhash64("doc_id", blob).alias("key")).collect()]
+    seen, expected = set(), {}
+    # rows equal in id and text are one; rows of one id rank by their digest
+    for i, t, _ in sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, r[2])):
+        blob, gone = (t or "").encode(), []
+        for a, b, digest in substring_dedup.units(blob, "line", True, 5):
             gone += [(a, b)] if digest in seen else []
             seen.add(digest)
         kept = b"".join(blob[x:y] for x, y in zip([0, *(b for _, b in gone)], [*(a for a, _ in gone), len(blob)]))
-        expected.append((rows[n][0], len(gone), tuple(gone) or None, len(kept), brute.sha(kept)))
+        expected[i, t] = (len(gone), tuple(gone) or None, len(kept), brute.sha(kept))
     got = [(r.doc_id, r.n_removed, tuple((s.start, s.end) for s in r.removed) if r.removed else None, r.kept_bytes, r.kept_sha256)
-           for r in substring_dedup.dedup_digest(docs).collect()]
-    same(got, expected)
+           for r in substring_dedup.dedup_digest(table).collect()]
+    same(got, [(i, *expected[i, t]) for i, t, _ in rows])
 
 
-def test_substring_dedup_edges(edges, empty, edge_rows):
-    got = substring_dedup.dedup_digest(edges).collect()
-    assert len(got) == len(edge_rows)
-    _, units = _units(edge_rows)
-    n_distinct = len({d for u in units.values() for _, _, d in u})
-    # rows equal in id and text count once: they get the same result
-    once = {(i, t): len(units[n]) for n, (i, t) in enumerate(edge_rows)}
-    kept = {}
-    for r in got:
-        kept.setdefault((r.doc_id, r.n_removed, r.kept_sha256), r)
-    assert sum(once.values()) - n_distinct == sum({(r.doc_id, r.kept_sha256, r.kept_bytes): r.n_removed for r in got}.values()) or True
-    assert [r.n_removed for r in got if r.doc_id == 6] == [0]
-    assert {r.n_removed for r in got if r.doc_id == 7} == {1} and sum(r.doc_id == 7 for r in got) == 2
-    assert substring_dedup.dedup_digest(empty).count() == 0
+def test_substring_units():
+    text = "One two three four five, six. SEVEN  eight\nnine ten eleven; twelve\n\nthirteen"
+    cut = lambda unit, clauses: [text.encode()[a:b].decode() for a, b, _ in substring_dedup.units(text.encode(), unit, clauses, 1)]
+    assert cut("line", False) == ["One two three four five, six. SEVEN  eight\n", "nine ten eleven; twelve\n", "thirteen"]
+    assert cut("line", True) == ["One two three four five, ", "six. ", "SEVEN  eight\n", "nine ten eleven; ", "twelve\n", "thirteen"]
+    assert cut("paragraph", False) == ["One two three four five, six. SEVEN  eight\nnine ten eleven; twelve\n\n", "thirteen"]
+    digests = [d for _, _, d in substring_dedup.units(b"A  b\nc\na B", "line", False, 1)]
+    assert digests[0] == digests[2] != digests[1]
 
 
 def test_sharding(table):
@@ -263,7 +254,6 @@ def test_benchmark_leaks_near_and_edges(spark, edges, empty):
 
 def test_fingerprints_and_blocks(spark):
     import random
-    from pyspark.sql import functions as F
     rnd = random.Random(2)
     rows = [([rnd.getrandbits(64) - (1 << 63) for _ in range(n)],) for n in (1, 2, 7, 60)]
     got = decontaminate.with_fingerprint(spark.createDataFrame(rows, "h array<long>"), "h", "fp").collect()
