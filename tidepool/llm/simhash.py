@@ -272,10 +272,11 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "
     prints = fingerprints(docs, shingle, id_col, text_col, row.alias("row"))
     best = (label(prints, radius).groupBy("root")
             .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("k")))
-    best = stage(best.select(F.col("k.id").alias("__id"), F.col("k.row").alias("__row")), "llm-best")
-    keyed = docs.withColumns({"__id2": F.col(f"`{id_col}`").cast("long"), "__row2": row})
-    kept = keyed.join(best.hint("merge"), F.col("__id2").eqNullSafe(F.col("__id")) & (F.col("__row2") == F.col("__row")))
-    return kept.dropDuplicates(["__id2", "__row2"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # One pair of keys, never null, for the join and for the last step: the texts move once.
+    keys = ["__id", "__row"]
+    best = stage(best.select(F.coalesce("k.id", F.lit(0)).alias("__id"), F.col("k.row").alias("__row")), "llm-best")
+    keyed = docs.withColumns({"__id": F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(0)), "__row": row})
+    return keyed.join(best.hint("merge"), keys).dropDuplicates(keys).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_duplicate_digest(docs: DataFrame) -> DataFrame:
