@@ -81,24 +81,29 @@ def merge_cdc(target: DataFrame, source: DataFrame, keys, delete_when: Column,
     return j.filter(keep).select(*keys, *out).select(*target.columns)
 
 
-def scd2(changes: DataFrame, keys, ts_col: str, tracked=None) -> DataFrame:
+def scd2(changes: DataFrame, keys, ts_col: str, tracked=None, skew_safe: bool = False) -> DataFrame:
     """I4: type-2 history from change records ``(keys, attrs..., ts)``.
 
     Records that repeat the previous version of their key (same tracked
     attributes) are dropped; each kept version gets ``valid_from`` (its ts),
     ``valid_to`` (the next version's ts, NULL when open) and ``is_current``.
+    With ``skew_safe`` a key with very many records is split into chunks.
     """
     keys = _keys(keys)
     attrs = [c for c in changes.columns if c not in keys and c != ts_col]
     tracked = attrs if tracked is None else list(tracked)
-    w = Window.partitionBy(*keys).orderBy(ts_col)
-    prev = F.lag(F.struct(*tracked)).over(w)
-    changed = prev.isNull() | ~(prev.eqNullSafe(F.struct(*tracked)))
-    versions = changes.withColumn("_chg", changed).filter("_chg").drop("_chg")
-    w2 = Window.partitionBy(*keys).orderBy(ts_col)
-    nxt = F.lead(ts_col).over(w2)
-    return versions.select(*keys, *attrs, F.col(ts_col).alias("valid_from"), nxt.alias("valid_to"),
-                           nxt.isNull().alias("is_current"))
+    def framed(df: DataFrame, before: int, after: int, build) -> DataFrame:
+        if skew_safe:
+            from tidepool.operators.skew import bounded_frame
+            return bounded_frame(df, keys, [ts_col], before, after, build)
+        return df.select("*", *[c.alias(n) for n, c in build(Window.partitionBy(*keys).orderBy(ts_col)).items()])
+
+    now = F.struct(*tracked)
+    before = framed(changes, 1, 0, lambda w: {"_prev": F.lag(now).over(w)})
+    versions = before.filter(F.col("_prev").isNull() | ~F.col("_prev").eqNullSafe(now)).drop("_prev")
+    after = framed(versions, 0, 1, lambda w: {"valid_to": F.lead(ts_col).over(w)})
+    return after.select(*keys, *attrs, F.col(ts_col).alias("valid_from"), "valid_to",
+                        F.col("valid_to").isNull().alias("is_current"))
 
 
 def as_of(history: DataFrame, keys, version_col: str, version, deleted_col: str | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.session import estimated_bytes
+from tidepool.session import input_bytes
 
 
 def total_bytes(spark: SparkSession, path: str) -> int:
@@ -25,10 +25,10 @@ def total_bytes(spark: SparkSession, path: str) -> int:
 
 
 def n_files(df: DataFrame, target_bytes: int = 128 * 1024 * 1024) -> int:
-    """Files of about ``target_bytes`` for a frame, by the planner's estimate
-    of its size, and at least one a core, so that a small table is written
-    in parallel too."""
-    return max(df.sparkSession.sparkContext.defaultParallelism, -(-estimated_bytes(df) // target_bytes))
+    """Files of about ``target_bytes`` for a frame, by the bytes its plan
+    reads, and at least one a core, so that a small table is written in
+    parallel too."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-input_bytes(df) // target_bytes))
 
 
 # I8 ---------------------------------------------------------------------------------------

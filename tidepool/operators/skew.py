@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.session import estimated_bytes, materialize
+from tidepool.session import input_bytes, materialize
 
 CHUNK = "_chunk"
 
@@ -45,18 +45,13 @@ def _names(cols):
 
 
 def default_chunks(df: DataFrame) -> int:
-    """At least as many chunks as shuffle partitions, and as the planner's
-    estimate of the frame's bytes has splits of
+    """At least as many chunks as shuffle partitions, and as the bytes that
+    the frame's plan reads have splits of
     ``spark.sql.files.maxPartitionBytes``.  Read from the plan: no job runs."""
     conf = df.sparkSession.conf
     shuffle = int(conf.get("spark.sql.shuffle.partitions"))
     split = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    return max(shuffle, min(-(-estimated_bytes(df) // split), MAX_CHUNKS))
-
-
-# The estimate multiplies the sides of a join, so it can be far too large;
-# beyond this many chunks their offsets would cost more than they save.
-MAX_CHUNKS = 20_000
+    return max(shuffle, -(-input_bytes(df) // split))
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:

@@ -107,7 +107,7 @@ def i3(spark, d):
 T1, T2 = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
 
 
-@register("I4_scd2_history", oracle=f"""
+SCD2_SQL = f"""
 WITH ch AS (
   SELECT *, DATE '2024-01-01' AS ts FROM {OLD_SQL}
   UNION ALL SELECT *, DATE '2024-02-01' AS ts FROM {NEW_SQL}),
@@ -123,13 +123,23 @@ SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, ts AS valid_from
        LEAD(ts) OVER (PARTITION BY c_custkey ORDER BY ts) AS valid_to,
        LEAD(ts) OVER (PARTITION BY c_custkey ORDER BY ts) IS NULL AS is_current
 FROM v
-""")
+"""
+
+
+@register("I4_scd2_history", oracle=SCD2_SQL)
 def i4(spark, d):
     ch = (old_snapshot(spark, d).withColumn("ts", F.lit(T1))
           .unionByName(new_snapshot(spark, d).withColumn("ts", F.lit(T2))))
     return CH.scd2(ch, "c_custkey", "ts")
 
 
+@register("I4s_scd2_history_skew_safe", oracle=SCD2_SQL)
+def i4s(spark, d):
+    ch = (old_snapshot(spark, d).withColumn("ts", F.lit(T1))
+          .unionByName(new_snapshot(spark, d).withColumn("ts", F.lit(T2))))
+    return CH.scd2(ch, "c_custkey", "ts", skew_safe=True)
+
+
 def history(spark, d):
     """Row-version history: version 1 loads the old snapshot, version 2
     upserts the updates and tombstones the deleted keys."""
