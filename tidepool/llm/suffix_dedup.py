@@ -13,7 +13,9 @@ every window of the run; those that agree on the first alone may repeat some.
 Each task takes its share of the suffixes in batches as they arrive.  A batch becomes
 a sorted array, levels of equal size merge (1, 2, 4 .. batches), so that every suffix
 is merged a logarithmic number of times, and the last merge is scanned for neighbours
-that agree.
+that agree.  Suffixes are dealt by both digests first, then one row of an anchor from
+each task by the anchor alone, so a passage that a third of all texts share is no task
+of its own.
 
 Runs that may repeat in part are settled in a second round.  Their window starts are
 cut into buckets of eight at fixed distances from the sampled place; the windows of a
@@ -49,6 +51,7 @@ LENGTH = 200
 ANCHOR = 64
 BUCKET = 8
 PIECE = 2 << 20     # bytes of text hashed at a time
+HELD = 1 << 20      # suffixes that a scan task compares before it sends them
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -149,12 +152,28 @@ def _spot(start, last, place):
 SUFFIX_SCHEMA = "k1 long, k2 long, times int, key long, n_bytes int, spot long"
 
 
+def _one_of_each(k1, k2, key, size, spot) -> pa.RecordBatch:
+    """Suffixes that agree on both digests as one row with ``times`` 2; the others of them
+    as known repeats (k2 null, dealt by their text), once for copies of a text."""
+    order = np.lexsort((spot, key, k2, k1))
+    same = np.r_[False, (k1[order][1:] == k1[order][:-1]) & (k2[order][1:] == k2[order][:-1])]
+    copy = np.r_[False, (key[order][1:] == key[order][:-1]) & (spot[order][1:] == spot[order][:-1])] & same
+    heads = np.flatnonzero(~same)
+    times = np.minimum(np.diff(np.r_[heads, len(order)]), 2).astype(np.int32)
+    out, rest = order[heads], order[same & ~copy]
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.r_[k1[out], key[rest]]),
+        pa.array(np.r_[k2[out], key[rest]], mask=np.r_[np.zeros(len(out), bool), np.ones(len(rest), bool)]),
+        pa.array(np.r_[times, np.full(len(rest), 2, np.int32)]),
+        pa.array(key[np.r_[out, rest]]), pa.array(size[np.r_[out, rest]].astype(np.int32)), pa.array(spot[np.r_[out, rest]])],
+        ["k1", "k2", "times", "key", "n_bytes", "spot"])
+
+
 def _suffixes(length: int, anchor: int) -> Callable:
-    """Rows (key, n_bytes, text) to sampled suffixes.  Suffixes that agree on both digests
-    within a piece leave as one row with ``times`` 2; the others of them leave as known
-    repeats (k2 null, dealt by their text)."""
+    """Rows (key, text) to sampled suffixes, equal ones of up to HELD rows as one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(PIECE + length)
+        held, n = [], 0
         for rows, whole, sizes, base, _, _, data in _pieces(batches, 0, length - 1):
             hasher.load(data)
             ends = np.cumsum(sizes)
@@ -164,27 +183,15 @@ def _suffixes(length: int, anchor: int) -> Callable:
             k1 = hasher.of(place, place + anchor)
             k2 = hasher.of(first, last + length) ^ _mix((place - first << 8 | last - first).astype(np.uint64))
             text = np.searchsorted(ends, first, "right")
-            key = rows.column(0).to_numpy()[text]
             shift = (ends - sizes - base)[text]
-            spot = _spot(first - shift, last - shift, place - shift)
-            order = np.lexsort((k2, k1))
-            same = np.r_[False, (k1[order][1:] == k1[order][:-1]) & (k2[order][1:] == k2[order][:-1])]
-            times = np.ones(len(order), np.int32)
-            times[np.flatnonzero(same) - 1] = 2
-            # of agreeing rows the first goes on for all; it may not be the one marked, so carry the mark to it
-            heads = np.flatnonzero(~same)
-            times = np.maximum.reduceat(times, heads) if len(heads) else times[:0]
-            out = order[heads]
-            rest = order[np.flatnonzero(same)]
-            k1, k2 = k1.view(np.int64), k2.view(np.int64)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.r_[k1[out], key[rest]]),
-                pa.array(np.r_[k2[out], np.zeros(len(rest), np.int64)], mask=np.r_[np.zeros(len(out), bool), np.ones(len(rest), bool)]),
-                pa.array(np.r_[times, np.full(len(rest), 2, np.int32)]),
-                pa.array(np.r_[key[out], key[rest]]),
-                pa.array(whole[text][np.r_[out, rest]].astype(np.int32)),
-                pa.array(np.r_[spot[out], spot[rest]])],
-                ["k1", "k2", "times", "key", "n_bytes", "spot"])
+            held.append((k1.view(np.int64), k2.view(np.int64), rows.column(0).to_numpy()[text], whole[text],
+                         _spot(first - shift, last - shift, place - shift)))
+            n += len(place)
+            if n >= HELD:
+                yield _one_of_each(*map(np.concatenate, zip(*held)))
+                held, n = [], 0
+        if held:
+            yield _one_of_each(*map(np.concatenate, zip(*held)))
     return run
 
 
@@ -229,34 +236,72 @@ def _in_part(rows: np.ndarray) -> pa.RecordBatch:
     return _facts(rows, rows["spot"], np.full(len(rows), -1))
 
 
-def _scan_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Facts of one task's suffixes: runs that repeat whole, and runs that may repeat in
-    part, with one of each whole repeat that they may share bytes with."""
-    levels = Levels(("k1", "k2"))
+CONTEXT_SCHEMA = "k1 long, open int, " + FACT_SCHEMA
+
+
+def _scan_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All suffixes of each context (k1, k2) of one task.  Runs of a context that occurs
+    twice repeat whole: facts.  Of the other runs, those of an anchor (k1) that has several
+    contexts in this task may repeat in part: facts too, and one row (open 0) tells the rest
+    of the anchor's contexts.  An anchor's only context here goes on to meet the others
+    (open 1).  So an anchor of any number of contexts is one row a task afterwards."""
+    def rows_out(facts: pa.RecordBatch, k1, open_=None) -> pa.RecordBatch:
+        n = facts.num_rows
+        opened = pa.nulls(n, pa.int32()) if open_ is None else pa.array(np.full(n, open_, np.int32))
+        return pa.RecordBatch.from_arrays([pa.array(k1), opened, *facts.columns], ["k1", "open", *facts.schema.names])
+
+    levels = Levels(("k1", "k2", "key", "spot"))
     for batch in batches:
         rows = np.empty(batch.num_rows, SUFFIX)
         known = np.asarray(batch.column(1).is_null())
         for i, c in enumerate(batch.schema.names):
             rows[c] = batch.column(i).fill_null(0).to_numpy()
         if known.any():
-            yield _known(rows[known])
+            yield rows_out(_known(rows[known]), rows["key"][known])
         levels.add(rows[~known])
     rows = levels.all()
     if rows is None or not len(rows):
         return
     new1 = np.r_[True, rows["k1"][1:] != rows["k1"][:-1]]
     new2 = new1 | np.r_[True, rows["k2"][1:] != rows["k2"][:-1]]
+    new_place = new2 | np.r_[True, (rows["key"][1:] != rows["key"][:-1]) | (rows["spot"][1:] != rows["spot"][:-1])]
     anchor, context = np.cumsum(new1) - 1, np.cumsum(new2) - 1
-    times = np.bincount(context, rows["times"])
-    contexts = np.bincount(anchor[new2])                # different contexts of each anchor
-    whole = (times > 1)[context]
-    shared = (contexts > 1)[anchor]
-    single = shared & ~whole
-    beside = np.bincount(anchor, single)[anchor] > 0     # whole repeats that a single run stands beside
+    whole = (np.bincount(context, rows["times"]) > 1)[context]
+    several = (np.bincount(anchor[new2]) > 1)[anchor]
     for at in range(0, len(rows), 1 << 16):
         part = slice(at, at + (1 << 16))
-        yield _known(rows[part][whole[part]])
-        yield _in_part(rows[part][single[part] | (whole & beside & new2)[part]])
+        r, is_whole, is_several, first1, first2 = rows[part], whole[part], several[part], new1[part], new2[part]
+        known = is_whole & new_place[part]          # copies of a text name the same place: once
+        yield rows_out(_known(r[known]), r["key"][known])
+        in_part = r[is_several & first2]            # one run of each context, whole or not
+        yield rows_out(_in_part(in_part), in_part["key"])
+        told, alone = r[is_several & first1], r[~is_several & first2]
+        yield rows_out(_in_part(told), told["k1"], 0)
+        yield rows_out(_in_part(alone), alone["k1"], 1)
+
+
+ANCHOR_ROW = np.dtype([("k1", "i8"), ("open", "i4"), ("n_bytes", "i4"), ("key", "i8"), ("a", "i8"), ("b", "i8")])
+
+
+def _scan_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The contexts of each anchor that were alone in their task: those with others beside
+    them may repeat in part.  Facts pass through."""
+    levels = Levels(("k1",))
+    for batch in batches:
+        fact = np.asarray(batch.column(1).is_null())
+        yield pa.RecordBatch.from_arrays([c.filter(pa.array(fact)) for c in batch.columns[2:]], ["key", "n_bytes", "a", "b"])
+        rows = np.empty(batch.num_rows, ANCHOR_ROW)
+        for i, c in enumerate(batch.schema.names):
+            rows[c] = batch.column(i).fill_null(0).to_numpy()
+        levels.add(rows[~fact])
+    rows = levels.all()
+    if rows is None or not len(rows):
+        return
+    anchor = np.cumsum(np.r_[True, rows["k1"][1:] != rows["k1"][:-1]]) - 1
+    rows = rows[(np.bincount(anchor) > 1)[anchor] & (rows["open"] == 1)]
+    for at in range(0, len(rows), 1 << 16):
+        r = rows[at:at + (1 << 16)]
+        yield _facts(r, r["a"], r["b"])
 
 
 def _per_text(reach: int) -> Callable:
@@ -379,7 +424,8 @@ def cuts(docs: DataFrame, row, text_col: str, length: int = LENGTH, anchor: int
     blob = F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b""))
     keyed = docs.select(F.xxhash64(blob).alias("key"), F.octet_length(blob).alias("n_bytes"), row.alias("row"), blob.alias("text"))
     suffixes = keyed.select("key", "text").mapInArrow(_suffixes(length, anchor), SUFFIX_SCHEMA)
-    facts = suffixes.repartition("k1").mapInArrow(_scan_suffixes, FACT_SCHEMA)
+    contexts = suffixes.repartition("k1", "k2").mapInArrow(_scan_contexts, CONTEXT_SCHEMA)
+    facts = contexts.repartition("k1").mapInArrow(_scan_anchors, FACT_SCHEMA)
 
     def by_text(facts, reach):
         return (facts.repartition("key", "n_bytes").sortWithinPartitions("key", "n_bytes")
