@@ -194,6 +194,17 @@ def test_substring_units():
     assert digests[0] == digests[2] != digests[1]
 
 
+def test_a_repeated_line_goes_whole(spark):
+    short, mixed, tiny = "a, b c, d e. f g\n", "Yes, one two three four five six; no, never. Seven eight nine ten eleven, \n", "ok\n"
+    other = "Yes, one two three four five six; but no.\n"
+    rows = [(1, short + mixed + tiny), (2, "new " + tiny + "A,  B c,\x0bd E. f g\t\n" + mixed.upper() + tiny + other + "\n"), (3, "ok")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.row: r.kept.decode() for r in substring_dedup.dedup_units(df, F.col("doc_id")).collect()}
+    assert kept == {1: rows[0][1], 2: "new ok\nYes, but no.\n\n", 3: ""}
+    kept = {r.row: r.kept.decode() for r in substring_dedup.dedup_units(df, F.col("doc_id"), clauses=False).collect()}
+    assert kept == {1: rows[0][1], 2: "new ok\n" + other + "\n", 3: ""}
+
+
 def test_sharding(table):
     rows = pairs(table)
     got = sharding.shard_digest(table).collect()

@@ -3,7 +3,13 @@
 A unit is a line or a paragraph; with ``clauses`` it is cut further after punctuation
 marks, so that a passage which starts and ends inside other lines is caught as well.
 Units are normalised (ASCII lower case, runs of white space as one space) and hashed to
-128 bits; those under ``min_words`` words are left alone.  All units with a digest form a
+128 bits.  Clauses under ``min_words`` words count only with their line: what lies between
+the longer clauses is a unit named by the digest of the whole line and its place there.  So
+a repeat of a line goes whole, whatever its words, and from other lines only longer clauses
+go.  (A repeat of a line has an earlier line with all of its clauses, so to remove lines
+first and clauses of the others after gives the same.)
+
+All units with a digest form a
 group; the earliest ranked occurrence stays, by (id, then text digest, then offset; null
 ids last), and the rest are removed, their byte offsets in the original text retained.
 
@@ -31,8 +37,8 @@ from tidepool.llm.common import small_batches
 from tidepool.llm.suffix_dedup import FACT_SCHEMA, TEXT_SCHEMA, _per_text
 
 MIN_WORDS = 5
-ENDS = {("line", True): re.compile(rb"[.!?,;:]+[ \t]+|\n"), ("line", False): re.compile(rb"\n"),
-        ("paragraph", True): re.compile(rb"[.!?,;:]+[ \t\n]+|\n[ \t]*\n"), ("paragraph", False): re.compile(rb"\n[ \t]*\n")}
+WHOLE = {"line": re.compile(rb"\n"), "paragraph": re.compile(rb"\n[ \t]*\n")}
+CLAUSE = re.compile(rb"[.!?,;:]+\s+")
 
 UNIT = np.dtype([("d1", "i8"), ("d2", "i8"), ("none", "i4"), ("id", "i8"), ("key", "i8"), ("n_bytes", "i8"), ("a", "i8"), ("b", "i8")])
 NAMES = list(UNIT.names)
@@ -41,13 +47,26 @@ RANK = ("b", "a", "n_bytes", "key", "id", "none")      # last first, as lexsort
 
 
 def units(text: bytes, unit: str, clauses: bool, min_words: int) -> Iterator[tuple[int, int, bytes]]:
-    """(start, end, digest) of the units of a text with enough words."""
+    """(start, end, digest) of the units of a text; together they are all its lines (or paragraphs) with a word."""
     at = 0
-    for end in [*(m.end() for m in ENDS[unit, clauses].finditer(text)), len(text)]:
-        words = text[at:end].lower().split()
-        if len(words) >= min_words:
-            yield at, end, xxhash.xxh3_128_digest(b" ".join(words))
-        at = end
+    for end in [*(m.end() for m in WHOLE[unit].finditer(text)), len(text)]:
+        start, at = at, end
+        words = text[start:end].lower().split()
+        if not words:
+            continue
+        whole = b" ".join(words)
+        parts = []          # [start, end, words, or None for a run of short clauses]
+        a = start
+        for b in [*(m.end() for m in CLAUSE.finditer(text, start, end)), end] if clauses else [end]:
+            clause = text[a:b].lower().split()
+            if parts and (not clause or len(clause) < min_words and parts[-1][2] is None):
+                parts[-1][1] = b
+            elif a < b:
+                parts.append([a, b, clause if len(clause) >= min_words else None])
+            a = b
+        for i, (a, b, clause) in enumerate(parts):
+            # a line break cannot be in normalised words, so no clause has the digest of a run
+            yield a, b, xxhash.xxh3_128_digest(b" ".join(clause) if clause is not None else b"%d\n%b" % (i, whole))
 
 
 def _first_of_each(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
