@@ -42,6 +42,24 @@ def test_a_class_may_speak_of_furniture_it_holds_beside_the_text():
     assert main_text(page) == TEXT
 
 
+ITEMS = [f"Item {i} of the list, as long as items are in a list like this." for i in range(10)]
+LIST = "<ul>" + "".join(f"<li>{x}" for x in ITEMS) + "</ul>"
+CARD = "<article class=card><p>A teaser, short, of some other page.</p></article>"
+NODES = {
+    "list": (f"<div class=post><h1>Head</h1><p>{TEXT}</p><p>{TEXT}</p><p>{TEXT}</p>{LIST}</div>", ["Head", TEXT, TEXT, TEXT, *ITEMS]),
+    "two parts": (f"<div class=intro><p>{TEXT}</p><p>{TEXT}</p></div><div class=body>" + f"<p>{TEXT}</p>" * 3 + "</div>", [TEXT] * 5),
+    "quote": (f"<div class=post><p>{TEXT}</p><blockquote><p>{TEXT}</p><p>{TEXT}</p></blockquote></div>", [TEXT] * 3),
+    "teasers": (f"<div class=story><p>{TEXT}</p><p>{TEXT}</p></div>{CARD}{CARD}", [TEXT, TEXT, *["A teaser, short, of some other page."] * 2]),
+}
+
+
+@pytest.mark.parametrize("name", NODES)
+def test_node_holds_all_content(name):
+    page, lines = NODES[name]
+    menu = "<div><ul><li><a href=/>Home</a><li><a href=/x>More of it</a></ul></div>"
+    assert main_text(f"<html><body>{menu}{page}{menu}</body></html>") == "\n".join(lines)
+
+
 def test_defined_results(spark):
     rows = [(1, "u", None, 1), (2, "u", "", 1), (3, None, "<p", 1), (None, "u", "no tags at all, just text.", 1), (5, "u", "<nav>x</nav>", 1),
             (6, "u", "<p>" + "word, " * 100_000 + "</p>", 1), (6, "u", "<p>a&nbsp;&lt;b&gt;&#233;\n\t c</p>", 1), (6, "u", "<p>a&nbsp;&lt;b&gt;&#233;\n\t c</p>", 1)]

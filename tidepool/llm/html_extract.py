@@ -4,8 +4,9 @@ A page is read into blocks (text between block-level tags), each with its tag pa
 the root, inline tags left out.  Per path: characters outside links and punctuation marks
 per block.  The two ratios are smoothed over neighbouring blocks in page order and fused
 (product); paths whose fused mean is above a threshold are content.  The content node is
-the lowest element that holds most of that text, an ``article`` or ``main`` if there is
-one; its blocks are the result, short ones too, as long as they are not mostly links.
+the lowest container above all of them, or the ``article`` or ``main`` elements if those
+hold most of their text.  All blocks below it are the result, short ones too, as long as they
+are not mostly links.
 
 Elements that are page furniture by their tag, role, class or id (menus, headers and
 footers, side bars, notices, adverts, forms, reader comments) weigh nothing.
@@ -40,6 +41,9 @@ HINT = re.compile(r"""(?:^|[\s_-])(?<!\bhas[_-])(?<!\bwith[_-])(?<!\bno[_-])(?:a
 subscribe|subscription|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|widget|footer|masthead|topbar|toolbar|site-?header|
 page-?header|comments?|commentlist|comment-\w+|reply|replies|respond|responses|disqus|related|recommended|share|sharing|social|pagination|pager|
 login|signup|search)(?=$|[\s_-])""".replace("\n", ""), re.I)
+# Elements that are parts of a text and never the node that holds it.
+PARTS = set("""p ul ol li dl dt dd menu table caption thead tbody tfoot tr td th blockquote pre xmp figure figcaption legend
+h1 h2 h3 h4 h5 h6 hr address summary hgroup""".split())
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr"}, {"table"})}
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*?>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>"
@@ -49,20 +53,26 @@ PUNCTUATION = re.compile(r"[.,;:!?、。，…]")
 SMOOTH = np.array([1, 2, 4, 2, 1]) / 10
 
 
-def _element(tag: str, attrs: str, stack: list) -> tuple[str, bool]:
-    """The path step of a start tag, and whether it is page furniture."""
+def _name(step: str) -> str:
+    return step.split(".")[0]
+
+
+def _element(tag: str, attrs: str, stack: list) -> tuple[str, bool, tuple]:
+    """The path step of a start tag, whether its tag or role is page furniture, and the names that hint at it."""
     named = {k.lower(): a or b or c for k, a, b, c in ATTR.findall(attrs)} if "=" in attrs else {}
     furniture = tag in FURNITURE or named.get("role", "").lower() in ROLES
     if tag == "header":      # of the page, unless an article has its own
-        furniture |= not any(step.split(".")[0] in ("article", "main") for step, _ in stack)
+        furniture |= not any(_name(step) in ("article", "main") for step, _, _ in stack)
+    hints = ()
     if tag not in ("html", "body", "article", "main"):
-        furniture |= any(HINT.search(named.get(k, "")) for k in ("class", "id"))
-    return tag + ("." + named["class"] if named.get("class") else ""), furniture
+        hints = tuple(x for k in ("class", "id") for x in named.get(k, "").split() if HINT.search(x))
+    return tag + ("." + named["class"] if named.get("class") else ""), furniture, hints
 
 
-def blocks(page: str) -> list[tuple[tuple, bool, str, int]]:
-    """(path, furniture, text, characters in links) of each block with text, in page order."""
-    out, stack, pieces = [], [], []       # stack: (step, furniture from here down)
+def blocks(page: str) -> list[tuple[tuple, bool, tuple, str, int]]:
+    """(path, furniture by tag or role, hinting names of each element above, text, characters in links) of each
+    block with text, in page order."""
+    out, stack, pieces = [], [], []       # stack: (step, furniture from here down, hints from here up)
     links = at = 0
     in_link = False
 
@@ -71,18 +81,23 @@ def blocks(page: str) -> list[tuple[tuple, bool, str, int]]:
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
-                out.append((("#", *(s for s, _ in stack)), bool(stack and stack[-1][1]), text, min(links, len(text))))
+                out.append((("#", *(s for s, _, _ in stack)), *(stack[-1][1:] if stack else (False, ())), text, min(links, len(text))))
         pieces, links = [], 0
 
     def close(tags: set, stop: set = frozenset()) -> None:
         for i in range(len(stack) - 1, -1, -1):
-            name = stack[i][0].split(".")[0]
+            name = _name(stack[i][0])
             if name in tags:
                 del stack[i:]
                 return
             if name in stop:
                 return
 
+    def push(tag: str, attrs: str) -> None:
+        step, furniture, hints = _element(tag, attrs, stack)
+        _, within, above = stack[-1] if stack else ("", False, ())
+        stack.append((step, furniture or within, (*above, hints) if hints else above))
+
     for m in TAG.finditer(page):
         if m.start() > at:
             piece = page[at:m.start()]
@@ -102,50 +117,57 @@ def blocks(page: str) -> list[tuple[tuple, bool, str, int]]:
             if m["end"]:
                 close({tag})
             elif tag not in VOID:
-                if stack and stack[-1][0].split(".")[0] == "p":
+                if stack and _name(stack[-1][0]) == "p":
                     stack.pop()
                 if tag in CLOSES:
                     close(*CLOSES[tag])
-                step, furniture = _element(tag, m["attrs"] or "", stack)
-                stack.append((step, furniture or bool(stack and stack[-1][1])))
+                push(tag, m["attrs"] or "")
     if at < len(page):
         pieces.append(page[at:])
     flush()
     return out
 
 
+def _usable(found: list) -> list[bool]:
+    """For each block whether no element above it is page furniture."""
+    return [not furniture and not hints for _, furniture, hints, _, _ in found]
+
+
 def main_text(page: str, threshold: float = 0.25) -> str:
     found = blocks(page)
-    usable = [not furniture for _, furniture, _, _ in found]
+    usable = _usable(found)
     if not any(usable):
         return ""
-    plain = np.array([len(text) - link if ok else 0 for (_, _, text, link), ok in zip(found, usable)], float)
-    marks = np.array([len(PUNCTUATION.findall(text)) if ok else 0 for (_, _, text, _), ok in zip(found, usable)], float)
+    plain = np.array([len(text) - link if ok else 0 for (*_, text, link), ok in zip(found, usable)], float)
+    marks = np.array([len(PUNCTUATION.findall(text)) if ok else 0 for (*_, text, _), ok in zip(found, usable)], float)
     paths = defaultdict(list)
     for i, (path, *_) in enumerate(found):
-        paths[path].append(i)
+        if usable[i]:
+            paths[path].append(i)
     text_ratio, mark_ratio = np.zeros(len(found)), np.zeros(len(found))
     for at in paths.values():
         text_ratio[at], mark_ratio[at] = plain[at].mean(), marks[at].mean()
     smooth = lambda x: np.convolve(np.pad(x, 2, mode="edge"), SMOOTH, "valid")
     fused = smooth(text_ratio) * (1 + smooth(mark_ratio))
     limit = threshold * np.average(fused, weights=plain) if plain.any() else 0
+    content = [path for path, at in paths.items() if fused[at].mean() >= limit]
     mass = defaultdict(float)
-    for path, at in paths.items():
-        if usable[at[0]] and fused[at].mean() >= limit:
-            for depth in range(1, len(path) + 1):
-                mass[path[:depth]] += plain[at].sum()
+    for path in content:
+        for depth in range(1, len(path) + 1):
+            mass[path[:depth]] += plain[paths[path]].sum()
     if not mass:
         return ""
-    most = 0.5 * max(mass.values())
-    named = [p for p in mass if p[-1].split(".")[0] in ("article", "main")]
+    nodes = set()
+    named = [p for p in mass if _name(p[-1]) in ("article", "main")]
     if named:       # the outermost of the kind that holds most text
         node = min(named, key=lambda p: (-mass[p], len(p)))
-        nodes = {p for p in named if len(p) == len(node) and p[-1].split(".")[0] == node[-1].split(".")[0]}
-    else:
-        inner = [p for p in mass if mass[p] > most and p[-1].split(".")[0] not in ("p", "li", "td", "tr", "dd", "h1", "h2", "h3")]
-        nodes = {max(inner or mass, key=lambda p: (len(p), mass[p]))} if inner else {()}
-    kept = [text for (path, _, text, link), ok in zip(found, usable)
+        nodes = {p for p in named if len(p) == len(node) and _name(p[-1]) == _name(node[-1])}
+    if 2 * sum(mass[p] for p in nodes) <= mass["#",]:
+        node = content[0][:next((i for i, steps in enumerate(zip(*content)) if len(set(steps)) > 1), min(map(len, content)))]
+        while _name(node[-1]) in PARTS:
+            node = node[:-1]
+        nodes = {node}
+    kept = [text for (path, _, _, text, link), ok in zip(found, usable)
             if ok and 2 * link <= len(text) and any(path[:len(n)] == n for n in nodes)]
     return "\n".join(kept)
 
