@@ -60,6 +60,33 @@ def test_node_holds_all_content(name):
     assert main_text(f"<html><body>{menu}{page}{menu}</body></html>") == "\n".join(lines)
 
 
+@pytest.mark.parametrize("name", ["elementor-widget-container", "wp-block-widget-text", "layout sidebar-right", "post comments-enabled",
+                                  "side-by-side", "search-result-page"])
+def test_a_class_on_the_text_itself_is_no_furniture(name):
+    text = f"<h1>Head</h1><p>{TEXT}</p><p>{TEXT}</p><div class=comments><p>{TEXT}</p></div>"
+    for page in (f"<body><div class='{name}'>{text}</div></body>", f"<body><article><div class='{name}'>{text}</div></article></body>"):
+        assert main_text(page + "<div class=sidebar><p>Some words, beside it.</p></div>") == f"Head\n{TEXT}\n{TEXT}"
+
+
+def test_widgets_that_together_hold_the_text_stay():
+    part = "<div class='elementor-element-{0} elementor-widget elementor-widget-{1}'>{2}</div>"
+    page = part.format(0, "heading", "<h1>Head</h1>") + "".join(part.format(i, "text-editor", f"<p>{TEXT}</p>") for i in range(1, 5))
+    assert main_text(f"<body><div>{page}</div><div class=comment-list>" + f"<p>{TEXT}</p>" * 3 + "</div>") == "\n".join(["Head"] + [TEXT] * 4)
+
+
+def test_links_in_the_article_stay():
+    page = (f"<article><h1><a href=/t>Title</a></h1><p>{TEXT}</p><p><a href=/y>A paragraph that is one link.</a></p><p>{TEXT}</p>"
+            "<ol><li><a href=/1>First source</a><li><a href=/2>Second source</a></ol></article><div><p><a href=/z>Other page</a></p></div>")
+    expected = f"Title\n{TEXT}\nA paragraph that is one link.\n{TEXT}\nFirst source\nSecond source"
+    assert main_text(page) == expected
+    assert main_text(page.replace("article>", "section>")) == expected
+
+
+def test_formulas_and_plain_listings_stay():
+    page = f"<article><p>{TEXT} <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math></p><xmp>a &lt; <b>\n c</xmp><p>{TEXT}</p></article>"
+    assert main_text(page) == f"{TEXT} x=1\na &lt; <b> c\n{TEXT}"
+
+
 def test_defined_results(spark):
     rows = [(1, "u", None, 1), (2, "u", "", 1), (3, None, "<p", 1), (None, "u", "no tags at all, just text.", 1), (5, "u", "<nav>x</nav>", 1),
             (6, "u", "<p>" + "word, " * 100_000 + "</p>", 1), (6, "u", "<p>a&nbsp;&lt;b&gt;&#233;\n\t c</p>", 1), (6, "u", "<p>a&nbsp;&lt;b&gt;&#233;\n\t c</p>", 1)]

@@ -5,11 +5,15 @@ the root, inline tags left out.  Per path: characters outside links and punctuat
 per block.  The two ratios are smoothed over neighbouring blocks in page order and fused
 (product); paths whose fused mean is above a threshold are content.  The content node is
 the lowest container above all of them, or the ``article`` or ``main`` elements if those
-hold most of their text.  All blocks below it are the result, short ones too, as long as they
-are not mostly links.
+hold most of their text.  All blocks below it are the result, short ones and links too.
+Only where no element but the page itself holds all content, paths that are mostly links
+go, headings aside, if they lie before the first content block or after the last.
 
 Elements that are page furniture by their tag, role, class or id (menus, headers and
-footers, side bars, notices, adverts, forms, reader comments) weigh nothing.
+footers, side bars, notices, adverts, forms, reader comments) weigh nothing.  A class or id
+marks furniture only if the elements that carry it hold a minor part of the page's text:
+half at most if a hint is a part of the name (``sidebar-right`` may be a layout), three
+quarters at most if it is the whole name.
 
 Defined results: a null or empty html, or a page without content, gives an empty text;
 pages of any length are read whole, unclosed tags included; repeated rows give repeated
@@ -30,23 +34,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-RAW = "script style template noscript textarea title iframe svg object select button math xmp noembed noframes".split()
+RAW = "script style template noscript textarea title iframe svg object select button annotation annotation-xml xmp noembed noframes".split()
 VOID = set("br hr img input meta link area base col embed param source track wbr".split())
 BLOCK = set("""html head body p div section article main header footer nav aside ul ol li dl dt dd menu table caption
 thead tbody tfoot tr td th blockquote pre figure figcaption form fieldset legend h1 h2 h3 h4 h5 h6 hr address details
 summary dialog center hgroup search""".split())
 FURNITURE = set("head nav footer aside form menu dialog search fieldset".split())
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-HINT = re.compile(r"""(?:^|[\s_-])(?<!\bhas[_-])(?<!\bwith[_-])(?<!\bno[_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alerts?|popup|modal|newsletter|
-subscribe|subscription|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|widget|footer|masthead|topbar|toolbar|site-?header|
+HINT = re.compile(r"""(?:^|[\s_-])(?<!\bhas[_-])(?<!\bwith[_-])(?<!\bno[_-])(?<!\bby[_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alerts?|popup|modal|newsletter|
+subscribe|subscription|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side(?![_-]by[_-])|widget|footer|masthead|topbar|toolbar|site-?header|
 page-?header|comments?|commentlist|comment-\w+|reply|replies|respond|responses|disqus|related|recommended|share|sharing|social|pagination|pager|
 login|signup|search)(?=$|[\s_-])""".replace("\n", ""), re.I)
 # Elements that are parts of a text and never the node that holds it.
 PARTS = set("""p ul ol li dl dt dd menu table caption thead tbody tfoot tr td th blockquote pre xmp figure figcaption legend
 h1 h2 h3 h4 h5 h6 hr address summary hgroup""".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+PAGE = ("#", "html", "body")
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr"}, {"table"})}
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*?>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>"
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*?>(?P<inside>.*?)(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>"
                  r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)>", re.S | re.I)
 ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?、。，…]")
@@ -105,6 +111,12 @@ def blocks(page: str) -> list[tuple[tuple, bool, tuple, str, int]]:
             links += len(piece) if in_link else 0
         at = m.end()
         tag = (m["tag"] or "").lower()
+        if m["raw"] and m["raw"].lower() == "xmp":      # shown as it is
+            flush()
+            push("xmp", "")
+            pieces.append(html.escape(m["inside"]))
+            flush()
+            stack.pop()
         if not tag:
             continue
         if tag == "a":
@@ -130,7 +142,19 @@ def blocks(page: str) -> list[tuple[tuple, bool, tuple, str, int]]:
 
 def _usable(found: list) -> list[bool]:
     """For each block whether no element above it is page furniture."""
-    return [not furniture and not hints for _, furniture, hints, _, _ in found]
+    held, total = defaultdict(int), 0
+    for _, furniture, hints, text, link in found:
+        if not furniture:
+            total += len(text) - link
+            for name in {x for names in hints for x in names}:
+                held[name] += len(text) - link
+    whole = {name: bool(HINT.fullmatch(name)) for name in held}
+    layout = {name for name, n in held.items() if n > (0.75 if whole[name] else 0.5) * total}
+
+    def marked(names: tuple) -> bool:
+        return any(whole[x] and x not in layout for x in names) or not any(x in layout for x in names)
+
+    return [not furniture and not any(map(marked, hints)) for _, furniture, hints, _, _ in found]
 
 
 def main_text(page: str, threshold: float = 0.25) -> str:
@@ -167,8 +191,13 @@ def main_text(page: str, threshold: float = 0.25) -> str:
         while _name(node[-1]) in PARTS:
             node = node[:-1]
         nodes = {node}
-    kept = [text for (path, _, _, text, link), ok in zip(found, usable)
-            if ok and 2 * link <= len(text) and any(path[:len(n)] == n for n in nodes)]
+    menus, first, last = set(), 0, len(found)
+    if any(_name(n[-1]) in PAGE for n in nodes):
+        menus = {path for path, at in paths.items() if _name(path[-1]) not in HEADINGS
+                 and 2 * sum(found[i][4] for i in at) > sum(len(found[i][3]) for i in at)}
+        first, last = min(paths[p][0] for p in content), max(paths[p][-1] for p in content)
+    kept = [text for i, (path, _, _, text, _) in enumerate(found)
+            if usable[i] and any(path[:len(n)] == n for n in nodes) and (first <= i <= last or path not in menus)]
     return "\n".join(kept)
 
 
