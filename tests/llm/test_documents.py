@@ -2,6 +2,7 @@
 nulls, empty and very long texts, ties, repeats and clashing column names."""
 
 from collections import Counter, defaultdict
+import re
 import zlib
 
 import numpy as np
@@ -283,3 +284,42 @@ def test_licenses(edges, empty, spark):
     df = spark.createDataFrame([(1, "Licensed under the apache LICENSE,\nversion 2.0\n\nx\n\nnothing here"), (2, "Released under the GPL License.")],
                                "doc_id long, text string")
     assert [(r.doc_id, r.kind, r.unit, r.license) for r in licenses.scan(df).collect()] == [(1, "paragraph", 0, "Apache-2.0")]
+
+
+def test_license_passages(edges, empty, spark):
+    apache = ["# Copyright 2024 Acme", "#", '# Licensed under the Apache License, Version 2.0 (the "License");', "# you may not use this file except in compliance with the License.",
+              "# You may obtain a copy of the License at", "#", "#     http://www.apache.org/licenses/LICENSE-2.0", "#",
+              "# Unless required by applicable law or agreed to in writing, software", '# distributed under the License is distributed on an "AS IS" BASIS,',
+              "# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.", "# See the License for the specific language governing permissions and",
+              "# limitations under the License.", "#", "import os", "print(os.getcwd())"]
+    prose = "It is of use to many. Released under the MIT License. See the site for more: it has all."
+    rows = [(1, "\n".join(apache)), (2, "(c) 2024 Acme. Released under the MIT License."), (None, prose), (None, prose), (3, "x. " * 5000 + prose),
+            (4, "Licensed under CC\nBY\n4.0. Licensed under the GPL"), (5, "released under my licensed under it"), (6, None), (7, "Released"),
+            (8, "Released under the MIT License. Released under the MIT License."), (9, " ".join(dict(enumerate(licenses.TEMPLATES))[8][1].split()) + " Fine.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [tuple(r) for r in licenses.passages(df).collect()]
+    words = lambda x: re.findall(r"[^\W_]+", x.lower())
+    grams = lambda w: set(zip(w, w[1:]))
+    wanted = [(i, name, grams(words(t))) for i, (name, t) in enumerate(licenses.TEMPLATES)]
+    longest = max(int((len(words(t)) - 1) * 1.1 / 0.9 + 1e-9) + 1 for _, t in licenses.TEMPLATES)
+    expected = []
+    for i, text in rows:
+        pieces = [w for w in map(words, re.split(r"(?<=[.!?;:])\s+|\n", text or "")) if w]
+        for a in range(len(pieces)):
+            have = []
+            for b in range(a, len(pieces)):
+                have += pieces[b]
+                if len(have) > longest:
+                    break
+                mine = grams(have) if len(set(have)) > 1 else set()
+                for n, name, want in wanted if mine else []:
+                    dice = 2 * len(mine & want) / (len(mine) + len(want))
+                    if dice >= 0.9:
+                        expected.append((i, a, b, name, n, round(dice, 6)))
+    same(got, expected)
+    assert {(1, "Apache-2.0"), (2, "MIT"), (None, "MIT"), (3, "MIT"), (4, "CC-BY-4.0"), (8, "MIT"), (9, "GPL-3.0")} == {(r[0], r[3]) for r in got}
+    assert any(r[0] == 1 and r[5] == 1.0 and r[2] - r[1] > 5 for r in got)
+    assert [r.doc_id for r in licenses.passages(edges).collect()] == [12]
+    assert licenses.passages(empty).count() == 0 and licenses.passages(df, templates=[("x", "one")]).count() == 0
+    paragraph = spark.createDataFrame([(1, "\n".join(apache[2:5]))], "doc_id long, text string")
+    assert ("paragraph", "Apache-2.0", 1.0) in [(r.kind, r.license, r.dice) for r in licenses.scan(paragraph).collect()]

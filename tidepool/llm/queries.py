@@ -122,6 +122,12 @@ def op3_license_scan(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+# Runs of sentences and lines by brute force are too slow in SQL on whole tables; tests/llm holds the query against it.
+@query("op3_license_passages")
+def op3_license_passages(spark, sf_dir):
+    return licenses.passages(table(spark, sf_dir, "documents"))
+
+
 @query("op4_substring_dedup")
 def op4_substring_dedup(spark, sf_dir):
     return substring_dedup.dedup_digest(table(spark, sf_dir, "documents"))
