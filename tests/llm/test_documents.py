@@ -277,6 +277,13 @@ def test_fingerprints_and_blocks(spark):
     assert sum(p.bits << e for p, e in zip(parts, edges)) == -12345678987654321 % (1 << 64)
 
 
+def test_fingerprints_of_long_texts(spark):
+    a, b = 0x0123456789ABCDEF, -0x123456789ABCDEF0
+    rows = [(a, 40_000, b, 30_000), (b, 65_535, a, 1), (b, 65_536, a, 65_535), (a, 65_535, b, 0), (b, 65_536, a, 0), (a, 200_000, b, 0), (b, 32_767, a, 0), (b, 32_768, a, 0)]
+    df = spark.createDataFrame(rows, "a long, n int, b long, m int").withColumn("h", F.expr("concat(array_repeat(a, n), array_repeat(b, m))"))
+    assert [r.fp == r.a for r in decontaminate.with_fingerprint(df, "h", "fp").collect()] == [True] * len(rows)
+
+
 def test_licenses(edges, empty, spark):
     got = licenses.scan(edges).collect()
     assert [(r.doc_id, r.kind, r.license, r.dice) for r in got] == [(12, "line", "MIT", 1.0)]

@@ -35,7 +35,8 @@ RADIUS = 24
 # Item shingles up to this number (8 bytes each) are broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
 
-LANES = 0x0001000100010001      # four 16-bit counters in a long
+# Lane width -> a one in each lane of a long.  Lanes of 16 bits hold the counts of most arrays, those of 32 bits any.
+LANES = {16: 0x0001000100010001, 32: 0x0000000100000001}
 
 
 def words(text: Column) -> Column:
@@ -56,17 +57,23 @@ def with_shingles(df: DataFrame, text_col: str, out: str) -> DataFrame:
 
 def with_fingerprint(df: DataFrame, shingles: str, out: str) -> DataFrame:
     """``df`` with the SimHash of an array column: bit b is set if more than half of its hashes have it."""
-    def counts(j: int) -> Column:      # of bits j, j + 16, j + 32 and j + 48
+    def counts(width: int, j: int) -> Column:      # of bits j, j + width, ..
         return F.aggregate(shingles, F.lit(0).cast("long"),
-                           lambda acc, x: acc + F.shiftrightunsigned(x, j).bitwiseAND(F.lit(LANES)))
+                           lambda acc, x: acc + F.shiftrightunsigned(x, j).bitwiseAND(F.lit(LANES[width])))
 
+    def count(width: int, b: int) -> Column:
+        lane = F.shiftrightunsigned(F.col(f"__ones{width}")[b % width], width * (b // width))
+        return lane.bitwiseAND(F.lit((1 << width) - 1))
+
+    few = F.size(shingles) <= 0x7FFF      # the sign bit is in the last lane
     bits = []
     for b in range(64):
-        count = F.shiftrightunsigned(F.col("__ones")[b % 16], 16 * (b // 16)).bitwiseAND(F.lit(0xFFFF))
         bit = 1 << b
-        bits.append(F.when(2 * count > F.size(shingles), F.lit(bit - (1 << 64) if bit >> 63 else bit)).otherwise(F.lit(0).cast("long")))
-    return (df.withColumn("__ones", F.array(*[counts(j) for j in range(16)]))
-            .withColumn(out, reduce(Column.bitwiseOR, bits)).drop("__ones"))
+        bits.append(F.when(2 * F.when(few, count(16, b)).otherwise(count(32, b)) > F.size(shingles), F.lit(bit - (1 << 64) if bit >> 63 else bit))
+                    .otherwise(F.lit(0).cast("long")))
+    return (df.withColumn("__ones16", F.when(few, F.array(*[counts(16, j) for j in range(16)])))
+            .withColumn("__ones32", F.when(~few, F.array(*[counts(32, j) for j in range(32)])))
+            .withColumn(out, reduce(Column.bitwiseOR, bits)).drop("__ones16", "__ones32"))
 
 
 def blocks(fp: str, radius: int) -> Column:
