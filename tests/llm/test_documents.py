@@ -230,6 +230,24 @@ def test_shards_are_near_equal_and_split_only_large_groups(spark):
     assert [t for t, s in where.items() if len(s) > 1] == ["x" * 40]      # a third of all rows
 
 
+def test_shards_do_not_follow_the_session(spark):
+    rows = [(i, f"t{i // 40} " * 40) for i in range(8000)]      # 200 groups of 0.5% each
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found, before = [], spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in (4, 40, 97):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            got = sharding.shard(df, 4, tolerance=0.02).select("row.doc_id", "row.text", "shard", "slot").collect()
+            found.append(sorted(tuple(r) for r in got))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] == found[2]
+    where = defaultdict(set)
+    for _, text, shard, _ in found[0]:
+        where[text].add(shard)
+    assert all(len(s) == 1 for s in where.values())
+
+
 def test_benchmark_leaks(docs, spark):
     from tests.conftest import SF_SMALL
     items = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")

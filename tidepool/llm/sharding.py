@@ -9,7 +9,8 @@ its target or no key lies between its bounds.  Then the rows are exchanged once,
 Where a group of equal texts lies across a target, the splitter takes the group's nearer
 edge if that is within the tolerance; a group too large for that is split by id, since
 sizes must stay near equal.  A shard is several ranges of the exchange when the session
-has more shuffle partitions than shards, so no task holds a whole shard; the counts tell
+has more shuffle partitions than shards, so no task holds a whole shard; these are split
+within shards found before, so a row's shard is the same in any session.  The counts tell
 each range its first slot.
 
 Defined results: a null text has no bytes; a null id comes before all others; rows equal
@@ -83,14 +84,28 @@ def _histogram(keys: DataFrame, probes: list[int]) -> dict[int, tuple]:
     return {r[0]: (r[1], r[2], int(r[3], 16), int(r[4], 16)) for r in found}
 
 
-def splitters(keys: DataFrame, n: int, tolerance: float) -> tuple[list[int], list[int]]:
-    """n - 1 splitters over staged (k1, k2, size) rows, and the rows of each of the n ranges."""
+def splitters(keys: DataFrame, n: int, tolerance: float, parts: int = 1) -> tuple[list[int], list[int]]:
+    """Splitters over staged (k1, k2, size) rows into n shards of ``parts`` ranges each, and the
+    rows of each range.  The shards' splitters come first, by the size of a shard alone, so they
+    are the same for any ``parts``; the others lie evenly between those."""
     whole = _histogram(keys, [])
     if not whole:
-        return [0] * (n - 1), [0] * n
-    total, rows, low, high = whole[0]
-    targets = [total * i // n for i in range(1, n)]
-    slack = tolerance * total / n
+        return [0] * (n * parts - 1), [0] * n * parts
+    total, _, low, high = whole[0]
+    outer = _search(keys, low, high, total, [total * i // n for i in range(1, n)], tolerance * total / n)
+    edges = [(low, 0), *outer, (high + 1, total)]
+    if parts > 1:
+        inner = [a + (z - a) * k // parts for (_, a), (_, z) in zip(edges, edges[1:]) for k in range(1, parts)]
+        found = iter(_search(keys, low, high, total, inner, tolerance * total / (n * parts)))
+        # within its shard: a group of equal texts that is at its edge is the whole of a range
+        edges = [e for lo, hi in zip(edges, edges[1:]) for e in (lo, *(min(max(next(found), lo), hi) for _ in range(parts - 1)))] + edges[-1:]
+    done = [at for at, _ in edges[1:-1]]
+    counts = _histogram(keys, done)
+    return done, [counts[i][1] if i in counts else 0 for i in range(n * parts)]
+
+
+def _search(keys: DataFrame, low: int, high: int, total: int, targets: list[int], slack: float) -> list[tuple[int, int]]:
+    """(splitter, bytes below it) for each target, in order; each within ``slack`` or next to the key across it."""
     # bounds of each splitter: keys below lo hold below_lo bytes, keys below hi below_hi
     bounds = [[low, 0, high + 1, total] for _ in targets]
     done: list = [None] * len(targets)
@@ -121,11 +136,9 @@ def splitters(keys: DataFrame, n: int, tolerance: float) -> tuple[list[int], lis
             hi = min((e for e in known if e[1] > t), key=lambda e: (e[1], e[0]))
             near = min((lo, hi), key=lambda e: abs(e[1] - t))
             if abs(near[1] - t) <= slack or hi[0] - lo[0] <= 1:     # near enough, or a single key between
-                done[j] = near[0]
+                done[j] = near
             bounds[j] = [lo[0], lo[1], hi[0], hi[1]]
-    done = sorted(done)
-    counts = _histogram(keys, done)
-    return done, [counts[i][1] if i in counts else 0 for i in range(n)]
+    return sorted(done)
 
 
 def _assign(at_splitters: list[int], per_shard: int) -> Callable:
@@ -162,7 +175,7 @@ def shard(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str
                         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     keys = stage(keyed.select("k1", "k2", "size"), "llm-keys")
     per_shard = -(-shuffle_partitions(spark) // n_shards)
-    at, rows = splitters(keys, n_shards * per_shard, tolerance)
+    at, rows = splitters(keys, n_shards, tolerance, per_shard)
     first = [sum(rows[r - r % per_shard:r]) for r in range(len(rows))]
     ranged = keyed.mapInArrow(_assign(at, per_shard), StructType([*keyed.schema.fields, StructField("range", IntegerType())]))
     dealt = ranged.repartitionById(n_shards * per_shard, "range").sortWithinPartitions("range", "k1", "k2", "k3")
