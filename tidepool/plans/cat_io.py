@@ -79,6 +79,18 @@ def a7(spark, d):
     return spark.table(name)
 
 
+@register("A7w_managed_table_whole_round_trip", oracle="SELECT * FROM orders")
+def a7w(spark, d):
+    """Every order is written: the second write replaces the first, the third adds the rest."""
+    o = t(spark, d, "orders")
+    name = "a7w_" + uuid.uuid4().hex
+    part = F.coalesce(F.col("o_orderkey") % 2 == 0, F.lit(False))
+    IO.write_table(o.where(~part), name, mode="overwrite")
+    IO.write_table(o.where(part), name, mode="overwrite")
+    IO.write_table(o.where(~part), name, mode="append")
+    return spark.table(name)
+
+
 @register("A9_create_table_as_select", oracle="SELECT c_nationkey, COUNT(*) AS n FROM customer GROUP BY c_nationkey")
 def a9(spark, d):
     t(spark, d, "customer").createOrReplaceTempView("a9_customer")
