@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from tidepool.llm import (bpe, decontaminate, html_extract, licenses, quality_rules, sharding, simhash, substring_dedup,
-                          suffix_dedup, token_counts)
+from tidepool.llm import (bpe, decontaminate, hamming_ann, html_extract, lexical, licenses, phrases, quality_rules, sharding,
+                          simhash, substring_dedup, suffix_dedup, token_counts)
 from tidepool.llm.common import table
 
 QUERIES: dict = {}
@@ -131,3 +132,63 @@ def op3_license_passages(spark, sf_dir):
 @query("op4_substring_dedup")
 def op4_substring_dedup(spark, sf_dir):
     return substring_dedup.dedup_digest(table(spark, sf_dir, "documents"))
+
+
+# Nearest neighbours among those an index finds: tests/llm measures the recall and the scores against brute force.
+@query("op11_hamming_ann")
+def op11_hamming_ann(spark, sf_dir):
+    return hamming_ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
+LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(""" + LOWERED.format("text") + r""", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+           FROM documents WHERE text IS NOT NULL),
+stats AS (SELECT count(*) AS nd, sum(len(ws))::BIGINT AS total FROM d WHERE len(ws) > 0),
+words AS (SELECT rid, unnest(ws) AS term FROM d),
+tfs AS (SELECT rid, term, count(*) AS tf FROM words GROUP BY ALL),
+dfs AS (SELECT term, count(*) AS df FROM tfs GROUP BY term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w FROM dfs, stats),
+i AS (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL),
+iw AS (SELECT item_id, text, unnest(regexp_extract_all(""" + LOWERED.format("text") + r""", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM i),
+want AS (SELECT item_id, text, term, count(*) AS times FROM iw GROUP BY ALL),
+m AS (SELECT rid, doc_id, 100 - 25 + ((25 * len(ws)::BIGINT * nd) // total) AS m FROM d, stats WHERE len(ws) > 0 AND doc_id IS NOT NULL),
+s AS (SELECT item_id, text, rid, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+      FROM want JOIN w USING (term) JOIN tfs USING (term) JOIN m USING (rid) GROUP BY ALL),
+r AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+
+@query("op12_ranked_lexical", OP12_SQL)
+def op12_ranked_lexical(spark, sf_dir):
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(""" + LOWERED.format("coalesce(text, '')") + r""", '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM d),
+n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+at AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS pos FROM w),
+grams AS (SELECT lang, k, array_to_string(ws[pos:pos + k - 1], ' ') AS phrase FROM at, (VALUES (1), (2), (3), (4)) AS s(k) WHERE pos + k - 1 <= len(ws)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, k AS size, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+cuts AS (SELECT lang, size, phrase, a, ws, unnest(range(1, size)) AS cut FROM c),
+parts AS (SELECT lang, size, phrase, a, cut, array_to_string(ws[1:cut], ' ') AS head, array_to_string(ws[cut + 1:], ' ') AS tail FROM cuts),
+scored AS (SELECT p.lang, p.size, p.phrase, p.a, p.cut, h.f AS l, t.f AS r, ((2000000::HUGEINT * p.a) // (h.f + t.f))::BIGINT AS score
+           FROM parts p JOIN f h ON h.lang = p.lang AND h.k = p.cut AND h.phrase = p.head
+           JOIN f t ON t.lang = p.lang AND t.k = p.size - p.cut AND t.phrase = p.tail),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS first FROM scored),
+inner_at AS (SELECT lang, a AS outer_a, ws, size, unnest(range(2, size)) AS len FROM c),
+inner_of AS (SELECT lang, outer_a, ws, size, len, unnest(range(1, size - len + 2)) AS pos FROM inner_at),
+covered AS (SELECT lang, array_to_string(ws[pos:pos + len - 1], ' ') AS phrase, max(outer_a) AS outer_a FROM inner_of GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN covered o USING (lang, phrase) WHERE first = 1 AND (outer_a IS NULL OR 100::HUGEINT * outer_a < 80::HUGEINT * a)),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM r JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op13_phrase_collocations", OP13_SQL)
+def op13_phrase_collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
