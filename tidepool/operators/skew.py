@@ -95,28 +95,53 @@ def ranked(df: DataFrame, keys, order_cols, n_tiles: int | None = None,
 
     ``order_cols`` may carry directions (Column objects); ties are the rows
     equal on all of them.  row_number needs a total order to be
-    deterministic, exactly as with a plain window."""
+    deterministic, exactly as with a plain window.  All numbers are bigint.
+
+    Tied rows are dealt by a hash of the row, so a value that most rows have
+    is cut into chunks like any other stretch.  A run of ties may then go
+    over chunk borders: the first and last rows of the chunks (two a chunk)
+    tell which chunks go on with the value of the one before."""
     keys, order_cols = _cols(keys), _cols(order_cols)
     df, keys, tmp = _with_group(df, keys)
-    c = chunked(df, keys, order_cols, n_chunks)
-    lw = _local(keys, order_cols)
-    local = (c.withColumn("_rn", F.row_number().over(lw))
-              .withColumn("_rk", F.rank().over(lw))
-              .withColumn("_drk", F.dense_rank().over(lw)))
-    # rows and distinct sort values per chunk (ties never cross chunks)
-    totals = local.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("rows"),
-                                             F.max("_drk").alias("vals"))
-    pre = _prefix(totals, keys, ["rows", "vals"])
-    if n_tiles:
-        size = totals.groupBy(*keys).agg(F.sum("rows").alias("_group_rows"))
-        pre = null_safe_join(pre, size, keys)
-    out = null_safe_join(local, pre, _join_key(keys))
-    out = (out.withColumn("row_number", (F.col("_rn") + F.col("_before_rows")).cast("int"))
-              .withColumn("rank", (F.col("_rk") + F.col("_before_rows")).cast("int"))
-              .withColumn("dense_rank", (F.col("_drk") + F.col("_before_vals")).cast("int")))
+    df = df.withColumn("_tie", F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in df.columns]))))
+    c = chunked(df, keys, [*order_cols, "_tie"], n_chunks)
+    lw, total = _local(keys, [*order_cols, "_tie"]), _local(keys, order_cols)
+    local = (c.withColumn("_rn", F.row_number().over(lw).cast("bigint"))
+              .withColumn("_rk", F.rank().over(total).cast("bigint"))
+              .withColumn("_drk", F.dense_rank().over(total).cast("bigint")))
+    totals = local.groupBy(*keys, CHUNK).agg(F.max("_rn").alias("rows"), F.max("_drk").alias("vals"),
+                                             F.max("_rk").alias("last_start"))
+    out = null_safe_join(local, _tie_offsets(local, totals, keys, order_cols, n_tiles), _join_key(keys))
+    # the chunk's first run of ties belongs to the run that an earlier chunk began
+    goes_on = F.col("_goes_on") & (F.col("_drk") == 1)
+    out = (out.withColumn("row_number", F.col("_rn") + F.col("_before_rows"))
+              .withColumn("rank", F.when(goes_on, F.col("_run_start")).otherwise(F.col("_rk") + F.col("_before_rows")))
+              .withColumn("dense_rank", F.col("_drk") + F.col("_before_vals") - F.col("_goes_on").cast("bigint")))
     if n_tiles:
         out = out.withColumn("ntile", _ntile(F.col("row_number"), F.col("_group_rows"), n_tiles))
-    return out.drop("_rn", "_rk", "_drk", "_before_rows", "_before_vals", "_group_rows", CHUNK, *tmp)
+    return out.drop("_rn", "_rk", "_drk", "_tie", "_before_rows", "_before_vals", "_group_rows", "_goes_on", "_run_start", CHUNK, *tmp)
+
+
+def _tie_offsets(local: DataFrame, totals: DataFrame, keys, order_cols, n_tiles: int | None) -> DataFrame:
+    """Per (key, chunk): rows and values before it, whether it goes on with
+    the last value of the chunk before, and the rank of that value."""
+    ends = null_safe_join(local, totals.select(*keys, CHUNK, "rows"), _join_key(keys))
+    ends = ends.where((F.col("_rn") == 1) | (F.col("_rn") == F.col("rows")))
+    ends = ends.withColumn("_value", F.dense_rank().over(Window.partitionBy(*keys).orderBy(*order_cols)))
+    ends = ends.groupBy(*keys, CHUNK).agg(F.min("_value").alias("_first"), F.max("_value").alias("_last"))
+    w = Window.partitionBy(*keys).orderBy(CHUNK)
+    t = null_safe_join(totals, ends, _join_key(keys))
+    t = t.withColumn("_goes_on", F.coalesce(F.col("_first") == F.lag("_last").over(w), F.lit(False)))
+    t = t.withColumn("vals", F.col("vals") - F.col("_goes_on").cast("bigint"))
+    pre = null_safe_join(t, _prefix(t, keys, ["rows", "vals"]), _join_key(keys))
+    # where the chunk's last run began, unless the whole chunk goes on with an earlier one
+    own = F.when(~(F.col("_goes_on") & (F.col("_first") == F.col("_last"))), F.col("last_start") + F.col("_before_rows"))
+    pre = pre.withColumn("_own", own)
+    cols = [*keys, CHUNK, "_before_rows", F.col("_before_vals"), "_goes_on",
+            F.last("_own", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_run_start")]
+    if n_tiles:
+        cols.append(F.sum("rows").over(Window.partitionBy(*keys)).alias("_group_rows"))
+    return pre.select(*cols)
 
 
 def _with_group(df: DataFrame, keys):
@@ -133,7 +158,7 @@ def _ntile(rn: Column, total: Column, n: int) -> Column:
     rem = total - q * n
     big = rem * (q + 1)
     return F.when(rn <= big, F.floor((rn - 1) / (q + 1)) + 1).otherwise(
-        rem + F.floor((rn - 1 - big) / q) + 1).cast("int")
+        rem + F.floor((rn - 1 - big) / q) + 1).cast("bigint")
 
 
 def running_sum(df: DataFrame, keys, order_cols, value_col: str, out: str = "running_sum",
@@ -188,31 +213,44 @@ def sessionize(df: DataFrame, user_col: str, ts_col: str, gap_seconds: int, tie_
 
 def percentiles_cont(df: DataFrame, keys, value_col: str, probs: dict[str, float],
                      n_chunks: int | None = None) -> DataFrame:
-    """Exact PERCENTILE_CONT for several probabilities per key, without
-    holding a group's values in one aggregation buffer (the plain
-    ``percentile`` aggregate keeps every distinct value of a group in one
-    task).  Rows are numbered per key in value order with the chunked
-    ``ranked``; only the rows at positions floor / ceil of ``p * (n - 1)``
-    are kept, and each result is their linear interpolation -- the SQL
-    definition.  NULL values are ignored.  One ranking serves all ``probs``."""
+    """Exact PERCENTILE_CONT for several probabilities per key, as weighted
+    order statistics over counted values.
+
+    Equal values are counted first (with partial sums before the shuffle), so
+    a value that most rows have is one row.  The (key, value, count) rows are
+    range-partitioned into chunks; sums per (key, chunk) tell which chunks
+    hold the positions floor / ceil of ``p * (n - 1)``, and only those are
+    read again and prefixed: two chunks at most per key and probability.
+    Each result is the linear interpolation of the two values, the SQL
+    definition.  NULL values are ignored; positions are bigint."""
     keys = _cols(keys)
     base = df.select(*keys, value_col).where(F.col(value_col).isNotNull())
-    r = ranked(base, keys, [value_col], n_chunks=n_chunks).drop("rank", "dense_rank")
-    r, gkeys, tmp = _with_group(r, keys)
-    sizes = r.groupBy(*gkeys).agg(F.max("row_number").alias("_n"))
-    j = null_safe_join(r, sizes, gkeys)
+    base, gkeys, tmp = _with_group(base, keys)
+    counted = base.groupBy(*gkeys, value_col).agg(F.count(F.lit(1)).alias("_n"))
+    c = chunked(counted, gkeys, [value_col], n_chunks)
+    totals = c.groupBy(*gkeys, CHUNK).agg(F.sum("_n").alias("rows"))
+    pre = null_safe_join(totals, _prefix(totals, gkeys, ["rows"]), _join_key(gkeys))
+    pre = pre.withColumn("_group_rows", F.sum("rows").over(Window.partitionBy(*gkeys)))
+    places = [(name, F.lit(float(p)) * (F.col("_group_rows") - 1)) for name, p in probs.items()]
+    ends = [(name, pos, F.floor(pos), F.ceil(pos)) for name, pos in places]
+
+    def holds(at: Column, start: Column, end: Column) -> Column:
+        return (start <= at) & (at < end)
+
     wanted = F.lit(False)
+    for _, _, lo, hi in ends:
+        start, end = F.col("_before_rows"), F.col("_before_rows") + F.col("rows")
+        wanted = wanted | holds(lo, start, end) | holds(hi, start, end)
+    few = pre.where(wanted).select(*gkeys, CHUNK, "_before_rows", "_group_rows")
+    upto = F.sum("_n").over(_local(gkeys, [value_col]).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = null_safe_join(c, few, _join_key(gkeys)).withColumn("_end", F.col("_before_rows") + upto)
+    start, end = F.col("_end") - F.col("_n"), F.col("_end")
     aggs = []
-    for i, (name, p) in enumerate(probs.items()):
-        pos = F.lit(p) * (F.col("_n") - 1)
-        lo, hi = (F.floor(pos) + 1).cast("int"), (F.ceil(pos) + 1).cast("int")
-        wanted = wanted | (F.col("row_number") == lo) | (F.col("row_number") == hi)
-        lo_v = F.max(F.when(F.col("row_number") == lo, F.col(value_col)))
-        hi_v = F.max(F.when(F.col("row_number") == hi, F.col(value_col)))
-        frac = F.max(pos - F.floor(pos))
-        aggs.append((lo_v + (hi_v - lo_v) * frac).cast("double").alias(name))
-    picked = j.where(wanted)                 # at most 2 rows per key and probability
-    return picked.groupBy(*gkeys).agg(*aggs).drop(*tmp)
+    for name, pos, lo, hi in ends:
+        lo_v = F.max(F.when(holds(lo, start, end), F.col(value_col)))
+        hi_v = F.max(F.when(holds(hi, start, end), F.col(value_col)))
+        aggs.append((lo_v + (hi_v - lo_v) * F.max(pos - lo)).cast("double").alias(name))
+    return found.groupBy(*gkeys).agg(*aggs).drop(*tmp)
 
 
 def percentile_cont(df: DataFrame, keys, value_col: str, p: float, out: str = "percentile",
