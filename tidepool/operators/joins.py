@@ -74,6 +74,52 @@ def theta_join_small(df: DataFrame, bands: DataFrame, cond: Column, how: str = "
     return df.join(maybe_broadcast(bands), cond, how)
 
 
+def band_join(points: DataFrame, bands: DataFrame, value: str, lo: str, hi: str, closed: bool = False,
+              rows_per_salt: int = 1_000_000) -> DataFrame:
+    """Inner join of two large sides on ``lo <= value < hi`` (``<= hi`` when
+    ``closed``) as an equality join on bins, without a nested loop.
+
+    A band goes to the level whose bins, 2^level wide, are the least that are
+    as wide as the band, so it meets two bins there (three if rounding has it
+    so), however wide it is.  A point goes to its bin on each level that has
+    bands, unless it lies outside all of them.  Equal bins are joined, with
+    salts for the bins that hold more than ``rows_per_salt`` points (a wide
+    band's bin, or a value that most points have), and the exact bounds are
+    checked on the columns themselves; a pair meets in one bin only.
+
+    A NULL bound is open, and cut at the least or greatest value there is;
+    a NULL or NaN value, or a band with ``lo`` above ``hi``, matches nothing.
+    The sides' column names must differ."""
+    if set(points.columns) & set(bands.columns):
+        raise ValueError("the sides of a band join share column names")
+    x = F.col(value).cast("double")
+    points = points.where(F.col(value).isNotNull() & ~F.isnan(x))
+    least, most = points.agg(F.min(x), F.max(x)).first()      # two numbers
+    if least is None:
+        return points.join(bands, F.lit(False))
+    start = F.greatest(F.coalesce(F.col(lo).cast("double"), F.lit(least)), F.lit(least))
+    end = F.least(F.coalesce(F.col(hi).cast("double"), F.lit(most)), F.lit(most))
+    # never so fine that a bin's number has more digits than a double
+    finest = F.ceil(F.log2(F.greatest(F.abs(start), F.abs(end), F.lit(1e-250)))) - 50
+    level = F.greatest(F.coalesce(F.ceil(F.log2(F.when(end > start, end - start))), finest), finest).cast("int")
+    cut = bands.select("*", start.alias("_start"), end.alias("_end")).where("_start <= _end").withColumn("_level", level)
+    number = lambda c, lv: F.floor(c / F.pow(F.lit(2.0), lv))
+    cut = cut.withColumn("_bin", F.explode(F.sequence(number(F.col("_start"), F.col("_level")), number(F.col("_end"), F.col("_level")))))
+    cut = materialize(cut.select(*bands.columns, F.struct("_level", "_bin").alias("_cell")), "bands")
+    # a row for each level in use: at most as many as a double has exponents
+    levels = cut.groupBy("_cell._level").agg(F.min("_cell._bin").alias("a"), F.max("_cell._bin").alias("b")).collect()
+    if not levels:
+        return points.join(bands, F.lit(False))
+    cells = [F.struct(F.lit(r["_level"]).cast("int").alias("_level"), number(x, F.lit(r["_level"])).alias("_bin")) for r in levels]
+    used = [F.when(c["_bin"].between(r["a"], r["b"]), c) for c, r in zip(cells, levels)]
+    dealt = points.withColumn("_cell", F.explode(F.array_compact(F.array(*used))))
+    joined = salted_join(dealt, cut, "_cell", 1, hot=hot_keys(dealt.select("_cell"), "_cell", rows_per_salt),
+                         rows_per_salt=rows_per_salt)
+    below = F.col(value) <= F.col(hi) if closed else F.col(value) < F.col(hi)
+    exact = (F.col(lo).isNull() | (F.col(lo) <= F.col(value))) & (F.col(hi).isNull() | below)
+    return joined.where(exact).select(*points.columns, *bands.columns)
+
+
 # C8 ------------------------------------------------------------------------------------------
 def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
     """Keys with at least ``min_rows`` rows and their row count ``_n``

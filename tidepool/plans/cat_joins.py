@@ -129,6 +129,26 @@ def c7(spark, d):
     return J.theta_join_small(part, bands, cond).groupBy("band").agg(F.count(F.lit(1)).alias("n_parts"))
 
 
+# price bands of every part, a few of them very wide
+BANDS_SQL = """(SELECT p_partkey, CAST(p_retailprice AS DECIMAL(18,2)) * 20 AS band_lo,
+  CAST(p_retailprice AS DECIMAL(18,2)) * 20 + p_size * CASE WHEN p_partkey % 97 = 0 THEN 1000 ELSE 5 END AS band_hi FROM part)"""
+
+
+@register("C7b_band_join_two_large_sides", oracle=f"""
+SELECT p_partkey, COUNT(*) AS n_lines, CAST(SUM(price) AS DOUBLE) AS total_price
+FROM (SELECT CAST(l_extendedprice AS DECIMAL(18,2)) AS price FROM lineitem) l
+JOIN {BANDS_SQL} b ON l.price >= b.band_lo AND l.price < b.band_hi
+GROUP BY p_partkey
+""")
+def c7b(spark, d):
+    part, price = t(spark, d, "part"), money("p_retailprice") * 20
+    wide = F.when(F.col("p_partkey") % 97 == 0, F.lit(1000)).otherwise(F.lit(5))
+    bands = part.select("p_partkey", price.alias("band_lo"), (price + F.col("p_size") * wide).alias("band_hi"))
+    lines = t(spark, d, "lineitem").select(money("l_extendedprice").alias("price"), F.col("l_orderkey"), F.col("l_linenumber"))
+    return (J.band_join(lines, bands, "price", "band_lo", "band_hi").groupBy("p_partkey")
+            .agg(F.count(F.lit(1)).alias("n_lines"), dbl(F.sum("price")).alias("total_price")))
+
+
 @register("C8_salted_join", oracle=JOIN_SUMMARY_SQL)
 def c8(spark, d):
     li, o = _li(spark, d), _ord(spark, d)
