@@ -171,7 +171,9 @@ def upsert_partitions(spark, path: str, source: DataFrame, keys, partition_col:
     partitions (the partition column is a function of the key, e.g. the
     order date of an order).  The merged rows are staged in the shared
     checkpoint folder first, so the overwrite never reads the files it
-    replaces; rerunning the same source gives the same table.
+    replaces; rerunning the same source gives the same table.  A crash
+    inside the overwrite can lose a partition: ``sources.partitions``
+    publishes in one step instead.
     """
     from tidepool.session import materialize
     keys = _keys(keys)

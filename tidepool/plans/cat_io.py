@@ -118,11 +118,27 @@ def a10(spark, d):
         "o_orderkey", "o_custkey", "o_totalprice", F.col("y").cast("bigint").alias("y"))
 
 
-@register("A12_backfill_one_partition", oracle="""
+A12_SQL = """
 SELECT o_orderkey, o_totalprice, y FROM (
   SELECT o_orderkey, o_totalprice, year(o_orderdate) AS y FROM orders) x
 WHERE y <> 1996 OR o_orderkey % 2 = 0
-""")
+"""
+
+
+@register("A12s_backfill_published_in_one_step", oracle=A12_SQL)
+def a12s(spark, d):
+    """A12 on a partition store: readers see the year before or after the
+    backfill, never without it; run twice, as after a crash."""
+    from tidepool.sources.partitions import PartitionStore
+    o = t(spark, d, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").cast("bigint").alias("y"))
+    store = PartitionStore(spark, _dir(spark, "a12s-backfill"), "y")
+    store.replace(IO.spread_partitions(o, "y", L.n_files(o)))
+    for _ in range(2):
+        store.replace(IO.spread_partitions(o.filter((F.col("y") == 1996) & (F.col("o_orderkey") % 2 == 0)), "y", L.n_files(o)))
+    return store.read()
+
+
+@register("A12_backfill_one_partition", oracle=A12_SQL)
 def a12(spark, d):
     o = t(spark, d, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").cast("bigint").alias("y"))
     path = _dir(spark, "a12-backfill")
@@ -266,10 +282,22 @@ def _j4_oracle():
 @register("J4b_silver_upsert_touched_partitions", oracle=_j4_oracle())
 def j4b(spark, d):
     """J4 on a Silver table partitioned by order date: the upsert reads and
-    rewrites only the partitions the new Silver rows fall in."""
+    rewrites only the partitions the new Silver rows fall in, and publishes
+    them in one step."""
+    from tidepool.plans.cat_medallion import silver_all, silver_batch1
+    from tidepool.sources.partitions import PartitionStore, upsert_store
+    store = PartitionStore(spark, _dir(spark, "j4b-silver"), "order_date")
+    store.replace(silver_batch1(spark, d))
+    upsert_store(store, silver_all(spark, d), "order_id", update_cols=["status", "ingested_at"])
+    return store.read().select(*silver_all(spark, d).columns)
+
+
+@register("J4p_silver_upsert_overwritten_partitions", oracle=_j4_oracle())
+def j4p(spark, d):
+    """The same on a plain partitioned folder, by dynamic partition overwrite."""
     from tidepool.operators.changes import upsert_partitions
     from tidepool.plans.cat_medallion import silver_all, silver_batch1
-    path = _dir(spark, "j4b-silver")
+    path = _dir(spark, "j4p-silver")
     silver_batch1(spark, d).write.partitionBy("order_date").parquet(path)
     upsert_partitions(spark, path, silver_all(spark, d), "order_id", "order_date",
                       update_cols=["status", "ingested_at"])

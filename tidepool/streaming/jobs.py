@@ -7,7 +7,8 @@ scheduled incremental batch or continuously with another trigger.
 
 Sinks keep no state of their own: what earlier batches wrote is found in
 storage, so a restarted process goes on where the last one stopped, and a
-batch that is replayed writes the same rows again.  The registered queries
+batch that is replayed writes the same rows again, also after a crash in
+the middle of a write (tables by day are published in one step).  The registered queries
 drop no late row: tables partitioned by day are merged or recomputed for
 the days a batch touches, whenever its rows arrive.  The watermark forms
 (``stream_bronze``, ``windowed_gold``) bound the state instead and drop
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidepool.operators.changes import merge_upsert
-from tidepool.session import materialize, scratch_path
+from tidepool.session import scratch_path
+from tidepool.sources.partitions import PartitionStore
 
 
 def read_landed(spark: SparkSession, path: str, schema: StructType, glob: str | None = None,
@@ -83,12 +85,6 @@ def _folders(spark: SparkSession, base: str) -> list[str]:
     return [p.getName() for p in paths if fs.exists(p.suffix("/_SUCCESS"))]
 
 
-def _has_partitions(spark: SparkSession, path: str) -> bool:
-    """True if a partitioned write to ``path`` was committed: partition
-    folders move there at commit (such a write leaves no _SUCCESS file)."""
-    return any("=" in p.getName() for p in _listed(spark, path)[1])
-
-
 class SnapshotSink:
     """foreachBatch target keeping one snapshot folder per batch id; a batch
     merges with the last snapshot before it that is in storage."""
@@ -148,12 +144,12 @@ class PartitionedTableSink:
     ``partition_col`` and rewrites only the partitions a batch touches.
 
     The previous rows of the touched partitions are read through a semi
-    join on the partition column (partition pruning, no driver-side list; a
-    NULL partition is one like any other), merged with the batch and written
-    back with dynamic partition overwrite.  Work per batch follows the
-    touched partitions, not the table.  ``merge`` must be idempotent (e.g.
-    keep-latest), so a replayed batch rewrites the same partitions with the
-    same rows."""
+    join on the partition column (a NULL partition is one like any other),
+    merged with the batch and published in one step (``PartitionStore``): a
+    crash at any moment leaves the last published rows, and the replayed
+    batch merges with those.  Work per batch follows the touched partitions,
+    not the table.  ``merge`` must be idempotent (e.g. keep-latest), so a
+    replayed batch publishes the same rows."""
 
     def __init__(self, path: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame],
                  partition_col: str, partition_of: Callable[[DataFrame], DataFrame]):
@@ -162,28 +158,22 @@ class PartitionedTableSink:
         self.partition_col = partition_col
         self.partition_of = partition_of      # adds ``partition_col`` to batch rows
 
+    def store(self, spark: SparkSession) -> PartitionStore:
+        return PartitionStore(spark, self.path, self.partition_col)
+
     def of_partitions(self, rows: DataFrame) -> DataFrame | None:
         """The table's rows in the partitions of ``rows``; None if there is no table yet."""
-        spark = rows.sparkSession
-        if not _has_partitions(spark, self.path):
-            return None
-        touched = rows.select(F.col(self.partition_col).alias("_touched")).distinct()
-        # the type is given: a folder name alone would be read as a date or number
-        table = spark.read.parquet(self.path).withColumn(
-            self.partition_col, F.col(self.partition_col).cast(rows.schema[self.partition_col].dataType))
-        return table.join(touched, F.col(self.partition_col).eqNullSafe(F.col("_touched")), "left_semi")
+        return self.store(rows.sparkSession).read_touched(rows)
 
     def overwrite(self, rows: DataFrame) -> None:
-        # staged before the partitions it was read from are overwritten
-        materialize(rows, "batch-merge").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy(self.partition_col).parquet(self.path)
+        self.store(rows.sparkSession).replace(rows)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         rows = self.partition_of(batch)
         self.overwrite(self.merge(self.of_partitions(rows), rows))
 
     def latest(self, spark: SparkSession) -> DataFrame | None:
-        return spark.read.parquet(self.path) if _has_partitions(spark, self.path) else None
+        return self.store(spark).read()
 
 
 class RecomputeSink:
