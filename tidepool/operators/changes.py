@@ -106,6 +106,72 @@ def scd2(changes: DataFrame, keys, ts_col: str, tracked=None, skew_safe: bool =
                         F.col("valid_to").isNull().alias("is_current"))
 
 
+def scd2_apply(history: DataFrame | None, batch: DataFrame, keys, ts_col: str, tracked=None,
+               skew_safe: bool = False) -> DataFrame:
+    """I4 kept from batches: the history after one more batch of change
+    records, which may be late.  A late record splits the interval it falls
+    in; a record that repeats the version before it changes nothing now, but
+    is kept (``is_version`` false), since a later batch may put another
+    version between the two.  Batches in any order, also delivered twice,
+    give the history of one run over all of them.
+
+    Only the keys of the batch are worked on; the rows of all others pass.
+    ``scd2_versions`` gives the plain history.  Records of one key with the
+    same time are ordered by a digest of their values; records equal in all
+    columns are one.  NULL keys are a key like any other."""
+    from tidepool.operators.skew import null_safe_join
+    keys = _keys(keys)
+    attrs = [c for c in batch.columns if c not in keys and c != ts_col]
+    now = F.struct(*(attrs if tracked is None else tracked))
+    records = batch.select(*keys, *attrs, ts_col)
+    rest = None
+    if history is not None:
+        touched = batch.select(*keys).distinct()
+        mine = null_safe_join(history, touched, keys, "left_semi").withColumnRenamed("valid_from", ts_col)
+        records = mine.select(*records.columns).unionByName(records)
+        rest = null_safe_join(history, touched, keys, "left_anti")
+    digest = F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in attrs]), {"ignoreNullFields": "false"})) if attrs else F.lit(0)
+    records = records.distinct().withColumn("_tie", digest)
+    order = [ts_col, "_tie"]
+
+    def framed(df: DataFrame, before: int, after: int, build) -> DataFrame:
+        if skew_safe:
+            from tidepool.operators.skew import bounded_frame
+            return bounded_frame(df, keys, order, before, after, build)
+        return df.select("*", *[c.alias(n) for n, c in build(Window.partitionBy(*keys).orderBy(*order)).items()])
+
+    seen = framed(records, 1, 0, lambda w: {"_prev": F.lag(now).over(w)})
+    seen = seen.withColumn("is_version", F.col("_prev").isNull() | ~F.col("_prev").eqNullSafe(now)).drop("_prev")
+    versions = framed(seen.where("is_version"), 0, 1, lambda w: {"valid_to": F.lead(ts_col).over(w)})
+    repeats = seen.where("NOT is_version").withColumn("valid_to", F.lit(None).cast(batch.schema[ts_col].dataType))
+    out = versions.unionByName(repeats).select(
+        *keys, *attrs, F.col(ts_col).alias("valid_from"), "valid_to",
+        (F.col("is_version") & F.col("valid_to").isNull()).alias("is_current"), "is_version")
+    return out if rest is None else rest.unionByName(out)
+
+
+def scd2_versions(history: DataFrame) -> DataFrame:
+    """The plain type-2 history of ``scd2_apply``'s table."""
+    return history.where("is_version").drop("is_version")
+
+
+def scd2_store(store, batch: DataFrame, keys, ts_col: str, tracked=None, skew_safe: bool = False) -> int:
+    """``scd2_apply`` on a partition store (``sources.partitions``) whose
+    partition column is a bucket of the key, named as the store says: only
+    buckets with keys of the batch are read and published, in one step."""
+    from tidepool.session import materialize
+    batch = materialize(batch, "scd2-batch")
+    bucket = store.partition_col
+    old = store.read_touched(batch)
+    kept = scd2_apply(None if old is None else old, batch, [*_keys(keys), bucket], ts_col, tracked, skew_safe)
+    return store.replace(kept)
+
+
+def key_bucket(keys, buckets: int) -> Column:
+    """Bucket of a key, for a store partitioned by it."""
+    return F.pmod(F.xxhash64(*_keys(keys)), F.lit(buckets)).cast("int")
+
+
 def as_of(history: DataFrame, keys, version_col: str, version, deleted_col: str | None = None) -> DataFrame:
     """Table state at ``version`` from a history of row versions
     (``version_col``, optional tombstone flag ``deleted_col``): rows up to
@@ -133,8 +199,13 @@ def change_feed(old: DataFrame, new: DataFrame, keys) -> DataFrame:
     cols = [c for c in old.columns if c not in keys]
     o = old.select(*keys, F.struct(*cols).alias("_o"))
     n = new.select(*keys, F.struct(*[F.col(c) for c in cols]).alias("_n"))
-    j = o.join(n, keys, "full_outer")
-    kind = (F.when(F.col("_o").isNull(), F.array(F.lit(INSERT)))
+    return _images(o.join(n, keys, "full_outer"), keys, cols)
+
+
+def _images(j: DataFrame, keys, cols) -> DataFrame:
+    """Change rows of (keys, _o, _n), the old and the new image of a key."""
+    kind = (F.when(F.col("_o").isNull() & F.col("_n").isNull(), F.lit(None))
+             .when(F.col("_o").isNull(), F.array(F.lit(INSERT)))
              .when(F.col("_n").isNull(), F.array(F.lit(DELETE)))
              .when(~F.col("_o").eqNullSafe(F.col("_n")), F.array(F.lit(PRE), F.lit(POST))))
     rows = j.withColumn("_change_type", F.explode(kind))  # unchanged: NULL array -> no rows
@@ -143,6 +214,23 @@ def change_feed(old: DataFrame, new: DataFrame, keys) -> DataFrame:
         *keys, *[F.col(f"_img.{c}").alias(c) for c in cols], "_change_type")
 
 
+def compose_feeds(changes: DataFrame, keys, version_col: str = "_commit_version") -> DataFrame:
+    """I6 over many versions: the net change of consecutive feeds.  For each
+    key the image before its first change meets the image after its last:
+    insert then delete is nothing, delete then insert an update, updates keep
+    the first pre-image, a value that comes back is no change.  Both images
+    are aggregates, combined before the shuffle, so a key that changes very
+    often is one row a task."""
+    keys = _keys(keys)
+    cols = [c for c in changes.columns if c not in [*keys, "_change_type", version_col]]
+    when = F.struct(F.col(version_col), F.when(F.col("_change_type").isin(PRE, DELETE), 0).otherwise(1))
+    row = F.struct("_change_type", F.struct(*cols).alias("img"))
+    ends = changes.groupBy(*keys).agg(F.min_by(row, when).alias("_first"), F.max_by(row, when).alias("_last"))
+    old = F.when(F.col("_first._change_type") != INSERT, F.col("_first.img"))
+    new = F.when(F.col("_last._change_type") != DELETE, F.col("_last.img"))
+    return _images(ends.select(*keys, old.alias("_o"), new.alias("_n")), keys, cols)
+
+
 def apply_changes(base: DataFrame, changes: DataFrame, keys, version_col: str = "_commit_version") -> DataFrame:
     """Current state from a base snapshot plus change rows: for each key
     the last change (by version; a postimage wins over its preimage) decides

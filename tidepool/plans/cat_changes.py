@@ -140,6 +140,24 @@ def i4s(spark, d):
     return CH.scd2(ch, "c_custkey", "ts", skew_safe=True)
 
 
+@register("I4b_scd2_from_late_batches", oracle=SCD2_SQL)
+def i4b(spark, d):
+    """The same history kept from four batches, the later records first and
+    one batch delivered twice."""
+    from tidepool.session import materialize, scratch_path
+    from tidepool.sources.partitions import PartitionStore
+    ch = (old_snapshot(spark, d).withColumn("ts", F.lit(T1))
+          .unionByName(new_snapshot(spark, d).withColumn("ts", F.lit(T2)))
+          .withColumn("bucket", CH.key_bucket("c_custkey", 4)))
+    ch = materialize(ch, "i4b-changes")
+    even = F.col("c_custkey") % 2 == 0
+    late, early = ch.where(F.col("ts") == F.lit(T2)), ch.where(F.col("ts") == F.lit(T1))
+    store = PartitionStore(spark, scratch_path(spark, "i4b-history"), "bucket")
+    for batch in (late.where(even), early.where(~even), late.where(~even), early.where(even), late.where(even)):
+        CH.scd2_store(store, batch, "c_custkey", "ts")
+    return CH.scd2_versions(store.read()).drop("bucket")
+
+
 def history(spark, d):
     """Row-version history: version 1 loads the old snapshot, version 2
     upserts the updates and tombstones the deleted keys."""
@@ -200,3 +218,35 @@ def i7(spark, d):
     feed = CH.change_feed(old_snapshot(spark, d), new_snapshot(spark, d), "c_custkey").withColumn(
         "_commit_version", F.lit(2))
     return CH.apply_changes(old_snapshot(spark, d), feed, "c_custkey")
+
+
+def third_snapshot(spark, d):
+    """After ``new``: some added keys go again, some changed rows come back
+    as they were, some removed keys return under another name."""
+    k, old = F.col("c_custkey"), old_snapshot(spark, d)
+    new = new_snapshot(spark, d).where(~((k > NEW_KEY_OFFSET) & (k % 3 == 0)) & ~((k < NEW_KEY_OFFSET) & (k % 35 == 0)))
+    back = old.where((k % 35 == 0) & (k % 11 != 0))
+    return new.unionByName(back).unionByName(old.where(k % 22 == 0).withColumn("c_name", F.upper("c_name")))
+
+
+THIRD_SQL = f"""(
+  SELECT * FROM {NEW_SQL} n WHERE NOT (c_custkey > {NEW_KEY_OFFSET} AND c_custkey % 3 = 0)
+    AND NOT (c_custkey < {NEW_KEY_OFFSET} AND c_custkey % 35 = 0)
+  UNION ALL SELECT * FROM {OLD_SQL} o WHERE c_custkey % 35 = 0 AND c_custkey % 11 <> 0
+  UNION ALL SELECT c_custkey, upper(c_name), c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 22 = 0)"""
+
+DIFFERS = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in COLS[1:])
+
+
+@register("I6c_net_change_of_feeds", oracle=f"""
+SELECT n.*, 'insert' AS _change_type FROM {THIRD_SQL} n WHERE c_custkey NOT IN (SELECT c_custkey FROM {OLD_SQL})
+UNION ALL SELECT o.*, 'delete' FROM {OLD_SQL} o WHERE c_custkey NOT IN (SELECT c_custkey FROM {THIRD_SQL})
+UNION ALL SELECT o.*, 'update_preimage' FROM {OLD_SQL} o JOIN {THIRD_SQL} n USING (c_custkey) WHERE {DIFFERS}
+UNION ALL SELECT n.*, 'update_postimage' FROM {OLD_SQL} o JOIN {THIRD_SQL} n USING (c_custkey) WHERE {DIFFERS}
+""")
+def i6c(spark, d):
+    """Feeds from version 1 to 2 and from 2 to 3, composed."""
+    v1, v2, v3 = old_snapshot(spark, d), new_snapshot(spark, d), third_snapshot(spark, d)
+    feeds = (CH.change_feed(v1, v2, "c_custkey").withColumn("_commit_version", F.lit(2))
+             .unionByName(CH.change_feed(v2, v3, "c_custkey").withColumn("_commit_version", F.lit(3))))
+    return CH.compose_feeds(feeds, "c_custkey")

@@ -88,9 +88,12 @@ def estimated_bytes(df: DataFrame) -> int:
 
 def input_bytes(df: DataFrame) -> int:
     """Bytes that a frame's plan reads: the sum over its leaves, so joins do
-    not multiply it.  No job runs."""
+    not multiply it.  A leaf of unknown size (rows handed over by the driver
+    or an RDD) counts nothing.  No job runs."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    unknown = int(df.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes())
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return sum(n for n in sizes if n < unknown)
 
 
 _STAGED: list[tuple[SparkSession, str]] = []
