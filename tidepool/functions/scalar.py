@@ -85,7 +85,12 @@ def exact_avg(c, scale: int = 2) -> Column:
     result scale, then to ``scale``); this sums whole units of 10^-scale and
     does one integer half-up division instead."""
     units = F.sum((_c(c) * (10 ** scale)).cast("decimal(38,0)"))
-    n = F.count(_c(c)).cast("decimal(38,0)")
+    return half_up_quotient(units, F.count(_c(c)).cast("decimal(38,0)"), scale)
+
+
+def half_up_quotient(units: Column, n: Column, scale: int) -> Column:
+    """``units`` of 10^-scale over ``n``, rounded HALF_UP to ``scale`` places
+    (both DECIMAL(38,0))."""
     q = int_div(F.abs(units) * 2 + n, n * 2)
     return (F.signum(units).cast("decimal(38,0)") * q / F.lit(10 ** scale)).cast(f"decimal(38,{scale})")
 

@@ -9,9 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidepool.operators.changes import change_feed
 from tidepool.plans import medallion as M
 from tidepool.plans.common import t
 from tidepool.plans.registry import register
+from tidepool.session import materialize, scratch_path
+from tidepool.sources.partitions import PartitionStore
 
 T1 = "2024-02-01 00:00:00"
 T2 = "2024-02-02 00:00:00"
@@ -144,11 +147,25 @@ def j6(spark, d):
     return M.upsert_gold(M.to_gold(silver_batch1(spark, d)), M.to_gold(silver_all(spark, d)))
 
 
+@register("J6f_gold_kept_from_change_feeds", oracle=f"SELECT * FROM {gold_sql(silver_sql(RAW_SQL, T2))} g")
+def j6f(spark, d):
+    """Gold of the first half days, then kept by the feeds of Silver to two
+    later states, days with changes only; equal to Gold built anew."""
+    raw, hour = raw_all(spark, d), F.substring("event_ts", 12, 2)
+    states = [materialize(M.to_silver(M.to_bronze(raw.filter(hour < h), T1), T2), "silver-state") for h in ("12", "18", "24")]
+    store = PartitionStore(spark, scratch_path(spark, "j6f-gold"), "order_date")
+    store.replace(M.to_gold(states[0]))
+    for before, after in zip(states, states[1:]):
+        M.apply_to_gold_store(store, change_feed(before, after, "order_id"))
+    return store.read()
+
+
 @register("J7_layer_checks", oracle=f"""
 SELECT 'bronze_rows' AS "check", COUNT(*) AS value FROM {bronze_sql(RAW_SQL)} b
 UNION ALL SELECT 'silver_rows', COUNT(*) FROM {silver_sql(RAW_SQL, T2)} s
 UNION ALL SELECT 'gold_rows', COUNT(*) FROM {gold_sql(silver_sql(RAW_SQL, T2))} g
 UNION ALL SELECT 'silver_null_amount', COUNT(*) FILTER (WHERE amount IS NULL) FROM {silver_sql(RAW_SQL, T2)} s2
+UNION ALL SELECT 'silver_status_' || coalesce(status, 'null'), COUNT(*) FROM {silver_sql(RAW_SQL, T2)} s3 GROUP BY 1
 """)
 def j7(spark, d):
     b = bronze_all(spark, d)

@@ -8,16 +8,21 @@ never read from the clock.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DecimalType, IntegerType, StringType, StructField, StructType,
                                TimestampType)
 
-from tidepool.functions.scalar import exact_avg
-from tidepool.operators.changes import merge_upsert
+from tidepool.functions.scalar import exact_avg, half_up_quotient
+from tidepool.operators.changes import DELETE, PRE, merge_upsert
 from tidepool.operators.joins import anti_join, join_dim
 from tidepool.operators.windows import keep_latest
+from tidepool.session import materialize
 from tidepool.sources.contracts import enforce_schema
+from tidepool.sources.partitions import PartitionStore
 
 # Columns, types, required fields and statuses of the order pipeline, and its Gold keys.
 BRONZE_COLUMNS = ["event_id", "order_id", "customer_id", "product_id", "quantity", "unit_price",
@@ -35,6 +40,7 @@ SILVER_CONTRACT = StructType([
     StructField("region", StringType(), False),
     StructField("event_ts", TimestampType(), False),
 ])
+# Columns of the Silver table.
 SILVER_COLUMNS = ["order_id", "customer_id", "product_id", "quantity", "unit_price", "amount",
                   "status", "region", "order_date", "ingested_at"]
 # Statuses that count as revenue in Gold (reference pipeline).
@@ -121,25 +127,74 @@ def to_gold(silver: DataFrame) -> DataFrame:
 
 
 GOLD_KEYS = ["order_date", "product_id", "region"]
+GOLD_SCHEMA = ("order_date date, product_id string, region string, total_orders bigint, total_revenue decimal(14,2), "
+               "avg_order_value decimal(10,2)")
 
 
 # J6 --------------------------------------------------------------------------------------
 def upsert_gold(gold: DataFrame, updates: DataFrame) -> DataFrame:
     """Replace matching (date, product, region) rows, insert new ones.  Rows
-    of groups that vanished stay; a backfill uses overwrite_partitions."""
+    of groups that vanished stay; ``apply_to_gold`` takes them away, from the
+    change feed."""
     return merge_upsert(gold, updates, GOLD_KEYS)
 
 
+def gold_delta(feed: DataFrame) -> DataFrame:
+    """What a change feed of Silver adds to each Gold group: pre-images and
+    deletes subtract, post-images and inserts add.  Sums combine before the
+    shuffle; groups whose changes cancel are left out."""
+    sign = F.when(F.col("_change_type").isin(PRE, DELETE), -1).otherwise(1)
+    rows = feed.where(F.col("status").isin(*GOLD_STATUSES)).withColumn("_sign", sign)
+    delta = rows.groupBy(*GOLD_KEYS).agg(F.sum("_sign").cast("bigint").alias("_orders"),
+                                         F.sum(F.col("amount") * F.col("_sign")).cast("decimal(14,2)").alias("_revenue"))
+    return delta.where("_orders <> 0 OR _revenue <> 0")
+
+
+def apply_to_gold(gold: DataFrame, feed: DataFrame) -> DataFrame:
+    """Gold after a change feed of Silver: counts and sums are retracted and
+    added, the average follows from them, and a group without orders goes.
+    Equal to Gold built anew from the changed Silver, whose rows it does not
+    read."""
+    joined = null_safe_full_join(gold, gold_delta(feed), GOLD_KEYS)
+    orders = F.coalesce("total_orders", F.lit(0)) + F.coalesce("_orders", F.lit(0))
+    revenue = (F.coalesce("total_revenue", F.lit(0)) + F.coalesce("_revenue", F.lit(0))).cast("decimal(14,2)")
+    out = joined.select(*GOLD_KEYS, orders.cast("bigint").alias("total_orders"), revenue.alias("total_revenue")).where("total_orders <> 0")
+    units, n = (F.col("total_revenue") * 100).cast("decimal(38,0)"), F.col("total_orders").cast("decimal(38,0)")
+    return out.withColumn("avg_order_value", half_up_quotient(units, n, 2).cast("decimal(10,2)"))
+
+
+def apply_to_gold_store(store: PartitionStore, feed: DataFrame) -> int:
+    """``apply_to_gold`` on a Gold store partitioned by order date: only days
+    with changes are read and published, in one step; a day whose last group
+    goes is emptied.  A feed must be applied once: ``version`` of the store
+    tells how many were."""
+    delta = materialize(gold_delta(feed), "gold-delta")
+    days = store.read_touched(delta)
+    empty = feed.sparkSession.createDataFrame([], GOLD_SCHEMA)
+    return store.replace(apply_to_gold(empty if days is None else days, feed), touched=delta)
+
+
+def null_safe_full_join(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+    """Full outer join in which NULL keys match; keys are coalesced."""
+    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    joined = left.withColumn("_l", F.lit(True)).join(other, reduce(and_, on), "full_outer")
+    return joined.select(*[F.when(F.col("_l"), F.col(k)).otherwise(F.col(f"_right_{k}")).alias(k) for k in keys],
+                         *[c for c in left.columns if c not in keys], *[c for c in right.columns if c not in keys])
+
+
 # J7 --------------------------------------------------------------------------------------
 def layer_checks(bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> DataFrame:
-    """One row per check: layer counts and null amounts in silver, as a
-    single union of global aggregates."""
+    """One row per check: layer counts, null amounts in silver, and its rows
+    of each status, as a single union of aggregates."""
     def cnt(df, name):
         return df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(name).alias("check"), "value")
     null_amt = silver.agg(F.sum(F.when(F.col("amount").isNull(), 1).otherwise(0)).cast("bigint").alias("value")) \
         .select(F.lit("silver_null_amount").alias("check"), F.coalesce("value", F.lit(0)).cast("bigint").alias("value"))
+    status = silver.groupBy(F.concat(F.lit("silver_status_"), F.coalesce("status", F.lit("null"))).alias("check")).agg(
+        F.count(F.lit(1)).alias("value"))
     return (cnt(bronze, "bronze_rows").unionByName(cnt(silver, "silver_rows"))
-            .unionByName(cnt(gold, "gold_rows")).unionByName(null_amt))
+            .unionByName(cnt(gold, "gold_rows")).unionByName(null_amt).unionByName(status))
 
 
 # Derived bronze input from the events table ---------------------------------------------------

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,7 +77,7 @@ class PartitionStore:
         if not state["partitions"]:
             return self.spark.createDataFrame([], schema)
         paths = [f"{data}/_write={w}/{p}" for p, w in sorted(state["partitions"].items())]
-        return self.spark.read.schema(schema).option("basePath", data).parquet(*paths).select(*schema.fieldNames())
+        return self.spark.read.schema(schema).option("basePath", data).parquet(*paths).drop("_write")
 
     def read_touched(self, rows: DataFrame) -> DataFrame | None:
         """The table's rows in the partitions that ``rows`` fall in (NULL is a
@@ -87,18 +88,27 @@ class PartitionStore:
         touched = rows.select(F.col(c).cast(table.schema[c].dataType).alias("_touched")).distinct()
         return table.join(touched, F.col(c).eqNullSafe(F.col("_touched")), "left_semi")
 
-    def replace(self, rows: DataFrame) -> int:
+    def _folders_of(self, rows: DataFrame) -> list[str]:
+        """Names of the partitions that ``rows`` of this table come from."""
+        name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+        return [unquote(r[0]) for r in rows.select(name).distinct().collect()]      # partitions, not rows
+
+    def replace(self, rows: DataFrame, touched: DataFrame | None = None) -> int:
         """Publish ``rows`` as the new contents of the partitions they fall in;
-        the others stay as they are.  ``rows`` may read this table.  Returns
+        the others stay as they are.  ``rows`` may read this table.  Partitions
+        that ``touched`` rows fall in and ``rows`` do not are emptied.  Returns
         the version published."""
         known = self.versions()
         last = self._state(known[-1]) if known else {"partitions": {}}
+        old = self.read_touched(touched) if touched is not None else None
+        emptied = self._folders_of(old) if old is not None else []
         version = (known[-1] if known else 0) + 1
         write = f"{version:012d}-{uuid.uuid4().hex[:12]}"
         rows.write.partitionBy(self.partition_col).parquet(f"{self.path}/data/_write={write}")
         found = [n for n in self._names(f"data/_write={write}") if "=" in n]
         columns = [c for c in rows.columns if c != self.partition_col] + [self.partition_col]
-        state = {"schema": json.loads(rows.select(*columns).schema.json()), "partitions": last["partitions"] | dict.fromkeys(found, write)}
+        state = {"schema": json.loads(rows.select(*columns).schema.json()),
+                 "partitions": {k: v for k, v in last["partitions"].items() if k not in emptied} | dict.fromkeys(found, write)}
         self._publish(state, version)
         return version
 
