@@ -13,11 +13,11 @@ codes whose whole substring is that near, and keeps those within ``r``, each pai
 first substring that finds it.  All codes within the radius are found.  Then distances are
 computed on the vectors themselves, in doubles.
 
-Radius: the sample also gives the curve ``need(d)``, the bits within which 99.5% of the
+Radius: the sample also gives the curve ``need(d)``, the bits within which 99% of the
 pairs at distance ``d`` or less lie.  A query is done when its k + 1 nearest lie at distance
 ``d`` and its radius is ``need(d)`` or more; else it goes on with the larger radius in a
 further round, up to all bits.  The first radius follows from the nearest sampled vectors
-where the sample is dense enough to tell (N up to 22 times the sample for k = 10), else it
+where the sample is dense enough to tell (N up to 11 times the sample for k = 10), else it
 starts at no bit per substring.  So the work follows the density of the vectors and no
 number of candidates is fixed; there is no cap on a cell, a query or a result.
 
@@ -61,7 +61,7 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 class Coder:
     """Mean, turning matrix and need(d) of a sample of vectors (rows of ``x``)."""
 
-    def __init__(self, x: np.ndarray, rounds: int = 30, covered: float = 0.995, seed: int = 7):
+    def __init__(self, x: np.ndarray, rounds: int = 30, covered: float = 0.99, seed: int = 7):
         rng = np.random.default_rng(seed)
         self.mean = x.mean(0)
         z = x - self.mean
@@ -289,7 +289,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec
     coder = Coder(_matrix(picked["vec"], dim))
     prefix = int(np.clip(np.ceil(np.log2(max(1, n) / CELL)), 0, WIDTH))
     codes = stage(distinct.select("no", "vec").mapInArrow(_code_rows(coder, dim), "id long, code binary"), "llm-codes")
-    rank = 2 * (k + 1) * picked.num_rows / n
+    rank = (k + 1) * picked.num_rows / n
     pending = stage(queries.mapInArrow(_first_radius(coder, dim, rank), "id long, code binary, radius long"), "llm-pending")
 
     found = spark.createDataFrame([], "query long, vec long, first long, score double")
