@@ -72,10 +72,11 @@ def test_every_code_within_the_radius_is_found(spark, monkeypatch):
     codes[150:] = codes[:150] ^ (rng.random((150, 32)) < 0.2) * rng.integers(0, 256, (150, 32), np.uint8)
     have = spark.createDataFrame([(i, bytearray(c)) for i, c in enumerate(codes)], "id long, code binary")
     for radius in (0, 15, 40, 90, 256):
-        ask = spark.createDataFrame([(i, bytearray(codes[i]), radius) for i in range(0, 300, 30)], "id long, code binary, radius long")
+        ask = spark.createDataFrame([(i, bytearray(codes[i]), radius, i // 10) for i in range(0, 300, 30)],
+                                    "id long, code binary, radius long, past long")
         got = sorted((r.query, r.vec) for r in hamming_ann._within(have, ask, 4).collect())
         bits = np.bitwise_count(codes[:, None] ^ codes[None]).sum(-1)
-        assert got == [(q, v) for q in range(0, 300, 30) for v in range(300) if bits[q, v] <= radius]
+        assert got == [(q, v) for q in range(0, 300, 30) for v in range(300) if q // 10 < bits[q, v] <= radius]
 
 
 def test_ann_copies_ties_and_bad_vectors(spark):

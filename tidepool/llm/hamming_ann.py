@@ -13,13 +13,15 @@ codes whose whole substring is that near, and keeps those within ``r``, each pai
 first substring that finds it.  All codes within the radius are found.  Then distances are
 computed on the vectors themselves, in doubles.
 
-Radius: the sample also gives the curve ``need(d)``, the bits within which 99% of the
-pairs at distance ``d`` or less lie.  A query is done when its k + 1 nearest lie at distance
-``d`` and its radius is ``need(d)`` or more; else it goes on with the larger radius in a
-further round, up to all bits.  The first radius follows from the nearest sampled vectors
-where the sample is dense enough to tell (N up to 11 times the sample for k = 10), else it
-starts at no bit per substring.  So the work follows the density of the vectors and no
-number of candidates is fixed; there is no cap on a cell, a query or a result.
+Radius: the sample also gives the curve ``need(d)``, the bits within which 97% of the
+pairs at distance ``d`` or less lie, and ``half(d)``, those that half of them need.  A query
+is done when its k + 1 nearest lie at distance ``d`` and its radius is ``need(d)`` or more;
+else it goes on with the larger radius in a further round, up to all bits, where only the
+codes beyond its last radius are new.  The first radius is ``half`` of the distance to the
+nearest sampled vectors where the sample is dense enough to tell (N up to 11 times the
+sample for k = 10), else it starts at no bit per substring.  So the work follows the density
+of the vectors and no number of candidates is fixed; there is no cap on a cell, a query or a
+result.
 
 Skew: equal vectors are indexed once, with their k + 1 smallest ids, which is all that a
 result can hold of them; equal queries are searched once.  A cell with more codes or visits
@@ -48,7 +50,7 @@ BITS, WIDTH = 256, 16
 SUBSTRINGS = BITS // WIDTH
 CELL, VISITS = 16_384, 4_096
 FLUSH = 1 << 16                           # codes or visits gathered before a task sends its cells
-PACKED = "sub int, cell int, n int, ids binary, codes binary, radii binary"
+PACKED = "sub int, cell int, n int, ids binary, codes binary, radii binary, past binary"
 
 
 # ---------------------------------------------------------------- learned codes
@@ -61,7 +63,7 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 class Coder:
     """Mean, turning matrix and need(d) of a sample of vectors (rows of ``x``)."""
 
-    def __init__(self, x: np.ndarray, rounds: int = 30, covered: float = 0.99, seed: int = 7):
+    def __init__(self, x: np.ndarray, rounds: int = 30, covered: float = 0.97, seed: int = 7):
         rng = np.random.default_rng(seed)
         self.mean = x.mean(0)
         z = x - self.mean
@@ -87,21 +89,26 @@ class Coder:
         at = np.quantile(far, [0, 0.5])                    # nearer pairs than the median are the ones to tell
         edges = np.linspace(0, at[1] or 1.0, 129)[1:]
         bin_of = np.searchsorted(edges, far)
-        self.edges, self.bits = edges, np.zeros(len(edges) + 1)
-        for b in range(len(edges)):
-            own = bits[bin_of == b]
-            if len(own) >= 32:
-                self.bits[b] = np.quantile(own, covered, method="higher")
-        known = np.flatnonzero(self.bits)
-        self.bits[-1] = BITS
-        for b in range(len(edges)):                        # between, the root of the distance from the next known bin
-            if not self.bits[b]:
-                nxt = known[known > b]
-                self.bits[b] = np.ceil(self.bits[nxt[0]] * np.sqrt(edges[b] / edges[nxt[0]])) if len(nxt) else BITS
-        self.bits = np.maximum.accumulate(self.bits).astype(np.int64)
+        self.edges, self.curves = edges, {}
+        for name, part in (("need", covered), ("half", 0.5)):
+            curve = np.zeros(len(edges) + 1)
+            for b in range(len(edges)):
+                own = bits[bin_of == b]
+                if len(own) >= 32:
+                    curve[b] = np.quantile(own, part, method="higher")
+            known = np.flatnonzero(curve)
+            curve[-1] = BITS
+            for b in range(len(edges)):                    # between, the root of the distance from the next known bin
+                if not curve[b]:
+                    nxt = known[known > b]
+                    curve[b] = np.ceil(curve[nxt[0]] * np.sqrt(edges[b] / edges[nxt[0]])) if len(nxt) else BITS
+            self.curves[name] = np.maximum.accumulate(curve).astype(np.int64)
 
     def need(self, d: np.ndarray) -> np.ndarray:
-        return self.bits[np.searchsorted(self.edges, d)]
+        return self.curves["need"][np.searchsorted(self.edges, d)]
+
+    def half(self, d: np.ndarray) -> np.ndarray:
+        return self.curves["half"][np.searchsorted(self.edges, d)]
 
 
 def hamming(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -132,10 +139,11 @@ def _first_radius(coder: Coder, dim: int, rank: float):
                 nth = min(int(np.ceil(rank)), len(sample) - 1)         # the query itself may be sampled
                 for i in range(0, len(x), 256):
                     d = np.maximum((x[i:i + 256] ** 2).sum(1)[:, None] + (sample ** 2).sum(1) - 2 * x[i:i + 256] @ sample.T, 0)
-                    radius[i:i + 256] = np.maximum(radius[i:i + 256], coder.need(np.sqrt(np.partition(d, nth, axis=1)[:, nth])))
+                    radius[i:i + 256] = np.maximum(radius[i:i + 256], coder.half(np.sqrt(np.partition(d, nth, axis=1)[:, nth])))
             codes = coder.code(x)
             body = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BITS // 8), len(codes), [None, pa.py_buffer(codes.tobytes())])
-            yield pa.RecordBatch.from_arrays([batch.column(0), body.cast(pa.binary()), pa.array(np.minimum(radius, BITS))], ["id", "code", "radius"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), body.cast(pa.binary()), pa.array(np.minimum(radius, BITS)),
+                                              pa.array(np.full(len(x), -1, np.int64))], ["id", "code", "radius", "past"])
 
     return run
 
@@ -147,7 +155,7 @@ def _codes_of(column: pa.Array) -> np.ndarray:
 def _deal(prefix: int, queries: bool):
     """Codes to their cells, or queries to the cells they visit; a row for each cell and 65,536 of them."""
 
-    def flush(ids, codes, radii):
+    def flush(ids, codes, radii, past):
         subs = codes.view(np.uint16)
         masks = np.arange(1 << prefix)
         masks = masks[np.argsort(np.bitwise_count(masks.astype(np.uint32)), kind="stable")]
@@ -166,16 +174,20 @@ def _deal(prefix: int, queries: bool):
                 for at in range(0, len(part), VISITS):
                     few = part[at:at + VISITS]
                     w = who[few]
-                    rows.append((sub, int(own[few[0]]), len(w), ids[w].tobytes(), codes[w].tobytes(), radii[w].tobytes() if queries else None))
-        types = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["sub", "cell", "n", "ids", "codes", "radii"])
+                    asked = (radii[w].tobytes(), past[w].tobytes()) if queries else (None, None)
+                    rows.append((sub, int(own[few[0]]), len(w), ids[w].tobytes(), codes[w].tobytes(), *asked))
+        types = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
+                                          ["sub", "cell", "n", "ids", "codes", "radii", "past"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append((batch.column(0).to_numpy(), _codes_of(batch.column(1)), batch.column(2).to_numpy() if queries else np.zeros(batch.num_rows, np.int64)))
+            none = np.zeros(batch.num_rows, np.int64)
+            radii, past = (batch.column(i).to_numpy() if queries else none for i in (2, 3))
+            held.append((batch.column(0).to_numpy(), _codes_of(batch.column(1)), radii, past))
             size += batch.num_rows
             if size >= FLUSH:
                 yield flush(*(np.concatenate(x) for x in zip(*held)))
@@ -187,12 +199,13 @@ def _deal(prefix: int, queries: bool):
 
 
 def _probe(left: pa.Table, right: pa.Table) -> pa.Table:
-    """One block of a cell's codes and one of its visits: the pairs within the visit's radius, where
-    this substring is the first to find them."""
+    """One block of a cell's codes and one of its visits: the pairs within the visit's radius and
+    beyond its last one, where this substring is the first to find them."""
     out = {"query": [], "vec": []}
     if left.num_rows and right.num_rows:
         sub = left["sub"][0].as_py()
-        vec, query, radius = (np.frombuffer(b"".join(c.to_pylist()), np.int64) for c in (left["ids"], right["ids"], right["radii"]))
+        vec, query, radius, past = (np.frombuffer(b"".join(c.to_pylist()), np.int64)
+                                    for c in (left["ids"], right["ids"], right["radii"], right["past"]))
         have, want = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(-1, BITS // 8) for c in (left["codes"], right["codes"]))
         flips = (radius // SUBSTRINGS).astype(np.uint8)
         mine, theirs = (np.ascontiguousarray(x.view(np.uint16)[:, sub]) for x in (have, want))
@@ -201,7 +214,8 @@ def _probe(left: pa.Table, right: pa.Table) -> pa.Table:
             near = np.bitwise_count(theirs[i:i + step, None] ^ mine[None]) <= flips[i:i + step, None]
             q, v = np.nonzero(near)
             q += i
-            ok = hamming(want[q], have[v]) <= radius[q]
+            bits = hamming(want[q], have[v])
+            ok = (bits <= radius[q]) & (bits > past[q])
             q, v = q[ok], v[ok]
             found_by = np.bitwise_count(want[q].view(np.uint16) ^ have[v].view(np.uint16)) <= flips[q][:, None]
             ok = found_by.argmax(1) == sub
@@ -220,14 +234,14 @@ def _distances(dim: int):
 
 
 def _next_radius(coder: Coder, enough: int):
-    """(id, code, radius, found, d) to the same with the radius that the query still needs; 0 if it is done."""
+    """(id, code, radius, found, d) to the radius that the query still needs (0 if it is done) and the last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             radius, found = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             need = np.where(found >= enough, coder.need(np.nan_to_num(batch.column(4).to_numpy(zero_copy_only=False))), radius + SUBSTRINGS)
             left = np.where((radius >= BITS) | (need <= radius), 0, np.minimum(need, BITS))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(left)], ["id", "code", "radius"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(left), pa.array(radius)], ["id", "code", "radius", "past"])
 
     return run
 
@@ -247,14 +261,14 @@ def _blocks(packed: DataFrame, counts: DataFrame, mine: str, other: str) -> Data
 
 
 def _within(codes: DataFrame, pending: DataFrame, prefix: int) -> DataFrame:
-    """All (query, vec) whose codes lie within the query's radius."""
+    """All (query, vec) whose codes lie within the query's radius and beyond ``past``."""
     index = codes.mapInArrow(_deal(prefix, False), PACKED)
     visits = stage(pending.mapInArrow(_deal(prefix, True), PACKED), "llm-visits")
     blocks = lambda df, size, name: df.groupBy("sub", "cell").agg(F.ceil(F.sum("n") / size).alias(name))
     counts = blocks(index, CELL, "rows").join(blocks(visits, VISITS, "asks"), ["sub", "cell"])
     keys = ["sub", "cell", "rows", "asks"]
     have = _blocks(index, counts, "rows", "asks").select(*keys, "ids", "codes")
-    want = _blocks(visits, counts, "asks", "rows").select(*keys, "ids", "codes", "radii")
+    want = _blocks(visits, counts, "asks", "rows").select(*keys, "ids", "codes", "radii", "past")
     return have.groupBy(*keys).cogroup(want.groupBy(*keys)).applyInArrow(_probe, "query long, vec long")
 
 
@@ -290,19 +304,22 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec
     prefix = int(np.clip(np.ceil(np.log2(max(1, n) / CELL)), 0, WIDTH))
     codes = stage(distinct.select("no", "vec").mapInArrow(_code_rows(coder, dim), "id long, code binary"), "llm-codes")
     rank = (k + 1) * picked.num_rows / n
-    pending = stage(queries.mapInArrow(_first_radius(coder, dim, rank), "id long, code binary, radius long"), "llm-pending")
+    asking = "id long, code binary, radius long, past long"
+    pending = stage(queries.mapInArrow(_first_radius(coder, dim, rank), asking), "llm-pending")
 
-    found = spark.createDataFrame([], "query long, vec long, first long, score double")
+    best = found = spark.createDataFrame([], "query long, vec long, first long, score double")
     while pending.count():
         near = stage(_within(codes, pending, prefix), "llm-near")
         both = near.join(distinct.select(F.col("no").alias("vec"), F.col("vec").alias("a"), "first"), "vec")
         both = both.join(queries.select(F.col("no").alias("query"), F.col("vec").alias("b")), "query").select("query", "vec", "first", "a", "b")
         scored = both.mapInArrow(_distances(dim), "query long, vec long, first long, score double")
+        earlier = best.join(pending.select(F.col("id").alias("query")), "query", "left_semi")
+        scored = scored.unionByName(earlier)
         place = F.row_number().over(Window.partitionBy("query").orderBy("score", "first", "vec"))
         best = stage(scored.withColumn("place", place).where(F.col("place") <= k + 1).drop("place"), "llm-best")
         state = best.groupBy(F.col("query").alias("id")).agg(F.count(F.lit(1)).alias("found"), F.max("score").alias("d"))
         state = pending.join(state, "id", "left").select("id", "code", "radius", F.coalesce("found", F.lit(0)).alias("found"), "d")
-        after = stage(state.mapInArrow(_next_radius(coder, k + 1), "id long, code binary, radius long"), "llm-pending")
+        after = stage(state.mapInArrow(_next_radius(coder, k + 1), asking), "llm-pending")
         done = after.where("radius = 0").select(F.col("id").alias("query"))
         found = found.unionByName(best.join(done, "query", "left_semi"))
         pending = after.where("radius > 0")
