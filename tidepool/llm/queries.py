@@ -170,8 +170,8 @@ OP13_SQL = r"""
 WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(""" + LOWERED.format("coalesce(text, '')") + r""", '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
 w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM d),
 n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
-at AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS pos FROM w),
-grams AS (SELECT lang, k, array_to_string(ws[pos:pos + k - 1], ' ') AS phrase FROM at, (VALUES (1), (2), (3), (4)) AS s(k) WHERE pos + k - 1 <= len(ws)),
+spots AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS pos FROM w),
+grams AS (SELECT lang, k, array_to_string(ws[pos:pos + k - 1], ' ') AS phrase FROM spots, (VALUES (1), (2), (3), (4)) AS s(k) WHERE pos + k - 1 <= len(ws)),
 f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
 c AS (SELECT lang, k AS size, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
 cuts AS (SELECT lang, size, phrase, a, ws, unnest(range(1, size)) AS cut FROM c),
