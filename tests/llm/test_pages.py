@@ -97,3 +97,29 @@ def test_defined_results(spark):
     assert got[6, 599_999] == ("word, " * 100_000).strip()
     assert got[6, 8] == "a <b>é c"
     assert html_extract.extract_digest(df.where("1 = 0")).count() == 0
+
+
+BODY = "".join(f"<p>Paragraph number {i} of the story, with commas, full stops and some length to it.</p>" for i in range(6))
+STORY = "\n".join(f"Paragraph number {i} of the story, with commas, full stops and some length to it." for i in range(6))
+TALK = "".join(f"<li>I, as reader {i}, agree with this story, and have a good deal more to say on it, at length.</li>" for i in range(60))
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><form action=x><div id=main><h1>T</h1>{BODY}</div><input name=q></form></body>",
+    f"<body><form><nav>a b</nav><div><h1>T</h1>{BODY}</div><form><label>Mail</label><input></form></form></body>",
+    f"<body><div><h1>T</h1><svg class='i' viewBox=\"0 0 1 1\"/>{BODY}</div></body>",
+    f"<body><div><h1>T</h1><div><button>Like</div>{BODY}</div></body>",
+    f"<body><div><h1>T</h1><div><select><option>One<option>Two</div>{BODY}</div><button>x</button></body>",
+    f"<body><div><h1>T</h1><svg><g><svg/></g><text>chart</text></svg>{BODY}</div></body>",
+    f"<body><div class=post><h1>T</h1>{BODY}</div><ol id=comments>{TALK}</ol></body>",
+    f"<body><div class=post><h1>T</h1>{BODY}</div><div class='comment-list'><ul>{TALK}</ul></div></body>",
+    f"<body><div><h1>T</h1><div hidden><p>Not shown, at all, to anyone.</p></div>{BODY}</div></body>",
+    f"<body><div><h1>T</h1><p style='color:red;display: none'>Not shown, at all.</p>{BODY}</div></body>",
+    f"<body><div><h1>T</h1>{BODY}<p>Copyright © 2024 Example Press. All rights reserved.</p></div></body>",
+])
+def test_main_text_without_an_article_element(page):
+    assert html_extract.main_text(page) == "T\n" + STORY
+
+
+def test_a_page_of_nothing_but_comments_keeps_them():
+    assert html_extract.main_text(f"<body><div id=comments><ol>{TALK}</ol></div></body>").count("\n") == 59

@@ -34,17 +34,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-RAW = "script style template noscript textarea title iframe svg object select button annotation annotation-xml xmp noembed noframes".split()
+RAW = "script style template noscript textarea title iframe annotation annotation-xml xmp noembed noframes".split()
+# Dropped whole where they are closed before the next of their kind; else they end with their parent, as any element.
+SOFT = "svg object select button".split()
 VOID = set("br hr img input meta link area base col embed param source track wbr".split())
 BLOCK = set("""html head body p div section article main header footer nav aside ul ol li dl dt dd menu table caption
 thead tbody tfoot tr td th blockquote pre figure figcaption form fieldset legend h1 h2 h3 h4 h5 h6 hr address details
 summary dialog center hgroup search""".split())
-FURNITURE = set("head nav footer aside form menu dialog search fieldset".split())
+FURNITURE = set("head nav footer aside menu dialog search".split()) | set(SOFT)
+FORMS = set("form fieldset".split())       # furniture, unless the page stands in one
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 HINT = re.compile(r"""(?:^|[\s_-])(?<!\bhas[_-])(?<!\bwith[_-])(?<!\bno[_-])(?<!\bby[_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alerts?|popup|modal|newsletter|
 subscribe|subscription|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side(?![_-]by[_-])|widget|footer|masthead|topbar|toolbar|site-?header|
 page-?header|comments?|commentlist|comment-\w+|reply|replies|respond|responses|disqus|related|recommended|share|sharing|social|pagination|pager|
 login|signup|search)(?=$|[\s_-])""".replace("\n", ""), re.I)
+READERS = re.compile(r"(?:user-?|reader-?|the-?)?comments?(?:[_-]?(?:list|section|area|body|content|wrap|wrapper|thread|block|box|container))?|"
+                     r"commentlist|replies|responses|respond|disqus(?:_thread)?", re.I)
+HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|style\s*=\s*(?:"[^"]*|'[^']*)display\s*:\s*none""", re.I)
+QUOTED = re.compile(r"""(?<!\bstyle=)(?:"[^"]*"|'[^']*')""", re.I)
+COPYRIGHT = re.compile(r"(?:copyright\b|©|\(c\))(?=.*(?:\d{4}|rights reserved)).{0,200}", re.I)
 # Elements that are parts of a text and never the node that holds it.
 PARTS = set("""p ul ol li dl dt dd menu table caption thead tbody tfoot tr td th blockquote pre xmp figure figcaption legend
 h1 h2 h3 h4 h5 h6 hr address summary hgroup""".split())
@@ -52,7 +60,8 @@ HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 PAGE = ("#", "html", "body")
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr"}, {"table"})}
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*?>(?P<inside>.*?)(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>"
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<svg(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*?/>|<(?P<soft>" + "|".join(SOFT) + r")(?=[\s/>])[^>]*>(?:(?!<(?P=soft)[\s/>]).)*?</(?P=soft)\s*>"
+                 r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*?>(?P<inside>.*?)(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>"
                  r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)>", re.S | re.I)
 ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?、。，…]")
@@ -63,15 +72,19 @@ def _name(step: str) -> str:
     return step.split(".")[0]
 
 
-def _element(tag: str, attrs: str, stack: list) -> tuple[str, bool, tuple]:
-    """The path step of a start tag, whether its tag or role is page furniture, and the names that hint at it."""
+def _element(tag: str, attrs: str, stack: list, nth: int) -> tuple[str, bool, tuple]:
+    """The path step of a start tag, whether its tag or role is page furniture or it is hidden, and the names
+    that hint at it; a form hints by itself (as the ``nth`` element)."""
     named = {k.lower(): a or b or c for k, a, b, c in ATTR.findall(attrs)} if "=" in attrs else {}
     furniture = tag in FURNITURE or named.get("role", "").lower() in ROLES
+    if tag not in ("html", "body") and ("hidden" in attrs.lower() or "none" in attrs.lower()):
+        furniture |= bool(HIDDEN.search(QUOTED.sub("", attrs)))
     if tag == "header":      # of the page, unless an article has its own
         furniture |= not any(_name(step) in ("article", "main") for step, _, _ in stack)
     hints = ()
     if tag not in ("html", "body", "article", "main"):
         hints = tuple(x for k in ("class", "id") for x in named.get(k, "").split() if HINT.search(x))
+        hints += (f"<{tag} {nth}>",) if tag in FORMS else ()
     return tag + ("." + named["class"] if named.get("class") else ""), furniture, hints
 
 
@@ -100,7 +113,7 @@ def blocks(page: str) -> list[tuple[tuple, bool, tuple, str, int]]:
                 return
 
     def push(tag: str, attrs: str) -> None:
-        step, furniture, hints = _element(tag, attrs, stack)
+        step, furniture, hints = _element(tag, attrs, stack, at)
         _, within, above = stack[-1] if stack else ("", False, ())
         stack.append((step, furniture or within, (*above, hints) if hints else above))
 
@@ -123,13 +136,15 @@ def blocks(page: str) -> list[tuple[tuple, bool, tuple, str, int]]:
             in_link = not m["end"]
         elif tag == "br":
             pieces.append(" ")
-        elif tag in BLOCK:
+        elif tag in BLOCK or tag in SOFT:
             flush()
             in_link = False
             if m["end"]:
                 close({tag})
             elif tag not in VOID:
-                if stack and _name(stack[-1][0]) == "p":
+                if tag in SOFT:
+                    close({tag})
+                elif stack and _name(stack[-1][0]) == "p":
                     stack.pop()
                 if tag in CLOSES:
                     close(*CLOSES[tag])
@@ -148,8 +163,14 @@ def _usable(found: list) -> list[bool]:
             total += len(text) - link
             for name in {x for names in hints for x in names}:
                 held[name] += len(text) - link
-    whole = {name: bool(HINT.fullmatch(name)) for name in held}
+    whole = {name: name[0] == "<" or bool(HINT.fullmatch(name) or READERS.fullmatch(name)) for name in held}
     layout = {name for name, n in held.items() if n > (0.75 if whole[name] else 0.5) * total}
+    readers = {name for name in held if READERS.fullmatch(name)}
+    # reader comments go at any size, if anything else of some length is left
+    others = sum(len(text) - link for _, furniture, hints, text, link in found
+                 if not furniture and not any(x in readers or whole[x] and x not in layout for names in hints for x in names))
+    if others >= 80:
+        layout -= readers
 
     def marked(names: tuple) -> bool:
         return any(whole[x] and x not in layout for x in names) or not any(x in layout for x in names)
@@ -198,6 +219,8 @@ def main_text(page: str, threshold: float = 0.25) -> str:
         first, last = min(paths[p][0] for p in content), max(paths[p][-1] for p in content)
     kept = [text for i, (path, _, _, text, _) in enumerate(found)
             if usable[i] and any(path[:len(n)] == n for n in nodes) and (first <= i <= last or path not in menus)]
+    while kept and COPYRIGHT.fullmatch(kept[-1]):
+        kept.pop()
     return "\n".join(kept)
 
 
