@@ -8,6 +8,8 @@ when skewed) when the estimate is above the bound.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -127,6 +129,35 @@ def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_rows)
 
 
+# The sketch below tracks at most this many keys (the limit of the built-in function).
+SKETCH_ITEMS = 1_000_000
+
+
+def heavy_hitters(df: DataFrame, key: str, share: float) -> DataFrame:
+    """Keys with at least ``share`` of all rows that have a key, and their
+    exact row count ``_n``, without a shuffle of all keys.
+
+    A frequent-items sketch (a mergeable Misra-Gries summary, built in as
+    ``approx_top_k``) is aggregated in one pass: with m tracked keys its
+    error is at most 3.5 / m of the rows, so with m of 8 / share no key that
+    has the share is missing, and fewer than 2 / share others rank with
+    them.  Those few are then counted exactly, with partial sums in each
+    task.  A share too small for the sketch's limit is counted over all keys.
+    """
+    if not 0 < share <= 1:
+        raise ValueError("share must be above 0 and at most 1")
+    rows = df.select(key).where(F.col(key).isNotNull())
+    total = rows.count()
+    least = math.ceil(share * total)
+    first, items = math.ceil(2 / share), math.ceil(8 / share)
+    counted = rows
+    if items <= SKETCH_ITEMS and first <= 100_000:
+        top = rows.agg(F.expr(f"approx_top_k(`{key}`, {first}, {items})").alias("top"))
+        few = materialize(top.select(F.explode("top.item").alias(key)), "heavy-keys")
+        counted = rows.join(F.broadcast(few), key, "left_semi")      # 2 / share keys at most
+    return counted.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least)
+
+
 def salted_join(big: DataFrame, small: DataFrame, key: str, n_salts: int,
                 hot: DataFrame | None = None, how: str = "inner",
                 rows_per_salt: int | None = None) -> DataFrame:

@@ -149,6 +149,14 @@ def c7b(spark, d):
             .agg(F.count(F.lit(1)).alias("n_lines"), dbl(F.sum("price")).alias("total_price")))
 
 
+@register("C8k_heavy_hitters_by_sketch", oracle="""
+WITH n AS (SELECT COUNT(*) AS total FROM lineitem)
+SELECT l_suppkey, COUNT(*) AS n_lines FROM lineitem, n GROUP BY l_suppkey, total HAVING COUNT(*) >= ceil(0.0102 * total)
+""")
+def c8k(spark, d):
+    return J.heavy_hitters(t(spark, d, "lineitem"), "l_suppkey", 0.0102).select("l_suppkey", F.col("_n").alias("n_lines"))
+
+
 @register("C8_salted_join", oracle=JOIN_SUMMARY_SQL)
 def c8(spark, d):
     li, o = _li(spark, d), _ord(spark, d)
