@@ -222,3 +222,30 @@ def d14(spark, d):
     w = Window.orderBy(F.col("_rev").desc())
     return per_nation.select("n_name", dbl("_rev").alias("revenue"),
                              F.dense_rank().over(w).cast("bigint").alias("revenue_rank"))
+
+
+@register("D4d_distinct_and_median_from_kept_days", oracle="""
+SELECT COUNT(*) AS n, true AS users_within, true AS both_within, true AS median_within FROM events
+""")
+def d4d(spark, d):
+    """Sketches kept by day: half of the days first, then the others, then one
+    of them again; the estimates as whether they lie within four standard
+    errors of the exact answers."""
+    from tidepool.operators import sketches as SK
+    from tidepool.session import scratch_path
+    from tidepool.sources.partitions import PartitionStore
+    ev = t(spark, d, "events").select(F.to_date("ts").alias("day"), "user_id", "value")
+    store = PartitionStore(spark, scratch_path(spark, "d4d-days"), "day")
+    first = F.dayofmonth("day") <= 15
+    for days in (first, ~first, F.dayofmonth("day") == 20):
+        SK.keep_days(store, ev.where(days), ["user_id"], ["value"])
+    states = store.read()
+    est = (SK.distinct_over(states, "user_id").join(SK.overlap(states, "user_id", first, ~first))
+           .join(SK.quantiles_over(states, "value", {"median": 0.5})))            # a row each
+    per_user = ev.groupBy("user_id").agg(F.max(first).alias("a"), F.max(~first).alias("b")).where("user_id IS NOT NULL")
+    exact = per_user.agg(F.count(F.lit(1)).alias("users"), F.count_if(F.col("a") & F.col("b")).alias("both"))
+    below = (F.col("value") <= F.col("median")).cast("int")
+    rank = ev.where("value IS NOT NULL").join(est.select("median")).agg((F.sum(below) / F.count(F.lit(1))).alias("rank"))
+    close = lambda got, want: F.abs(F.col(got) - F.col(want)) <= 4 * 0.0163 * F.col("users")
+    return est.join(exact).join(rank).select("n", close("n_distinct", "users").alias("users_within"), close("in_both", "both").alias("both_within"),
+                                             (F.abs(F.col("rank") - 0.5) <= 4 * 0.0133).alias("median_within"))
