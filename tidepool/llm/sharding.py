@@ -21,6 +21,7 @@ along, whatever their names.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -120,8 +121,7 @@ def _search(keys: DataFrame, low: int, high: int, total: int, targets: list[int]
                 probes |= {(a + (z - a) * k // max(1, min(PROBES, count) - 1)) * step for k in range(min(PROBES, count))} if count > 0 else set()
         probes = sorted(probes)
         found = _histogram(keys, probes)
-        below, known = 0, [(low, 0)]
-        edges = []
+        below, edges = 0, []
         for i in range(len(probes) + 1):
             if i in found:
                 size, _, least, most = found[i]
@@ -131,9 +131,9 @@ def _search(keys: DataFrame, low: int, high: int, total: int, targets: list[int]
         for j, t in enumerate(targets):
             if done[j] is not None:
                 continue
-            known = [*edges, tuple(bounds[j][:2]), tuple(bounds[j][2:])]
-            lo = max((e for e in known if e[1] <= t), key=lambda e: (e[1], e[0]))
-            hi = min((e for e in known if e[1] > t), key=lambda e: (e[1], e[0]))
+            cut = bisect.bisect_right(edges, t, key=lambda e: e[1])      # edges ascend in key and bytes
+            lo = max([*edges[max(0, cut - 1):cut], tuple(bounds[j][:2])], key=lambda e: (e[1], e[0]))
+            hi = min([*edges[cut:cut + 1], tuple(bounds[j][2:])], key=lambda e: (e[1], e[0]))
             near = min((lo, hi), key=lambda e: abs(e[1] - t))
             if abs(near[1] - t) <= slack or hi[0] - lo[0] <= 1:     # near enough, or a single key between
                 done[j] = near
