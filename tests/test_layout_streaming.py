@@ -50,6 +50,25 @@ def test_zorder_and_cluster_reduce_files_hit(spark, tmp_out):
     assert hits["cl"][0] <= 2
 
 
+def test_buckets_by_bisection(spark):
+    """Ties, NULL, values at and beyond the bounds, fewer bounds than
+    buckets; the plan over the rows grows with the bits of a bucket only
+    (11 against 6), not with the bounds (2,047 against 63)."""
+    df = spark.sql("SELECT IF(id % 11 = 0, NULL, id - 20) AS v FROM range(60)")
+    for given in ([-5, -5, 0, 3, 3, 3, 17], [4], [], None):
+        bounds = spark.createDataFrame([(given,)], "b array<bigint>")
+        got = df.crossJoin(bounds).select("v", L.bucket_of("v", F.col("b"), 8).alias("bucket")).collect()
+        assert [r.bucket for r in got] == [0 if r.v is None else sum(b < r.v for b in given or []) for r in got]
+    o = _orders_with_day(spark)
+
+    def plan(buckets):
+        z = L.zorder(o, ["o_custkey", "day"], 4, buckets)
+        return z._jdf.queryExecution().optimizedPlan().toString().split("Aggregate")[0]
+
+    assert len(plan(2048)) < 2 * len(plan(64))
+    assert L.zorder(o, ["o_custkey"], 4).exceptAll(o).count() == 0
+
+
 def _land_events(spark, base, splits, dup_from_previous=True):
     """Write the events table as several files by day ranges (time order)."""
     ev = t(spark, SF_SMALL, "events")

@@ -48,18 +48,25 @@ def compact(spark: SparkSession, path_in: str, path_out: str, target_bytes: int
 
 
 # I9 ---------------------------------------------------------------------------------------
-def quantile_buckets(df: DataFrame, cols, buckets: int = 64, accuracy: int = 10_000) -> dict[str, list]:
-    """Bucket bounds per column from ONE approx_percentile aggregate (each
-    column's bounds are ``buckets - 1`` values, so the result is small)."""
+def quantile_bounds(df: DataFrame, cols, buckets: int = 64, accuracy: int = 10_000) -> DataFrame:
+    """One row with an array of ``buckets - 1`` quantiles per column
+    (``_bounds_<column>``), from ONE approx_percentile aggregate.  The bounds
+    stay a frame: no plan over the rows grows with their number."""
     probs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(*[F.percentile_approx(F.col(c), probs, accuracy).alias(c) for c in cols]).first()
-    return {c: list(row[c] or []) for c in cols}
+    return df.agg(*[F.percentile_approx(F.col(c), probs, accuracy).alias(f"_bounds_{c}") for c in cols])
 
 
-def bucket_of(col: str, bounds: list) -> Column:
-    """Index of the quantile bucket holding the value (0 .. len(bounds))."""
-    arr = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<double>")
-    return F.size(F.filter(arr, lambda b: b < F.col(col)))
+def bucket_of(col: str, bounds: Column, buckets: int) -> Column:
+    """Index of the quantile bucket holding the value: how many of the sorted
+    ``bounds`` (fewer than ``buckets``) lie below it, found by bisection, one
+    step a bit.  NULL is in bucket 0."""
+    steps = F.lit([2 ** j for j in reversed(range(max(1, math.ceil(math.log2(buckets)))))])
+
+    def halve(below: Column, step: Column) -> Column:
+        probe = F.try_element_at(bounds, below + step)        # NULL beyond the last bound
+        return F.when(probe < F.col(col), below + step).otherwise(below)
+
+    return F.aggregate(steps, F.lit(0), halve)
 
 
 def z_value(bucket_cols: list[Column], bits: int) -> Column:
@@ -78,18 +85,24 @@ def zorder(df: DataFrame, cols, n_files: int, buckets: int | None = None) -> Dat
     narrow-range column gets as many bits as a wide one), their bits are
     interleaved, and rows are range-partitioned and sorted on that value,
     then on the columns themselves, so that a cell of equal values spreads
-    over files.  ``buckets`` per column: by default enough for 16 cells a file."""
-    if buckets is None:
-        buckets = max(64, 2 ** math.ceil(math.log2(16 * n_files) / len(cols)))
-    bits = max(1, math.ceil(math.log2(buckets)))
-    if bits * len(cols) > 63:
-        raise ValueError(f"{len(cols)} columns of {bits} bits do not fit the 63 bits of a z-value")
-    bounds = quantile_buckets(df, cols, buckets, accuracy=max(10_000, 10 * buckets))
-    z = z_value([bucket_of(c, bounds[c]) for c in cols], bits)
-    order = ["_z", *cols, "_tie"]      # the row's hash splits rows that tie on all of it
-    tie = F.xxhash64(*[F.col(c) for c in df.columns])
-    return (df.withColumn("_z", z).withColumn("_tie", tie).repartitionByRange(n_files, *order)
-            .sortWithinPartitions(*order).drop("_z", "_tie"))
+    over files.  ``buckets`` per column: by default enough for 16 cells a
+    file, which is the square root of that for two columns (4,096 bounds a
+    column for 800,000 files).  One column needs no buckets: its own order is
+    the curve."""
+    order = [*cols, "_tie"]            # the row's hash splits rows that tie on all of it
+    out = df.withColumn("_tie", F.xxhash64(*[F.col(c) for c in df.columns]))
+    if len(cols) > 1:
+        if buckets is None:
+            buckets = max(64, 2 ** math.ceil(math.log2(16 * n_files) / len(cols)))
+        bits = max(1, math.ceil(math.log2(buckets)))
+        if bits * len(cols) > 63:
+            raise ValueError(f"{len(cols)} columns of {bits} bits do not fit the 63 bits of a z-value")
+        bounds = quantile_bounds(df, cols, buckets, accuracy=max(10_000, 10 * buckets))
+        out = out.crossJoin(F.broadcast(bounds))                          # one row of bounds
+        out = out.withColumns({f"_bucket_{c}": bucket_of(c, F.col(f"_bounds_{c}"), buckets) for c in cols})
+        out = out.withColumn("_z", z_value([F.col(f"_bucket_{c}") for c in cols], bits))
+        order = ["_z", *order]
+    return (out.repartitionByRange(n_files, *order).sortWithinPartitions(*order).select(*df.columns))
 
 
 def zorder_write(df: DataFrame, cols, n_files: int, path: str, buckets: int | None = None) -> None:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType,
                                TimestampType)
 
+from tidepool.operators.range_frames import range_sums
 from tidepool.functions.scalar import int_div
 
 
@@ -244,15 +245,20 @@ def schema_drift(raw: DataFrame, text_col: str, batch_col: str, expected: dict[s
 
 
 # K13 --------------------------------------------------------------------------------------
-def rolling_fail_sla(metrics_df: DataFrame, days: int = 7, sla_pct: float = 5.0) -> DataFrame:
+def rolling_fail_sla(metrics_df: DataFrame, days: int = 7, sla_pct: float = 5.0,
+                     skew_safe: bool = False) -> DataFrame:
     """Per check and day: failures / rows over the trailing ``days`` calendar
-    days (RANGE frame) and a flag when that share exceeds ``sla_pct``."""
+    days (RANGE frame) and a flag when that share exceeds ``sla_pct``.
+    ``skew_safe`` splits a check with very many days over tasks."""
     daily = metrics_df.groupBy("check_name", F.to_date("run_timestamp").alias("day")).agg(
         F.sum("fail_count").alias("fails"), F.sum("total_rows").alias("rows"))
-    dnum = F.datediff(F.col("day"), F.lit("1970-01-01").cast("date"))
-    w = Window.partitionBy("check_name").orderBy(dnum).rangeBetween(-(days - 1), 0)
-    out = daily.select("check_name", "day", F.sum("fails").over(w).alias("fails_7d"),
-                       F.sum("rows").over(w).alias("rows_7d"))
+    daily = daily.withColumn("_day", F.datediff(F.col("day"), F.lit("1970-01-01").cast("date")))
+    if skew_safe:
+        out = range_sums(daily, "check_name", "_day", days - 1, 0, {"fails_7d": "fails", "rows_7d": "rows"})
+    else:
+        w = Window.partitionBy("check_name").orderBy("_day").rangeBetween(-(days - 1), 0)
+        out = daily.select("check_name", "day", F.sum("fails").over(w).alias("fails_7d"),
+                           F.sum("rows").over(w).alias("rows_7d"))
     return out.select("check_name", "day", F.col("fails_7d").cast("bigint").alias("fails_7d"),
                       F.col("rows_7d").cast("bigint").alias("rows_7d"),
                       pct_half_up(F.col("fails_7d"), F.col("rows_7d")).alias("fail_pct_7d"),

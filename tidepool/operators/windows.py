@@ -118,13 +118,19 @@ def rolling_rows(df: DataFrame, col: str, partition_by, order_by, preceding: int
 
 
 def rolling_days(df: DataFrame, col: str, partition_by, date_col: str, days: int,
-                 out: str | None = None, agg: str = "sum") -> DataFrame:
+                 out: str | None = None, agg: str = "sum", skew_safe: bool = False) -> DataFrame:
     """RANGE frame of ``days`` calendar days ending at the current row's
-    date; rows with the same date are peers and all included."""
+    date; rows with the same date are peers and all included.  ``skew_safe``
+    (sums and counts) splits a hot key over tasks."""
     day = F.datediff(F.col(date_col).cast("date"), F.lit("1970-01-01").cast("date"))
+    name = out or f"{agg}_{col}_{days}d"
+    if skew_safe:
+        from tidepool.operators.range_frames import range_sums
+        wanted = {"sum": {"sums": {name: col}}, "count": {"sums": {}, "counts": {name: col}}}[agg]
+        return range_sums(df.withColumn("_day", day), partition_by, "_day", days - 1, 0, **wanted).drop("_day")
     w = spec(partition_by, day).rangeBetween(-(days - 1), 0)
     fn = {"sum": F.sum, "avg": F.avg, "count": F.count}[agg]
-    return df.withColumn(out or f"{agg}_{col}_{days}d", fn(col).over(w))
+    return df.withColumn(name, fn(col).over(w))
 
 
 def share_of_partition(df: DataFrame, col: str, partition_by, out: str = "pct_of_total") -> DataFrame:

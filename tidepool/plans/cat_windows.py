@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidepool.operators import range_frames as RF
 from tidepool.operators import skew as SK
 from tidepool.operators import windows as W
 from tidepool.plans.common import dbl, money, t
@@ -155,6 +156,42 @@ def e12(spark, d):
     return out.select("o_orderpriority", "day", dbl("rev").alias("revenue"), dbl("_r7").alias("revenue_7d"))
 
 
+@register("E12s_range_days_of_orders_split", oracle="""
+WITH o AS (
+  SELECT o_orderkey, o_orderpriority, CAST(o_orderdate AS DATE) AS day, CAST(o_totalprice AS DECIMAL(18,2)) AS amt
+  FROM orders)
+SELECT o_orderkey,
+  CAST(SUM(amt) OVER back AS DOUBLE) AS revenue_7d, COUNT(*) OVER back AS orders_7d,
+  CAST(SUM(amt) OVER around AS DOUBLE) AS revenue_around, COUNT(*) OVER around AS orders_around
+FROM o
+WINDOW back AS (PARTITION BY o_orderpriority ORDER BY day RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW),
+       around AS (PARTITION BY o_orderpriority ORDER BY day RANGE BETWEEN INTERVAL 3 DAYS PRECEDING AND INTERVAL 3 DAYS FOLLOWING)
+""")
+def e12s(spark, d):
+    # five priorities hold all orders: frames as differences of running sums over chunks
+    o = t(spark, d, "orders").select("o_orderkey", "o_orderpriority", money("o_totalprice").alias("amt"),
+                                     F.unix_date(F.to_date("o_orderdate")).alias("day"))
+    back = RF.range_sums(o, "o_orderpriority", "day", 6, 0, {"_back": "amt"}, rows_out="orders_7d")
+    both = RF.range_sums(back, "o_orderpriority", "day", 3, 3, {"_around": "amt"}, rows_out="orders_around")
+    return both.select("o_orderkey", dbl("_back").alias("revenue_7d"), "orders_7d",
+                       dbl("_around").alias("revenue_around"), "orders_around")
+
+
+@register("E12h_range_hours_of_events_split", oracle="""
+SELECT event_id, COUNT(*) OVER w AS events_1h, COUNT(CAST(value AS DECIMAL(18,2))) OVER w AS valued_1h,
+       CAST(SUM(CAST(value AS DECIMAL(18,2))) OVER w AS DOUBLE) AS value_1h
+FROM events
+WINDOW w AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW)
+""")
+def e12h(spark, d):
+    # positions in microseconds: nearly every event has its own
+    ev = t(spark, d, "events").select("event_id", "event_type", money("value").alias("amt"),
+                                      F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    out = RF.range_sums(ev, "event_type", "us", 3_600_000_000, 0, {"_sum": "amt"}, rows_out="events_1h",
+                        counts={"valued_1h": "amt"})
+    return out.select("event_id", "events_1h", "valued_1h", dbl("_sum").alias("value_1h"))
+
+
 @register("E13_keep_latest_per_key", oracle="""
 SELECT o_custkey, o_orderkey, o_totalprice FROM orders
 QUALIFY ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1
