@@ -95,3 +95,64 @@ def test_a_sink_that_stops_between_its_tables_goes_on_whole(spark, tmp_out, monk
     assert ("2024-01-01", 1) in gold() and (None, 3) in gold()
     sink()(batch, 1)
     assert ("2024-01-01", 6) in gold() and (None, 9) in gold() and len(gold()) == 4
+
+
+def sized(store):
+    """(partition, write, name) to size of the files in use."""
+    return {(r.partition, r.write, r.name): r.size for r in store.files().collect()}
+
+
+@pytest.fixture()
+def fragmented(spark, tmp_out):
+    """A large file in one partition, then many small files in three, names
+    that need escaping included."""
+    store = PartitionStore(spark, os.path.join(tmp_out, "t"), "day")
+    wide = spark.range(20_000).select(F.col("id"), F.hash("id").alias("v"), F.lit("2024-01-01").alias("day")).coalesce(1)
+    store.replace(wide)
+    for i in range(5):
+        rows = spark.range(600).select((F.col("id") + 100_000 * (i + 1)).alias("id"), F.hash("id").alias("v"),
+                                       F.when(F.col("id") % 3 == 0, "2024-01-01").when(F.col("id") % 3 == 1, "a/b=c d%+").alias("day"))
+        store.append(rows.repartition(3), after=i + 1)
+    return store
+
+
+def test_compaction_packs_the_small_files_only(spark, fragmented):
+    before, rows = sized(fragmented), held(fragmented.read())
+    large = {k for k, size in before.items() if size > 50_000}
+    target = 3 * max(size for k, size in before.items() if k not in large)
+    packed = fragmented.compact(target, small_bytes=50_000)
+    after = sized(fragmented)
+    assert len(large) == 1 and large < set(after)                        # the large file is where it was
+    assert packed == len(set(before) - set(after)) and len(after) < len(before) / 2
+    per_partition = {}
+    for (p, w, _), size in sorted(after.items()):
+        if (p, w) not in {(p, w) for p, w, _ in before}:
+            per_partition.setdefault(p, []).append(size)
+    assert len(per_partition) == 3 and all(len(sizes) > 1 for sizes in per_partition.values())
+    assert held(fragmented.read()) == rows and held(fragmented.read(6)) == rows
+    assert fragmented.vacuum() > 0 and held(fragmented.read()) == rows and sized(fragmented) == after
+    assert fragmented.compact(10, small_bytes=5) == 0 and fragmented.versions() == [7]      # nothing is small
+
+
+def test_compaction_that_stops_changes_nothing(spark, fragmented, monkeypatch):
+    before, rows = sized(fragmented), held(fragmented.read())
+    with monkeypatch.context() as m:
+        m.setattr(PartitionStore, "_publish", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            fragmented.compact(50_000)
+    assert sized(fragmented) == before and held(fragmented.read()) == rows
+    assert fragmented.vacuum(keep=6) == 1                       # the packs that nothing names
+    fragmented.compact(10**9, small_bytes=50_000)
+    assert held(fragmented.read()) == rows
+    fragmented.replace(frame(spark, (1, 1, "2024-01-01")))      # a partition of several writes is replaced whole
+    assert held(fragmented.read().where("day = '2024-01-01'")) == [(1, 1, "2024-01-01")]
+    assert held(fragmented.read().where("day IS NULL")) == [r for r in rows if r[2] is None]
+
+
+def test_append_is_not_repeated_and_keeps_the_schema(spark, fragmented):
+    rows = frame(spark, (1, 1, "2024-01-01")).select("id", "v", "day")
+    with pytest.raises(ConcurrentWrite):
+        fragmented.append(rows, after=5)
+    with pytest.raises(ValueError):
+        fragmented.append(rows.withColumn("more", F.lit(1)))
+    assert PartitionStore(spark, fragmented.path + "-none", "day").compact() == 0

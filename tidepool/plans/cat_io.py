@@ -201,6 +201,22 @@ def i8(spark, d):
     return spark.read.parquet(out)
 
 
+@register("I8i_incremental_compaction", oracle="SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders")
+def i8i(spark, d):
+    """A table by priority with one large write and three appends of many
+    small files: only the small files are read and packed."""
+    from tidepool.sources.partitions import PartitionStore
+    o = t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    store = PartitionStore(spark, _dir(spark, "i8i-orders"), "o_orderpriority")
+    part = F.pmod(F.xxhash64("o_orderkey"), F.lit(10))
+    store.replace(o.where(part < 7).repartition("o_orderpriority"))
+    for i in (7, 8, 9):
+        store.append(o.where(part == i).repartition(8))
+    large = store.files().agg(F.max("size")).first()[0]
+    store.compact(target_bytes=large, small_bytes=large // 2)
+    return store.read().select(*o.columns)
+
+
 @register("I9_zorder_write_keeps_rows", oracle="SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders")
 def i9(spark, d):
     o = t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
