@@ -131,6 +131,36 @@ def test_bk_trees_lose_no_link(spark, cap):
     assert all(found.get(x, x) == min(comps[x]) for x in signed)
 
 
+def test_a_large_shard_is_cut_again(spark, monkeypatch):
+    """100,000 fingerprints agree on two blocks: ten rows more for each, no link lost."""
+    import random
+    from tidepool.llm.graph import components
+    rnd = random.Random(8)
+    low = (1 << 25) - 1
+    fps = {rnd.getrandbits(39) << 25 | 12345 for _ in range(100_000)}
+    near = []
+    for x in rnd.sample(sorted(fps), 500):
+        y = x
+        for b in rnd.sample(range(25, 64), rnd.randint(1, 3)):
+            y ^= 1 << b
+        near.append((x, y))
+    fps |= {y for _, y in near}
+    assert {x & low for x in fps} == {12345}
+    sizes, plain = {}, simhash.stage
+
+    def counted(df, name):
+        out = plain(df, name)
+        sizes.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "stage", counted)
+    rows = spark.createDataFrame([(simhash._signed(x),) for x in fps], "fp long").repartition(8)
+    found = {r.node: r.root for r in components(simhash.links(rows, 3)).collect()}
+    assert sizes == {"llm-large-shards": [1, 0], "llm-cut-shards": [10 * len(fps)]}
+    root = lambda x: found.get(simhash._signed(x), simhash._signed(x))
+    assert all(root(x) == root(y) for x, y in near)
+
+
 def test_components_of_a_long_path(spark):
     from tidepool.llm.graph import components
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501), (7, 7)], "a long, b long")

@@ -27,7 +27,7 @@ from itertools import chain, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import ragged, stage
@@ -73,10 +73,16 @@ def fingerprints(docs: DataFrame, shingle: int, id_col: str, text_col: str, *mor
     return stage(rows.mapInArrow(_fingerprints(shingle), schema), "llm-fingerprints")
 
 
-def block_masks(radius: int) -> list[int]:
-    edges = [64 * i // (radius + 2) for i in range(radius + 3)]
-    blocks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:])]
-    return [a | b for a, b in combinations(blocks, 2)]
+def block_masks(radius: int, fixed: int = 0) -> list[int]:
+    """Masks of the bits set in ``fixed`` and two of the radius + 2 blocks of the others."""
+    free = [b for b in range(64) if not fixed >> b & 1]
+    edges = [len(free) * i // (radius + 2) for i in range(radius + 3)]
+    blocks = [sum(1 << b for b in free[a:b]) for a, b in zip(edges, edges[1:])]
+    return [fixed | a | b for a, b in combinations(blocks, 2)]
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
 
 
 def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -135,50 +141,21 @@ def _join_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             label = label[label]
 
 
-def _links(member: np.ndarray, group: np.ndarray, search: np.ndarray | None, at: np.ndarray | None, radius: int):
-    """Fingerprints and the least one each is linked with, over one set of trees;
-    ``search`` are further fingerprints for the trees of groups ``at``."""
-    forest = Forest(member, group)
-    if search is None:
-        fps, roots = member, forest.root
-    else:
-        starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-        roots = starts[np.searchsorted(group[starts], at)]
-        fps, roots = np.concatenate([member, search]), np.concatenate([forest.root, roots])
+def _links(fps: np.ndarray, group: np.ndarray, radius: int):
+    """Fingerprints and the least one each is linked with, over one set of trees."""
+    forest = Forest(fps, group)
     label = np.arange(len(fps))
     for i in range(0, len(fps), SEARCHES):
-        q, node = forest.within(fps[i:i + SEARCHES], roots[i:i + SEARCHES], radius)
+        q, node = forest.within(fps[i:i + SEARCHES], forest.root[i:i + SEARCHES], radius)
         label = _join_labels(label, q + i, node)
     linked = np.flatnonzero(label != np.arange(len(fps)))
     return fps[linked], fps[label[linked]]
 
 
-LINK_SCHEMA = "a long, b long, shard long, member boolean"
-
-
-def _batch(a, b, shard=None, member=None):
-    return pa.RecordBatch.from_arrays(
-        [pa.array(a, pa.int64()), pa.array(b, pa.int64()),
-         pa.nulls(len(a), pa.int64()) if shard is None else pa.array(shard, pa.int64()),
-         pa.nulls(len(a), pa.bool_()) if member is None else pa.array(member, pa.bool_())],
-        ["a", "b", "shard", "member"])
-
-
-def _search_shards(radius: int, cap: int) -> Callable:
-    """Rows sorted by (pair, key): links of shards up to ``cap``; of larger ones the
-    rows (fingerprint a, key b, shard, member) that _search_trees takes."""
+def _search_shards(radius: int) -> Callable:
+    """Rows (mask, key, fingerprint) sorted by shard, to the links within each shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.empty((0, 3), np.int64)      # the last shard, as far as it has come
-        large, seen = None, 0                  # a shard known to be large, and its rows so far
-
-        def dealt(rows, seen):
-            """A large shard's next fingerprints: each belongs to one tree, and searches it and all before."""
-            tree = (seen + np.arange(len(rows))) // cap
-            times = tree + 1
-            to = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
-            rep = np.repeat(rows, times, axis=0)
-            return _batch(rep[:, 2], rep[:, 1], to * 4096 + rep[:, 0], to == np.repeat(tree, times))
-
         for batch in chain(batches, [None]):
             if batch is not None:
                 held = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns], axis=1).astype(np.int64)])
@@ -186,63 +163,41 @@ def _search_shards(radius: int, cap: int) -> Callable:
                 continue
             starts = np.flatnonzero(np.r_[True, (held[1:, :2] != held[:-1, :2]).any(axis=1)])
             sizes = np.diff(np.r_[starts, len(held)])
-            big = sizes > cap
-            big[0] |= tuple(held[0, :2]) == large
             done = len(starts) - (batch is not None)       # the last shard may go on in the next batch
-            for i in np.flatnonzero(big):
-                rows = held[starts[i]:starts[i] + sizes[i]]
-                if tuple(rows[0, :2]) != large:
-                    large, seen = tuple(rows[0, :2]), 0
-                yield dealt(rows, seen)
-                seen += len(rows)
-            small = np.flatnonzero(~big[:done] & (sizes[:done] > 1))
-            rows = held[ragged(starts[small], sizes[small])]
-            yield _batch(*_links(rows[:, 2], np.repeat(small, sizes[small]), None, None, radius))
-            held = held[starts[done]:] if done < len(starts) and not big[done] else held[:0]
+            pairs = np.flatnonzero(sizes[:done] > 1)
+            rows = held[ragged(starts[pairs], sizes[pairs])]
+            a, b = _links(rows[:, 2], np.repeat(pairs, sizes[pairs]), radius)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            held = held[starts[done]:] if done < len(starts) else held[:0]
 
     return run
 
 
-def _search_trees(radius: int) -> Callable:
-    """Rows (a, b, shard, member) sorted by tree, members first."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, member, waiting, size = None, [], [], 0
-
-        def flush():
-            m = np.array(member, np.int64)
-            return _batch(*_links(m, np.zeros(len(m), np.int64), np.array(waiting, np.int64),
-                                  np.zeros(len(waiting), np.int64), radius))
-
-        for batch in batches:
-            for a, b, shard, is_member in zip(*(c.to_pylist() for c in batch.columns)):
-                if (shard, b) != key:
-                    if member:
-                        yield flush()
-                    key, member, waiting = (shard, b), [], []
-                (member if is_member else waiting).append(a)
-                if len(waiting) >= 1 << 16:
-                    yield flush()
-                    waiting = []
-        if member:
-            yield flush()
-
-    return run
+def _dealt(fps: DataFrame, mask: Column) -> DataFrame:
+    return fps.select(mask.alias("mask"), "fp").select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
 
 
 def links(distinct: DataFrame, radius: int, cap: int = SHARD) -> DataFrame:
     """(a, b) rows that connect all of the distinct fingerprints (column fp) within
-    ``radius`` bits, one at most for a fingerprint and tree."""
-    masks = block_masks(radius)
-    keys = F.explode(F.array(*[F.struct(F.lit(i).cast("long").alias("pair"),
-                                        F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)).alias("key"))
-                               for i, m in enumerate(masks)])).alias("k")
-    shards = (distinct.select("fp", keys).select("k.pair", "k.key", "fp")
-              .repartition("pair", "key").sortWithinPartitions("pair", "key", "fp"))
-    first = stage(shards.mapInArrow(_search_shards(radius, cap), LINK_SCHEMA), "llm-links")
-    trees = (first.where("shard is not null").repartition("shard", "b")
-             .sortWithinPartitions("shard", "b", F.col("member").desc()))
-    more = trees.mapInArrow(_search_trees(radius), LINK_SCHEMA)
-    return first.where("shard is null").select("a", "b").unionByName(more.select("a", "b"))
+    ``radius`` bits, one at most for a fingerprint and tree.  Shards above ``cap`` are
+    cut again, unless so few bits are left that they hold 4^(radius + 2) at most."""
+    spark, shard = distinct.sparkSession, ["mask", "key"]
+    rows = _dealt(distinct, F.explode(F.array(*[F.lit(_signed(m)) for m in block_masks(radius)])))
+    found = None
+    while True:
+        large = rows.groupBy(*shard).count().where((F.col("count") > cap) & (64 - F.bit_count("mask") > 2 * (radius + 2)))
+        large = stage(large.select(*shard), "llm-large-shards")
+        masks = [r.mask for r in large.select("mask").distinct().collect()]      # ten at first, ten more for each of them then
+        small = rows.join(large, shard, "left_anti") if masks else rows
+        small = small.repartition(*shard).sortWithinPartitions(*shard, "fp")
+        here = small.mapInArrow(_search_shards(radius), "a long, b long")
+        found = here if found is None else found.unionByName(here)
+        if not masks:
+            return found
+        cuts = spark.createDataFrame([(m, _signed(to)) for m in masks for to in block_masks(radius, m % (1 << 64))], "mask long, to long")
+        again = rows.join(large, shard, "left_semi").join(F.broadcast(cuts), "mask")
+        # cuts of two shards may meet in one mask: a fingerprint is in a shard once
+        rows = stage(_dealt(again.select("fp", "to").distinct(), F.col("to")), "llm-cut-shards")
 
 
 def label(prints: DataFrame, radius: int) -> DataFrame:
