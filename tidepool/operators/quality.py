@@ -185,19 +185,27 @@ def worst_checks(metrics_df: DataFrame) -> DataFrame:
 
 
 # K11 --------------------------------------------------------------------------------------
-def threshold_breaches(metrics_df: DataFrame, threshold_pct: float, severities=("ERROR",)) -> DataFrame:
-    return metrics_df.filter(F.col("severity").isin(*severities) & (F.col("fail_pct") > threshold_pct))
-
-
-def assert_thresholds(metrics_df: DataFrame, threshold_pct: float, severities=("ERROR",)) -> None:
+def threshold_breaches(metrics_df: DataFrame, threshold_pct: float, severities=("ERROR",),
+                       per_check: dict[str, float] | None = None) -> DataFrame:
+    """Metric rows of the given severities that fail more than
+    ``threshold_pct`` percent of rows, or more than the check's own threshold
+    in ``per_check``."""
+    limit = F.lit(float(threshold_pct))
+    for name, own in (per_check or {}).items():
+        limit = F.when(F.col("check_name") == name, F.lit(float(own))).otherwise(limit)
+    return metrics_df.filter(F.col("severity").isin(*severities) & (F.col("fail_pct") > limit))
+
+
+def assert_thresholds(metrics_df: DataFrame, threshold_pct: float, severities=("ERROR",),
+                      per_check: dict[str, float] | None = None) -> None:
     """Raise DataQualityError when any check of the given severities fails
     more than ``threshold_pct`` percent of rows; names their number and the
     first five."""
-    bad = threshold_breaches(metrics_df, threshold_pct, severities)
+    bad = threshold_breaches(metrics_df, threshold_pct, severities, per_check)
     n = bad.count()
     if n:
         first = bad.select("run_timestamp", "check_name", "fail_pct").limit(5).collect()
-        raise DataQualityError(f"{n} checks above {threshold_pct}% failures, among them: {[tuple(r) for r in first]}")
+        raise DataQualityError(f"{n} checks above their threshold ({threshold_pct}% unless named), among them: {[tuple(r) for r in first]}")
 
 
 # K12 --------------------------------------------------------------------------------------
@@ -244,6 +252,23 @@ def schema_drift(raw: DataFrame, text_col: str, batch_col: str, expected: dict[s
     return present.unionByName(missing).unionByName(casts).filter(F.col("n") > 0)
 
 
+def drift_metrics(drift: DataFrame, table: str, errors=("missing", "cast_failure")) -> DataFrame:
+    """Drift rows of ``schema_drift`` as rows of the monitoring table, one
+    check ``<kind>:<key>`` per batch, so that thresholds and alerts read them
+    like any other check.  Kinds in ``errors`` are ERROR, the others WARNING.
+    A batch has as many rows as an expected key is present or missing in."""
+    n = F.sum("n").cast("bigint")
+    rows = drift.where(F.col("kind").isin("present", "missing")).groupBy("batch", "key").agg(n.alias("_n"))
+    rows = rows.groupBy("batch").agg(F.max("_n").alias("total_rows"))
+    found = drift.where(F.col("kind") != "present").join(rows, "batch")
+    return found.select(
+        F.col("batch").cast("timestamp").alias("run_timestamp"), F.lit(table).alias("table_name"),
+        F.concat_ws(":", "kind", "key").alias("check_name"),
+        F.when(F.col("kind").isin(*errors), "ERROR").otherwise("WARNING").alias("severity"), "total_rows",
+        (F.col("total_rows") - F.col("n")).alias("pass_count"), F.col("n").alias("fail_count"),
+        pct_half_up(F.col("n"), F.col("total_rows")).alias("fail_pct"))
+
+
 # K13 --------------------------------------------------------------------------------------
 def rolling_fail_sla(metrics_df: DataFrame, days: int = 7, sla_pct: float = 5.0,
                      skew_safe: bool = False) -> DataFrame:

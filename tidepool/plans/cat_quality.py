@@ -155,6 +155,18 @@ def k11(spark, d):
     return Q.threshold_breaches(monitoring(spark, d), 5.0)
 
 
+# thresholds that checks carry themselves; the others share one
+OWN_THRESHOLDS = {"valid_status": 2.0, "amount_positive": 8.0}
+
+
+@register("K11c_own_threshold_breaches", oracle=f"""
+SELECT * FROM {MON_SQL} m WHERE severity = 'ERROR'
+  AND fail_pct > CASE check_name WHEN 'valid_status' THEN 2 WHEN 'amount_positive' THEN 8 ELSE 5 END
+""")
+def k11c(spark, d):
+    return Q.threshold_breaches(monitoring(spark, d), 5.0, per_check=OWN_THRESHOLDS)
+
+
 # The landed-event contract the drift profile checks against.
 EVENT_CONTRACT = {"event_id": "bigint", "ts": "timestamp", "user_id": "bigint", "event_type": "string",
                   "value": "double", "props": "string"}
@@ -199,6 +211,29 @@ def k12(spark, d):
     return Q.schema_drift(landed_events(spark, d), "json", "batch", EVENT_CONTRACT)
 
 
+@register("K12e_drift_as_checks", oracle=f"""
+WITH r AS (
+  SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS run_timestamp, COUNT(*) AS total,
+         COUNT(*) FILTER (WHERE event_id % 25 = 0) AS c25,
+         COUNT(*) FILTER (WHERE event_id % 30 = 0) AS c30,
+         COUNT(*) FILTER (WHERE event_id % 40 = 0 AND event_id % 25 <> 0) AS c40
+  FROM events GROUP BY 1),
+x AS (
+  SELECT run_timestamp, total, 'missing:value' AS check_name, 'ERROR' AS severity, c25 AS fails FROM r
+  UNION ALL SELECT run_timestamp, total, 'extra:extra_field', 'WARNING', c30 FROM r
+  UNION ALL SELECT run_timestamp, total, 'cast_failure:value', 'ERROR', c40 FROM r)
+SELECT run_timestamp, 'landed_events' AS table_name, check_name, severity, total AS total_rows,
+       total - fails AS pass_count, fails AS fail_count, {pct_sql('fails', 'total')} AS fail_pct,
+       severity = 'ERROR' AND {pct_sql('fails', 'total')} > CASE check_name WHEN 'missing:value' THEN 4 ELSE 2 END AS breach
+FROM x WHERE fails > 0
+""")
+def k12e(spark, d):
+    # drift rows are checks like others: thresholds of their own, breaches marked
+    m = Q.drift_metrics(Q.schema_drift(landed_events(spark, d), "json", "batch", EVENT_CONTRACT), "landed_events")
+    over = Q.threshold_breaches(m, 2.0, per_check={"missing:value": 4.0}).select("run_timestamp", "check_name", F.lit(True).alias("_over"))
+    return m.join(over, ["run_timestamp", "check_name"], "left").withColumn("breach", F.coalesce("_over", F.lit(False))).drop("_over")
+
+
 SLA_SQL = f"""
 WITH daily AS (SELECT check_name, CAST(run_timestamp AS DATE) AS day, SUM(fail_count) AS fails, SUM(total_rows) AS rows
                FROM {MON_SQL} m GROUP BY 1, 2),

@@ -29,6 +29,28 @@ def o1(spark, d):
     return sink.latest(spark).select(*EVENT_COLS)
 
 
+def landed_by_days(spark, d, bounds, name):
+    """All events landed as one file per range of days of the month, in the
+    order of ``bounds``, read one file a batch."""
+    ev, base = t(spark, d, "events").select(*EVENT_COLS), scratch_path(spark, name)
+    for i, (lo, hi) in enumerate(bounds):
+        day = F.dayofmonth("ts")
+        ev.where((day >= lo) & (day < hi)).coalesce(1).write.parquet(f"{base}/part{i}")
+    return S.read_landed(spark, base + "/*", ev.schema, max_files_per_trigger=1)
+
+
+@register("O1w_stream_bronze_watermark", oracle="""
+SELECT event_id, ts, user_id, event_type, value, props, day(ts) < 10 AS late FROM events
+""")
+def o1w(spark, d):
+    """Bounded state: files land newest first with a delay of a day, so the
+    third is behind the watermark; its rows come out on the late side."""
+    stream = landed_by_days(spark, d, [(20, 32), (10, 20), (1, 10)], "o1w-landed")
+    bronze, _ = S.stream_to_snapshot(spark, S.stream_bronze(stream, "event_id", "ts", "1 day"), "o1w")
+    late = S.late_rows(t(spark, d, "events").select(*EVENT_COLS), bronze, "event_id")
+    return bronze.select(*EVENT_COLS, F.lit(False).alias("late")).unionByName(late.withColumn("late", F.lit(True)))
+
+
 @register("O2_stream_upsert_silver", oracle=f"SELECT * FROM {silver_sql(RAW_SQL, T2)} s")
 def o2(spark, d):
     raw = M.raw_order_events(spark, events_stream(spark, d), t(spark, d, "customer"), t(spark, d, "nation"),
@@ -40,11 +62,14 @@ def o2(spark, d):
     return S.silver_from_snapshot(latest.drop("event_day"), T2)
 
 
-@register("O3_stream_windowed_gold", oracle="""
+O3_SQL = """
 SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS window_start, event_type, COUNT(*) AS n,
        CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
 FROM events GROUP BY 1, 2
-""")
+"""
+
+
+@register("O3_stream_windowed_gold", oracle=O3_SQL)
 def o3(spark, d):
     # each batch rebuilds the aggregate of the days it touched from the events by day
     sink = S.RecomputeSink(S.events_by_day(scratch_path(spark, "o3-events"), "event_id", "ts"), scratch_path(spark, "o3-gold"),
@@ -52,3 +77,13 @@ def o3(spark, d):
     S.run_available_now(events_stream(spark, d), sink, scratch_path(spark, "o3-ckpt"))
     return sink.latest(spark).select(F.col("event_day").cast("timestamp").alias("window_start"), "event_type", "n",
                                      F.col("total_value").cast("double").alias("total_value"))
+
+
+@register("O3w_stream_windowed_gold_watermark", oracle=O3_SQL)
+def o3w(spark, d):
+    """Bounded state: windows are kept for the delay and written in update
+    mode; with days landed out of order by less than the delay none is lost."""
+    stream = landed_by_days(spark, d, [(8, 16), (1, 8), (16, 32)], "o3w-landed")
+    gold = S.windowed_gold(stream, "ts", "20 days", ["event_type"], "value")
+    out, _ = S.stream_to_snapshot(spark, gold, "o3w", merge=S.window_upsert_merge(["event_type"]), mode="update")
+    return out.select("window_start", "event_type", "n", F.col("total_value").cast("double").alias("total_value"))
