@@ -220,13 +220,22 @@ def e14(spark, d):
                      (dbl("bal") / dbl(F.sum("bal").over(w)) * 100).alias("pct_of_region"))
 
 
-@register("E15_named_window_sql", oracle=f"""
+NAMED_SQL = f"""
 SELECT o_orderkey,
        ROW_NUMBER() OVER w AS seq,
        CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) OVER w AS DOUBLE) AS cum_spend,
        LAG(o_orderkey) OVER w AS prev_order
 FROM orders WINDOW w AS ({CUST_W_SQL})
-""")
+"""
+EXTENDED_SQL = """
+SELECT o_orderkey,
+       COUNT(*) OVER (PARTITION BY o_custkey) AS cust_orders,
+       ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS price_rank
+FROM orders
+"""
+
+
+@register("E15_named_window_sql", oracle=NAMED_SQL)
 def e15(spark, d):
     register_views(spark, d, ["orders"])
     return spark.sql(f"""
@@ -236,12 +245,7 @@ def e15(spark, d):
         FROM orders WINDOW w AS ({CUST_W_SQL})""")
 
 
-@register("E16_named_window_extended", oracle="""
-SELECT o_orderkey,
-       COUNT(*) OVER (PARTITION BY o_custkey) AS cust_orders,
-       ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS price_rank
-FROM orders
-""")
+@register("E16_named_window_extended", oracle=EXTENDED_SQL)
 def e16(spark, d):
     base = W.spec("o_custkey")                                   # WINDOW base AS (PARTITION BY ...)
     by_price = base.orderBy(F.col("o_totalprice").desc(), "o_orderkey")   # OVER (base ORDER BY ...)
@@ -249,6 +253,25 @@ def e16(spark, d):
                                     F.row_number().over(by_price).cast("bigint").alias("price_rank"))
 
 
+@register("E15s_named_window_split", oracle=NAMED_SQL)
+def e15s(spark, d):
+    # the window's three uses in chunks: a running sum with its count, then a halo of one row
+    order = ["o_orderdate", "o_orderkey"]
+    o = _orders(spark, d).withColumn("amt", money("o_totalprice"))
+    r = SK.running_sum(o, ["o_custkey"], order, "amt", out="_s", count_out="_n")
+    r = SK.bounded_frame(r, ["o_custkey"], order, 1, 0, lambda w: {"prev_order": F.lag("o_orderkey").over(w)})
+    return r.select("o_orderkey", F.col("_n").cast("bigint").alias("seq"), dbl("_s").alias("cum_spend"), "prev_order")
+
+
+@register("E16s_named_window_extended_split", oracle=EXTENDED_SQL)
+def e16s(spark, d):
+    # whole-partition count as an aggregate joined back, ranks in chunks
+    o = _orders(spark, d).select("o_orderkey", "o_custkey", "o_totalprice")
+    r = SK.ranked(o, ["o_custkey"], [F.col("o_totalprice").desc(), "o_orderkey"])
+    sizes = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("cust_orders"))
+    return SK.null_safe_join(r, sizes, ["o_custkey"]).select("o_orderkey", "cust_orders", F.col("row_number").alias("price_rank"))
+
+
 @register("E17_running_total_reset_monthly", oracle="""
 SELECT o_orderkey,
   CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) OVER (
