@@ -102,3 +102,45 @@ def leaks(text, item):
         both = sum((have & want).values())
         best = max(best, both / sum((have | want).values()))
     return best
+
+
+def line_units(text: bytes, least: int):
+    """(start, end, name) of the lines of a text, cut after punctuation; short clauses are named by their line."""
+    blank, marks, out, at = b" \t\n\r\x0b\x0c", b".!?,;:", [], 0
+    for line in re.findall(rb"[^\n]*\n|[^\n]+\Z", text):
+        tokens = [(m.start(), m.end()) for m in re.finditer(rb"[^ \t\n\r\x0b\x0c]+", line)]
+        plain = [line[a:b].lower() for a, b in tokens]
+        clauses, now = [], []
+        for (a, b), word in zip(tokens, plain):
+            now.append((a, b, word))
+            if word[-1] in marks and b < len(line) and line[b] in blank:
+                clauses.append(now)
+                now = []
+        clauses += [now] if now else []
+        groups = []
+        for c in clauses:
+            if len(c) < least and groups and groups[-1][0] == "short":
+                groups[-1][1].extend(c)
+            else:
+                groups.append(("short" if len(c) < least else "long", list(c)))
+        lead = len(line) - len(line.lstrip(blank))
+        for i, (kind, members) in enumerate(groups):
+            a = members[0][0] - (lead if i == 0 else 0)
+            b = groups[i + 1][1][0][0] if i + 1 < len(groups) else len(line)
+            out.append((at + a, at + b, (kind, b" ".join(w for _, _, w in members)) if kind == "long" else (kind, i, b" ".join(plain))))
+        at += len(line)
+    return out
+
+
+def runs_of(text: bytes, units, gap: int, least: int):
+    """Of removed units those whose run of words, short stretches between counted, has ``least`` words."""
+    places = [m.start() for m in re.finditer(rb"[^ \t\n\r\x0b\x0c]+", text)]
+    gone = [i for i, p in enumerate(places) if any(a <= p < b for a, b in units)]
+    runs = []
+    for i in gone:
+        if runs and i - runs[-1][1] - 1 < gap:
+            runs[-1][1] = i
+        else:
+            runs.append([i, i])
+    good = [(places[a], places[b]) for a, b in runs if b - a + 1 >= least]
+    return [u for u in units if least == 0 or any(a < u[1] and u[0] <= b for a, b in good)]

@@ -198,23 +198,36 @@ def test_suffix_dedup_keeps_valid_text(edges, edge_rows):
     same(pairs(cut), expected)
 
 
-def test_substring_dedup(table):
+@pytest.mark.parametrize("min_run", [0, 20])
+def test_substring_dedup(table, min_run):
     blob = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     rows = [(r.doc_id, r.text, r.key) for r in table.select("doc_id", "text", F.xxhash64("doc_id", blob).alias("key")).collect()]
     seen, expected = set(), {}
     # rows equal in id and text are one; rows of one id rank by their digest
     for i, t, _ in sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, r[2])):
         blob, gone = (t or "").encode(), []
-        for a, b, digest in substring_dedup.units(blob, "line", True, 5):
-            gone += [(a, b)] if digest in seen else []
-            seen.add(digest)
+        for a, b, name in brute.line_units(blob, 5):
+            gone += [(a, b)] if name in seen else []
+            seen.add(name)
+        gone = brute.runs_of(blob, gone, 5, min_run)
         kept = b"".join(blob[x:y] for x, y in zip([0, *(b for _, b in gone)], [*(a for a, _ in gone), len(blob)]))
         expected[i, t] = (len(gone), tuple(gone) or None, len(kept), brute.sha(kept))
     got = [(r.doc_id, r.n_removed, tuple((s.start, s.end) for s in r.removed) if r.removed else None, r.kept_bytes, r.kept_sha256)
-           for r in substring_dedup.dedup_digest(table).collect()]
+           for r in substring_dedup.dedup_digest(table, min_run).collect()]
     same(got, [(i, *expected[i, t]) for i, t, _ in rows])
 
 
+def test_short_runs_stay(spark):
+    passage = "One two three four five,\nsix. Seven eight nine ten eleven;\ntwelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty\n"
+    title = "Notes of the whole week\n"
+    fresh = "some words that no other text has\n"
+    df = spark.createDataFrame([(1, title + passage), (2, title + fresh + passage + "new"), (3, "a " + passage[:40])], "doc_id long, text string")
+    kept = {r.row: r.kept.decode() for r in substring_dedup.dedup_units(df, F.col("doc_id"), min_run=20).collect()}
+    assert kept[1] == title + passage
+    assert kept[2] == title + fresh + "new"
+    assert kept[3] == "a " + passage[:40]
+
+
 def test_substring_units():
     text = "One two three four five, six. SEVEN  eight\nnine ten eleven; twelve\n\nthirteen"
     cut = lambda unit, clauses: [text.encode()[a:b].decode() for a, b, _ in substring_dedup.units(text.encode(), unit, clauses, 1)]

@@ -13,6 +13,12 @@ All units with a digest form a
 group; the earliest ranked occurrence stays, by (id, then text digest, then offset; null
 ids last), and the rest are removed, their byte offsets in the original text retained.
 
+``min_run`` spares what texts share by chance (headings, short phrases): later units next
+to each other, with fewer than ``min_words`` words between them, are a run, and only runs of
+``min_run`` words or more go, the words between counted and kept.  Nothing else changes: the
+groups, their earliest occurrence and the offsets are those of all units.  Zero removes every
+later unit.
+
 Of the units of a batch with one digest only the first ranked can stay, so only that one
 is shuffled; a line that a third of all documents share is one row per batch.
 
@@ -135,19 +141,37 @@ def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield settle()
 
 
-def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in small_batches(batches, 512):
-        kept = []
-        for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            if spans:
-                edges = [0, *spans, len(text)]
-                text = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
-            kept.append(text)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary()), batch.column(2)], ["row", "kept", "removed"])
+def long_runs(text: bytes, spans: list[int], min_words: int, min_run: int) -> list[int]:
+    """Of removed units (start, end, start, ..) those in runs of ``min_run`` words or more."""
+    out, run, words = [], [], 0
+    for a, b in zip(spans[::2], spans[1::2]):
+        between = len(text[run[-1]:a].split()) if run else 0
+        if run and between >= min_words:
+            out += run if words >= min_run else []
+            run, words, between = [], 0, 0
+        words += between + len(text[a:b].split())
+        run += [a, b]
+    return out + run if words >= min_run else out
+
+
+def _remove(min_words: int, min_run: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, 512):
+            kept, removed = [], []
+            for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                spans = long_runs(text, spans, min_words, min_run) if spans else None
+                if spans:
+                    edges = [0, *spans, len(text)]
+                    text = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
+                kept.append(text)
+                removed.append(spans or None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary()), pa.array(removed, pa.list_(pa.int64()))],
+                                             ["row", "kept", "removed"])
+    return run
 
 
 def dedup_units(docs: DataFrame, row, id_col: str = "doc_id", text_col: str = "text", unit: str = "line",
-                clauses: bool = True, min_words: int = MIN_WORDS) -> DataFrame:
+                clauses: bool = True, min_words: int = MIN_WORDS, min_run: int = 0) -> DataFrame:
     """(row, kept: the text's remaining bytes, removed: start and end of each removed unit, in
     order, null if there is none) of every document."""
     blob = F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b""))
@@ -161,11 +185,11 @@ def dedup_units(docs: DataFrame, row, id_col: str = "doc_id", text_col: str = "t
              .mapInArrow(_per_text(-1), TEXT_SCHEMA).select("key", "n_bytes", F.col("known").alias("removed")))
     joined = keyed.join(spans.hint("merge"), ["key", "n_bytes"], "left").select("row", "text", "removed")
     fields = [joined.schema["row"], StructField("kept", BinaryType()), StructField("removed", ArrayType(LongType()))]
-    return joined.mapInArrow(_remove, StructType(fields))
+    return joined.mapInArrow(_remove(min_words, min_run), StructType(fields))
 
 
-def dedup_digest(docs: DataFrame) -> DataFrame:
-    found = dedup_units(docs, F.struct("doc_id"))
+def dedup_digest(docs: DataFrame, min_run: int = 0) -> DataFrame:
+    found = dedup_units(docs, F.struct("doc_id"), min_run=min_run)
     spans = F.expr("transform(sequence(0, size(removed) div 2 - 1), i -> struct(removed[2 * i] AS start, removed[2 * i + 1] AS end))")
     return found.select("row.doc_id", F.coalesce(F.size("removed") / 2, F.lit(0)).cast("long").alias("n_removed"),
                         F.when(F.size("removed") > 0, spans).alias("removed"), F.octet_length("kept").cast("long").alias("kept_bytes"),
