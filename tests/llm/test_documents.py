@@ -198,6 +198,14 @@ def test_suffix_dedup_keeps_valid_text(edges, edge_rows):
     same(pairs(cut), expected)
 
 
+def test_suffix_dedup_lengths(spark, docs):
+    blobs = [(t or "").encode() for _, t in pairs(docs)]
+    got = [bytes(r.kept) for r in suffix_dedup.remove_repeats(docs, F.col("doc_id"), length=319).select("kept").collect()]
+    same([(b,) for b in got], [(brute.cut(b, m),) for b, m in zip(blobs, brute.repeats(blobs, 319))])
+    with pytest.raises(ValueError, match="8 bits"):
+        suffix_dedup.remove_repeats(docs, F.col("doc_id"), length=320)
+
+
 @pytest.mark.parametrize("min_run", [0, 20])
 def test_substring_dedup(table, min_run):
     blob = F.coalesce(F.col("text").cast("binary"), F.lit(b""))

@@ -343,11 +343,22 @@ TEXT_SCHEMA = "key long, n_bytes int, known array<long>, todo array<long>"
 BUCKET_SCHEMA = "core long, before long, after long, key long, n_bytes int, spot long"
 
 
+def _without_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, todo, n_bytes, ..) of a merge join, where copies of a text follow each other, once for each text."""
+    last = None
+    for batch in batches:
+        if batch.num_rows:
+            text = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in (0, 2)])
+            fresh = np.r_[last is None or (text[:, 0] != last).any(), (text[:, 1:] != text[:, :-1]).any(axis=0)]
+            last = text[:, -1].copy()
+            yield batch if fresh.all() else batch.filter(pa.array(fresh))
+
+
 def _buckets(length: int) -> Callable:
     """Rows (key, todo, .., text) to buckets of window starts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(PIECE + length + 1024)
-        for rows, whole, sizes, base, lo, hi, data in _pieces(batches, 512, length + 512):
+        for rows, whole, sizes, base, lo, hi, data in _pieces(_without_copies(batches), 512, length + 512):
             todo = rows.column(1)
             spot = todo.flatten().to_numpy()
             text = np.repeat(np.arange(len(sizes)), pc.list_value_length(todo).to_numpy())
@@ -421,6 +432,8 @@ def _scan_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def cuts(docs: DataFrame, row, text_col: str, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
     """(row, text as bytes, known): every document, with the (first, last) window starts
     of its text that repeat, null if none does."""
+    if not 0 < anchor <= length <= anchor + 255:
+        raise ValueError("length must lie in anchor .. anchor + 255: places keep their distances in 8 bits")
     blob = F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b""))
     keyed = docs.select(F.xxhash64(blob).alias("key"), F.octet_length(blob).alias("n_bytes"), row.alias("row"), blob.alias("text"))
     suffixes = keyed.select("key", "text").mapInArrow(_suffixes(length, anchor), SUFFIX_SCHEMA)
