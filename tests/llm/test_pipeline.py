@@ -4,11 +4,13 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from tests.conftest import SF_SMALL
 from tests.llm import brute
-from tidepool.llm import quality_rules
+from tidepool.llm import quality_rules, sharding
+from tidepool.llm.common import release, stage, staging
 
 
 def plain(rows, items):
@@ -39,7 +41,6 @@ def test_pipeline_matches_plain_stages(spark):
 
 
 def test_stages_take_edge_rows_and_empty_tables(spark, edges, empty):
-    from tidepool.llm.common import stage
     for start in (edges, empty):
         docs = start
         for name, step in P.STAGES[:-1]:
@@ -63,6 +64,31 @@ def test_rules_have_one_bit_each():
     assert sorted(quality_rules.BIT.values()) == [1 << i for i in range(len(quality_rules.RULES))]
 
 
-@pytest.mark.parametrize("name", [n for n, _ in P.STAGES])
-def test_stage_names(name):
-    assert name.isidentifier()
+def test_map_columns_are_carried_along(spark):
+    words = lambda i: " ".join(f"word{(i * 977 + k * 31) % 100_003}" for k in range(80))
+    rows = [(i, words(i)) for i in range(20)] + [(100 + i, words(i)) for i in range(5)] + [(3, words(3)), (None, words(50)), (7, None)]
+    docs = (spark.createDataFrame(rows, "doc_id long, text string")
+            .withColumn("tags", F.expr("if(doc_id = 5, null, map('id', doc_id, 'n', length(text)))"))
+            .withColumn("deep", F.array(F.struct("tags"))))
+    out = docs
+    for name, step in P.STAGES[:-1]:
+        out = stage(step(spark, out, SF_SMALL), f"test-{name}")
+        assert out.columns == docs.columns, name
+    got = {r.doc_id: (r.tags, r.deep[0].tags) for r in out.collect()}
+    assert set(got) == {*range(20), None} and out.count() == 21
+    assert all(a == b and (a is None if i == 5 else a["id"] == i) for i, (a, b) in got.items())
+    dealt = sharding.shard(docs, 4).select("row.doc_id", "row.tags").collect()
+    assert len(dealt) == len(rows) and all(r.tags is None if r.doc_id == 5 else r.doc_id is None or r.tags["id"] == r.doc_id for r in dealt)
+
+
+def test_staging_blocks_are_apart(spark):
+    with staging() as outer:
+        a = stage(spark.range(3), "test-a")
+        with staging() as inner:
+            b = stage(spark.range(4), "test-b")
+    c = stage(spark.range(5), "test-c")
+    assert [p.rsplit("/", 1)[1][:6] for p in (*outer, *inner)] == ["test-a", "test-b"]
+    release(spark, inner)
+    assert a.count() == 3 and c.count() == 5
+    with pytest.raises(Exception, match="test-b"):
+        b.collect()

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 import tempfile
 import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
-# Folders written by ``stage`` since the last ``release``; names only, a few per call.
-_STAGED: list[tuple[SparkSession, str]] = []
+# Folders written by ``stage`` inside the caller's ``staging`` block; names only, a few per call.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,26 +40,46 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     executor costs at most the tasks it was running."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _STAGED.append((spark, path))
+    made = _MADE.get()
+    if made is not None:
+        made.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def staged() -> int:
-    """How many tables have been staged and not released."""
-    return len(_STAGED)
+@contextmanager
+def staging() -> Iterator[list[str]]:
+    """The folders staged inside the block by this thread, in order, as a list for
+    ``release``.  Each block has its own, so jobs side by side do not meet; an inner
+    block's folders are its own alone."""
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield made
+    finally:
+        _MADE.reset(token)
 
 
-def release(since: int = 0, keep: int = 0) -> None:
-    """Delete the tables staged after the first ``since``, but for the last ``keep``.  For
-    a caller that has written its results and holds no frame that still reads them."""
-    until = max(since, len(_STAGED) - keep)
-    done, _STAGED[since:until] = _STAGED[since:until], []
-    for spark, path in done:
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged folders, for a caller that holds no frame that still reads them."""
+    for path in paths:
         p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A 64-bit hash over all columns; maps and variants, which have no hash, as JSON."""
+    def hashable(kind) -> bool:
+        if isinstance(kind, (MapType, VariantType)):
+            return False
+        if isinstance(kind, StructType):
+            return all(hashable(f.dataType) for f in kind)
+        return not isinstance(kind, ArrayType) or hashable(kind.elementType)
+
+    return F.xxhash64(*[F.col(f"`{f.name}`") if hashable(f.dataType) else F.to_json(F.struct(F.col(f"`{f.name}`").alias("v")))
+                        for f in df.schema])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from tidepool.llm.common import shuffle_partitions, stage
+from tidepool.llm.common import row_hash, shuffle_partitions, stage
 
 OVERHEAD = 16
 PROBES = 15
@@ -171,7 +171,7 @@ def shard(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str
     text = F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b""))
     keyed = docs.select(F.xxhash64(text).alias("k1"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-1 << 63)).alias("k2"),
                         (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
-                        F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("k3"),
+                        row_hash(docs).alias("k3"),
                         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     keys = stage(keyed.select("k1", "k2", "size"), "llm-keys")
     per_shard = -(-shuffle_partitions(spark) // n_shards)

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import ragged, stage
+from tidepool.llm.common import ragged, row_hash, stage
 from tidepool.llm.graph import components
 
 SHARD = 4096
@@ -223,7 +223,7 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "
              text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component: that with the smallest id (a null id
     last), of equal ids the one whose row hash is least; of wholly equal rows one."""
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    row = row_hash(docs)
     prints = fingerprints(docs, shingle, id_col, text_col, row.alias("row"))
     best = (label(prints, radius).groupBy("root")
             .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("k")))
