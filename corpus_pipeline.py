@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm import bpe, decontaminate, quality_rules, simhash, suffix_dedup
-from tidepool.llm.common import release, stage, staged, table
+from tidepool.llm.common import release, stage, staging, table
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,8 +61,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, mine = table(spark, sf_dir, "documents"), staged()
+    docs, read = table(spark, sf_dir, "documents"), []
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
-        release(since=mine, keep=1)      # what the stage itself had written, and the rows it read
+        with staging() as made:
+            docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        release(spark, read + made[:-1])      # the rows the stage read, and what it had written itself
+        read = made[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)
