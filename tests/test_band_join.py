@@ -50,3 +50,22 @@ def test_band_join_of_dates_and_empty_sides(spark, sides):
     assert J.band_join(points, bands.where("1 = 0"), "x", "lo", "hi").collect() == []
     with pytest.raises(ValueError):
         J.band_join(points, points, "x", "x", "x")
+
+
+def test_pairs_of_a_bin_are_dealt_over_many_tasks(spark, monkeypatch):
+    """Few rows, many pairs: neither the bins nor the bytes alone spread them."""
+    points = spark.range(2000).select(F.col("id"), (F.col("id") % 7).cast("double").alias("x"))
+    bands = spark.range(300).select(F.col("id").alias("band"), F.lit(-1.0).alias("lo"), F.lit(8.0).alias("hi"))
+    monkeypatch.setattr(J, "PAIRS_PER_SALT", 10_000, raising=False)
+    joined = J.band_join(points, bands, "x", "lo", "hi").withColumn("task", F.spark_partition_id())
+    assert joined.select("id", "band").distinct().count() == joined.count() == 600_000
+    sizes = [r["count"] for r in joined.groupBy("task").count().collect()]
+    assert len(sizes) >= 20 and max(sizes) <= 600_000 / 8
+
+
+def test_bounds_closer_than_doubles_tell_apart(spark):
+    big = 2 ** 60
+    points = spark.createDataFrame([(big + i,) for i in range(6)], "x long")
+    bands = spark.createDataFrame([(0, big + 1, big + 4), (1, big + 3, None), (2, None, big + 1)], "band int, lo long, hi long")
+    got = J.band_join(points, bands, "x", "lo", "hi").select((F.col("x") - big).alias("x"), "band").collect()
+    assert sorted(map(tuple, got)) == [(0, 2), (1, 0), (2, 0), (3, 0), (3, 1), (4, 1), (5, 1)]

@@ -22,6 +22,13 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 
 HINTS = {"broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl"}
 
+# A band is cut into this power of two of bins, and one or two more: the finer
+# they are, the fewer points of its end bins lie outside of it.
+BAND_LEVELS = 3
+# Pairs of a point and a band that a salt, and so a task, of a band join looks at.
+PAIRS_PER_SALT = 20_000_000
+MOST_TASKS = 20_000
+
 
 def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     """True when the planner's estimate of ``df`` is at most ``max_bytes``.
@@ -81,13 +88,16 @@ def band_join(points: DataFrame, bands: DataFrame, value: str, lo: str, hi: str,
     """Inner join of two large sides on ``lo <= value < hi`` (``<= hi`` when
     ``closed``) as an equality join on bins, without a nested loop.
 
-    A band goes to the level whose bins, 2^level wide, are the least that are
-    as wide as the band, so it meets two bins there (three if rounding has it
-    so), however wide it is.  A point goes to its bin on each level that has
+    A band goes to the level where 2^BAND_LEVELS bins, each 2^level wide, are
+    the least that are as wide as the band, so it meets five to nine bins there
+    (ten if rounding has it so), however wide it is, and at most a quarter more
+    points than lie in it.  A point goes to its bin on each level that has
     bands, unless it lies outside all of them.  Equal bins are joined, with
     salts for the bins that hold more than ``rows_per_salt`` points (a wide
-    band's bin, or a value that most points have), and the exact bounds are
-    checked on the columns themselves; a pair meets in one bin only.
+    band's bin, or a value that most points have) or make more than
+    PAIRS_PER_SALT pairs; the tasks are as many as the pairs need, however few
+    bytes make them.  The bounds are checked on doubles, and at a tie on the
+    columns themselves; a pair meets in one bin only.
 
     A NULL bound is open, and cut at the least or greatest value there is;
     a NULL or NaN value, or a band with ``lo`` above ``hi``, matches nothing.
@@ -103,25 +113,49 @@ def band_join(points: DataFrame, bands: DataFrame, value: str, lo: str, hi: str,
     end = F.least(F.coalesce(F.col(hi).cast("double"), F.lit(most)), F.lit(most))
     # never so fine that a bin's number has more digits than a double
     finest = F.ceil(F.log2(F.greatest(F.abs(start), F.abs(end), F.lit(1e-250)))) - 50
-    level = F.greatest(F.coalesce(F.ceil(F.log2(F.when(end > start, end - start))), finest), finest).cast("int")
+    level = F.greatest(F.coalesce(F.ceil(F.log2(F.when(end > start, end - start))) - BAND_LEVELS, finest), finest).cast("int")
     cut = bands.select("*", start.alias("_start"), end.alias("_end")).where("_start <= _end").withColumn("_level", level)
     number = lambda c, lv: F.floor(c / F.pow(F.lit(2.0), lv))
     cut = cut.withColumn("_bin", F.explode(F.sequence(number(F.col("_start"), F.col("_level")), number(F.col("_end"), F.col("_level")))))
-    cut = materialize(cut.select(*bands.columns, F.struct("_level", "_bin").alias("_cell")), "bands")
+    cut = materialize(cut.select(*bands.columns, F.col(lo).cast("double").alias("_lo"), F.col(hi).cast("double").alias("_hi"),
+                                 F.struct("_level", "_bin").alias("_cell")), "bands")
     # a row for each level in use: at most as many as a double has exponents
     levels = cut.groupBy("_cell._level").agg(F.min("_cell._bin").alias("a"), F.max("_cell._bin").alias("b")).collect()
     if not levels:
         return points.join(bands, F.lit(False))
     cells = [F.struct(F.lit(r["_level"]).cast("int").alias("_level"), number(x, F.lit(r["_level"])).alias("_bin")) for r in levels]
     used = [F.when(c["_bin"].between(r["a"], r["b"]), c) for c, r in zip(cells, levels)]
-    dealt = points.withColumn("_cell", F.explode(F.array_compact(F.array(*used))))
-    joined = salted_join(dealt, cut, "_cell", 1, hot=hot_keys(dealt.select("_cell"), "_cell", rows_per_salt),
-                         rows_per_salt=rows_per_salt)
-    below = F.col(value) <= F.col(hi) if closed else F.col(value) < F.col(hi)
-    exact = (F.col(lo).isNull() | (F.col(lo) <= F.col(value))) & (F.col(hi).isNull() | below)
+    dealt = points.select("*", x.alias("_x"), F.explode(F.array_compact(F.array(*used))).alias("_cell"))
+    # the type that the staged bands have: a cast in the join would shuffle the points twice
+    dealt = dealt.withColumn("_cell", F.col("_cell").cast(cut.schema["_cell"].dataType))
+    # the pairs of each bin, as doubles: their number may pass 64 bits
+    load = materialize(hot_keys(dealt.select("_cell"), "_cell", 1)
+                       .join(hot_keys(cut.select("_cell"), "_cell", 1).withColumnRenamed("_n", "_bands"), "_cell")
+                       .withColumn("_pairs", F.col("_n").cast("double") * F.col("_bands")), "band-pairs")
+    pairs = load.agg(F.coalesce(F.sum("_pairs"), F.lit(0.0))).first()[0]
+    # a bin's points count for more rows where each meets many bands; never more salts than points
+    rows = F.greatest(F.col("_n"), F.least(F.col("_pairs") / PAIRS_PER_SALT, F.col("_n")) * rows_per_salt)
+    hot = load.select("_cell", rows.alias("_n")).where(F.col("_n") > rows_per_salt)
+    joined = salted_join(dealt, cut, "_cell", 1, hot=hot, rows_per_salt=rows_per_salt,
+                         n_tasks=_tasks(points, pairs / PAIRS_PER_SALT))
+    after, before = F.col(lo) <= F.col(value), F.col(value) <= F.col(hi) if closed else F.col(value) < F.col(hi)
+    if dict(points.dtypes)[value] != "string":     # casts to double keep the order, so only ties need the columns
+        after = (F.col("_lo") < F.col("_x")) | ((F.col("_lo") == F.col("_x")) & after)
+        before = (F.col("_x") < F.col("_hi")) | ((F.col("_x") == F.col("_hi")) & before)
+    exact = (F.col(lo).isNull() | after) & (F.col(hi).isNull() | before)
     return joined.where(exact).select(*points.columns, *bands.columns)
 
 
+def _tasks(df: DataFrame, shares: float) -> int | None:
+    """Tasks for a join of so many full shares of work; None (Spark's choice)
+    when there is less than one.  Four for each share even out the bins that
+    meet in a task."""
+    if shares <= 1:
+        return None
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(least, math.ceil(4 * shares)), MOST_TASKS)
+
+
 # C8 ------------------------------------------------------------------------------------------
 def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
     """Keys with at least ``min_rows`` rows and their row count ``_n``
@@ -160,7 +194,7 @@ def heavy_hitters(df: DataFrame, key: str, share: float) -> DataFrame:
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, n_salts: int,
                 hot: DataFrame | None = None, how: str = "inner",
-                rows_per_salt: int | None = None) -> DataFrame:
+                rows_per_salt: int | None = None, n_tasks: int | None = None) -> DataFrame:
     """Equi join that spreads hot keys over several tasks.
 
     Rows of ``big`` with a hot key get a salt from a hash of their contents
@@ -170,7 +204,8 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, n_salts: int,
     given, a key gets ceil(_n / rows_per_salt) salts, whatever its size, so
     rows per task stay bounded; else it gets ``n_salts``.  Returns exactly the
     rows of ``big.join(small, key, how)`` for how in inner / left.  ``hot``
-    defaults to all keys of ``small``.
+    defaults to all keys of ``small``.  ``n_tasks`` fixes the number of tasks
+    where the work is more than the bytes of the sides tell.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
@@ -190,6 +225,8 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, n_salts: int,
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in big_cols]), F.col("_salts")).cast("int")
     big_s = big_s.withColumn("_salt", salt).drop("_salts")
     small_s = small_s.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
+    if n_tasks:
+        big_s, small_s = big_s.repartition(n_tasks, key, "_salt"), small_s.repartition(n_tasks, key, "_salt")
     return big_s.join(small_s, [key, "_salt"], how).drop("_salt")
 
 
