@@ -10,9 +10,12 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidepool.operators.windows import global_row_number
 from tidepool.session import estimated_bytes, materialize
 
 # A side with an estimate up to this many bytes is broadcast by the helpers
@@ -22,12 +25,15 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 
 HINTS = {"broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl"}
 
-# A band is cut into this power of two of bins, and one or two more: the finer
-# they are, the fewer points of its end bins lie outside of it.
-BAND_LEVELS = 3
+# A band join packs its points into blocks of at least and at most so many, cut
+# at no more places of their order than the driver can hold (16 bytes each).
+BLOCK_POINTS = 64, 4096
+MOST_CUTS = 200_000
 # Pairs of a point and a band that a salt, and so a task, of a band join looks at.
-PAIRS_PER_SALT = 20_000_000
+PAIRS_PER_SALT = 100_000_000
 MOST_TASKS = 20_000
+# Rows of bands that a task deals to blocks.
+ROWS_TO_DEAL = 250_000
 
 
 def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -86,18 +92,19 @@ def theta_join_small(df: DataFrame, bands: DataFrame, cond: Column, how: str = "
 def band_join(points: DataFrame, bands: DataFrame, value: str, lo: str, hi: str, closed: bool = False,
               rows_per_salt: int = 1_000_000) -> DataFrame:
     """Inner join of two large sides on ``lo <= value < hi`` (``<= hi`` when
-    ``closed``) as an equality join on bins, without a nested loop.
-
-    A band goes to the level where 2^BAND_LEVELS bins, each 2^level wide, are
-    the least that are as wide as the band, so it meets five to nine bins there
-    (ten if rounding has it so), however wide it is, and at most a quarter more
-    points than lie in it.  A point goes to its bin on each level that has
-    bands, unless it lies outside all of them.  Equal bins are joined, with
-    salts for the bins that hold more than ``rows_per_salt`` points (a wide
-    band's bin, or a value that most points have) or make more than
-    PAIRS_PER_SALT pairs; the tasks are as many as the pairs need, however few
+    ``closed``) as an equality join on blocks of points, without a nested loop.
+
+    The points are numbered in the order of their values and packed into blocks
+    of neighbours, one row each.  A band goes to the blocks that its bounds
+    enclose or cut, found by bisection, and meets their points inside the row: a
+    pair costs a step in an array, not a row of a join.  Each point is in one
+    block, whatever the widths of the bands.  Blocks have an eighth of the points
+    that a band meets on average, so that the ends outside of the bands stay few,
+    and BLOCK_POINTS and ``rows_per_salt`` as limits.  Blocks whose bands make
+    more than PAIRS_PER_SALT pairs get salts (a value that most points have, or
+    that most bands hold); the tasks are as many as the pairs need, however few
     bytes make them.  The bounds are checked on doubles, and at a tie on the
-    columns themselves; a pair meets in one bin only.
+    columns themselves.
 
     A NULL bound is open, and cut at the least or greatest value there is;
     a NULL or NaN value, or a band with ``lo`` above ``hi``, matches nothing.
@@ -106,38 +113,38 @@ def band_join(points: DataFrame, bands: DataFrame, value: str, lo: str, hi: str,
         raise ValueError("the sides of a band join share column names")
     x = F.col(value).cast("double")
     points = points.where(F.col(value).isNotNull() & ~F.isnan(x))
-    least, most = points.agg(F.min(x), F.max(x)).first()      # two numbers
-    if least is None:
+    least, most, n = points.agg(F.min(x), F.max(x), F.count(x)).first()      # three numbers
+    if not n:
         return points.join(bands, F.lit(False))
+    tie = F.xxhash64(*_hashable(points))                      # a value that most points have is dealt out
+    order = global_row_number(points.withColumns({"_x": x, "_tie": tie}), ["_x", "_tie"], "_no")
+    fine = max(min(BLOCK_POINTS[0], rows_per_salt), math.ceil(n / MOST_CUTS))
+    at = lambda size: F.floor((F.col("_no") - 1) / size).cast("int")
+    cuts = order.groupBy(at(fine).alias("_cut")).agg(F.min("_x"), F.max("_x")).orderBy("_cut").collect()   # MOST_CUTS rows
+    first, last = _cut_of([r[2] for r in cuts], "left"), _cut_of([r[1] for r in cuts], "right")
     start = F.greatest(F.coalesce(F.col(lo).cast("double"), F.lit(least)), F.lit(least))
     end = F.least(F.coalesce(F.col(hi).cast("double"), F.lit(most)), F.lit(most))
-    # never so fine that a bin's number has more digits than a double
-    finest = F.ceil(F.log2(F.greatest(F.abs(start), F.abs(end), F.lit(1e-250)))) - 50
-    level = F.greatest(F.coalesce(F.ceil(F.log2(F.when(end > start, end - start))) - BAND_LEVELS, finest), finest).cast("int")
-    cut = bands.select("*", start.alias("_start"), end.alias("_end")).where("_start <= _end").withColumn("_level", level)
-    number = lambda c, lv: F.floor(c / F.pow(F.lit(2.0), lv))
-    cut = cut.withColumn("_bin", F.explode(F.sequence(number(F.col("_start"), F.col("_level")), number(F.col("_end"), F.col("_level")))))
-    cut = materialize(cut.select(*bands.columns, F.col(lo).cast("double").alias("_lo"), F.col(hi).cast("double").alias("_hi"),
-                                 F.struct("_level", "_bin").alias("_cell")), "bands")
-    # a row for each level in use: at most as many as a double has exponents
-    levels = cut.groupBy("_cell._level").agg(F.min("_cell._bin").alias("a"), F.max("_cell._bin").alias("b")).collect()
-    if not levels:
+    spans = bands.select("*", F.col(lo).cast("double").alias("_lo"), F.col(hi).cast("double").alias("_hi"),
+                         start.alias("_start"), end.alias("_end")).where("_start <= _end")
+    spans = spans.withColumns({"_first": first("_start"), "_last": last("_end") - 1}).drop("_start", "_end")
+    spans = materialize(spans.where("_first <= _last"), "bands")
+    n_bands, met = spans.agg(F.count(F.lit(1)), F.sum(F.col("_last") - F.col("_first"))).first()
+    if not n_bands:
         return points.join(bands, F.lit(False))
-    cells = [F.struct(F.lit(r["_level"]).cast("int").alias("_level"), number(x, F.lit(r["_level"])).alias("_bin")) for r in levels]
-    used = [F.when(c["_bin"].between(r["a"], r["b"]), c) for c, r in zip(cells, levels)]
-    dealt = points.select("*", x.alias("_x"), F.explode(F.array_compact(F.array(*used))).alias("_cell"))
-    # the type that the staged bands have: a cast in the join would shuffle the points twice
-    dealt = dealt.withColumn("_cell", F.col("_cell").cast(cut.schema["_cell"].dataType))
-    # the pairs of each bin, as doubles: their number may pass 64 bits
-    load = materialize(hot_keys(dealt.select("_cell"), "_cell", 1)
-                       .join(hot_keys(cut.select("_cell"), "_cell", 1).withColumnRenamed("_n", "_bands"), "_cell")
-                       .withColumn("_pairs", F.col("_n").cast("double") * F.col("_bands")), "band-pairs")
-    pairs = load.agg(F.coalesce(F.sum("_pairs"), F.lit(0.0))).first()[0]
-    # a bin's points count for more rows where each meets many bands; never more salts than points
-    rows = F.greatest(F.col("_n"), F.least(F.col("_pairs") / PAIRS_PER_SALT, F.col("_n")) * rows_per_salt)
-    hot = load.select("_cell", rows.alias("_n")).where(F.col("_n") > rows_per_salt)
-    joined = salted_join(dealt, cut, "_cell", 1, hot=hot, rows_per_salt=rows_per_salt,
-                         n_tasks=_tasks(points, pairs / PAIRS_PER_SALT))
+    cuts_a_block = max(1, min(met // (8 * n_bands), min(BLOCK_POINTS[1], rows_per_salt) // fine))
+    size = fine * cuts_a_block
+    blocks = order.groupBy(at(size).alias("_block")).agg(F.collect_list(F.struct(*points.columns, "_x")).alias("_points"))
+    reach = F.sequence(*[F.floor(F.col(c) / cuts_a_block).cast("int") for c in ("_first", "_last")])
+    spread = math.ceil((met / cuts_a_block + 2 * n_bands) / ROWS_TO_DEAL)
+    if spread > 1:                                            # few tasks may have staged the bands
+        spans = spans.repartition(min(spread, MOST_TASKS))
+    cut = materialize(spans.withColumn("_block", F.explode(reach)).drop("_first", "_last"), "band-blocks")
+    load = materialize(hot_keys(cut.select("_block"), "_block", 1), "band-pairs")
+    shares = load.agg(F.sum("_n")).first()[0] * size / PAIRS_PER_SALT
+    per_salt = max(1, PAIRS_PER_SALT // size)                 # bands that a block meets in a task
+    joined = salted_join(cut, blocks, "_block", 1, hot=load.where(F.col("_n") > per_salt), rows_per_salt=per_salt,
+                         n_tasks=_tasks(points, shares), salt_by=_hashable(bands))
+    joined = joined.select(*bands.columns, "_lo", "_hi", F.inline("_points"))
     after, before = F.col(lo) <= F.col(value), F.col(value) <= F.col(hi) if closed else F.col(value) < F.col(hi)
     if dict(points.dtypes)[value] != "string":     # casts to double keep the order, so only ties need the columns
         after = (F.col("_lo") < F.col("_x")) | ((F.col("_lo") == F.col("_x")) & after)
@@ -146,10 +153,21 @@ def band_join(points: DataFrame, bands: DataFrame, value: str, lo: str, hi: str,
     return joined.where(exact).select(*points.columns, *bands.columns)
 
 
+def _cut_of(bounds: list[float], side: str):
+    """Function that counts the sorted ``bounds`` below a value (``left``) or not above it (``right``)."""
+    sorted_ = np.array(bounds)
+    return F.pandas_udf(lambda v: pd.Series(np.searchsorted(sorted_, v, side)), "int")
+
+
+def _hashable(df: DataFrame) -> list[str]:
+    """Columns that have a hash: maps and variants have none."""
+    return [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+
+
 def _tasks(df: DataFrame, shares: float) -> int | None:
     """Tasks for a join of so many full shares of work; None (Spark's choice)
-    when there is less than one.  Four for each share even out the bins that
-    meet in a task."""
+    when there is less than one.  Four for each share even out the blocks
+    that meet in a task."""
     if shares <= 1:
         return None
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -194,7 +212,8 @@ def heavy_hitters(df: DataFrame, key: str, share: float) -> DataFrame:
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, n_salts: int,
                 hot: DataFrame | None = None, how: str = "inner",
-                rows_per_salt: int | None = None, n_tasks: int | None = None) -> DataFrame:
+                rows_per_salt: int | None = None, n_tasks: int | None = None,
+                salt_by: list[str] | None = None) -> DataFrame:
     """Equi join that spreads hot keys over several tasks.
 
     Rows of ``big`` with a hot key get a salt from a hash of their contents
@@ -205,11 +224,12 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, n_salts: int,
     rows per task stay bounded; else it gets ``n_salts``.  Returns exactly the
     rows of ``big.join(small, key, how)`` for how in inner / left.  ``hot``
     defaults to all keys of ``small``.  ``n_tasks`` fixes the number of tasks
-    where the work is more than the bytes of the sides tell.
+    where the work is more than the bytes of the sides tell, ``salt_by`` the
+    columns that are hashed (by default all).
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
-    big_cols = big.columns
+    big_cols = salt_by or big.columns
     if hot is None:                       # salt every key, n_salts each
         big_s = big.withColumn("_salts", F.lit(n_salts))
         small_s = small.withColumn("_salts", F.lit(n_salts))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidepool.operators import joins as J
-from tidepool.plans.common import dbl, money, t
+from tidepool.plans.common import dbl, money, money_words, sum_of_words, t
 from tidepool.plans.registry import register
 
 # The same summary of lineitem x orders for C1-C4 and C8: they must agree.
@@ -145,8 +145,9 @@ def c7b(spark, d):
     wide = F.when(F.col("p_partkey") % 97 == 0, F.lit(1000)).otherwise(F.lit(5))
     bands = part.select("p_partkey", price.alias("band_lo"), (price + F.col("p_size") * wide).alias("band_hi"))
     lines = t(spark, d, "lineitem").select(money("l_extendedprice").alias("price"), F.col("l_orderkey"), F.col("l_linenumber"))
+    lines = lines.select("*", *money_words("price", "price_high", "price_low"))
     return (J.band_join(lines, bands, "price", "band_lo", "band_hi").groupBy("p_partkey")
-            .agg(F.count(F.lit(1)).alias("n_lines"), dbl(F.sum("price")).alias("total_price")))
+            .agg(F.count(F.lit(1)).alias("n_lines"), dbl(sum_of_words("price_high", "price_low")).alias("total_price")))
 
 
 @register("C8k_heavy_hitters_by_sketch", oracle="""
